@@ -44,13 +44,13 @@ def running(
     """Add running values in ``order`` per ``keys``.
 
     Each name gives two columns: ``name`` (this row included) and ``name__before`` (rows strictly
-    before).  ``lasts`` keeps the last non-null value.  Columns that go unused are pruned, with
+    before); a column of that name is replaced.  ``lasts`` keeps the last non-null value.  Columns that go unused are pruned, with
     their windows, by Catalyst.  ``order`` must be unique per key and never null; sums must be
     integral or decimal, so that the result does not depend on how rows are grouped.
     """
     sums, lasts, maxes = dict(sums or {}), dict(lasts or {}), dict(maxes or {})
     inputs = {**sums, **lasts, **maxes}
-    kept = list(df.columns)
+    kept = [c for c in df.columns if c not in inputs]
     rows = df.withColumns({SEGMENT: segment_of(order, width), **inputs})
 
     group = [*keys, SEGMENT]

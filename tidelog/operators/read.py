@@ -120,5 +120,6 @@ def data_messages(log: DataFrame) -> DataFrame:
 
 
 def headers(log: DataFrame, keys: Mapping[str, Column], wanted: Sequence[str]) -> DataFrame:
-    """Header columns by name; a header the log does not carry is null."""
-    return log.select("*", *[keys.get(k, F.lit(None).cast("string")).alias(k) for k in wanted])
+    """Wanted headers as columns ``header_<name>``; a header the log does not carry is null."""
+    missing = F.lit(None).cast("string")
+    return log.withColumns({f"header_{k.lower()}": keys.get(k, missing) for k in wanted})

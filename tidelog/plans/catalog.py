@@ -1,6 +1,6 @@
 """All registered queries; importing the families registers them."""
 
-from tidelog.plans import reads, shapes, windows
+from tidelog.plans import queues, reads, sequences, shapes, streams, windows, writes
 from tidelog.plans.registry import ORACLES, QUERIES
 
-__all__ = ["ORACLES", "QUERIES", "reads", "shapes", "windows"]
+__all__ = ["ORACLES", "QUERIES", "queues", "reads", "sequences", "shapes", "streams", "windows", "writes"]

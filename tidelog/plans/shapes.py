@@ -99,16 +99,16 @@ def serialize_row(spark, d):
     ).select("bookmark", "data", "topic", "command", "correlation_id", "sow_key", "expiration_s")
 
 
-@query(LOG + """ SELECT bookmark, command AS "COMMAND", topic AS "TOPIC", sow_key AS "SOW_KEY",
-  strftime(ts, '%Y%m%dT%H%M%S.%fZ') AS "TIMESTAMP", correlation_id AS "CORRELATION_ID",
-  CAST(NULL AS VARCHAR) AS "SUBSCRIPTION_ID", CAST(strlen(data) AS BIGINT) AS "LENGTH" FROM log""")
+@query(LOG + """ SELECT bookmark, command AS header_command, topic AS header_topic, sow_key AS header_sow_key,
+  strftime(ts, '%Y%m%dT%H%M%S.%fZ') AS header_timestamp, correlation_id AS header_correlation_id,
+  CAST(NULL AS VARCHAR) AS header_subscription_id, CAST(strlen(data) AS BIGINT) AS header_length FROM log""")
 def headers(spark, d):
     log = topics.event_log(spark, d)
     known = {"COMMAND": F.col("command"), "TOPIC": F.col("topic"), "SOW_KEY": F.col("sow_key"),
              "TIMESTAMP": payload.broker_time_text("ts"), "BOOKMARK": F.col("bookmark"),
              "CORRELATION_ID": F.col("correlation_id"), "LENGTH": payload.payload_length()}
     wanted = ["COMMAND", "TOPIC", "SOW_KEY", "TIMESTAMP", "CORRELATION_ID", "SUBSCRIPTION_ID", "LENGTH"]
-    return read.headers(log, known, wanted).select("bookmark", *wanted)
+    return read.headers(log, known, wanted).select("bookmark", *[f"header_{k.lower()}" for k in wanted])
 
 
 @query("SELECT event_id AS bookmark, epoch_us(ts) // 1000 AS millis, date_trunc('millisecond', ts) AS ts "

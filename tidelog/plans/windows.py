@@ -114,11 +114,11 @@ def sow_view_delta(spark, d):
 
 CHANGELOG_SQL = """, steps AS (SELECT *, row_number() OVER k AS i, sum(n) OVER k AS cn, sum(s) OVER k AS cs
   FROM src WINDOW k AS (PARTITION BY grp ORDER BY pos)),
-both AS (SELECT *, lag(cn) OVER k AS pn, lag(cs) OVER k AS ps FROM steps
+pairs AS (SELECT *, lag(cn) OVER k AS pn, lag(cs) OVER k AS ps FROM steps
   WINDOW k AS (PARTITION BY grp ORDER BY pos))
 SELECT grp, pos AS {pos}, CASE WHEN i = 1 THEN '+I' ELSE '+U' END AS op,
-  CAST(cn AS BIGINT) AS n, CAST(cs AS DOUBLE) AS sum_bid FROM both
-UNION ALL SELECT grp, pos, '-U', CAST(pn AS BIGINT), CAST(ps AS DOUBLE) FROM both WHERE i > 1"""
+  CAST(cn AS BIGINT) AS n, CAST(cs AS DOUBLE) AS sum_bid FROM pairs
+UNION ALL SELECT grp, pos, '-U', CAST(pn AS BIGINT), CAST(ps AS DOUBLE) FROM pairs WHERE i > 1"""
 
 
 @query(LOG + """, src AS (SELECT grp, bookmark AS pos, 1 AS n,

@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from tidelog.functions.payload import to_json_text
 from tidelog.operators.aggregate import price_windows
@@ -30,7 +31,7 @@ def latest_state(spark: SparkSession, stream: DataFrame, keys: Sequence[str],
     folded = stream.groupBy(*keys).agg(*fold(fields))
     run_to_end(folded, checkpoint=f"{folder}/checkpoint", mode="update",
                each=idempotent_append(f"{folder}/updates"))
-    updates = read_batches(spark, f"{folder}/updates", folded.schema.add("batch_id", "bigint"))
+    updates = read_batches(spark, f"{folder}/updates", folded.schema)
     return unfold(newest_per_key(updates, list(keys)), keys, fields)
 
 
@@ -41,7 +42,7 @@ def window_totals(spark: SparkSession, stream: DataFrame, key: str, size: str, f
     windows = price_windows(stream, key, "ts", size, ascending=True)
     run_to_end(windows, checkpoint=f"{folder}/checkpoint", mode=mode,
                each=idempotent_append(f"{folder}/updates"))
-    updates = read_batches(spark, f"{folder}/updates", windows.schema.add("batch_id", "bigint"))
+    updates = read_batches(spark, f"{folder}/updates", windows.schema)
     return newest_per_key(updates, [key, "window_start", "window_end"]).drop("batch_id")
 
 
@@ -61,7 +62,7 @@ def continuous_view(spark: SparkSession, stream: DataFrame, folder: str) -> Data
         idempotent_append(f"{folder}/net")(totals, batch_id)
 
     run_to_end(changes, checkpoint=f"{folder}/checkpoint", each=net)
-    schema = "grp STRING, ask DECIMAL(28,2), bid DECIMAL(28,2), n BIGINT, batch_id BIGINT"
+    schema = StructType.fromDDL("grp STRING, ask DECIMAL(28,2), bid DECIMAL(28,2), n BIGINT")
     return (read_batches(spark, f"{folder}/net", schema).groupBy("grp")
             .agg(F.sum("ask").alias("sum_ask"), F.sum("bid").alias("sum_bid"), F.sum("n").alias("n"))
             .filter(F.col("n") > 0))
@@ -76,12 +77,10 @@ def delta_stream(stream: DataFrame, folder: str) -> DataFrame:
                                       to_json_text("id", *changed).alias("delta")), folder)
 
 
-def chain(spark: SparkSession, source: DataFrame, first_topic: str, second, folder: str) -> DataFrame:
-    """Two queries in one job: ``source`` is published to a topic folder, and the stream of that
-    topic feeds ``second`` (stream -> DataFrame of the result)."""
-    topic = f"{folder}/{first_topic}"
-    query = (source.writeStream.format("parquet").option("path", topic)
-             .option("checkpointLocation", f"{folder}/first-checkpoint")
-             .trigger(availableNow=True).start())
-    query.awaitTermination()
-    return second(spark.readStream.schema(source.schema).parquet(topic))
+def chain(first: DataFrame, topic: str, folder: str,
+          second: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """Two queries in one job: ``first`` is published to a topic folder, and ``second`` builds its
+    result from the stream of that topic."""
+    copy = f"{folder}/{topic}"
+    run_to_end(first, checkpoint=f"{folder}/{topic}-checkpoint", path=copy)
+    return second(first.sparkSession.readStream.schema(first.schema).parquet(copy))

@@ -2,13 +2,31 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.types import LongType, StructField, StructType
 
 from tidelog.operators.write import resume_after
+from tidelog.session import ROCKSDB_PROVIDER
+
+
+@contextmanager
+def rocksdb_state(spark: SparkSession) -> Iterator[None]:
+    """Keep the state of queries started here in RocksDB, and put the session's choice back."""
+    name = "spark.sql.streaming.stateStore.providerClass"
+    before = spark.conf.get(name, None)
+    spark.conf.set(name, ROCKSDB_PROVIDER)
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(name)
+        else:
+            spark.conf.set(name, before)
 
 
 def run_to_end(stream: DataFrame, *, checkpoint: str, path: str | None = None,
@@ -17,9 +35,10 @@ def run_to_end(stream: DataFrame, *, checkpoint: str, path: str | None = None,
     """Process all there is and stop (``availableNow``); a later run goes on from the checkpoint."""
     writer = (stream.writeStream.outputMode(mode).option("checkpointLocation", checkpoint)
               .trigger(availableNow=True))
-    query = (writer.foreachBatch(each).start() if each
-             else writer.format("parquet").option("path", path).start())
-    query.awaitTermination()
+    with rocksdb_state(stream.sparkSession):
+        query = (writer.foreachBatch(each).start() if each
+                 else writer.format("parquet").option("path", path).start())
+        query.awaitTermination()
     return query
 
 
@@ -53,9 +72,10 @@ def resuming_append(path: str, writer: str, ts: str,
     return resume_then_write
 
 
-def read_batches(spark: SparkSession, path: str, schema) -> DataFrame:
+def read_batches(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
     """All rows of an idempotent sink, with the batch that wrote them."""
-    return spark.read.schema(schema).option("basePath", path).parquet(f"{path}/batch_id=*")
+    tagged = StructType([*schema.fields, StructField("batch_id", LongType())])
+    return spark.read.schema(tagged).parquet(path)
 
 
 def newest_per_key(updates: DataFrame, keys: list[str], order: str = "batch_id") -> DataFrame:
