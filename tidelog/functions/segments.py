@@ -1,34 +1,56 @@
 """Running values per key that stay bounded when one key owns most of the log.
 
-``Window.partitionBy(key).orderBy(bookmark)`` sorts a whole key in one task.  Here every key is cut
-into *segments* of ``width`` consecutive order values:
+``Window.partitionBy(key).orderBy(bookmark)`` sorts a whole key in one task.  That is right for all
+keys but the hot ones, so hot keys (more than ``HOT`` rows) are found by a count and are cut into
+*segments* of ``WIDTH`` consecutive order values:
 
-1. rows are aggregated per (key, segment) with map-side combine;
+1. rows of hot keys are aggregated per (key, segment) with map-side combine;
 2. a window over those few rows gives each segment what came before it (its *lead*);
 3. the lead joins its segment as one extra first row, and the window runs per (key, segment).
 
-A task of step 3 holds at most ``width`` rows of a key, a task of step 2 one row per segment.
-The full rows are shuffled once.
+A task then holds at most ``HOT`` rows of a cold key, ``WIDTH`` rows of a hot one, or one lead per
+segment.  The full rows are shuffled once.  Without hot keys the leads are an empty branch, which
+adaptive execution drops.
 """
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Iterable, Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-#: Order values per segment.  With n messages a hot key has at most n / WIDTH leads in one task and
-#: WIDTH rows in another, so this suits logs from a few million up to some hundred billion messages.
+#: Rows that make a key hot.  A log of n rows has fewer than n / HOT hot keys (200,000 in two hundred
+#: billion rows), which bounds what ``split_hot_keys`` broadcasts.
+HOT = 1 << 20
+
+#: Order values per segment of a hot key.
 WIDTH = 1 << 16
 
-SEGMENT = "__segment"
-_LEAD = "__lead"
+SEGMENT, _HOT, _LEAD = "__segment", "__hot", "__lead"
+
 
+def whole_part(value: Column, size: int) -> Column:
+    """``value div size`` in 64-bit integers, exact at any size."""
+    return F.call_function("div", value, F.lit(int(size)))
 
-def segment_of(order: str, width: int = WIDTH) -> Column:
-    """Segment number of an integral order column."""
-    return F.floor(F.col(order) / F.lit(int(width))).cast("bigint")
+
+def split_hot_keys(df: DataFrame, keys: Sequence[str], order: str, *, hot: int = HOT,
+                   width: int = WIDTH) -> DataFrame:
+    """Tag each row with its segment: 0 for a cold key, ``order div width`` for a hot one.
+
+    Without keys the whole frame is one sequence, and all of it is cut.
+    """
+    segment = f"`{order}` div {int(width)}"
+    if not keys:
+        return df.selectExpr("*", f"true AS {_HOT}", f"{segment} AS {SEGMENT}")
+    counts = df.groupBy(*keys).count().filter(f"count > {int(hot)}")
+    hot_keys = counts.selectExpr(*[f"`{k}` AS `__hot_{k}`" for k in keys], f"true AS {_HOT}")
+    same = F.expr(" AND ".join(f"`{k}` <=> `__hot_{k}`" for k in keys))
+    # bounded by the row count over HOT, see above
+    tagged = df.join(F.broadcast(hot_keys), same, "left")
+    return tagged.selectExpr(*_quoted(df.columns), _HOT,
+                             f"CASE WHEN {_HOT} THEN {segment} ELSE 0L END AS {SEGMENT}")
 
 
 def running(
@@ -36,67 +58,67 @@ def running(
     keys: Sequence[str],
     order: str,
     *,
-    sums: Mapping[str, Column] | None = None,
-    lasts: Mapping[str, Column] | None = None,
-    maxes: Mapping[str, Column] | None = None,
+    sums: Mapping[str, Column | str] | None = None,
+    lasts: Mapping[str, Column | str] | None = None,
+    maxes: Mapping[str, Column | str] | None = None,
+    hot: int = HOT,
     width: int = WIDTH,
 ) -> DataFrame:
     """Add running values in ``order`` per ``keys``.
 
     Each name gives two columns: ``name`` (this row included) and ``name__before`` (rows strictly
-    before); a column of that name is replaced.  ``lasts`` keeps the last non-null value.  Columns that go unused are pruned, with
-    their windows, by Catalyst.  ``order`` must be unique per key and never null; sums must be
-    integral or decimal, so that the result does not depend on how rows are grouped.
+    before); a column of that name is replaced.  ``lasts`` keeps the last non-null value.  Columns
+    that go unused are pruned, with their windows, by Catalyst.  Values are columns or SQL text.
+    ``order`` is integral, unique per key and never null; sums must be integral or decimal where
+    even the last digit must not depend on how rows are grouped.  Rows that ``split_hot_keys`` has
+    tagged keep their tags.
     """
     sums, lasts, maxes = dict(sums or {}), dict(lasts or {}), dict(maxes or {})
     inputs = {**sums, **lasts, **maxes}
-    kept = [c for c in df.columns if c not in inputs]
-    rows = df.withColumns({SEGMENT: segment_of(order, width), **inputs})
+    kept = _quoted(c for c in df.columns if c not in inputs)
+    tagged = df if SEGMENT in df.columns else split_hot_keys(df, keys, order, hot=hot, width=width)
+    rows = tagged.withColumns({n: F.expr(c) if isinstance(c, str) else c for n, c in inputs.items()})
+
+    def per(columns: Sequence[str], by: str) -> str:
+        partition = f"PARTITION BY {', '.join(_quoted(columns))} " if columns else ""
+        return f"({partition}ORDER BY {by} ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)"
+
+    def carry(window: str, tail: str = "") -> list[str]:
+        return [*[f"sum(`{n}`) OVER {window} AS `{n}{tail}`" for n in sums],
+                *[f"last(`{n}`, true) OVER {window} AS `{n}{tail}`" for n in lasts],
+                *[f"max(`{n}`) OVER {window} AS `{n}{tail}`" for n in maxes]]
 
     group = [*keys, SEGMENT]
-    totals = rows.groupBy(*group).agg(
-        *[F.sum(n).alias(n) for n in sums],
-        *[F.max_by(n, F.when(F.col(n).isNotNull(), F.col(order))).alias(n) for n in lasts],
-        *[F.max(n).alias(n) for n in maxes],
-    )
-    earlier = Window.partitionBy(*keys).orderBy(SEGMENT).rowsBetween(Window.unboundedPreceding, -1)
-    leads = totals.select(
-        *group,
-        F.lit(True).alias(_LEAD),
-        *[F.sum(n).over(earlier).alias(n) for n in sums],
-        *[F.last(n, ignorenulls=True).over(earlier).alias(n) for n in lasts],
-        *[F.max(n).over(earlier).alias(n) for n in maxes],
-    )
-    both = rows.withColumn(_LEAD, F.lit(False)).unionByName(leads, allowMissingColumns=True)
-
-    by_order = Window.partitionBy(*group).orderBy(F.col(order).asc_nulls_first())
-    through = by_order.rowsBetween(Window.unboundedPreceding, 0)
-    before = by_order.rowsBetween(Window.unboundedPreceding, -1)
-    scanned = both.select(
-        *kept,
-        _LEAD,
-        *[f(n).over(w).alias(n + tail)
-          for names, f in ((sums, F.sum), (lasts, _last), (maxes, F.max))
-          for n in names
-          for w, tail in ((through, ""), (before, "__before"))],
-    )
-    return scanned.filter(~F.col(_LEAD)).drop(_LEAD)
-
-
-def running_row_number(df: DataFrame, keys: Sequence[str], order: str, name: str,
-                       *, width: int = WIDTH) -> DataFrame:
-    """``row_number`` per key in ``order`` without bringing a key into one task."""
-    return running(df, keys, order, sums={name: F.lit(1).cast("bigint")}, width=width).drop(
-        f"{name}__before")
-
-
-def previous(df: DataFrame, keys: Sequence[str], order: str, values: Mapping[str, str],
-             *, width: int = WIDTH) -> DataFrame:
+    totals = rows.filter(_HOT).groupBy(*group).agg(*map(F.expr, [
+        *[f"sum(`{n}`) AS `{n}`" for n in sums],
+        *[f"max_by(`{n}`, CASE WHEN `{n}` IS NOT NULL THEN `{order}` END) AS `{n}`" for n in lasts],
+        *[f"max(`{n}`) AS `{n}`" for n in maxes]]))
+    leads = totals.selectExpr(*_quoted(group), f"true AS {_LEAD}", *carry(per(keys, SEGMENT)))
+    both = rows.selectExpr("*", f"false AS {_LEAD}").unionByName(leads, allowMissingColumns=True)
+    scanned = both.selectExpr(*kept, *_quoted(inputs), _LEAD,
+                              *carry(per(group, f"`{order}` ASC NULLS FIRST"), "__before"))
+    # the row itself is added to what came before it, which saves a second window per value
+    return scanned.filter(f"NOT {_LEAD}").selectExpr(
+        *kept, *_quoted(f"{n}__before" for n in inputs),
+        *[f"coalesce(`{n}__before` + `{n}`, `{n}`, `{n}__before`) AS `{n}`" for n in sums],
+        *[f"coalesce(`{n}`, `{n}__before`) AS `{n}`" for n in lasts],
+        *[f"greatest(`{n}`, `{n}__before`) AS `{n}`" for n in maxes])
+
+
+def running_row_number(df: DataFrame, keys: Sequence[str], order: str, name: str, *,
+                       hot: int = HOT, width: int = WIDTH) -> DataFrame:
+    """``row_number`` per key in ``order`` without bringing a hot key into one task."""
+    return running(df, keys, order, sums={name: "1L"}, hot=hot,
+                   width=width).drop(f"{name}__before")
+
+
+def previous(df: DataFrame, keys: Sequence[str], order: str, values: Mapping[str, str], *,
+             hot: int = HOT, width: int = WIDTH) -> DataFrame:
     """``lag`` per key: add column ``name`` holding the previous row's ``column`` for each pair."""
     packed = F.struct(*[F.col(c).alias(n) for n, c in values.items()])
-    out = running(df, keys, order, lasts={"__prev": packed}, width=width)
+    out = running(df, keys, order, lasts={"__prev": packed}, hot=hot, width=width)
     return out.select(*df.columns, *[F.col(f"__prev__before.{n}").alias(n) for n in values])
 
 
-def _last(name: str) -> Column:
-    return F.last(name, ignorenulls=True)
+def _quoted(names: Iterable[str]) -> list[str]:
+    return [f"`{n}`" for n in names]

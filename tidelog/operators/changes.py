@@ -12,59 +12,53 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidelog.functions.payload import to_json_text
-from tidelog.functions.segments import WIDTH, running
+from tidelog.functions.segments import running, whole_part
 from tidelog.operators.read import predicate
-from tidelog.operators.state import carried, is_reset, state_at
+from tidelog.operators.state import NO_RESET, RESET, carried, state_at
 from tidelog.sources.topics import OOF, SOW, SOW_DELETE
 
 
 def history(log: DataFrame, keys: Sequence[str], fields: Sequence[str], *,
-            present: Mapping[str, Column] | None = None, width: int = WIDTH) -> DataFrame:
+            present: Mapping[str, str] | None = None, **limits: int) -> DataFrame:
     """Each row with the record after it (``fields``) and before it (``prev_<field>``); ``had`` says
     whether the key was live before."""
     scanned = running(
         log, keys, "bookmark",
-        lasts={**{f"__v_{f}": F.when(carried(f, present), F.struct(F.col("bookmark").alias("at"),
-                                                                  F.col(f).alias("v")))
-                  for f in fields},
-               "__cmd": F.col("command")},
-        maxes={"__reset": F.when(is_reset(), F.col("bookmark"))},
-        width=width)
-
-    def value(field: str, tail: str) -> Column:
-        cell = F.col(f"__v_{field}{tail}")
-        floor = F.coalesce(F.col(f"__reset{tail}"), F.lit(-(1 << 62)))
-        return F.when(cell["at"] >= floor, cell["v"])
-
-    rest = [c for c in log.columns if c not in fields]
-    return scanned.select(
-        *rest, *[value(f, "").alias(f) for f in fields],
-        *[value(f, "__before").alias(f"prev_{f}") for f in fields],
-        (F.col("__cmd__before").isNotNull() & (F.col("__cmd__before") != SOW_DELETE)).alias("had"))
-
-
-def merged_records(log: DataFrame, keys: Sequence[str], fields: Sequence[str],
-                   *, width: int = WIDTH) -> DataFrame:
+        lasts={**{f"__v_{f}": f"CASE WHEN {carried(f, present)} "
+                              f"THEN struct(bookmark AS at, `{f}` AS v) END" for f in fields},
+               "__cmd": "command"},
+        maxes={"__reset": f"CASE WHEN {RESET} THEN bookmark END"}, **limits)
+
+    def value(field: str, tail: str, name: str) -> str:
+        cell = f"__v_{field}{tail}"
+        return f"CASE WHEN `{cell}`.at >= coalesce(__reset{tail}, {NO_RESET}) THEN `{cell}`.v END AS `{name}`"
+
+    return scanned.selectExpr(
+        *[f"`{c}`" for c in log.columns if c not in fields],
+        *[value(f, "", f) for f in fields], *[value(f, "__before", f"prev_{f}") for f in fields],
+        f"coalesce(__cmd__before, '{SOW_DELETE}') <> '{SOW_DELETE}' AS had")
+
+
+def merged_records(log: DataFrame, keys: Sequence[str], fields: Sequence[str], **limits: int) -> DataFrame:
     """The full record right after every publish and partial update."""
-    rows = history(log, keys, fields, width=width).filter(F.col("command") != SOW_DELETE)
+    rows = history(log, keys, fields, **limits).filter(F.col("command") != SOW_DELETE)
     return rows.select("bookmark", "command", *keys, *fields)
 
 
 def delta_subscribe(log: DataFrame, keys: Sequence[str], fields: Sequence[str], *,
-                    since: Column | None = None, width: int = WIDTH) -> DataFrame:
+                    since: Column | None = None, **limits: int) -> DataFrame:
     """After each update: the key and the fields whose value changed, as JSON; all fields when the
     key was not live.  Rows before ``since`` count as history only."""
-    rows = history(log, keys, fields, width=width).filter(F.col("command") != SOW_DELETE)
+    rows = history(log, keys, fields, **limits).filter(F.col("command") != SOW_DELETE)
     if since is not None:
         rows = rows.filter(since)
-    changed = [F.when(~F.col("had") | ~F.col(f).eqNullSafe(F.col(f"prev_{f}")), F.col(f)).alias(f)
-               for f in fields]
-    return rows.select("bookmark", "command", *keys, to_json_text(*keys, *changed).alias("delta"))
+    changed = [f"CASE WHEN NOT had OR NOT `{f}` <=> `prev_{f}` THEN `{f}` END AS `{f}`" for f in fields]
+    record = ", ".join([*keys, *changed])
+    return rows.selectExpr("bookmark", "command", *keys, f"to_json(struct({record})) AS delta")
 
 
 def sow_and_subscribe(log: DataFrame, keys: Sequence[str], fields: Sequence[str], upto: Column, *,
-                      content_filter: str | Column | None = None, top: int | None = None,
-                      width: int = WIDTH) -> DataFrame:
+                      content_filter: str | Column | None = None, top: int | None = None, **limits: int) -> DataFrame:
     """The records at a point (command ``sow``), then every later publish and partial update as the
     full record.  No row is missed or repeated.  The filter sees records; ``top`` limits only the
     snapshot, in key order."""
@@ -72,18 +66,18 @@ def sow_and_subscribe(log: DataFrame, keys: Sequence[str], fields: Sequence[str]
     if top is not None:
         snapshot = snapshot.orderBy(*keys).limit(top)
     columns = ["bookmark", "command", *keys, *fields]
-    later = (history(log, keys, fields, width=width).filter(F.col("command") != SOW_DELETE)
+    later = (history(log, keys, fields, **limits).filter(F.col("command") != SOW_DELETE)
              .filter(~upto).filter(predicate(content_filter)))
     return (snapshot.withColumn("command", F.lit(SOW)).select(*columns)
             .unionByName(later.select(*columns)))
 
 
 def sow_and_delta_subscribe(log: DataFrame, keys: Sequence[str], fields: Sequence[str],
-                            upto: Column, *, width: int = WIDTH) -> DataFrame:
+                            upto: Column, **limits: int) -> DataFrame:
     """The records at a point in full, then field deltas, all as JSON."""
     snapshot = state_at(log, keys, fields, upto=upto).select(
         "bookmark", F.lit(SOW).alias("command"), *keys, to_json_text(*keys, *fields).alias("delta"))
-    return snapshot.unionByName(delta_subscribe(log, keys, fields, since=~upto, width=width))
+    return snapshot.unionByName(delta_subscribe(log, keys, fields, since=~upto, **limits))
 
 
 def snapshot_with_markers(records: DataFrame, label: Column) -> DataFrame:
@@ -95,12 +89,11 @@ def snapshot_with_markers(records: DataFrame, label: Column) -> DataFrame:
 
 
 def out_of_focus(log: DataFrame, keys: Sequence[str], fields: Sequence[str],
-                 content_filter: str | Column, *, since: Column | None = None,
-                 width: int = WIDTH) -> DataFrame:
+                 content_filter: str | Column, *, since: Column | None = None, **limits: int) -> DataFrame:
     """Rows that take a matching record out of a reader's sight, with the reason: ``deleted``, or
     ``match`` when the updated record no longer satisfies the filter.  A null predicate is no match."""
     test = F.coalesce(predicate(content_filter), F.lit(False))
-    rows = history(log, keys, fields, width=width)
+    rows = history(log, keys, fields, **limits)
     if since is not None:
         rows = rows.filter(since)
     after = [F.col(f).alias(f"__new_{f}") for f in fields]
@@ -115,11 +108,11 @@ def out_of_focus(log: DataFrame, keys: Sequence[str], fields: Sequence[str],
 
 
 def aggregate_changelog(rows: DataFrame, keys: Sequence[str], order: str,
-                        measures: Mapping[str, Column], *, width: int = WIDTH) -> DataFrame:
+                        measures: Mapping[str, Column], **limits: int) -> DataFrame:
     """The changelog of running totals: ``+I`` for a key's first row, then ``-U`` with the old and
     ``+U`` with the new totals.  Measures are integral or decimal."""
-    scanned = running(rows, keys, order, sums={**measures, "__n": F.lit(1).cast("bigint")},
-                      width=width)
+    scanned = running(rows, keys, order, sums={**measures, "__n": "1L"},
+                      **limits)
     first = F.col("__n") == 1
 
     def change(op: str, tail: str) -> Column:
@@ -132,11 +125,10 @@ def aggregate_changelog(rows: DataFrame, keys: Sequence[str], order: str,
 
 
 def aggregate_changelog_batched(rows: DataFrame, keys: Sequence[str], order: str,
-                                measures: Mapping[str, Column], batch_size: int, *,
-                                width: int = WIDTH) -> DataFrame:
+                                measures: Mapping[str, Column], batch_size: int, **limits: int) -> DataFrame:
     """The same changelog with the changes of a batch collapsed: one step per key and batch.  Rows
     are summed per key and batch before anything else, on the map side."""
-    batch = F.floor(F.col(order) / batch_size).cast("bigint")
+    batch = whole_part(F.col(order), batch_size)
     totals = rows.groupBy(*keys, batch.alias("batch")).agg(
         *[F.sum(c).alias(m) for m, c in measures.items()])
-    return aggregate_changelog(totals, keys, "batch", {m: F.col(m) for m in measures}, width=width)
+    return aggregate_changelog(totals, keys, "batch", {m: F.col(m) for m in measures}, **limits)

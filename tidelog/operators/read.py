@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from tidelog.functions.bounds import broadcast_if_small
 from tidelog.functions.payload import path_filter
 from tidelog.functions.positions import after
-from tidelog.functions.segments import WIDTH, running_row_number
+from tidelog.functions.segments import running_row_number, whole_part
 from tidelog.sources.topics import DELTA_PUBLISH, OOF, PUBLISH, SOW
 
 # The commands a plain read hands on; snapshot markers and acknowledgements are not.
@@ -98,10 +98,10 @@ def top_per_split(log: DataFrame, n: int, split: str = "split_id", order: str =
 
 
 def rate_schedule(log: DataFrame, rate: int, splits: Sequence[str] = ("topic",),
-                  order: str = "bookmark", width: int = WIDTH) -> DataFrame:
+                  order: str = "bookmark", **limits: int) -> DataFrame:
     """The second at which a replay limited to ``rate`` messages per split hands on each message."""
-    numbered = running_row_number(log, splits, order, "rn", width=width)
-    return numbered.withColumn("emit_second", F.floor((F.col("rn") - 1) / rate)).drop("rn")
+    numbered = running_row_number(log, splits, order, "rn", **limits)
+    return numbered.withColumn("emit_second", whole_part(F.col("rn") - 1, rate)).drop("rn")
 
 
 def resume(log: DataFrame, points: DataFrame, split: str = "split_id") -> DataFrame:

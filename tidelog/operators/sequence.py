@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidelog.functions.segments import WIDTH, running, running_row_number
+from tidelog.functions.segments import running, running_row_number, split_hot_keys, whole_part
 
 
 def missing_numbers(rows: DataFrame, number: str, splits: int) -> DataFrame:
@@ -29,19 +29,17 @@ def missing_numbers(rows: DataFrame, number: str, splits: int) -> DataFrame:
             .join(F.broadcast(ends), "missing", "left_anti"))
 
 
-def missing_per_block(rows: DataFrame, number: str, splits: int, block: int,
-                      *, width: int = WIDTH) -> DataFrame:
+def missing_per_block(rows: DataFrame, number: str, splits: int, block: int, **limits: int) -> DataFrame:
     """Missing numbers per block of ``block`` numbers, and the count so far."""
     gaps = missing_numbers(rows, number, splits)
-    blocks = gaps.groupBy(F.floor(F.col("missing") / block).alias("block")).agg(
+    blocks = gaps.groupBy(whole_part(F.col("missing"), block).alias("block")).agg(
         F.count("*").alias("gaps"))
-    return running(blocks, [], "block", sums={"total": F.col("gaps")}, width=width).drop("total__before")
+    return running(blocks, [], "block", sums={"total": F.col("gaps")}, **limits).drop("total__before")
 
 
-def every_nth(log: DataFrame, splits: Sequence[str], order: str, n: int,
-              *, width: int = WIDTH) -> DataFrame:
+def every_nth(log: DataFrame, splits: Sequence[str], order: str, n: int, **limits: int) -> DataFrame:
     """Every ``n``-th message of each split."""
-    return running_row_number(log, splits, order, "rn", width=width).filter(F.col("rn") % n == 0)
+    return running_row_number(log, splits, order, "rn", **limits).filter(F.col("rn") % n == 0)
 
 
 def drop_replayed(log: DataFrame, identity: Sequence[str]) -> DataFrame:
@@ -50,11 +48,10 @@ def drop_replayed(log: DataFrame, identity: Sequence[str]) -> DataFrame:
     return log.dropDuplicates(list(identity))
 
 
-def time_violations(rows: DataFrame, writer: Sequence[str], order: str, ts: str,
-                    *, width: int = WIDTH) -> DataFrame:
+def time_violations(rows: DataFrame, writer: Sequence[str], order: str, ts: str, **limits: int) -> DataFrame:
     """Rows an exactly-once writer must refuse: no time, a negative one, or one not greater than
     every earlier time of the same writer."""
-    scanned = running(rows, writer, order, maxes={"__high": F.col(ts)}, width=width)
+    scanned = running(rows, writer, order, maxes={"__high": F.col(ts)}, **limits)
     t, high = F.col(ts), F.col("__high__before")
     reason = (F.when(t.isNull(), "missing").when(t < 0, "negative")
               .when(t <= high, "not increasing"))
@@ -62,25 +59,23 @@ def time_violations(rows: DataFrame, writer: Sequence[str], order: str, ts: str,
             .withColumnRenamed("__high__before", "previous").drop("__high"))
 
 
-def late_rows(rows: DataFrame, arrival: str, ts: str, batch_size: int, window_s: int,
-              *, width: int = WIDTH) -> DataFrame:
+def late_rows(rows: DataFrame, arrival: str, ts: str, batch_size: int, window_s: int, **limits: int) -> DataFrame:
     """Rows an event-time window of ``window_s`` seconds drops as late, batch by batch.
 
     The watermark of a batch is the greatest time of all earlier batches.  Times are reduced to one
     row per batch before they are scanned, and joined back on the batch number.
     """
-    batch = F.floor(F.col(arrival) / batch_size).cast("bigint")
+    batch = whole_part(F.col(arrival), batch_size)
     tagged = rows.withColumn("batch", batch)
     highs = tagged.groupBy("batch").agg(F.max(ts).alias("__high"))
-    marks = running(highs, [], "batch", maxes={"__mark": F.col("__high")}, width=width).select(
+    marks = running(highs, [], "batch", maxes={"__mark": F.col("__high")}, **limits).select(
         "batch", F.col("__mark__before").alias("watermark"))
     end = F.window(ts, f"{window_s} seconds")["end"]
     return (tagged.withColumn("window_end", end).join(marks, "batch")
             .filter(F.col("window_end") <= F.col("watermark")))
 
 
-def choose_commands(rows: DataFrame, keys: Sequence[str], order: str, wants_delete: Column,
-                    *, width: int = WIDTH) -> DataFrame:
+def choose_commands(rows: DataFrame, keys: Sequence[str], order: str, wants_delete: Column, **limits: int) -> DataFrame:
     """The command of each row of a writer that remembers which keys it has published.
 
     An unknown key is published.  A known key is updated, or deleted and forgotten when
@@ -89,9 +84,10 @@ def choose_commands(rows: DataFrame, keys: Sequence[str], order: str, wants_dele
     since the last update, which two running values give without walking the key in order.
     """
     flip = F.when(wants_delete, F.lit(1)).otherwise(F.lit(0)).cast("bigint")
-    counted = running(rows, keys, order, sums={"__flips": flip}, width=width)
+    tagged = split_hot_keys(rows, keys, order, **limits)
+    counted = running(tagged, keys, order, sums={"__flips": flip})
     marked = counted.withColumn("__at_update", F.when(~wants_delete, F.col("__flips")))
-    scanned = running(marked, keys, order, maxes={"__base": F.col("__at_update")}, width=width)
+    scanned = running(marked, keys, order, maxes={"__base": F.col("__at_update")})
     base = F.col("__base__before")
     flips = F.coalesce(F.col("__flips__before"), F.lit(0))
     known = F.when(base.isNull(), flips % 2 == 1).otherwise((flips - base) % 2 == 0)

@@ -13,46 +13,48 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidelog.operators.read import predicate
-from tidelog.sources.topics import DELTA_PUBLISH, PUBLISH, SOW_DELETE
+from tidelog.sources.topics import PUBLISH, SOW_DELETE
 
 
-def is_reset() -> Column:
-    return F.col("command").isin(PUBLISH, SOW_DELETE)
+# SQL texts: rows that start a key's record anew, and the reset of a key never reset.
+RESET = f"command IN ('{PUBLISH}', '{SOW_DELETE}')"
+NO_RESET = "-4611686018427387904L"
 
 
-def carried(field: str, present: Mapping[str, Column] | None = None) -> Column:
-    """Whether a row carries a field.  By default a null field counts as left out; give ``present``
-    (for example ``map_contains_key``) where an explicit null must overwrite."""
-    carries = (present or {}).get(field, F.col(field).isNotNull())
-    return carries & (F.col("command") != SOW_DELETE)
+def carried(field: str, present: Mapping[str, str] | None = None) -> str:
+    """SQL text: whether a row carries a field.  By default a null field counts as left out; give
+    ``present`` (for example ``map_contains_key(raw, 'f')``) where an explicit null must overwrite."""
+    carries = (present or {}).get(field, f"`{field}` IS NOT NULL")
+    return f"({carries} AND command <> '{SOW_DELETE}')"
 
 
-def fold(fields: Sequence[str], present: Mapping[str, Column] | None = None) -> list[Column]:
+def fold(fields: Sequence[str], present: Mapping[str, str] | None = None) -> list[Column]:
     """The aggregates that determine a key's record.  They merge, so they serve partial aggregation,
     history grids and streaming state alike."""
-    at = F.col("bookmark")
-    return [
-        F.max(at).alias("__last"),
-        F.max(F.when(F.col("command") == SOW_DELETE, at)).alias("__deleted"),
-        F.max(F.when(is_reset(), at)).alias("__reset"),
-        *[F.max_by(f, F.when(carried(f, present), at)).alias(f) for f in fields],
-        *[F.max(F.when(carried(f, present), at)).alias(f"__at_{f}") for f in fields],
-    ]
+    at = {f: f"CASE WHEN {carried(f, present)} THEN bookmark END" for f in fields}
+    return [F.expr(text) for text in (
+        "max(bookmark) AS __last",
+        f"max(CASE WHEN command = '{SOW_DELETE}' THEN bookmark END) AS __deleted",
+        f"max(CASE WHEN {RESET} THEN bookmark END) AS __reset",
+        *[f"max_by(`{f}`, {at[f]}) AS `{f}`" for f in fields],
+        *[f"max({at[f]}) AS `__at_{f}`" for f in fields])]
+
+
+def current(field: str) -> str:
+    """SQL text: a folded value, null if it is older than the reset."""
+    return f"CASE WHEN `__at_{field}` >= coalesce(__reset, {NO_RESET}) THEN `{field}` END"
 
 
 def unfold(folded: DataFrame, keys: Sequence[str], fields: Sequence[str],
            keep: Sequence[str] = ()) -> DataFrame:
     """Records from folded aggregates: drop deleted keys, blank the values older than the reset."""
-    floor = F.coalesce(F.col("__reset"), F.lit(-(1 << 62)))
-    alive = F.col("__deleted").isNull() | (F.col("__deleted") < F.col("__last"))
-    return folded.filter(alive).select(
-        *keys, *[F.when(F.col(f"__at_{f}") >= floor, F.col(f)).alias(f) for f in fields],
-        F.col("__last").alias("bookmark"), *keep)
+    return folded.filter("__deleted IS NULL OR __deleted < __last").selectExpr(
+        *keys, *[f"{current(f)} AS `{f}`" for f in fields], "__last AS bookmark", *keep)
 
 
 def state_at(log: DataFrame, keys: Sequence[str], fields: Sequence[str], *,
              upto: Column | None = None, content_filter: str | Column | None = None,
-             present: Mapping[str, Column] | None = None) -> DataFrame:
+             present: Mapping[str, str] | None = None) -> DataFrame:
     """The record of every live key after the rows that satisfy ``upto``.
 
     ``content_filter`` looks at the records, not at the history, so it comes after the aggregate;
@@ -157,9 +159,8 @@ def delete_where(log: DataFrame, keys: Sequence[str], fields: Sequence[str],
     folded per key on each side of the point, the matching folds are dropped, and what is left (at
     most two rows per key) is merged.
     """
-    floor = F.coalesce(F.col("__reset"), F.lit(-(1 << 62)))
     folded = (log.withColumn("__later", ~before).groupBy(*keys, "__later").agg(*fold(fields))
-              .withColumns({f: F.when(F.col(f"__at_{f}") >= floor, F.col(f)) for f in fields}))
+              .withColumns({f: F.expr(current(f)) for f in fields}))
     gone = F.coalesce(predicate(condition), F.lit(False))
     kept = folded.filter(F.col("__later") | ~gone)
     merged = kept.groupBy(*keys).agg(

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from tidelog.functions.segments import whole_part
 from tidelog.operators import queue
 from tidelog.operators.queue import QueueRules
 from tidelog.plans.registry import query
@@ -43,7 +44,7 @@ def ledger(spark, d):
     n, a = F.col("bookmark"), F.col("delivery")
     attempts = messages(spark, d).filter(n % 5 > 0).select(
         "bookmark", "ts", F.explode(F.sequence(F.lit(1), (n % 5).cast("int"))).alias("delivery"))
-    checkpoint = F.floor(n / 100) + a - 1
+    checkpoint = whole_part(n, 100) + a - 1
     return attempts.select(
         "bookmark", "delivery", ((n + a) % 3).alias("consumer"), checkpoint.alias("checkpoint_id"),
         (F.col("ts") + F.make_dt_interval(hours=a)).alias("delivered_at"),

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tidelog.functions.segments import running_row_number
+from tidelog.functions.segments import running_row_number, whole_part
 from tidelog.operators import sequence
 from tidelog.plans.registry import query
 from tidelog.plans.sqltext import LOG
@@ -63,7 +63,7 @@ WRITER_SQL = """WITH rows AS (SELECT event_id AS bookmark, user_id % 4 AS writer
 def writer_rows(spark, d):
     n = F.col("bookmark")
     ms = (F.when(n % 97 == 0, F.lit(None)).when(n % 89 == 0, F.lit(-1))
-          .otherwise(F.floor(F.unix_micros("ts") / 300000000) * 300000)).cast("bigint")
+          .otherwise(whole_part(F.unix_micros("ts"), 300000000) * 300000)).cast("bigint")
     return topics.event_log(spark, d).select(
         "bookmark", F.pmod("id", F.lit(4)).alias("writer"), ms.alias("ms"))
 
@@ -112,4 +112,4 @@ def command_chooser(spark, d):
 
 
 def coin(number: str):
-    return F.floor(F.col(number) * 48271 % 2147483647 / 1024) % 2 == 1
+    return whole_part(F.col(number) * 48271 % 2147483647, 1024) % 2 == 1

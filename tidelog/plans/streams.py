@@ -8,7 +8,7 @@ from tidelog.operators import aggregate, read, sequence
 from tidelog.plans.registry import query
 from tidelog.plans.sequences import COIN_SQL, coin
 from tidelog.plans.sqltext import CHANGED, HISTORY, LOG, state as sql_state
-from tidelog.plans.windows import CHANGELOG_SQL, PRICE_SQL
+from tidelog.plans.windows import CHANGELOG_SQL, PRICE_SQL, cents
 from tidelog.session import scratch_folder
 from tidelog.sources import topics
 from tidelog.streaming import jobs, sinks, stateful
@@ -32,8 +32,8 @@ def bounded_equals_stream(spark, d):
 
 @query(HOURLY_SQL)
 def stream_window_agg(spark, d):
-    return jobs.window_totals(spark, topics.event_stream(spark, d), "topic", "1 hour",
-                              scratch_folder(spark, "windows"))
+    return cents(jobs.window_totals(spark, topics.event_stream(spark, d), "topic", "1 hour",
+                                    scratch_folder(spark, "windows")))
 
 
 @query(LOG + " SELECT topic, bookmark, ts, command, data FROM log")
@@ -73,8 +73,8 @@ def stream_chain(spark, d):
     folder = scratch_folder(spark, "chain")
     first = topics.event_stream(spark, d).filter(F.col("command") != topics.SOW_DELETE).select(
         "topic", "ts", "bid", "ask")
-    return jobs.chain(first, "copied", folder, lambda second: jobs.window_totals(
-        spark, second, "topic", "1 hour", f"{folder}/windows"))
+    return cents(jobs.chain(first, "copied", folder, lambda second: jobs.window_totals(
+        spark, second, "topic", "1 hour", f"{folder}/windows")))
 
 
 @query(HISTORY + f" SELECT bookmark, command, id, {CHANGED} AS delta FROM h WHERE command <> 'sow_delete'")
@@ -88,8 +88,8 @@ def stream_delta_subscribe(spark, d):
        .replace("CAST(cs AS DOUBLE) AS sum_bid", "CAST(cs AS BIGINT) AS cents")
        .replace("CAST(ps AS DOUBLE)", "CAST(ps AS BIGINT)"))
 def stream_changelog(spark, d):
-    cents = F.coalesce((aggregate.money("bid") * 100).cast("bigint"), F.lit(0).cast("bigint"))
-    rows = topics.event_stream(spark, d).select("id", "bookmark", cents.alias("cents"))
+    amount = F.coalesce((aggregate.money("bid") * 100).cast("bigint"), F.lit(0).cast("bigint"))
+    rows = topics.event_stream(spark, d).select("id", "bookmark", amount.alias("cents"))
     return jobs.copy_stream(stateful.changelog(rows), scratch_folder(spark, "changelog"))
 
 

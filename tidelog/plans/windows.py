@@ -14,26 +14,35 @@ KEY, FIELDS = ["id"], list(topics.FIELDS)
 
 PRICE_SQL = """CAST(sum(CAST(bid AS DECIMAL(18,2))) AS DOUBLE) AS bid_sum,
   CAST(sum(CAST(ask AS DECIMAL(18,2))) AS DOUBLE) AS ask_sum,
-  CAST(sum(CAST(bid AS DECIMAL(18,2))) AS DOUBLE) / count(bid) AS bid_avg,
-  CAST(sum(CAST(ask AS DECIMAL(18,2))) AS DOUBLE) / count(ask) AS ask_avg, count(*) AS records"""
+  round(CAST(sum(CAST(bid AS DECIMAL(18,2))) AS DOUBLE) / count(bid), 6) AS bid_avg,
+  round(CAST(sum(CAST(ask AS DECIMAL(18,2))) AS DOUBLE) / count(ask), 6) AS ask_avg,
+  count(*) AS records"""
+
+
+def cents(prices):
+    """Sums of doubles as whole cents, averages to six digits: what the exact sums round to."""
+    return prices.withColumns({
+        **{c: F.round(c, 2) for c in ("bid_sum", "ask_sum")},
+        **{c: F.round(c, 6) for c in ("bid_avg", "ask_avg")}})
+
 
 
 @query(LOG + f""" SELECT topic, time_bucket(INTERVAL 1 HOUR, ts) AS window_start,
   time_bucket(INTERVAL 1 HOUR, ts) + INTERVAL 1 HOUR AS window_end, {PRICE_SQL}
 FROM log GROUP BY ALL""")
 def window_agg(spark, d):
-    return aggregate.price_windows(topics.event_log(spark, d), "topic", "ts", "1 hour")
+    return cents(aggregate.price_windows(topics.event_log(spark, d), "topic", "ts", "1 hour"))
 
 
 @query("""SELECT l_returnflag || l_linestatus AS symbol, date_trunc('day', l_shipdate) AS window_start,
   date_trunc('day', l_shipdate) + INTERVAL 1 DAY AS window_end,
   CAST(sum(CAST(l_extendedprice AS DECIMAL(18,2))) AS DOUBLE) AS bid_sum,
   CAST(sum(CAST(l_quantity AS DECIMAL(18,2))) AS DOUBLE) AS ask_sum,
-  CAST(sum(CAST(l_extendedprice AS DECIMAL(18,2))) AS DOUBLE) / count(l_extendedprice) AS bid_avg,
-  CAST(sum(CAST(l_quantity AS DECIMAL(18,2))) AS DOUBLE) / count(l_quantity) AS ask_avg,
+  round(CAST(sum(CAST(l_extendedprice AS DECIMAL(18,2))) AS DOUBLE) / count(l_extendedprice), 6) AS bid_avg,
+  round(CAST(sum(CAST(l_quantity AS DECIMAL(18,2))) AS DOUBLE) / count(l_quantity), 6) AS ask_avg,
   count(*) AS records FROM lineitem GROUP BY ALL""")
 def window_agg_items(spark, d):
-    return aggregate.price_windows(topics.item_log(spark, d), "symbol", "ts", "1 day")
+    return cents(aggregate.price_windows(topics.item_log(spark, d), "symbol", "ts", "1 day"))
 
 
 FLAG_SQL = """count(*) FILTER (WHERE flag) AS flagged, count(*) AS records"""
@@ -70,7 +79,7 @@ def alerts(spark, d):
 
 @query(LOG + f" SELECT topic, {PRICE_SQL} FROM log GROUP BY topic")
 def two_level_agg(spark, d):
-    return aggregate.two_level(topics.event_log(spark, d), ["topic"], F.col("bookmark") % 16)
+    return cents(aggregate.two_level(topics.event_log(spark, d), ["topic"], F.col("bookmark") % 16))
 
 
 @query(LOG + " SELECT grp, count(bid) AS n FROM log GROUP BY grp")
@@ -82,7 +91,8 @@ def group_count(spark, d):
   CAST(sum(CAST(l_extendedprice AS DECIMAL(18,2))) AS DOUBLE) AS sum_bid,
   CAST(sum(CAST(l_quantity AS DECIMAL(18,2))) AS DOUBLE) AS sum_ask FROM lineitem GROUP BY 1""")
 def group_sum(spark, d):
-    return aggregate.group_sum(topics.item_log(spark, d), ["symbol"], ["bid", "ask"])
+    sums = aggregate.group_sum(topics.item_log(spark, d), ["symbol"], ["bid", "ask"])
+    return sums.withColumns({c: F.round(c, 2) for c in ("sum_bid", "sum_ask")})
 
 
 def view_sql(source: str) -> str:

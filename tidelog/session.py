@@ -24,6 +24,8 @@ def build_session(master: str | None = None, *, shuffle_partitions: int | None =
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.streaming.stateStore.providerClass", ROCKSDB_PROVIDER)
         .config("spark.ui.enabled", "false")
+        # call sites for error texts cost the driver more than short queries take
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
     )
     if master:
         builder = builder.master(master)

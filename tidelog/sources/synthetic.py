@@ -9,6 +9,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidelog.functions.segments import whole_part
+
 # Symbols, item names, user names and filler lengths of the generated messages.
 SYMBOLS = [
     "MMM", "ABBV", "ALV", "GOOGL", "AMZN", "AMGN", "ABI", "APPL", "BHP", "BA", "BP", "BATS", "CVX",
@@ -33,7 +35,7 @@ def draw(number: str, stream: int, bound: int) -> Column:
     """
     x = (F.col(number) % _MODULUS + 7919 * stream + 1) * _FACTOR % _MODULUS
     x = (x + 104729 * stream) * _FACTOR % _MODULUS
-    return F.floor(x / F.lit(1024)) % bound
+    return whole_part(x, 1024) % bound
 
 
 def _pick(values: list[str], index: Column) -> Column:
@@ -76,7 +78,7 @@ def block_breaks(rows: DataFrame, number: str = "id", players: int = 10, per_sec
     """Block-break events of ``players`` players in turn; player 0 finds diamonds far too often."""
     player = F.col(number) % players
     chance = F.when(player == 0, fast_player_chance).otherwise(flag_chance)
-    tick = F.floor(F.col(number) / players)
+    tick = whole_part(F.col(number), players)
     return rows.select(
         player.cast("int").alias("playerId"),
         (F.lit(start_ms) + tick * (1000 // per_second)).cast("bigint").alias("timestamp"),

@@ -6,12 +6,10 @@ payload's fields as columns of their own, so that Catalyst prunes what a query d
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidelog.functions.payload import to_json_text
-
 # Message commands.
 PUBLISH = "publish"
 DELTA_PUBLISH = "delta_publish"
@@ -71,36 +69,29 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.schema(TABLES[name]).parquet(f"{folder}/{name}.parquet")
 
 
-def event_columns() -> dict[str, Column]:
-    """Log columns of the ``events`` table: topic by event type, key by user, and commands chosen so
-    that publishes, partial updates and deletes all occur."""
-    kind, n = F.col("event_type"), F.col("event_id")
-    partial = kind == "click"
-    k = F.from_json("props", "k BIGINT")["k"].cast("double")
-    return {
-        "topic": kind,
-        "bookmark": n,
-        "ts": F.col("ts"),
-        "command": F.when(kind == "error", SOW_DELETE)
-                    .when(partial, DELTA_PUBLISH).otherwise(PUBLISH),
-        "id": F.col("user_id"),
-        "num": n,
-        "bid": F.when(~partial | (n % 2 == 0), F.col("value")),
-        "ask": F.when(~partial | (n % 3 == 0), k),
-        "grp": kind,
-        "flag": kind == "purchase",
-    }
+#: Log columns of the ``events`` table: topic by event type, key by user, and commands chosen so that
+#: publishes, partial updates and deletes all occur.
+EVENT_COLUMNS = """
+    event_type AS topic
+    event_id AS bookmark
+    ts
+    CASE event_type WHEN 'error' THEN 'sow_delete' WHEN 'click' THEN 'delta_publish' ELSE 'publish' END AS command
+    user_id AS id
+    event_id AS num
+    CASE WHEN event_type <> 'click' OR event_id % 2 = 0 THEN value END AS bid
+    CASE WHEN event_type <> 'click' OR event_id % 3 = 0 THEN double(get_json_object(props, '$.k')) END AS ask
+    event_type AS grp
+    event_type = 'purchase' AS flag
+    string(user_id) AS sow_key
+    CASE WHEN event_id % 4 = 0 THEN concat('c', event_id) END AS correlation_id
+    CASE WHEN event_id % 5 <> 0 THEN int(event_id % 5 * 86400) END AS expiration_s
+""".strip().splitlines()
 
 
 def as_event_log(events: DataFrame) -> DataFrame:
     """An ``events``-shaped frame (batch or stream) as a log."""
-    log = events.select(*[c.alias(n) for n, c in event_columns().items()])
-    return log.withColumns({
-        "sow_key": F.col("id").cast("string"),
-        "correlation_id": F.when(F.col("num") % 4 == 0, F.concat(F.lit("c"), F.col("num"))),
-        "expiration_s": F.when(F.col("num") % 5 != 0, (F.col("num") % 5 * 86400).cast("int")),
-        "data": to_json_text("id", "num", "bid", "ask", "grp"),
-    })
+    return events.selectExpr(*EVENT_COLUMNS).selectExpr(
+        "*", "to_json(struct(id, num, bid, ask, grp)) AS data")
 
 
 def event_log(spark: SparkSession, folder: str) -> DataFrame:
