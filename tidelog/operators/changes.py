@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from tidelog.functions.payload import to_json_text
 from tidelog.functions.segments import running, whole_part
 from tidelog.operators.read import predicate
-from tidelog.operators.state import NO_RESET, RESET, carried, state_at
+from tidelog.operators.state import NO_RESET, RESET, carried, state_at, with_expiry
 from tidelog.sources.topics import OOF, SOW, SOW_DELETE
 
 
@@ -107,6 +107,14 @@ def out_of_focus(log: DataFrame, keys: Sequence[str], fields: Sequence[str],
         F.when(deleted, "deleted").otherwise("match").alias("reason"))
 
 
+def expired_out_of_focus(log: DataFrame, keys: Sequence[str], fields: Sequence[str],
+                         content_filter: str | Column, now: Column) -> DataFrame:
+    """Matching records that left a reader's sight at ``now`` because they expired."""
+    gone = with_expiry(log, keys, fields, now).filter("expired").filter(predicate(content_filter))
+    return gone.select("bookmark", *keys, F.lit(OOF).alias("command"),
+                       F.lit("expired").alias("reason"))
+
+
 def aggregate_changelog(rows: DataFrame, keys: Sequence[str], order: str,
                         measures: Mapping[str, Column], **limits: int) -> DataFrame:
     """The changelog of running totals: ``+I`` for a key's first row, then ``-U`` with the old and

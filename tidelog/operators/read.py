@@ -90,10 +90,11 @@ def shard_by_hash(log: DataFrame, key: Column, n: int) -> DataFrame:
     return shard(log, F.crc32(key.cast("string")), n)
 
 
-def top_per_split(log: DataFrame, n: int, split: str = "split_id", order: str = "bookmark") -> DataFrame:
-    """The first ``n`` messages of each split.  Spark limits the groups before the shuffle
-    (WindowGroupLimit), so at most ``n`` rows per split and map task move."""
-    w = Window.partitionBy(split).orderBy(order)
+def top_per_split(log: DataFrame, n: int, split: str = "split_id",
+                  order: Sequence[str | Column] = ("bookmark",)) -> DataFrame:
+    """The first ``n`` messages of each split, numbered ``rn``.  Spark limits the groups before the
+    shuffle (WindowGroupLimit), so at most ``n`` rows per split and map task move."""
+    w = Window.partitionBy(split).orderBy(*order)
     return log.withColumn("rn", F.row_number().over(w)).filter(F.col("rn") <= n)
 
 

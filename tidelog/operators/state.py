@@ -86,15 +86,17 @@ def page(records: DataFrame, order: Sequence[Column | str], n: int, skip: int =
 
 def with_expiry(log: DataFrame, keys: Sequence[str], fields: Sequence[str], now: Column, *,
                 upto: Column | None = None) -> DataFrame:
-    """Records that have not expired at ``now``: a record leaves the state ``expiration_s`` seconds
-    after its last write; without an expiration it stays."""
+    """Live records with ``expired``, whether they have left the state at ``now``.
+
+    A record leaves ``expiration_s`` seconds after its last write; without an expiration it stays.
+    """
     rows = log if upto is None else log.filter(upto)
-    folded = rows.groupBy(*keys).agg(
-        *fold(fields), F.max("ts").alias("last_ts"),
-        F.max_by(F.struct("expiration_s"), "bookmark").alias("__exp"))
-    seconds = F.col("__exp.expiration_s")
-    lives = seconds.isNull() | (F.col("last_ts") + F.make_dt_interval(secs=seconds) > now)
-    return unfold(folded.filter(lives), keys, fields, keep=["last_ts"])
+    folded = rows.groupBy(*keys).agg(*fold(fields), *map(F.expr, (
+        "max(ts) AS last_ts",
+        "max_by(coalesce(expiration_s, -1), bookmark) AS __exp")))
+    ends = F.col("last_ts") + F.make_dt_interval(secs=F.col("__exp"))
+    expired = (F.col("__exp") >= 0) & (ends <= now)
+    return unfold(folded.withColumn("expired", expired), keys, fields, keep=["last_ts", "expired"])
 
 
 def history_grid(log: DataFrame, keys: Sequence[str], fields: Sequence[str], *,

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tidelog.operators import changes, read, state
+from tidelog.operators.command import TopicRead
 from tidelog.operators.read import Split
 from tidelog.plans.registry import query
 from tidelog.plans.sqltext import CHANGED, HISTORY, LOG, WHOLE, state as sql_state
@@ -167,6 +168,29 @@ def oof_events(spark, d):
     return changes.out_of_focus(topics.event_log(spark, d), KEY, FIELDS, "/bid > 20")
 
 
+@query(HISTORY + """, last AS (SELECT *, row_number() OVER (PARTITION BY id ORDER BY bookmark DESC) AS rn FROM m)
+SELECT bookmark, id, 'oof' AS command, 'expired' AS reason FROM last
+WHERE rn = 1 AND command <> 'sow_delete' AND m_bid > 20
+  AND ts + INTERVAL 1 SECOND * expiration_s <= TIMESTAMP '2024-02-01'""")
+def oof_expired(spark, d):
+    return changes.expired_out_of_focus(topics.event_log(spark, d), KEY, FIELDS, "/bid > 20",
+                                        F.lit("2024-02-01").cast("timestamp"))
+
+
+# The read command as one value: state at a point, filtered, ordered and paged per split.
+@query(HISTORY + f""", records AS ({sql_state(f"ts <= {CUT_SQL}")}),
+parts AS (SELECT 'low' AS split_id, * FROM records WHERE bid < 20
+  UNION ALL SELECT 'high', * FROM records WHERE bid >= 20)
+SELECT split_id, id, num, bid, ask, grp, bookmark FROM parts WHERE ask > 30
+QUALIFY row_number() OVER (PARTITION BY split_id ORDER BY bid DESC, id) BETWEEN 4 AND 13""")
+def read_command(spark, d):
+    command = TopicRead(
+        KEY, FIELDS, "sow", bookmark=CUT_TEXT, content_filter="/ask > 30", order_by="/bid DESC",
+        top_n=10, skip_n=3,
+        splits={"low": Split(content_filter="/bid < 20"), "high": Split(content_filter="/bid >= 20")})
+    return command.run(topics.event_log(spark, d)).select("split_id", *RECORD)
+
+
 @query(LOG + " SELECT topic, bookmark, id FROM log WHERE topic IN ('purchase', 'view')")
 def multi_topic(spark, d):
     return read.subscribe(topics.event_log(spark, d), ["purchase", "view"]).select("topic", "bookmark", "id")

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tidelog.functions import payload
+from tidelog.functions import custom, payload
 from tidelog.operators import changes, read, state
 from tidelog.operators.write import outgoing
 from tidelog.plans.registry import query
@@ -216,3 +216,35 @@ def gen_block_breaks(spark, d):
     made = synthetic.block_breaks(topics.table(spark, d, "events"), "event_id", start_ms=1000)
     return made.select(F.col("playerId").alias("player"), F.col("timestamp").alias("millis"),
                        F.col("isDiamond").alias("diamond"))
+
+
+# User code on Arrow batches: a message gives one row per two units of k, and none below 10.
+@query("""SELECT event_id AS bookmark, i AS part FROM
+  (SELECT event_id, CAST(json_extract(props, '$.k') AS BIGINT) AS k FROM events), range(50) t(i)
+  WHERE i < k // 2 AND k >= 10""")
+def custom_messages(spark, d):
+    def expand(frame):
+        k = frame["props"].str.extract(r"(\d+)", expand=False).astype("int64")
+        counts = (k // 2).where(k >= 10, 0)
+        out = frame.loc[frame.index.repeat(counts), ["event_id"]].rename(columns={"event_id": "bookmark"})
+        out["part"] = out.groupby("bookmark").cumcount()
+        return out
+
+    messages = topics.table(spark, d, "events").select("event_id", "props")
+    return custom.map_messages(messages, expand, "bookmark BIGINT, part BIGINT")
+
+
+@query("""SELECT event_type AS topic, min(value) AS low, max(value) AS high, count(*) AS n
+FROM events GROUP BY event_type""")
+def custom_aggregate(spark, d):
+    def partial(frame):
+        return frame.groupby("topic", as_index=False).agg(
+            low=("value", "min"), high=("value", "max"), n=("value", "size"))
+
+    def merge(frame):
+        return frame.groupby("topic", as_index=False).agg(
+            low=("low", "min"), high=("high", "max"), n=("n", "sum"))
+
+    rows = topics.table(spark, d, "events").selectExpr("event_type AS topic", "value")
+    return custom.merge_aggregate(rows, ["topic"], partial, merge,
+                                  "topic STRING, low DOUBLE, high DOUBLE, n BIGINT")

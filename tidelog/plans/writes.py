@@ -122,7 +122,8 @@ WHERE rn = 1 AND command <> 'sow_delete' AND (expiration_s IS NULL
   OR ts + INTERVAL 1 SECOND * expiration_s > TIMESTAMP '2024-02-01 00:00:00')""")
 def sow_expiry(spark, d):
     now = F.lit("2024-02-01 00:00:00").cast("timestamp")
-    return state.with_expiry(topics.event_log(spark, d), KEY, FIELDS, now)
+    records = state.with_expiry(topics.event_log(spark, d), KEY, FIELDS, now)
+    return records.filter("NOT expired").drop("expired")
 
 
 # A first run sends what came before the middle; the second run gets everything again.

@@ -72,6 +72,29 @@ def resuming_append(path: str, writer: str, ts: str,
     return resume_then_write
 
 
+# Delivery guarantees.
+NONE, AT_LEAST_ONCE, EXACTLY_ONCE = "none", "at_least_once", "exactly_once"
+
+
+def publish_stream(stream: DataFrame, path: str, checkpoint: str, guarantee: str = NONE, *,
+                   writer: str | None = None, ts: str | None = None,
+                   marks: DataFrame | None = None) -> StreamingQuery:
+    """Run outgoing rows into a table under a delivery guarantee.
+
+    Exactly once names the writer and its strictly increasing time; ``marks`` holds the last sent
+    time per writer when a job is restored without its checkpoint.
+    """
+    if guarantee == EXACTLY_ONCE:
+        if not (writer and ts):
+            raise ValueError("exactly once needs a writer and a time column")
+        each = resuming_append(path, writer, ts, marks)
+    elif guarantee in (NONE, AT_LEAST_ONCE):
+        each = plain_append(path)
+    else:
+        raise ValueError(f"unknown guarantee {guarantee!r}")
+    return run_to_end(stream, checkpoint=checkpoint, each=each)
+
+
 def read_batches(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
     """All rows of an idempotent sink, with the batch that wrote them."""
     tagged = StructType([*schema.fields, StructField("batch_id", LongType())])
