@@ -15,18 +15,24 @@ from tidelog.session import ROCKSDB_PROVIDER
 
 
 @contextmanager
-def rocksdb_state(spark: SparkSession) -> Iterator[None]:
-    """Keep the state of queries started here in RocksDB, and put the session's choice back."""
-    name = "spark.sql.streaming.stateStore.providerClass"
-    before = spark.conf.get(name, None)
-    spark.conf.set(name, ROCKSDB_PROVIDER)
+def query_settings(spark: SparkSession, settings: dict[str, str]) -> Iterator[None]:
+    """Start queries under these settings, and put the session's own back."""
+    before = {name: spark.conf.get(name, None) for name in settings}
+    for name, value in settings.items():
+        spark.conf.set(name, value)
     try:
         yield
     finally:
-        if before is None:
-            spark.conf.unset(name)
-        else:
-            spark.conf.set(name, before)
+        for name, value in before.items():
+            spark.conf.unset(name) if value is None else spark.conf.set(name, value)
+
+
+# State in RocksDB.  One stateful operator per query, so late rows are judged by the newest watermark
+# and not, as chained operators need it, by the one before.
+STATE_SETTINGS = {
+    "spark.sql.streaming.stateStore.providerClass": ROCKSDB_PROVIDER,
+    "spark.sql.streaming.statefulOperator.allowMultiple": "false",
+}
 
 
 def run_to_end(stream: DataFrame, *, checkpoint: str, path: str | None = None,
@@ -35,7 +41,7 @@ def run_to_end(stream: DataFrame, *, checkpoint: str, path: str | None = None,
     """Process all there is and stop (``availableNow``); a later run goes on from the checkpoint."""
     writer = (stream.writeStream.outputMode(mode).option("checkpointLocation", checkpoint)
               .trigger(availableNow=True))
-    with rocksdb_state(stream.sparkSession):
+    with query_settings(stream.sparkSession, STATE_SETTINGS):
         query = (writer.foreachBatch(each).start() if each
                  else writer.format("parquet").option("path", path).start())
         query.awaitTermination()
