@@ -11,7 +11,7 @@ from tidelog.operators import aggregate, changes, sequence, state
 from tidelog.plans.sequences import coin
 from tidelog.session import scratch_folder
 from tidelog.sources import synthetic, topics
-from tidelog.streaming import jobs, sinks, stateful
+from tidelog.streaming import carried, jobs, sinks, stateful
 
 FIELDS = list(topics.FIELDS)
 
@@ -52,23 +52,33 @@ def test_view(spark, topic):
 
 
 def test_deltas(spark, topic):
-    same(jobs.delta_stream(stream(spark, topic), scratch_folder(spark, "t")),
+    same(jobs.delta_stream(spark, stream(spark, topic), scratch_folder(spark, "t")),
          changes.delta_subscribe(topic[0], ["id"], FIELDS))
 
 
+def test_state_store_form_and_hot_keys_agree_with_the_batch(spark, topic):
+    columns = ["id", "bookmark", "command", "had", *[f"prev_{f}" for f in FIELDS], *FIELDS]
+    want = changes.history(topic[0], ["id"], FIELDS).filter("command <> 'sow_delete'").select(columns)
+    stored = jobs.copy_stream(stateful.record_changes(stream(spark, topic)), scratch_folder(spark, "t"))
+    same(stored.filter("command <> 'sow_delete'").select(columns), want)
+    folder = scratch_folder(spark, "t")
+    carried.record_changes(stream(spark, topic), ["id"], FIELDS, folder,
+                           sinks.idempotent_append(f"{folder}/rows"), hot=3, width=50)
+    cut = sinks.read_batches(spark, f"{folder}/rows", want.schema)
+    same(cut.filter("command <> 'sow_delete'").select(columns), want)
+
+
 def test_changelog(spark, topic):
-    cents = F.coalesce((aggregate.money("bid") * 100).cast("bigint"), F.lit(0).cast("bigint"))
-    got = jobs.copy_stream(stateful.changelog(stream(spark, topic).withColumn("cents", cents)),
-                           scratch_folder(spark, "t"))
-    same(got, changes.aggregate_changelog(topic[0], ["id"], "bookmark",
-                                          {"n": F.lit(1).cast("bigint"), "cents": cents}))
+    one, cents = F.lit(1).cast("bigint"), F.coalesce((aggregate.money("bid") * 100).cast("bigint"), F.lit(0).cast("bigint"))
+    got = jobs.changelog_stream(spark, stream(spark, topic).withColumns({"n": one, "cents": cents}),
+                                ["n", "cents"], scratch_folder(spark, "t"))
+    same(got, changes.aggregate_changelog(topic[0], ["id"], "bookmark", {"n": one, "cents": cents}))
 
 
 def test_command_memory(spark, topic):
     rows = topic[0].select("id", "bookmark")
-    got = jobs.copy_stream(
-        stateful.choose_commands(stream(spark, topic).withColumn("wants_delete", coin("bookmark"))),
-        scratch_folder(spark, "t"))
+    got = jobs.command_stream(spark, stream(spark, topic).select("id", "bookmark"), coin("bookmark"),
+                              scratch_folder(spark, "t"))
     same(got, sequence.choose_commands(rows, ["id"], "bookmark", coin("bookmark")))
 
 

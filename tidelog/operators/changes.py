@@ -49,9 +49,13 @@ def delta_subscribe(log: DataFrame, keys: Sequence[str], fields: Sequence[str],
                     since: Column | None = None, **limits: int) -> DataFrame:
     """After each update: the key and the fields whose value changed, as JSON; all fields when the
     key was not live.  Rows before ``since`` count as history only."""
-    rows = history(log, keys, fields, **limits).filter(F.col("command") != SOW_DELETE)
-    if since is not None:
-        rows = rows.filter(since)
+    rows = history(log, keys, fields, **limits)
+    return deltas(rows if since is None else rows.filter(since), keys, fields)
+
+
+def deltas(history: DataFrame, keys: Sequence[str], fields: Sequence[str]) -> DataFrame:
+    """Field deltas of rows that have the records before and after them."""
+    rows = history.filter(F.col("command") != SOW_DELETE)
     changed = [f"CASE WHEN NOT had OR NOT `{f}` <=> `prev_{f}` THEN `{f}` END AS `{f}`" for f in fields]
     record = ", ".join([*keys, *changed])
     return rows.selectExpr("bookmark", "command", *keys, f"to_json(struct({record})) AS delta")

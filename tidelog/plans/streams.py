@@ -11,7 +11,7 @@ from tidelog.plans.sqltext import CHANGED, HISTORY, LOG, state as sql_state
 from tidelog.plans.windows import CHANGELOG_SQL, PRICE_SQL, cents
 from tidelog.session import scratch_folder
 from tidelog.sources import topics
-from tidelog.streaming import jobs, sinks, stateful
+from tidelog.streaming import jobs, sinks
 
 KEY, FIELDS = ["id"], list(topics.FIELDS)
 HOURLY_SQL = LOG + f""" SELECT topic, time_bucket(INTERVAL 1 HOUR, ts) AS window_start,
@@ -79,7 +79,7 @@ def stream_chain(spark, d):
 
 @query(HISTORY + f" SELECT bookmark, command, id, {CHANGED} AS delta FROM h WHERE command <> 'sow_delete'")
 def stream_delta_subscribe(spark, d):
-    return jobs.delta_stream(topics.event_stream(spark, d), scratch_folder(spark, "delta"))
+    return jobs.delta_stream(spark, topics.event_stream(spark, d), scratch_folder(spark, "delta"))
 
 
 @query(LOG + """, src AS (SELECT id AS grp, bookmark AS pos, 1 AS n,
@@ -89,8 +89,9 @@ def stream_delta_subscribe(spark, d):
        .replace("CAST(ps AS DOUBLE)", "CAST(ps AS BIGINT)"))
 def stream_changelog(spark, d):
     amount = F.coalesce((aggregate.money("bid") * 100).cast("bigint"), F.lit(0).cast("bigint"))
-    rows = topics.event_stream(spark, d).select("id", "bookmark", amount.alias("cents"))
-    return jobs.copy_stream(stateful.changelog(rows), scratch_folder(spark, "changelog"))
+    rows = topics.event_stream(spark, d).select(
+        "id", "bookmark", F.lit(1).cast("bigint").alias("n"), amount.alias("cents"))
+    return jobs.changelog_stream(spark, rows, ["n", "cents"], scratch_folder(spark, "changelog"))
 
 
 @query(f"""WITH RECURSIVE numbered AS (SELECT event_id AS bookmark, user_id AS id, {COIN_SQL} AS wants,
@@ -101,8 +102,8 @@ walk AS (SELECT bookmark, id, i, 'publish' AS command FROM numbered WHERE i = 1
   FROM walk w JOIN numbered n ON n.id = w.id AND n.i = w.i + 1)
 SELECT bookmark, id, command FROM walk""")
 def stream_command_chooser(spark, d):
-    rows = topics.event_stream(spark, d).select("id", "bookmark", coin("bookmark").alias("wants_delete"))
-    return jobs.copy_stream(stateful.choose_commands(rows), scratch_folder(spark, "chooser"))
+    rows = topics.event_stream(spark, d).select("id", "bookmark")
+    return jobs.command_stream(spark, rows, coin("bookmark"), scratch_folder(spark, "chooser"))
 
 
 @query("SELECT event_id AS bookmark, user_id AS id, CAST(2 AS BIGINT) AS copies FROM events")

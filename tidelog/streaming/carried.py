@@ -1,0 +1,102 @@
+"""Keyed streams on the batch operators: what a micro-batch needs of the past enters it as rows.
+
+Before a batch runs, each known key's state joins it as one *seed* row ordered before all messages;
+then the batch operator sees past and present alike, cuts hot keys, and stays in the JVM.  State is a
+table of one row per key, written by each batch into one of two alternating folders, so that a
+repeated batch reads what it read before and replaces only its own output.
+
+A batch costs its messages plus one pass over the state: give it many messages (the trigger and
+``maxBytesPerTrigger`` set how many).  For short triggers over many keys see ``stateful``.
+"""
+
+from __future__ import annotations
+
+from collections.abc import Callable, Sequence
+
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
+
+from tidelog.operators import changes, sequence, state
+from tidelog.sources.topics import PUBLISH
+from tidelog.streaming.sinks import run_to_end
+
+#: Position of a seed row; messages have positions from 0 on.
+SEED = -1
+
+Batch = Callable[[DataFrame, int], None]
+
+
+def with_state(folder: str, schema: StructType, seeds: Callable[[DataFrame], DataFrame],
+               advance: Callable[[DataFrame], DataFrame],
+               step: Callable[[DataFrame, int], None]) -> Batch:
+    """A ``foreachBatch`` function that carries state of ``schema`` from batch to batch.
+
+    ``seeds`` turns state rows into message rows, ``advance`` turns seeds and messages into the next
+    state, and ``step`` does the batch's work on seeds and messages.
+    """
+
+    def run(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        if batch_id:
+            known = spark.read.schema(schema).parquet(f"{folder}/state-{(batch_id - 1) % 2}")
+            batch = batch.unionByName(
+                seeds(known).withColumn("bookmark", F.lit(SEED).cast("bigint")),
+                allowMissingColumns=True)
+        step(batch, batch_id)
+        advance(batch).write.mode("overwrite").parquet(f"{folder}/state-{batch_id % 2}")
+
+    return run
+
+
+def record_changes(stream: DataFrame, keys: Sequence[str], fields: Sequence[str], folder: str,
+                   each: Callable[[DataFrame, int], None], **limits: int) -> None:
+    """Run a log to its end; ``each`` gets the messages of a batch with the key's record after
+    (``fields``) and before (``prev_<field>``, ``had``) every one of them."""
+    schema = StructType([stream.schema[c] for c in (*keys, *fields)])
+
+    def step(rows: DataFrame, batch_id: int) -> None:
+        each(changes.history(rows, keys, fields, **limits).filter(f"bookmark > {SEED}"), batch_id)
+
+    run_to_end(stream.select("bookmark", "command", *keys, *fields), checkpoint=f"{folder}/checkpoint",
+               each=with_state(folder, schema,
+                               lambda known: known.withColumn("command", F.lit(PUBLISH)),
+                               lambda rows: state.state_at(rows, keys, fields).drop("bookmark"), step))
+
+
+def changelog(stream: DataFrame, keys: Sequence[str], measures: Sequence[str], folder: str,
+              each: Callable[[DataFrame, int], None], **limits: int) -> None:
+    """Run a stream to its end; ``each`` gets a batch's changelog of running totals of ``measures``."""
+    schema = StructType([stream.schema[c] for c in (*keys, *measures)])
+
+    def step(rows: DataFrame, batch_id: int) -> None:
+        log = changes.aggregate_changelog(rows, keys, "bookmark", {m: F.col(m) for m in measures}, **limits)
+        each(log.filter(f"bookmark > {SEED}"), batch_id)
+
+    run_to_end(stream.select("bookmark", *keys, *measures), checkpoint=f"{folder}/checkpoint",
+               each=with_state(folder, schema, lambda known: known,
+                               lambda rows: rows.groupBy(*keys).agg(
+                                   *[F.sum(m).alias(m) for m in measures]), step))
+
+
+def choose_commands(stream: DataFrame, keys: Sequence[str], wants_delete: Column, folder: str,
+                    each: Callable[[DataFrame, int], None], **limits: int) -> None:
+    """Run a stream to its end; ``each`` gets a batch's rows with their commands.  Known keys are the
+    state; a seed counts as an update, which leaves its key known."""
+    rows = stream.withColumn("__wants", F.coalesce(wants_delete, F.lit(False)))
+    schema = StructType([stream.schema[c] for c in keys])
+
+    def commands(batch: DataFrame) -> DataFrame:
+        return sequence.choose_commands(batch, keys, "bookmark", F.col("__wants"), **limits)
+
+    def known_after(batch: DataFrame) -> DataFrame:
+        last = commands(batch).groupBy(*keys).agg(F.max_by("command", "bookmark").alias("c"),
+                                                  F.max("bookmark").alias("at"))
+        return last.filter(f"c <> 'sow_delete' OR at = {SEED}").select(*keys)
+
+    def step(batch: DataFrame, batch_id: int) -> None:
+        each(commands(batch).filter(f"bookmark > {SEED}").drop("__wants"), batch_id)
+
+    run_to_end(rows, checkpoint=f"{folder}/checkpoint",
+               each=with_state(folder, schema,
+                               lambda known: known.withColumn("__wants", F.lit(False)), known_after, step))

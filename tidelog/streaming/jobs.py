@@ -4,14 +4,15 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import StringType, StructField, StructType
 
-from tidelog.functions.payload import to_json_text
 from tidelog.operators.aggregate import price_windows
+from tidelog.operators.changes import deltas
 from tidelog.operators.state import fold, unfold
-from tidelog.streaming import stateful
+from tidelog.sources.topics import FIELDS, SOW_DELETE
+from tidelog.streaming import carried
 from tidelog.streaming.sinks import idempotent_append, newest_per_key, read_batches, run_to_end
 
 
@@ -46,35 +47,66 @@ def window_totals(spark: SparkSession, stream: DataFrame, key: str, size: str, f
     return newest_per_key(updates, [key, "window_start", "window_end"]).drop("batch_id")
 
 
+def view_adjustments(history: DataFrame) -> DataFrame:
+    """What each message takes from its key's old group and adds to the new one, from rows with the
+    records after and before them."""
+    def amount(field: str, sign: str) -> str:
+        return f"{sign}coalesce(CAST({field} AS DECIMAL(18,2)), 0)"
+
+    old = f"struct(prev_grp AS grp, {amount('prev_ask', '-')} AS ask, {amount('prev_bid', '-')} AS bid, -1 AS n)"
+    new = f"struct(grp, {amount('ask', '')} AS ask, {amount('bid', '')} AS bid, 1 AS n)"
+    return history.selectExpr(
+        f"explode(array_compact(array(CASE WHEN had THEN {old} END, "
+        f"CASE WHEN command <> '{SOW_DELETE}' THEN {new} END))) AS p").select("p.*")
+
+
 def continuous_view(spark: SparkSession, stream: DataFrame, folder: str) -> DataFrame:
     """Keep ``sum(ask), sum(bid), count`` by group over the keyed state.
 
-    Each message retracts its key's old record from the old group and adds the new one, so a batch
-    costs its own rows and neither state nor view is recomputed.  Batches store their net change per
-    group; the view is the sum of the changes.
+    Each message retracts its key's old record from the old group and adds the new one, so the view
+    is never recomputed.  Batches store their net change per group; the view is the sum of those.
     """
-    changes = stateful.record_changes(stream)
 
-    def net(batch: DataFrame, batch_id: int) -> None:
-        totals = stateful.view_adjustments(batch).groupBy("grp").agg(
-            F.sum("ask").cast("decimal(28,2)").alias("ask"),
-            F.sum("bid").cast("decimal(28,2)").alias("bid"), F.sum("n").alias("n"))
+    def net(history: DataFrame, batch_id: int) -> None:
+        totals = view_adjustments(history).groupBy("grp").agg(*map(F.expr, (
+            "CAST(sum(ask) AS DECIMAL(28,2)) AS ask", "CAST(sum(bid) AS DECIMAL(28,2)) AS bid",
+            "sum(n) AS n")))
         idempotent_append(f"{folder}/net")(totals, batch_id)
 
-    run_to_end(changes, checkpoint=f"{folder}/checkpoint", each=net)
+    carried.record_changes(stream, ["id"], list(FIELDS), folder, net)
     schema = StructType.fromDDL("grp STRING, ask DECIMAL(28,2), bid DECIMAL(28,2), n BIGINT")
     return (read_batches(spark, f"{folder}/net", schema).groupBy("grp")
             .agg(F.sum("ask").alias("sum_ask"), F.sum("bid").alias("sum_bid"), F.sum("n").alias("n"))
             .filter(F.col("n") > 0))
 
 
-def delta_stream(stream: DataFrame, folder: str) -> DataFrame:
+def delta_stream(spark: SparkSession, stream: DataFrame, folder: str) -> DataFrame:
     """Field deltas of a stream as JSON: the key and the changed fields."""
-    changes = stateful.record_changes(stream).filter(F.col("command") != "sow_delete")
-    changed = [F.when(~F.col("had") | ~F.col(f"new_{f}").eqNullSafe(F.col(f"old_{f}")),
-                      F.col(f"new_{f}")).alias(f) for f in stateful.FIELDS]
-    return copy_stream(changes.select("bookmark", "command", "id",
-                                      to_json_text("id", *changed).alias("delta")), folder)
+    keys = ["id"]
+
+    def write(history: DataFrame, batch_id: int) -> None:
+        idempotent_append(f"{folder}/deltas")(deltas(history, keys, list(FIELDS)), batch_id)
+
+    carried.record_changes(stream, keys, list(FIELDS), folder, write)
+    schema = StructType.fromDDL("bookmark BIGINT, command STRING, id BIGINT, delta STRING")
+    return read_batches(spark, f"{folder}/deltas", schema).drop("batch_id")
+
+
+def changelog_stream(spark: SparkSession, stream: DataFrame, measures: Sequence[str],
+                     folder: str) -> DataFrame:
+    """Changelog of running totals per ``id``, from a stream."""
+    carried.changelog(stream, ["id"], measures, folder, idempotent_append(f"{folder}/log"))
+    schema = StructType([stream.schema["id"], stream.schema["bookmark"], StructField("op", StringType()),
+                         *[stream.schema[m] for m in measures]])
+    return read_batches(spark, f"{folder}/log", schema).drop("batch_id")
+
+
+def command_stream(spark: SparkSession, stream: DataFrame, wants_delete: Column,
+                   folder: str) -> DataFrame:
+    """Rows with the commands of a writer that remembers its keys, from a stream."""
+    carried.choose_commands(stream, ["id"], wants_delete, folder, idempotent_append(f"{folder}/rows"))
+    schema = StructType([*stream.schema.fields, StructField("command", StringType())])
+    return read_batches(spark, f"{folder}/rows", schema).drop("batch_id")
 
 
 def chain(first: DataFrame, topic: str, folder: str,

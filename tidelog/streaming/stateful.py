@@ -1,8 +1,8 @@
-"""Keyed stream processors for what Spark's own stateful operators cannot say: output that depends on
-the key's previous record.  State lives in RocksDB, one small record per key.
+"""A keyed stream processor on Spark's own state store, for short triggers over many keys.
 
-Rows of a key arrive unordered within a micro-batch and are put in bookmark order here, so limit the
-batch (``maxFilesPerTrigger`` or ``maxBytesPerTrigger``): it bounds what one key can bring at once.
+State lives in RocksDB, one small record per key, and a batch touches only the keys it brings.  A key
+is walked in one task, and its rows of a micro-batch are put in bookmark order there: use it where no
+key dominates, and limit the batch (``maxBytesPerTrigger``); else use ``carried``.
 """
 
 from __future__ import annotations
@@ -11,7 +11,6 @@ from collections.abc import Iterator
 
 import pandas as pd
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 FIELDS = ("num", "bid", "ask", "grp")
@@ -59,90 +58,14 @@ class RecordChanges(StatefulProcessor):
         pass
 
 
-CHANGE_COLUMNS = ["id", "bookmark", "command", "had", *[f"old_{f}" for f in FIELDS],
-                  *[f"new_{f}" for f in FIELDS]]
+CHANGE_COLUMNS = ["id", "bookmark", "command", "had", *[f"prev_{f}" for f in FIELDS], *FIELDS]
 CHANGE_SCHEMA = ("id BIGINT, bookmark BIGINT, command STRING, had BOOLEAN, "
-                 "old_num BIGINT, old_bid DOUBLE, old_ask DOUBLE, old_grp STRING, "
-                 "new_num BIGINT, new_bid DOUBLE, new_ask DOUBLE, new_grp STRING")
-
-
-class RunningTotals(StatefulProcessor):
-    """Per key: running count and sum (in cents), emitted as a changelog."""
-
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        self.totals = handle.getValueState("totals", "n BIGINT, cents BIGINT")
-
-    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        n, cents = self.totals.get() if self.totals.exists() else (0, 0)
-        out = []
-        for row in _in_order(rows):
-            if n:
-                out.append((key[0], row.bookmark, "-U", n, cents))
-            n, cents = n + 1, cents + int(row.cents)
-            out.append((key[0], row.bookmark, "+U" if n > 1 else "+I", n, cents))
-        self.totals.update((n, cents))
-        yield pd.DataFrame(out, columns=["id", "bookmark", "op", "n", "cents"])
-
-    def close(self) -> None:
-        pass
-
-
-class CommandMemory(StatefulProcessor):
-    """Per key: publish when unknown, then update, or delete and forget when the row wants it."""
-
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        self.known = handle.getValueState("known", "known BOOLEAN")
-
-    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        known = self.known.exists()
-        out = []
-        for row in _in_order(rows):
-            command = ("publish" if not known
-                       else "sow_delete" if row.wants_delete else "delta_publish")
-            known = command != "sow_delete"
-            out.append((key[0], row.bookmark, command))
-        if known:
-            self.known.update((True,))
-        else:
-            self.known.clear()
-        yield pd.DataFrame(out, columns=["id", "bookmark", "command"])
-
-    def close(self) -> None:
-        pass
+                 "prev_num BIGINT, prev_bid DOUBLE, prev_ask DOUBLE, prev_grp STRING, "
+                 "num BIGINT, bid DOUBLE, ask DOUBLE, grp STRING")
 
 
 def record_changes(log: DataFrame) -> DataFrame:
-    """Old and new record per message, as a stream."""
-    return (log.select("id", "bookmark", "command", *[f for f in FIELDS])
+    """Per message the key's record after and before it, as a stream."""
+    return (log.select("id", "bookmark", "command", *FIELDS)
             .groupBy("id").transformWithStateInPandas(
                 RecordChanges(), CHANGE_SCHEMA, outputMode="Append", timeMode="None"))
-
-
-def changelog(rows: DataFrame) -> DataFrame:
-    """Changelog of count and cents per id, as a stream."""
-    return rows.select("id", "bookmark", "cents").groupBy("id").transformWithStateInPandas(
-        RunningTotals(), "id BIGINT, bookmark BIGINT, op STRING, n BIGINT, cents BIGINT",
-        outputMode="Append", timeMode="None")
-
-
-def choose_commands(rows: DataFrame) -> DataFrame:
-    """Command per row from the memory of known keys, as a stream."""
-    return rows.select("id", "bookmark", "wants_delete").groupBy("id").transformWithStateInPandas(
-        CommandMemory(), "id BIGINT, bookmark BIGINT, command STRING",
-        outputMode="Append", timeMode="None")
-
-
-def view_adjustments(changes: DataFrame) -> DataFrame:
-    """What each change takes from the old record's group and adds to the new one's."""
-    amount = {"ask": "decimal(18,2)", "bid": "decimal(18,2)"}
-
-    def part(side: str, sign: int, live) -> F.Column:
-        return F.when(live, F.struct(
-            F.col(f"{side}_grp").alias("grp"),
-            *[(F.coalesce(F.col(f"{side}_{f}").cast(t), F.lit(0).cast(t)) * sign).alias(f)
-              for f, t in amount.items()],
-            F.lit(sign).alias("n")))
-
-    parts = F.array(part("old", -1, F.col("had")),
-                    part("new", 1, F.col("command") != "sow_delete"))
-    return changes.select(F.explode(F.array_compact(parts)).alias("p")).select("p.*")
