@@ -10,7 +10,7 @@ from tidelog import build_session  # noqa: E402
 
 @pytest.fixture(scope="session")
 def spark():
-    session = build_session("local[8]", shuffle_partitions=4, app="tests", memory="6g")
+    session = build_session("local[8]", shuffle_partitions=2, app="tests", memory="6g")
     session.sparkContext.setLogLevel("OFF")
     yield session
     session.stop()

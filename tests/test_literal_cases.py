@@ -91,11 +91,34 @@ def test_range_ends(spark):
         assert [i for (i,) in rows(log.filter(after(text)), "id")] == expected, text
 
 
-def test_bad_position():
+def test_bad_position(spark):
     with pytest.raises(ValueError):
         after("yesterday")
 
 
+def test_read_commands(spark):
+    log = make_log(spark, [("publish", 1, "a", 1), ("publish", 2, "b", 2), ("delta_publish", 1, None, 3),
+                           ("publish", 3, "c", 4)])
+
+    def run(*columns, **kw):
+        return rows(TopicRead(K, FIELDS, **kw).run(log), *columns)
+
+    assert run("bookmark", top_n=2, bookmark="20240101T000001Z") == [(1,), (2,)]
+    assert run("split_id", "bookmark", top_n=1, splits={"x": Split(), "y": Split(content_filter="/num > 2")}) == [
+        ("x", 0), ("y", 2)]
+    assert run("id", "num", command="sow", bookmark="1") == [(1, 1), (2, 2)]
+    assert run("id", "num", command="sow", topic="other") == []
+    assert run("command", "id", command="sow_and_subscribe", bookmark="2", content_filter="/num > 2") == [
+        ("publish", 3), ("sow", 1)]
+    assert run("delta", command="delta_subscribe", bookmark="1") == [
+        ('{"id":1,"num":3}',), ('{"id":3,"data":"c","num":4}',)]
+    assert run("command", "delta", command="sow_and_delta_subscribe", bookmark="20240101T000002Z") == [
+        ("publish", '{"id":3,"data":"c","num":4}'), ("sow", '{"id":1,"data":"a","num":3}'),
+        ("sow", '{"id":2,"data":"b","num":2}')]
+    with pytest.raises(ValueError):
+        TopicRead(K, FIELDS, "listen")
+
+
 def test_overlapping_splits_keep_copies_and_resume_per_split(spark):
     log = make_log(spark, [("publish", i, str(i), i) for i in (1, 2, 3)])
     both = read.read_splits(log, {"a": Split(), "b": Split()})

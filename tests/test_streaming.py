@@ -4,6 +4,7 @@ import random
 from datetime import timedelta
 
 import pytest
+from pyspark.sql import Observation
 from pyspark.sql import functions as F
 
 from helpers import START
@@ -163,3 +164,10 @@ def test_generators_repeat_and_stay_in_range(spark):
         F.avg(F.col("isDiamond").cast("int")).alias("s")).collect()}
     assert share[0] > 0.4 and max(v for k, v in share.items() if k) < 0.1
     assert synthetic.ticking_numbers(spark, 5).isStreaming
+
+
+def test_counters_are_taken_in_passing(spark, topic):
+    seen = Observation("io")
+    aggregate.observe_io(topic[0].withColumn("data", F.lit("four")), seen).write.format("noop").mode(
+        "overwrite").save()
+    assert seen.get == {"records": topic[0].count(), "bytes": 4 * topic[0].count()}

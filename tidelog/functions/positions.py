@@ -35,11 +35,21 @@ def after(position: str | None) -> Column:
     found = _RANGE.fullmatch(position)
     if found:
         opens, low, high, closes = found.groups()
-        a, col = _bound(low)
-        b, _ = _bound(high)
-        return (col >= a if opens == "[" else col > a) & (col <= b if closes == "]" else col < b)
-    bound, col = _bound(position)
-    return col >= bound if col is not None and _TIME.fullmatch(position) else col > bound
+        a, from_column = _bound(low)
+        b, to_column = _bound(high)
+        return ((from_column >= a if opens == "[" else from_column > a)
+                & (to_column <= b if closes == "]" else to_column < b))
+    bound, column = _bound(position)
+    return column >= bound if _TIME.fullmatch(position) else column > bound
+
+
+def upto(position: str) -> Column:
+    """Rows whose effects a state read at ``position`` (a time or a bookmark, inclusive) shows; no
+    position is the whole log."""
+    if not position:
+        return F.lit(True)
+    bound, column = _bound(position)
+    return column <= bound
 
 
 def _bound(text: str) -> tuple[Column, Column]:

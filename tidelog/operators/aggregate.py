@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 
@@ -88,7 +88,7 @@ def io_metrics(log: DataFrame, by: Sequence[str] = ("topic",), data: str = "data
                                 F.sum(F.octet_length(F.col(data))).alias("bytes"))
 
 
-def observe_io(log: DataFrame, name: str, data: str = "data") -> DataFrame:
+def observe_io(log: DataFrame, name: str | Observation, data: str = "data") -> DataFrame:
     """The same counters taken while the rows pass by, batch or stream (``QueryProgress``)."""
     return log.observe(name, F.count(F.lit(1)).alias("records"),
                        F.sum(F.octet_length(F.col(data))).alias("bytes"))

@@ -12,7 +12,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidelog.functions.positions import after, is_range, time_literal
+from tidelog.functions.positions import is_range, upto
 from tidelog.operators import changes, read, state
 from tidelog.operators.read import Split
 
@@ -70,12 +70,12 @@ class TopicRead:
             return self._replay(log if self.splits else rows)
         if self.command == SOW:
             return self._state(rows)
-        upto = self._point()
+        point = upto(self.bookmark)
         if self.command == DELTA_SUBSCRIBE:
-            return changes.delta_subscribe(rows, self.keys, self.fields, since=~upto)
+            return changes.delta_subscribe(rows, self.keys, self.fields, since=~point)
         if self.command == SOW_AND_DELTA_SUBSCRIBE:
-            return changes.sow_and_delta_subscribe(rows, self.keys, self.fields, upto)
-        return changes.sow_and_subscribe(rows, self.keys, self.fields, upto,
+            return changes.sow_and_delta_subscribe(rows, self.keys, self.fields, point)
+        return changes.sow_and_subscribe(rows, self.keys, self.fields, point,
                                          content_filter=self.content_filter, top=self.top_n or None)
 
     def _replay(self, log: DataFrame) -> DataFrame:
@@ -87,8 +87,7 @@ class TopicRead:
         return read.replay_top(rows, self.top_n) if self.top_n else rows
 
     def _state(self, log: DataFrame) -> DataFrame:
-        upto = self._point() if self.bookmark else None
-        records = state.state_at(log, self.keys, self.fields, upto=upto,
+        records = state.state_at(log, self.keys, self.fields, upto=upto(self.bookmark),
                                  content_filter=self.content_filter)
         if self.splits:
             by_filter = {i: Split(content_filter=s.content_filter) for i, s in self.splits.items()}
@@ -112,13 +111,3 @@ class TopicRead:
             down = (found.group(2) or "ASC").upper() == "DESC"
             wanted.append(column.desc() if down else column.asc())
         return [*wanted, *[F.col(k) for k in self.keys]]
-
-    def _point(self) -> Column:
-        """Rows up to the point of a state read; no point is the end of the log as stored."""
-        if not self.bookmark:
-            return F.lit(True)
-        if self.bookmark.isdigit():
-            return F.col("bookmark") <= int(self.bookmark)
-        if is_range(self.bookmark):
-            return ~after(self.bookmark)
-        return F.col("ts") <= time_literal(self.bookmark)

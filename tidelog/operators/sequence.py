@@ -44,10 +44,16 @@ def every_nth(log: DataFrame, splits: Sequence[str], order: str, n: int, **limit
 
 def drop_replayed(log: DataFrame, identity: Sequence[str]) -> DataFrame:
     """One copy of each message.  Copies are equal, so a map-side aggregate keeps one per task before
-    the shuffle, however many there are.  On a stream, use ``dropDuplicatesWithinWatermark``."""
+    the shuffle, however many there are."""
     return log.dropDuplicates(list(identity))
 
 
+def drop_replayed_stream(log: DataFrame, identity: Sequence[str], ts: str, within: str) -> DataFrame:
+    """The same on a stream: copies that come within some event time of each other.  Identities older
+    than the watermark leave the state."""
+    return log.withWatermark(ts, within).dropDuplicatesWithinWatermark(list(identity))
+
+
 def time_violations(rows: DataFrame, writer: Sequence[str], order: str, ts: str, **limits: int) -> DataFrame:
     """Rows an exactly-once writer must refuse: no time, a negative one, or one not greater than
     every earlier time of the same writer."""

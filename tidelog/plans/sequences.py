@@ -49,9 +49,12 @@ def every_nth(spark, d):
 @query("SELECT event_type AS topic, event_id AS bookmark, user_id AS id FROM events")
 def dedup_replay(spark, d):
     log = topics.event_log(spark, d).select("topic", "bookmark", "id")
-    copies = (F.when(F.col("bookmark") % 15 == 0, 4).when(F.col("bookmark") % 3 == 0, 2).otherwise(1))
-    replayed = log.withColumn("copy", F.explode(F.sequence(F.lit(1), copies)))
-    return sequence.drop_replayed(replayed, ["topic", "bookmark"]).select("topic", "bookmark", "id")
+    return sequence.drop_replayed(replayed(log), ["topic", "bookmark"]).select("topic", "bookmark", "id")
+
+
+def replayed(log):
+    copies = F.when(F.col("bookmark") % 15 == 0, 4).when(F.col("bookmark") % 3 == 0, 2).otherwise(1)
+    return log.withColumn("copy", F.explode(F.sequence(F.lit(1), copies))).drop("copy")
 
 
 # Writers are users modulo 4; their times are cut to five minutes, so some do not increase.

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from tidelog.operators import aggregate, read, sequence
 from tidelog.plans.registry import query
-from tidelog.plans.sequences import COIN_SQL, coin
+from tidelog.plans.sequences import COIN_SQL, coin, replayed
 from tidelog.plans.sqltext import CHANGED, HISTORY, LOG, state as sql_state
 from tidelog.plans.windows import CHANGELOG_SQL, PRICE_SQL, cents
 from tidelog.session import scratch_folder
@@ -117,3 +117,10 @@ def at_least_once(spark, d):
     copies = stored.groupBy("topic", "bookmark").agg(F.count("*").alias("copies"))
     return sequence.drop_replayed(stored, ["topic", "bookmark"]).join(
         copies, ["topic", "bookmark"]).select("bookmark", "id", "copies")
+
+
+@query("SELECT event_type AS topic, event_id AS bookmark, user_id AS id FROM events")
+def stream_dedup(spark, d):
+    log = replayed(topics.event_stream(spark, d).select("topic", "bookmark", "ts", "id"))
+    once = sequence.drop_replayed_stream(log, ["topic", "bookmark"], "ts", "1 hour")
+    return jobs.copy_stream(once, scratch_folder(spark, "dedup")).drop("ts")

@@ -30,6 +30,14 @@ def publish_append(spark, d):
     return topics.read_topics(spark, folder, rows.schema).select(*columns)
 
 
+@query(LOG + " SELECT topic, bookmark, id, num, bid, ask, grp FROM log")
+def publish_json(spark, d):
+    folder = scratch_folder(spark, "publish-json")
+    rows = topics.event_log(spark, d).select("topic", "bookmark", "id", *FIELDS)
+    topics.append_topics(rows, folder, "json")
+    return topics.read_topics(spark, folder, rows.schema, "json").select(rows.columns)
+
+
 @query("""SELECT o_custkey AS customer, o_orderkey AS bookmark, o_totalprice AS price, o_orderstatus AS status
 FROM orders QUALIFY row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderkey DESC) = 1""")
 def upsert_latest(spark, d):

@@ -142,21 +142,26 @@ def nested_orders(spark: SparkSession, folder: str) -> DataFrame:
                  F.col("c_nationkey").alias("num")).alias("buyer"))
 
 
-def read_topics(spark: SparkSession, path: str, schema: T.StructType | str | None = None) -> DataFrame:
-    """A stored topic folder (``topic=<name>/`` partitions of parquet)."""
-    reader = spark.read.schema(schema) if schema is not None else spark.read
-    return reader.parquet(path)
+def read_topics(spark: SparkSession, path: str, schema: T.StructType | str | None = None,
+                file_format: str = "parquet") -> DataFrame:
+    """A stored topic folder: ``topic=<name>/`` partitions of parquet, JSON lines or another format."""
+    reader = spark.read.format(file_format)
+    return (reader.schema(schema) if schema is not None else reader).load(path)
 
 
 def stream_topics(spark: SparkSession, path: str, schema: T.StructType | str,
-                  files_per_trigger: int | None = None) -> DataFrame:
-    """Live tail of a stored topic folder; files per trigger limits the rate of a replay."""
-    reader = spark.readStream.schema(schema)
+                  files_per_trigger: int | None = None, *, bytes_per_trigger: str | None = None,
+                  file_format: str = "parquet") -> DataFrame:
+    """Live tail of a stored topic folder.  Files or bytes per trigger limit the rate of a replay and
+    the size of a micro-batch."""
+    reader = spark.readStream.format(file_format).schema(schema)
     if files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", str(files_per_trigger))
-    return reader.parquet(path)
+    if bytes_per_trigger:
+        reader = reader.option("maxBytesPerTrigger", bytes_per_trigger)
+    return reader.load(path)
 
 
-def append_topics(rows: DataFrame, path: str) -> None:
+def append_topics(rows: DataFrame, path: str, file_format: str = "parquet") -> None:
     """Append rows to a topic folder, one partition folder per topic; no shuffle."""
-    rows.write.mode("append").partitionBy("topic").parquet(path)
+    rows.write.mode("append").partitionBy("topic").format(file_format).save(path)
