@@ -33,15 +33,15 @@ def tumbling(rows: DataFrame, keys: Sequence[str], ts: str, size: str,
 
 
 def price_measures() -> dict[str, Column]:
-    """Sums, averages and count of bid and ask."""
+    """Sums, averages and counts of bid and ask, and the number of records."""
     return {n: F.expr(t) for n, t in {
         "bid_sum": "sum(bid)", "ask_sum": "sum(ask)", "bid_avg": "avg(bid)", "ask_avg": "avg(ask)",
-        "records": "count(1)"}.items()}
+        "bid_n": "count(bid)", "ask_n": "count(ask)", "records": "count(1)"}.items()}
 
 
 def price_windows(rows: DataFrame, key: str, ts: str, size: str, *,
                   ascending: bool = False) -> DataFrame:
-    """Per key and window: sum and average of bid and ask, and the number of records."""
+    """Per key and window: sums, averages and counts of bid and ask, and the number of records."""
     return tumbling(rows, [key], ts, size, price_measures(), ascending=ascending)
 
 
@@ -70,7 +70,7 @@ def two_level(rows: DataFrame, keys: Sequence[str], salt: Column) -> DataFrame:
         "sum(bid) AS b", "count(bid) AS bn", "sum(ask) AS a", "count(ask) AS an", "count(1) AS n")))
     return parts.groupBy(*keys).agg(*map(F.expr, (
         "sum(b) AS bid_sum", "sum(a) AS ask_sum", "sum(b) / sum(bn) AS bid_avg",
-        "sum(a) / sum(an) AS ask_avg", "sum(n) AS records")))
+        "sum(a) / sum(an) AS ask_avg", "sum(bn) AS bid_n", "sum(an) AS ask_n", "sum(n) AS records")))
 
 
 def group_count(rows: DataFrame, keys: Sequence[str], column: str) -> DataFrame:

@@ -6,9 +6,11 @@ from pyspark.sql import functions as F
 
 from tidelog.functions import custom, payload
 from tidelog.operators import changes, read, state
+from tidelog.operators.aggregate import price_measures
 from tidelog.operators.write import outgoing
 from tidelog.plans.registry import query
 from tidelog.plans.sqltext import HISTORY, LOG, state as sql_state
+from tidelog.plans.windows import cents
 from tidelog.sources import synthetic, topics
 
 FIELDS = list(topics.FIELDS)
@@ -156,10 +158,8 @@ SELECT topic, printf('%-5s - bidAgg: %s, bidAvg: %s, askAgg: %s, askAvg: %s, rec
   CAST(a AS DECIMAL(18,2)) :: VARCHAR, CAST(round(CAST(a AS DOUBLE) / an, 2) AS DECIMAL(18,2)) :: VARCHAR, n) AS line
 FROM sums""")
 def report_line(spark, d):
-    from tidelog.operators.aggregate import price_measures
-
-    totals = topics.event_log(spark, d).groupBy("topic").agg(
-        *[c.alias(n) for n, c in price_measures().items()])
+    totals = cents(topics.event_log(spark, d).groupBy("topic").agg(
+        *[c.alias(n) for n, c in price_measures().items()]))
 
     def two_digits(name: str):
         return F.round(name, 2).cast("decimal(18,2)").cast("string")

@@ -14,17 +14,15 @@ KEY, FIELDS = ["id"], list(topics.FIELDS)
 
 PRICE_SQL = """CAST(sum(CAST(bid AS DECIMAL(18,2))) AS DOUBLE) AS bid_sum,
   CAST(sum(CAST(ask AS DECIMAL(18,2))) AS DOUBLE) AS ask_sum,
-  round(CAST(sum(CAST(bid AS DECIMAL(18,2))) AS DOUBLE) / count(bid), 6) AS bid_avg,
-  round(CAST(sum(CAST(ask AS DECIMAL(18,2))) AS DOUBLE) / count(ask), 6) AS ask_avg,
-  count(*) AS records"""
+  CAST(sum(CAST(bid AS DECIMAL(18,2))) AS DOUBLE) / count(bid) AS bid_avg,
+  CAST(sum(CAST(ask AS DECIMAL(18,2))) AS DOUBLE) / count(ask) AS ask_avg,
+  count(bid) AS bid_n, count(ask) AS ask_n, count(*) AS records"""
 
 
 def cents(prices):
-    """Sums of doubles as whole cents, averages to six digits: what the exact sums round to."""
-    return prices.withColumns({
-        **{c: F.round(c, 2) for c in ("bid_sum", "ask_sum")},
-        **{c: F.round(c, 6) for c in ("bid_avg", "ask_avg")}})
-
+    """Sums of doubles as the whole cents they stand for, and the averages of those."""
+    sums = prices.withColumns({c: F.round(c, 2) for c in ("bid_sum", "ask_sum")})
+    return sums.withColumns({f"{c}_avg": F.col(f"{c}_sum") / F.col(f"{c}_n") for c in ("bid", "ask")})
 
 
 @query(LOG + f""" SELECT topic, time_bucket(INTERVAL 1 HOUR, ts) AS window_start,
@@ -38,8 +36,9 @@ def window_agg(spark, d):
   date_trunc('day', l_shipdate) + INTERVAL 1 DAY AS window_end,
   CAST(sum(CAST(l_extendedprice AS DECIMAL(18,2))) AS DOUBLE) AS bid_sum,
   CAST(sum(CAST(l_quantity AS DECIMAL(18,2))) AS DOUBLE) AS ask_sum,
-  round(CAST(sum(CAST(l_extendedprice AS DECIMAL(18,2))) AS DOUBLE) / count(l_extendedprice), 6) AS bid_avg,
-  round(CAST(sum(CAST(l_quantity AS DECIMAL(18,2))) AS DOUBLE) / count(l_quantity), 6) AS ask_avg,
+  CAST(sum(CAST(l_extendedprice AS DECIMAL(18,2))) AS DOUBLE) / count(l_extendedprice) AS bid_avg,
+  CAST(sum(CAST(l_quantity AS DECIMAL(18,2))) AS DOUBLE) / count(l_quantity) AS ask_avg,
+  count(l_extendedprice) AS bid_n, count(l_quantity) AS ask_n,
   count(*) AS records FROM lineitem GROUP BY ALL""")
 def window_agg_items(spark, d):
     return cents(aggregate.price_windows(topics.item_log(spark, d), "symbol", "ts", "1 day"))
