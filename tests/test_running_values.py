@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from helpers import make_log, walk
-from tidelog.functions.segments import previous, running, running_row_number
+from tidelog.functions.segments import SEGMENT, previous, running, running_row_number, split_hot_keys
 from tidelog.operators import changes, read, sequence
 
 FIELDS = ["data", "num"]
@@ -151,3 +151,14 @@ def test_gaps_rates_and_late_rows_without_keys(spark, limits):
         want_late |= {b for b in seen[batch] if mark is not None and b // 2 * 2 + 2 <= mark}
         mark = max([*seen[batch], *([] if mark is None else [mark])])
     assert {r.bookmark for r in late} == want_late
+
+
+@pytest.mark.parametrize("spacing", [1, 1_000_000_007])
+def test_segments_hold_their_share_at_any_spacing(spark, spacing):
+    df = spark.range(3000).selectExpr("id % 3 AS key", f"id * {spacing}L AS pos").union(
+        spark.sql("SELECT 0L, -1L"))
+    tagged = split_hot_keys(df, ["key"], "pos", hot=100, width=50)
+    sizes = [r["count"] for r in tagged.groupBy("key", SEGMENT).count().collect()]
+    assert max(sizes) <= 100 and len(sizes) <= 3 * 21 + 1
+    out = running_row_number(df, ["key"], "pos", "rn", hot=100, width=50).collect()
+    assert all(r.rn == (r.pos // spacing // 3 + 1 + (r.key == 0) if r.pos >= 0 else 1) for r in out)

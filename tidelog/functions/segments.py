@@ -2,13 +2,13 @@
 
 ``Window.partitionBy(key).orderBy(bookmark)`` sorts a whole key in one task.  That is right for all
 keys but the hot ones, so hot keys (more than ``HOT`` rows) are found by a count and are cut into
-*segments* of ``WIDTH`` consecutive order values:
+*segments* of some ``WIDTH`` consecutive rows:
 
 1. rows of hot keys are aggregated per (key, segment) with map-side combine;
 2. a window over those few rows gives each segment what came before it (its *lead*);
 3. the lead joins its segment as one extra first row, and the window runs per (key, segment).
 
-A task then holds at most ``HOT`` rows of a cold key, ``WIDTH`` rows of a hot one, or one lead per
+A task then holds at most ``HOT`` rows of a cold key, a segment of a hot one, or one lead per
 segment.  The full rows are shuffled once.  Without hot keys the leads are an empty branch, which
 adaptive execution drops.
 """
@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 #: billion rows), which bounds what ``split_hot_keys`` broadcasts.
 HOT = 1 << 20
 
-#: Order values per segment of a hot key.
+#: Rows per segment of a hot key, on average.
 WIDTH = 1 << 16
 
 SEGMENT, _HOT, _LEAD = "__segment", "__hot", "__lead"
@@ -37,20 +37,26 @@ def whole_part(value: Column, size: int) -> Column:
 
 def split_hot_keys(df: DataFrame, keys: Sequence[str], order: str, *, hot: int = HOT,
                    width: int = WIDTH) -> DataFrame:
-    """Tag each row with its segment: 0 for a cold key, ``order div width`` for a hot one.
+    """Tag each row with its segment: 0 for a cold key, a stretch of the key's order range for a hot
+    one, as long as holds ``width`` of its rows on average (positions may be dense or sparse).
 
-    Without keys the whole frame is one sequence, and all of it is cut.
+    Negative positions come before all messages and do not count towards the range.  Without keys
+    the whole frame is one sequence, cut into ``width`` positions each.
     """
-    segment = f"`{order}` div {int(width)}"
     if not keys:
-        return df.selectExpr("*", f"true AS {_HOT}", f"{segment} AS {SEGMENT}")
-    counts = df.groupBy(*keys).count().filter(f"count > {int(hot)}")
-    hot_keys = counts.selectExpr(*[f"`{k}` AS `__hot_{k}`" for k in keys], f"true AS {_HOT}")
+        return df.selectExpr("*", f"true AS {_HOT}", f"`{order}` div {int(width)} AS {SEGMENT}")
+    facts = df.groupBy(*keys).agg(*map(F.expr, (
+        "count(1) AS __rows", f"min(CASE WHEN `{order}` >= 0 THEN `{order}` END) AS __low",
+        f"max(`{order}`) AS __high")))
+    hot_keys = facts.filter(f"__rows > {int(hot)}").selectExpr(
+        *[f"`{k}` AS `__hot_{k}`" for k in keys], f"true AS {_HOT}", "coalesce(__low, 0L) AS __low",
+        f"greatest(1L, (__high - coalesce(__low, 0L) + 1) div greatest(1L, __rows div {int(width)})) AS __step")
     same = F.expr(" AND ".join(f"`{k}` <=> `__hot_{k}`" for k in keys))
     # bounded by the row count over HOT, see above
     tagged = df.join(F.broadcast(hot_keys), same, "left")
-    return tagged.selectExpr(*_quoted(df.columns), _HOT,
-                             f"CASE WHEN {_HOT} THEN {segment} ELSE 0L END AS {SEGMENT}")
+    return tagged.selectExpr(
+        *_quoted(df.columns), _HOT,
+        f"CASE WHEN {_HOT} THEN (`{order}` - __low) div __step ELSE 0L END AS {SEGMENT}")
 
 
 def running(
