@@ -73,8 +73,9 @@ def writer_rows(spark, d):
 
 @query(WRITER_SQL + """, k AS (SELECT *, max(ms) OVER (PARTITION BY writer ORDER BY bookmark
   ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS previous FROM rows)
-SELECT bookmark, writer, CAST(ms AS DOUBLE) AS ms, CAST(previous AS DOUBLE) AS previous, CASE WHEN ms IS NULL THEN 'missing' WHEN ms < 0 THEN 'negative'
-  ELSE 'not increasing' END AS reason FROM k WHERE ms IS NULL OR ms < 0 OR ms <= previous""")
+SELECT bookmark, writer, CAST(ms AS DOUBLE) AS ms, CAST(previous AS DOUBLE) AS previous,
+  CASE WHEN ms IS NULL THEN 'missing' WHEN ms < 0 THEN 'negative' ELSE 'not increasing' END AS reason
+FROM k WHERE ms IS NULL OR ms < 0 OR ms <= previous""")
 def ts_violations(spark, d):
     found = sequence.time_violations(writer_rows(spark, d), ["writer"], "bookmark", "ms")
     return found.withColumns({c: F.col(c).cast("double") for c in ("ms", "previous")})

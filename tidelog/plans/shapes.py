@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tidelog.functions import custom, payload
-from tidelog.operators import changes, read, state
+from tidelog.operators import changes, read
 from tidelog.operators.aggregate import price_measures
 from tidelog.operators.write import outgoing
 from tidelog.plans.registry import query

@@ -5,9 +5,8 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tidelog.functions import payload
-from tidelog.operators import aggregate, changes, sequence, state, write
+from tidelog.operators import aggregate, changes, state, write
 from tidelog.plans.registry import query
-from tidelog.plans.sequences import WRITER_SQL, writer_rows
 from tidelog.plans.sqltext import HISTORY, LOG, state as sql_state
 from tidelog.session import scratch_folder
 from tidelog.sources import topics
@@ -135,16 +134,13 @@ def sow_expiry(spark, d):
 
 
 # A first run sends what came before the middle; the second run gets everything again.
-@query(WRITER_SQL.replace("epoch_us(ts) // 300000000 * 300000", "epoch_us(ts)")
-       + " SELECT bookmark, writer, ms FROM rows WHERE ms >= 0")
+@query("SELECT event_id AS bookmark, user_id % 4 AS writer, epoch_us(ts) AS micros FROM events")
 def exactly_once_resume(spark, d):
-    rows = (topics.event_log(spark, d)
-            .select("bookmark", F.pmod("id", F.lit(4)).alias("writer"),
-                    F.unix_micros("ts").alias("ms"))
-            .filter((F.col("bookmark") % 97 != 0) & (F.col("bookmark") % 89 != 0)))
-    sent = rows.filter(F.col("ms") < F.unix_micros(mid()))
-    rest = write.resume_after(rows, write.high_water(sent, "writer", "ms"), "writer", "ms")
-    return sent.unionByName(rest).select("bookmark", "writer", "ms")
+    rows = topics.event_log(spark, d).select(
+        "bookmark", F.pmod("id", F.lit(4)).alias("writer"), F.unix_micros("ts").alias("micros"))
+    sent = rows.filter(F.col("micros") < F.unix_micros(mid()))
+    rest = write.resume_after(rows, write.high_water(sent, "writer", "micros"), "writer", "micros")
+    return sent.unionByName(rest).select("bookmark", "writer", "micros")
 
 
 @query(LOG + " SELECT topic, count(*) AS records, CAST(sum(strlen(data)) AS BIGINT) AS bytes FROM log GROUP BY topic")
