@@ -210,10 +210,10 @@ def test_view_keeps_the_null_group(spark):
     view = state.grouped_view(state.state_at(log, K, FIELDS).selectExpr(
         "id", "data AS grp", "double(num) AS bid", "double(num) AS ask"))
     assert [(r.grp, float(r.sum_bid), r.n) for r in view.collect()] == [(None, 4.0, 2)]
-    old = state.state_at(log, K, FIELDS, upto=before(2)).selectExpr(
-        "id", "data AS grp", "double(num) AS bid", "double(num) AS ask")
-    delta = state.view_delta(state.grouped_view(old), view, "grp", ["sum_bid", "n"]).collect()
+    priced = log.selectExpr("*", "data AS grp", "double(num) AS bid", "double(num) AS ask")
+    delta = state.view_delta(priced, K, ["grp", "bid", "ask"], before(2), before(9)).collect()
     assert {r.grp: (r.old_n, r.new_n) for r in delta} == {None: (1, 2), "g": (1, None)}
+    assert state.view_delta(priced, K, ["grp", "bid", "ask"], before(2), before(2)).collect() == []
 
 
 def test_exactly_once_resume_and_order_check(spark):

@@ -98,16 +98,15 @@ def with_expiry(log: DataFrame, keys: Sequence[str], fields: Sequence[str], now:
     return unfold(folded.withColumn("expired", expired), keys, fields, keep=["last_ts", "expired"])
 
 
-def history_grid(log: DataFrame, keys: Sequence[str], fields: Sequence[str], *,
-                 start: Column, step_s: int, points: int) -> DataFrame:
-    """The state at each of ``points`` moments ``start + i * step_s``, tagged ``grid_ts``.
+def states_at_points(log: DataFrame, keys: Sequence[str], fields: Sequence[str], first_seen: Column,
+                     points: int) -> DataFrame:
+    """The state at each of ``points`` numbered moments, tagged ``point``, from one pass over the log.
 
-    Rows are first folded per key and grid cell, so a key has at most ``points`` rows before the
-    window that carries records forward, however many messages it has.
+    ``first_seen`` is the number of the first moment that sees a row; rows from ``points`` on (or
+    null) come after all of them.  Rows are folded per key and number before anything else, so a key
+    has at most ``points`` rows in the window that carries records forward.
     """
-    offset = (F.unix_micros("ts") - F.unix_micros(start)) / F.lit(step_s * 1_000_000)
-    cell = F.greatest(F.ceil(offset), F.lit(0)).cast("int")
-    folded = (log.withColumn("__cell", cell).filter(F.col("__cell") < points)
+    folded = (log.withColumn("__cell", first_seen.cast("int")).filter(F.col("__cell") < points)
               .groupBy(*keys, "__cell").agg(*fold(fields)))
     so_far = Window.partitionBy(*keys).orderBy("__cell").rowsBetween(Window.unboundedPreceding, 0)
     onward = Window.partitionBy(*keys).orderBy("__cell")
@@ -117,10 +116,18 @@ def history_grid(log: DataFrame, keys: Sequence[str], fields: Sequence[str], *,
         *[F.max_by(f, f"__at_{f}").over(so_far).alias(f) for f in fields],
         *[F.max(f"__at_{f}").over(so_far).alias(f"__at_{f}") for f in fields],
         F.lead("__cell", 1, points).over(onward).alias("__next"))
-    spread = at_cell.withColumn("__point", F.explode(F.sequence("__cell", F.col("__next") - 1)))
+    spread = at_cell.withColumn("point", F.explode(F.sequence("__cell", F.col("__next") - 1)))
+    return unfold(spread, keys, fields, keep=["point"])
+
+
+def history_grid(log: DataFrame, keys: Sequence[str], fields: Sequence[str], *,
+                 start: Column, step_s: int, points: int) -> DataFrame:
+    """The state at each of ``points`` moments ``start + i * step_s``, tagged ``grid_ts``."""
+    offset = (F.unix_micros("ts") - F.unix_micros(start)) / F.lit(step_s * 1_000_000)
+    records = states_at_points(log, keys, fields, F.greatest(F.ceil(offset), F.lit(0)), points)
     step = F.lit(step_s * 1_000_000).cast("bigint")
-    grid_ts = F.timestamp_micros(F.unix_micros(start) + F.col("__point") * step)
-    return unfold(spread.withColumn("grid_ts", grid_ts), keys, fields, keep=["grid_ts"])
+    grid_ts = F.timestamp_micros(F.unix_micros(start) + F.col("point") * step)
+    return records.withColumn("grid_ts", grid_ts).drop("point")
 
 
 def grouped_view(records: DataFrame, group: str = "grp", key: str = "id") -> DataFrame:
@@ -131,20 +138,22 @@ def grouped_view(records: DataFrame, group: str = "grp", key: str = "id") -> Dat
         F.count(key).alias("n"))
 
 
-def view_delta(old: DataFrame, new: DataFrame, group: str, values: Sequence[str]) -> DataFrame:
-    """Groups whose values differ between two states of a view, with both values.
+def view_delta(log: DataFrame, keys: Sequence[str], fields: Sequence[str], old: Column, new: Column,
+               group: str = "grp") -> DataFrame:
+    """Groups of the view that differ between two points of a log, with both values.
 
-    Tag and union, then one aggregate on the group: null groups match without a null-safe join.
+    ``old`` and ``new`` say which rows each point has seen.  The log is read once, and null groups
+    meet without a join.
     """
-    tagged = old.withColumn("__side", F.lit(0)).unionByName(new.withColumn("__side", F.lit(1)))
-    side = F.col("__side")
-    both = tagged.groupBy(group).agg(
-        *[F.max(F.when(side == i, F.col(v))).alias(f"{p}_{v}")
-          for v in values for i, p in ((0, "old"), (1, "new"))])
-    same = F.lit(True)
-    for v in values:
-        same = same & F.col(f"old_{v}").eqNullSafe(F.col(f"new_{v}"))
-    return both.filter(~same)
+    records = states_at_points(log, keys, fields, F.when(old, 0).when(new, 1), 2)
+    views = records.groupBy(group, "point").agg(*map(F.expr, (
+        "sum(CAST(ask AS DECIMAL(18,2))) AS sum_ask", "sum(CAST(bid AS DECIMAL(18,2))) AS sum_bid",
+        f"count(`{keys[0]}`) AS n")))
+    values = ("sum_ask", "sum_bid", "n")
+    both = views.groupBy(group).agg(*[
+        F.expr(f"max(CASE WHEN point = {i} THEN {v} END) AS {p}_{v}")
+        for v in values for i, p in ((0, "old"), (1, "new"))])
+    return both.filter(" OR ".join(f"NOT old_{v} <=> new_{v}" for v in values))
 
 
 def delete_keys(records: DataFrame, deleted: DataFrame, keys: Sequence[str]) -> DataFrame:

@@ -112,13 +112,10 @@ SELECT coalesce(v0.grp, v1.grp) AS grp, v0.sum_ask AS old_sum_ask, v1.sum_ask AS
 FROM v0 FULL JOIN v1 ON v0.grp IS NOT DISTINCT FROM v1.grp
 WHERE (v0.sum_ask, v0.sum_bid, v0.n) IS DISTINCT FROM (v1.sum_ask, v1.sum_bid, v1.n)""")
 def sow_view_delta(spark, d):
-    log = topics.event_log(spark, d)
+    def seen(day: str):
+        return F.col("ts") < F.lit(day).cast("timestamp")
 
-    def view(day: str):
-        upto = F.col("ts") < F.lit(day).cast("timestamp")
-        return state.grouped_view(state.state_at(log, KEY, FIELDS, upto=upto))
-
-    return state.view_delta(view("2024-01-16"), view("2024-01-24"), "grp", ["sum_ask", "sum_bid", "n"])
+    return state.view_delta(topics.event_log(spark, d), KEY, FIELDS, seen("2024-01-16"), seen("2024-01-24"))
 
 
 CHANGELOG_SQL = """, steps AS (SELECT *, row_number() OVER k AS i, sum(n) OVER k AS cn, sum(s) OVER k AS cs
