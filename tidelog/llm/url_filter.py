@@ -32,7 +32,13 @@ BLOCKED = """casino-royal.example/slots/ free-casino.example/en/ bet-online.exam
     free-money.example/ crypto-giveaway.example/claim free-iphone.example/win lottery-win.example/
     warez-crack.example/keygen torrent-free.example/ casino-bonus.example/fr/ sports-bets.example/es/
     cheap-meds.example/ diet-pills.example/en/3 win-prize.example/ free-bets.example/ spam-blog.example/
-    casino.example/ bets.example/ pills.example/ spam.example/ farm-links.example/""".split()
+    casino.example/ bets.example/ pills.example/ spam.example/ farm-links.example/
+    ad-track.example/pixel ads-server.example/banner m.track-click.example/ www.ads-network.example/en/12
+    adult-video.example/ www.adult-chat.example/en/5 m.adult-x.example/de/17 popup-ads.example/fr/9?page=2
+    blog.casino-online.example/en/41.html www.casino-win.example/es/77 m.free-bets.example/de/3#top
+    www.cheap-pills.example/en/808?utm_source=feed blog.spam-site.example/en/19/ www.spam-farm.example/fr/61
+    m.poker-win.example/en/2005 blog.pills-shop.example/es/6/ www.bets-casino.example/en/7?page=2
+    ads-tracker.example/en/63 track.ads-click.example/en/8126.html""".split()
 ALLOWED = """news.example/en/2024 www.library.example/books blog.garden.example/roses university.example/physics
     docs.python.example/3/ wiki.example/en/History shop.example/cart/ www.museum.example/visit m.weather.example/today
     city-council.example/minutes recipes.example/bread/ blog.travel.example/italy forum.linux.example/kernel
@@ -103,7 +109,7 @@ def _margins(weights: np.ndarray, bias: float, hosts: list[str], paths: list[str
     return np.bincount(rows, weights[grams], len(hosts)) / np.sqrt(np.maximum(n, 1)) + bias
 
 
-def fit(labelled: DataFrame, max_rows: int = MAX_LABELLED, steps: int = 400, rate: float = 2.0,
+def fit(labelled: DataFrame, max_rows: int = MAX_LABELLED, steps: int = 800, rate: float = 4.0,
         penalty: float = 1e-4) -> tuple[np.ndarray, float]:
     """Weights and bias by gradient steps on a bounded number of labelled rows (url, label).
 
