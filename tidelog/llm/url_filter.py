@@ -143,7 +143,7 @@ def _start(model: tuple[np.ndarray, float]):
     return work
 
 
-def judged(pages: DataFrame, labelled: DataFrame | None = None, rules=RULES, threshold: float = 0.5,
+def judged(pages: DataFrame, labelled: DataFrame | None = None, rules=RULES, threshold: float = 0.56,
            id_col: str = "page_id", url_col: str = "url") -> DataFrame:
     """Host, path, rule, verdict and score of every url.
 
