@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from tidelog.llm import feistel_shards, pieces, url_filter
+from tidelog.llm import additive, feistel_shards, pieces, repetition, toxicity, url_filter
 from tidelog.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -28,11 +29,32 @@ def op2_feistel_shards(spark, folder):
     return feistel_shards.shards(table(spark, folder, "documents"))
 
 
+@query()
+def op3_repetition(spark, folder):
+    return repetition.repeated(table(spark, folder, "documents"), keep=["doc_id"])
+
+
 @query()
 def op5_sentencepiece(spark, folder):
     return pieces.digests(table(spark, folder, "documents"))
 
 
+@query()
+def op6_quality(spark, folder):
+    docs = table(spark, folder, "documents")
+    model = additive.fit(docs, table(spark, folder, "labels"))
+    return (additive.scored(docs, model, keep=["doc_id"])
+            .withColumn("held_out", F.coalesce(additive.held_out(F.col("doc_id")), F.lit(False))))
+
+
+@query()
+def op7_toxicity(spark, folder):
+    docs = table(spark, folder, "documents")
+    model = toxicity.fit(docs, table(spark, folder, "labels"))
+    return (toxicity.scored(docs, model, keep=["doc_id"])
+            .withColumn("held_out", F.coalesce(toxicity.held_out(F.col("doc_id")), F.lit(False))))
+
+
 @query()
 def op10_url_filter(spark, folder):
     return url_filter.judged(table(spark, folder, "pages"))

@@ -80,6 +80,26 @@ def appended(df: DataFrame, inputs: list[str], keep: list[str], outputs: list[T.
     return narrow.mapInArrow(run, schema)
 
 
+def labelled(docs: DataFrame, labels: DataFrame, label: str, held_out: Callable, most: dict[int, int],
+             max_text: int, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """text, label and hash of a bounded sample of the labelled rows that are not held out.
+
+    Of each label value the ``most`` rows of the smallest hash are taken.  Rows with a null id, label or
+    text, and texts over ``max_text`` bytes, are not learned from.
+    """
+    known = labels.where(F.col(label).isNotNull() & F.col("doc_id").isNotNull() & ~held_out(F.col("doc_id")))
+    known = known.select(F.col("doc_id").alias("__id"), F.col(label).cast("int").alias("label"),
+                         F.xxhash64(F.col("doc_id")).alias("hash"))
+    chosen = None
+    for value, n in most.items():
+        part = known.where(F.col("label") == value).orderBy("hash", "__id").limit(n)
+        chosen = part if chosen is None else chosen.unionAll(part)
+    text = docs.select(column(id_col).alias("__id"), column(text_col).alias("text"))
+    # a bounded number of ids goes to every task, so that no text is shuffled
+    return (text.where(F.octet_length("text") <= max_text).join(F.broadcast(chosen), "__id")
+            .select("text", "label", "hash").orderBy("hash", "text").limit(sum(most.values())))
+
+
 def _arrow(kind: T.DataType) -> pa.DataType:
     plain = {T.LongType: pa.int64(), T.IntegerType: pa.int32(), T.DoubleType: pa.float64(),
              T.StringType: pa.string(), T.BooleanType: pa.bool_(), T.BinaryType: pa.binary()}
