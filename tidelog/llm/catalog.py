@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidelog.llm import additive, feistel_shards, pieces, repetition, toxicity, url_filter
+from tidelog.llm import additive, feistel_shards, pieces, repetition, skip_chain, toxicity, url_filter
 from tidelog.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -24,6 +24,12 @@ def query(sql: str | None = None):
     return register
 
 
+@query()
+def op1_personal_data(spark, folder):
+    docs = table(spark, folder, "documents")
+    return skip_chain.detected(docs, skip_chain.fit(docs), keep=["doc_id"])
+
+
 @query(feistel_shards.oracle())
 def op2_feistel_shards(spark, folder):
     return feistel_shards.shards(table(spark, folder, "documents"))
