@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidelog.llm import additive, feistel_shards, pieces, repetition, skip_chain, toxicity, url_filter
+from tidelog.llm import additive, bk_simhash, feistel_shards, pieces, repetition, skip_chain, toxicity, url_filter
 from tidelog.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -40,6 +40,12 @@ def op3_repetition(spark, folder):
     return repetition.repeated(table(spark, folder, "documents"), keep=["doc_id"])
 
 
+@query()
+def op4_simhash_components(spark, folder):
+    found = bk_simhash.clustered(table(spark, folder, "documents"))
+    return found.select("doc_id", bk_simhash.hexadecimal(F.col("fp")).alias("fingerprint"), "component_id")
+
+
 @query()
 def op5_sentencepiece(spark, folder):
     return pieces.digests(table(spark, folder, "documents"))
