@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidelog.llm import additive, bk_simhash, feistel_shards, pieces, repetition, skip_chain, toxicity, url_filter
+from tidelog.llm import additive, bk_simhash, feistel_shards, pieces, repetition, skip_chain, toxicity, url_filter, warc
 from tidelog.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -67,6 +67,18 @@ def op7_toxicity(spark, folder):
             .withColumn("held_out", F.coalesce(toxicity.held_out(F.col("doc_id")), F.lit(False))))
 
 
+@query("""
+WITH sized AS (SELECT page_id, strlen(coalesce(html, '')) AS payload_bytes, sha1(coalesce(html, '')) AS h FROM pages),
+coded AS (SELECT *, min(page_id) OVER (PARTITION BY h) AS first,
+  array_to_string(list_transform(range(8), lambda g: array_to_string(list_transform(range(4), lambda k: substr(
+    'ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', ((CAST('0x' || substr(h, 5 * g + 1, 5) AS BIGINT) >> (15 - 5 * k)) & 31) + 1, 1)),
+    '')), '') AS payload_digest FROM sized)
+SELECT page_id, payload_bytes, payload_digest, CASE WHEN page_id = first THEN 'response' ELSE 'revisit' END AS record_type,
+  CASE WHEN page_id <> first THEN first END AS refers_to FROM coded""")
+def op9_arc_to_warc(spark, folder):
+    return warc.archived(table(spark, folder, "pages"))
+
+
 @query()
 def op10_url_filter(spark, folder):
     return url_filter.judged(table(spark, folder, "pages"))
