@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidelog.llm import additive, bk_simhash, feistel_shards, pieces, repetition, skip_chain, toxicity, url_filter, warc
+from tidelog.llm import additive, bk_simhash, feistel_shards, latent, pieces, repetition, skip_chain, toxicity, url_filter, warc
 from tidelog.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -67,6 +67,12 @@ def op7_toxicity(spark, folder):
             .withColumn("held_out", F.coalesce(toxicity.held_out(F.col("doc_id")), F.lit(False))))
 
 
+@query()
+def op8_benchmark_leaks(spark, folder):
+    docs = table(spark, folder, "documents")
+    return latent.leaked(docs, latent.indexes(docs, table(spark, folder, "benchmark")))
+
+
 @query("""
 WITH sized AS (SELECT page_id, strlen(coalesce(html, '')) AS payload_bytes, sha1(coalesce(html, '')) AS h FROM pages),
 coded AS (SELECT *, min(page_id) OVER (PARTITION BY h) AS first,
