@@ -23,9 +23,9 @@ from tidelog.llm.common import appended, double, integer, labelled
 #: those of the smallest hash, and bytes of a text (longer labelled texts are not learned from).
 MAX_TOXIC, MAX_ORDINARY, MAX_TEXT = 1200, 2400, 1 << 16
 #: Lengths of the segments that the toxic part of the dictionary is made of.
-SEGMENTS = (5, 6)
+SEGMENTS = (5, 7, 9)
 #: A segment must cover this share of the toxic sample, and be this many times as common in it.
-LEAST_SHARE, LEAST_RATIO = 0.01, 8.0
+LEAST_SHARE, LEAST_RATIO = 0.01, 20.0
 #: How many segments of a toxic text the dictionary should hold.
 COVERS = 4
 BODY = 16384
