@@ -117,15 +117,15 @@ def parse_arc(data: bytes, path: str) -> Iterator[tuple]:
         if not line.strip():
             continue  # the newline between records
         text = line.rstrip(b"\r\n").decode("utf-8", "replace")
-        if text.startswith("filedesc://"):
+        if not names:  # the version block stands first; a later record may have any url
+            if not text.startswith("filedesc://"):
+                raise ValueError(f"{path}: no version block")
             body = _exactly(stream, int(text.rsplit(" ", 1)[1]), path).decode().split("\n")
             version = int(body[0].split(" ")[0])
             names = body[1].split(" ")
             if version not in ARC_FIELDS or names != ARC_FIELDS[version].split(" "):
                 raise ValueError(f"{path}: unknown ARC version block {body[:2]}")
             continue
-        if not names:
-            raise ValueError(f"{path}: no version block")
         header = dict(zip(names, text.rsplit(" ", len(names) - 1)))  # old urls may hold spaces
         head, payload = _split_http(_exactly(stream, int(header["Archive-length"]), path))
         page_id = _fields(head).get("x-page-id") if head else None
