@@ -22,8 +22,9 @@ from tidelog.llm.common import appended, column, long, string
 
 KINDS = ("email", "ip", "card", "phone")
 LABELS = ("other", *KINDS)
-#: Bounds of the sample that trains the factors: documents with a digit or an @, and bytes of a text.
-MAX_DOCS, MAX_TEXT = 2000, 1 << 16
+#: Bounds of the sample that trains the factors: documents (those of the smallest hash; of them, the ones
+#: with a digit or an @ are learned from), and bytes of a text.
+MAX_DOCS, MAX_TEXT = 8000, 1 << 16
 #: Rounds of message passing, share of the old message kept, and belief from which a span is added.
 ROUNDS, DAMPING, LEAST_BELIEF = 10, 0.3, 0.9
 #: Digits or characters that make two tokens similar enough for a skip link.
@@ -270,11 +271,15 @@ def masked(text: str, spans: list[tuple[int, int, str]]) -> str:
 
 
 def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Model:
-    """Train on a bounded sample: documents with a digit or an @, those of the smallest hash of their id."""
+    """Train on a bounded sample of the documents that have a digit or an @, by hash of id and text."""
     text = column(text_col)
-    rows = (docs.where(text.rlike("[0-9@]") & (F.octet_length(text) <= MAX_TEXT))
-            .select(text.alias("text"), F.xxhash64(column(id_col)).alias("hash"))
-            .orderBy("hash", "text").limit(MAX_DOCS).collect())
+    # a share of the hashes that holds MAX_DOCS documents on average, so that tasks send no more than
+    # the sample; the limit holds should many rows be equal
+    share = min(1.0, MAX_DOCS / max(1, docs.count()))
+    most = F.lit(min(2 ** 63 - 1, int(-2 ** 63 + share * 2 ** 64))).cast("long")
+    rows = (docs.select(text.alias("text"), F.xxhash64(column(id_col), text).alias("hash"))
+            .where((F.col("hash") <= most) & (F.octet_length("text") <= MAX_TEXT) & F.col("text").rlike("[0-9@]"))
+            .orderBy("hash", "text").limit(2 * MAX_DOCS).collect())
     return train([r["text"] for r in rows])
 
 
