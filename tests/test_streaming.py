@@ -70,7 +70,7 @@ def test_state_store_form_and_hot_keys_agree_with_the_batch(spark, topic):
 
 
 def test_changelog(spark, topic):
-    one, cents = F.lit(1).cast("bigint"), F.coalesce((aggregate.money("bid") * 100).cast("bigint"), F.lit(0).cast("bigint"))
+    one, cents = F.lit(1).cast("bigint"), F.coalesce((aggregate.exact("bid", "decimal(18,2)") * 100).cast("bigint"), F.lit(0).cast("bigint"))
     got = jobs.changelog_stream(spark, stream(spark, topic).withColumns({"n": one, "cents": cents}),
                                 ["n", "cents"], scratch_folder(spark, "t"))
     same(got, changes.aggregate_changelog(topic[0], ["id"], "bookmark", {"n": one, "cents": cents}))

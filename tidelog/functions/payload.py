@@ -73,10 +73,24 @@ def broker_time_text(ts: Column | str) -> Column:
     return F.date_format(ts, "yyyyMMdd'T'HHmmss.SSSSSS'Z'")
 
 
+#: Levels of objects and arrays that a replaced payload may hold.
+NESTING = 4
+
+
 def replace_json_field(data: Column | str, field: str, value: str) -> Column:
-    """Replace the value of one scalar field inside a JSON text, leaving the rest byte for byte."""
+    """Replace the value of one field of a JSON object, leaving the rest byte for byte.
+
+    Only a field of the object itself is replaced, whatever its value; fields of that name further in
+    (down to NESTING levels) stay.
+    """
     literal = value.replace("\\", "\\\\\\\\").replace('"', '\\\\"').replace("$", "\\$")
-    pattern = f'("{re.escape(field)}"\\s*:\\s*)("(?:[^"\\\\]|\\\\.)*"|[^,}}\\s]+)'
+    text = r'"(?:[^"\\]|\\.)*+"'
+    inner = rf'(?:[^{{}}\[\]"]|{text})*+'
+    for _ in range(NESTING):
+        inner = rf'(?:[^{{}}\[\]"]|{text}|\{{{inner}\}}|\[{inner}\])*+'
+    block = rf'\{{{inner}\}}|\[{inner}\]'
+    one = rf'{text}\s*+:\s*+(?:{text}|{block}|[^,{{}}\[\]\s]++)\s*+,\s*+'
+    pattern = rf'(?s)^(\s*+\{{\s*+(?:{one})*?"{re.escape(field)}"\s*+:\s*+)(?:{text}|{block}|[^,{{}}\[\]\s]++)'
     return F.regexp_replace(data, pattern, f'$1"{literal}"')
 
 

@@ -12,10 +12,21 @@ from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 
-def money(col: Column | str) -> Column:
+#: The type in which totals are added that are later taken back or compared; a parameter everywhere.
+AMOUNT = "decimal(28,6)"
+
+
+def exact_text(text: str, kind: str = AMOUNT) -> str:
+    """SQL text of a number as a decimal that keeps all its digits; one that does not fit is an error,
+    never rounded."""
+    return (f"CASE WHEN {text} IS NULL OR CAST(CAST({text} AS {kind}) AS DOUBLE) = CAST({text} AS DOUBLE) "
+            f"THEN CAST({text} AS {kind}) ELSE CAST(raise_error(concat('{kind} cannot hold ', {text})) AS {kind}) END")
+
+
+def exact(column: str, kind: str = AMOUNT) -> Column:
     """Exact amounts, for totals that are later taken back or compared: sums do not depend on the
     order of addition.  Plain reports add doubles, which is several times faster."""
-    return (F.col(col) if isinstance(col, str) else col).cast("decimal(18,2)")
+    return F.expr(exact_text(f"`{column}`", kind))
 
 
 def tumbling(rows: DataFrame, keys: Sequence[str], ts: str, size: str,

@@ -46,26 +46,27 @@ def merged_records(log: DataFrame, keys: Sequence[str], fields: Sequence[str], *
 
 
 def delta_subscribe(log: DataFrame, keys: Sequence[str], fields: Sequence[str], *,
-                    since: Column | None = None, **limits: int) -> DataFrame:
+                    since: Column | None = None, content_filter: str | Column | None = None, **limits: int) -> DataFrame:
     """After each update: the key and the fields whose value changed, as JSON; all fields when the
-    key was not live.  Rows before ``since`` count as history only."""
-    rows = history(log, keys, fields, **limits)
+    key was not live.  Rows before ``since`` count as history only; the filter sees the updated record."""
+    rows = history(log, keys, fields, **limits).filter(predicate(content_filter))
     return deltas(rows if since is None else rows.filter(since), keys, fields)
 
 
-def deltas(history: DataFrame, keys: Sequence[str], fields: Sequence[str]) -> DataFrame:
+def deltas(history: DataFrame, keys: Sequence[str], fields: Sequence[str], keep: Sequence[str] = ()) -> DataFrame:
     """Field deltas of rows that have the records before and after them."""
     rows = history.filter(F.col("command") != SOW_DELETE)
     changed = [f"CASE WHEN NOT had OR NOT `{f}` <=> `prev_{f}` THEN `{f}` END AS `{f}`" for f in fields]
     record = ", ".join([*keys, *changed])
-    return rows.selectExpr("bookmark", "command", *keys, f"to_json(struct({record})) AS delta")
+    return rows.selectExpr("bookmark", "command", *keys, f"to_json(struct({record})) AS delta", *keep)
 
 
 def sow_and_subscribe(log: DataFrame, keys: Sequence[str], fields: Sequence[str], upto: Column, *,
                       content_filter: str | Column | None = None, top: int | None = None, **limits: int) -> DataFrame:
     """The records at a point (command ``sow``), then every later publish and partial update as the
-    full record.  No row is missed or repeated.  The filter sees records; ``top`` limits only the
-    snapshot, in key order."""
+    full record.  No row is missed or repeated: one for which ``upto`` is null comes later.  The filter
+    sees records; ``top`` limits only the snapshot, in key order."""
+    upto = F.coalesce(upto, F.lit(False))
     snapshot = state_at(log, keys, fields, upto=upto, content_filter=content_filter)
     if top is not None:
         snapshot = snapshot.orderBy(*keys).limit(top)
@@ -77,11 +78,14 @@ def sow_and_subscribe(log: DataFrame, keys: Sequence[str], fields: Sequence[str]
 
 
 def sow_and_delta_subscribe(log: DataFrame, keys: Sequence[str], fields: Sequence[str],
-                            upto: Column, **limits: int) -> DataFrame:
-    """The records at a point in full, then field deltas, all as JSON."""
-    snapshot = state_at(log, keys, fields, upto=upto).select(
+                            upto: Column, *, content_filter: str | Column | None = None, **limits: int) -> DataFrame:
+    """The records at a point in full, then field deltas, all as JSON.  A row for which ``upto`` is null
+    comes later.  The filter sees records."""
+    upto = F.coalesce(upto, F.lit(False))
+    snapshot = state_at(log, keys, fields, upto=upto, content_filter=content_filter).select(
         "bookmark", F.lit(SOW).alias("command"), *keys, to_json_text(*keys, *fields).alias("delta"))
-    return snapshot.unionByName(delta_subscribe(log, keys, fields, since=~upto, **limits))
+    return snapshot.unionByName(delta_subscribe(log, keys, fields, since=~upto, content_filter=content_filter,
+                                                **limits))
 
 
 def snapshot_with_markers(records: DataFrame, label: Column) -> DataFrame:

@@ -44,66 +44,61 @@ def pending_at_most_once(log: DataFrame, ledger: DataFrame) -> DataFrame:
     return pending(log, ledger)
 
 
-def redeliveries(log: DataFrame, ledger: DataFrame, completed: Column) -> DataFrame:
-    """Messages to deliver again: some delivery was cancelled and none is acknowledged."""
-    by_message = ledger.groupBy("bookmark").agg(
+def facts(ledger: DataFrame, completed: Column) -> DataFrame:
+    """One row per delivered message: deliveries, cancels, covered acknowledgements, last delivery."""
+    acked = (F.col("outcome") == "ack") & (F.col("checkpoint_id") <= completed)
+    return ledger.groupBy("bookmark").agg(
         F.count(F.lit(1)).alias("deliveries"),
         F.count_if(F.col("outcome") == "cancel").alias("cancels"),
-        F.count_if((F.col("outcome") == "ack") & (F.col("checkpoint_id") <= completed)).alias("acks"))
-    again = by_message.filter((F.col("cancels") > 0) & (F.col("acks") == 0))
-    return log.join(again, "bookmark").withColumn("next_delivery", F.col("deliveries") + 1).drop("acks")
+        F.count_if(acked).alias("acks"), F.max(F.struct("delivery", "delivered_at", "outcome")).alias("last"))
 
 
 def status(log: DataFrame, ledger: DataFrame, completed: Column, now: Column,
            rules: QueueRules = QueueRules()) -> DataFrame:
-    """Each message with its status: ``done``, ``failed``, ``expired``, ``leased`` or ``pending``.
+    """Each message with its status: ``done``, ``leased``, ``failed``, ``expired`` or ``pending``.
 
-    The ledger is reduced to one row per message before it meets the log; both sides are spread by
-    bookmark.  The statuses partition the messages.
+    The last delivery decides: while it is out within its lease the message is leased, and a limit
+    counts once that delivery has come back.  The ledger is reduced to one row per message before it
+    meets the log; both sides are spread by bookmark.  The statuses partition the messages.
     """
-    acked = (F.col("outcome") == "ack") & (F.col("checkpoint_id") <= completed)
-    last = F.max(F.struct("delivery", "delivered_at", "outcome"))
-    facts = ledger.groupBy("bookmark").agg(
-        F.count(F.lit(1)).alias("deliveries"),
-        F.count_if(F.col("outcome") == "cancel").alias("cancels"),
-        F.count_if(acked).alias("acks"), last.alias("last"))
     leased = ((F.col("last.outcome") == "none")
               & (F.col("last.delivered_at") + F.make_dt_interval(secs=F.lit(rules.lease_s)) > now))
     expired = F.col("ts") + F.make_dt_interval(secs=F.lit(rules.ttl_s)) <= now
     failed = ((F.col("deliveries") >= rules.max_deliveries)
               | (F.col("cancels") > rules.max_cancels))
-    label = (F.when(F.col("acks") > 0, "done").when(failed, "failed").when(expired, "expired")
-             .when(leased, "leased").otherwise("pending"))
-    return (log.join(facts, "bookmark", "left").withColumn("status", label)
+    label = (F.when(F.col("acks") > 0, "done").when(leased, "leased").when(failed, "failed")
+             .when(expired, "expired").otherwise("pending"))
+    return (log.join(facts(ledger, completed), "bookmark", "left").withColumn("status", label)
             .withColumns({"deliveries": F.coalesce("deliveries", F.lit(0)),
                           "cancels": F.coalesce("cancels", F.lit(0))})
             .drop("acks", "last"))
 
 
+def redeliveries(log: DataFrame, ledger: DataFrame, completed: Column, now: Column,
+                 rules: QueueRules = QueueRules()) -> DataFrame:
+    """Messages to deliver again: pending ones that were delivered before, so that their last delivery
+    was cancelled or has outlived its lease."""
+    again = status(log, ledger, completed, now, rules).filter(
+        (F.col("status") == "pending") & (F.col("deliveries") > 0))
+    return again.withColumn("next_delivery", F.col("deliveries") + 1).drop("status")
+
+
 def unexpired(log: DataFrame, now: Column, ttl_s: int) -> DataFrame:
     return log.filter(F.col("ts") + F.make_dt_interval(secs=F.lit(ttl_s)) > now)
 
 
 def lapsed_leases(ledger: DataFrame, completed: Column, now: Column, lease_s: int) -> DataFrame:
     """Messages whose last delivery was neither acknowledged nor cancelled and is past its lease."""
-    facts = ledger.groupBy("bookmark").agg(
-        F.max(F.struct("delivery", "delivered_at", "outcome")).alias("last"),
-        F.count_if((F.col("outcome") == "ack") & (F.col("checkpoint_id") <= completed)).alias("acks"))
-    return facts.filter(
+    return facts(ledger, completed).filter(
         (F.col("acks") == 0) & (F.col("last.outcome") == "none")
         & (F.col("last.delivered_at") + F.make_dt_interval(secs=F.lit(lease_s)) <= now)
     ).select("bookmark", F.col("last.delivery").alias("delivery"))
 
 
-def failed(ledger: DataFrame, completed: Column, rules: QueueRules = QueueRules()) -> DataFrame:
-    """Messages that reached a delivery or cancel limit without being acknowledged."""
-    facts = ledger.groupBy("bookmark").agg(
-        F.count(F.lit(1)).alias("deliveries"),
-        F.count_if(F.col("outcome") == "cancel").alias("cancels"),
-        F.count_if((F.col("outcome") == "ack") & (F.col("checkpoint_id") <= completed)).alias("acks"))
-    over = ((F.col("deliveries") >= rules.max_deliveries)
-            | (F.col("cancels") > rules.max_cancels))
-    return facts.filter((F.col("acks") == 0) & over).drop("acks")
+def failed(log: DataFrame, ledger: DataFrame, completed: Column, now: Column,
+           rules: QueueRules = QueueRules()) -> DataFrame:
+    """Messages that reached a delivery or cancel limit and came back without being acknowledged."""
+    return status(log, ledger, completed, now, rules).filter(F.col("status") == "failed").drop("status")
 
 
 def assign_consumers(messages: DataFrame, consumers: int, key: str = "bookmark") -> DataFrame:

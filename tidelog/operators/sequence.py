@@ -85,10 +85,11 @@ def choose_commands(rows: DataFrame, keys: Sequence[str], order: str, wants_dele
     """The command of each row of a writer that remembers which keys it has published.
 
     An unknown key is published.  A known key is updated, or deleted and forgotten when
-    ``wants_delete``.  Seen as state changes, an update always leaves the key known, and a row that
+    ``wants_delete``; a null wish is none.  Seen as state changes, an update always leaves the key known, and a row that
     wants a delete flips known and unknown.  So the state before a row is the parity of the flips
     since the last update, which two running values give without walking the key in order.
     """
+    wants_delete = F.coalesce(wants_delete, F.lit(False))
     flip = F.when(wants_delete, F.lit(1)).otherwise(F.lit(0)).cast("bigint")
     tagged = split_hot_keys(rows, keys, order, **limits)
     counted = running(tagged, keys, order, sums={"__flips": flip})

@@ -12,6 +12,8 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tidelog.functions.segments import previous
+from tidelog.operators.aggregate import AMOUNT, exact_text
 from tidelog.operators.read import predicate
 from tidelog.sources.topics import PUBLISH, SOW_DELETE
 
@@ -28,14 +30,14 @@ def carried(field: str, present: Mapping[str, str] | None = None) -> str:
     return f"({carries} AND command <> '{SOW_DELETE}')"
 
 
-def fold(fields: Sequence[str], present: Mapping[str, str] | None = None) -> list[Column]:
+def fold(fields: Sequence[str], present: Mapping[str, str] | None = None, reset: str = RESET) -> list[Column]:
     """The aggregates that determine a key's record.  They merge, so they serve partial aggregation,
-    history grids and streaming state alike."""
+    history grids and streaming state alike.  ``reset`` is SQL text for the rows that start it anew."""
     at = {f: f"CASE WHEN {carried(f, present)} THEN bookmark END" for f in fields}
     return [F.expr(text) for text in (
         "max(bookmark) AS __last",
         f"max(CASE WHEN command = '{SOW_DELETE}' THEN bookmark END) AS __deleted",
-        f"max(CASE WHEN {RESET} THEN bookmark END) AS __reset",
+        f"max(CASE WHEN {reset} THEN bookmark END) AS __reset",
         *[f"max_by(`{f}`, {at[f]}) AS `{f}`" for f in fields],
         *[f"max({at[f]}) AS `__at_{f}`" for f in fields])]
 
@@ -83,14 +85,23 @@ def page(records: DataFrame, order: Sequence[Column | str], n: int, skip: int =
     return (ordered.offset(skip) if skip else ordered).limit(n)
 
 
+def expiries(log: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Rows with ``__lapsed``, whether their key's record had expired when they came."""
+    before = previous(log, keys, "bookmark", {"__ts": "ts", "__exp": "expiration_s", "__cmd": "command"})
+    ends = F.col("__ts") + F.make_dt_interval(secs=F.col("__exp"))
+    lapsed = (F.col("__exp") >= 0) & (ends <= F.col("ts")) & (F.col("__cmd") != SOW_DELETE)
+    return before.withColumn("__lapsed", F.coalesce(lapsed, F.lit(False))).drop("__ts", "__exp", "__cmd")
+
+
 def with_expiry(log: DataFrame, keys: Sequence[str], fields: Sequence[str], now: Column, *,
                 upto: Column | None = None) -> DataFrame:
     """Live records with ``expired``, whether they have left the state at ``now``.
 
-    A record leaves ``expiration_s`` seconds after its last write; without an expiration it stays.
+    A record leaves ``expiration_s`` seconds after its last write; without an expiration it stays.  One
+    that left before the next write of its key is gone: a partial update then starts a new record.
     """
-    rows = log if upto is None else log.filter(upto)
-    folded = rows.groupBy(*keys).agg(*fold(fields), *map(F.expr, (
+    rows = expiries(log if upto is None else log.filter(upto), keys)
+    folded = rows.groupBy(*keys).agg(*fold(fields, reset=f"({RESET} OR __lapsed)"), *map(F.expr, (
         "max(ts) AS last_ts",
         "max_by(coalesce(expiration_s, -1), bookmark) AS __exp")))
     ends = F.col("last_ts") + F.make_dt_interval(secs=F.col("__exp"))
@@ -133,21 +144,20 @@ def history_grid(log: DataFrame, keys: Sequence[str], fields: Sequence[str], *,
 def grouped_view(records: DataFrame, group: str = "grp", key: str = "id") -> DataFrame:
     """``sum(ask), sum(bid), count(key)`` of the live records by group; null is a group of its own."""
     return records.groupBy(group).agg(
-        F.sum(F.col("ask").cast("decimal(18,2)")).alias("sum_ask"),
-        F.sum(F.col("bid").cast("decimal(18,2)")).alias("sum_bid"),
-        F.count(key).alias("n"))
+        F.sum("ask").alias("sum_ask"), F.sum("bid").alias("sum_bid"), F.count(key).alias("n"))
 
 
 def view_delta(log: DataFrame, keys: Sequence[str], fields: Sequence[str], old: Column, new: Column,
-               group: str = "grp") -> DataFrame:
+               group: str = "grp", amount: str = AMOUNT) -> DataFrame:
     """Groups of the view that differ between two points of a log, with both values.
 
     ``old`` and ``new`` say which rows each point has seen.  The log is read once, and null groups
-    meet without a join.
+    meet without a join.  Sums are compared, so they are added as ``amount``; a value that does not
+    fit is an error.
     """
     records = states_at_points(log, keys, fields, F.when(old, 0).when(new, 1), 2)
     views = records.groupBy(group, "point").agg(*map(F.expr, (
-        "sum(CAST(ask AS DECIMAL(18,2))) AS sum_ask", "sum(CAST(bid AS DECIMAL(18,2))) AS sum_bid",
+        f"sum({exact_text('ask', amount)}) AS sum_ask", f"sum({exact_text('bid', amount)}) AS sum_bid",
         f"count(`{keys[0]}`) AS n")))
     values = ("sum_ask", "sum_bid", "n")
     both = views.groupBy(group).agg(*[

@@ -28,10 +28,11 @@ facts AS (SELECT bookmark, count(*) AS deliveries, count(*) FILTER (WHERE outcom
     count(*) FILTER (WHERE outcome = 'ack' AND checkpoint_id <= (SELECT c FROM done_upto)) AS acks,
     arg_max(outcome, delivery) AS last_outcome, max(delivered_at) AS last_at, max(delivery) AS last_delivery
   FROM ledger GROUP BY bookmark),
-st AS (SELECT log.bookmark, ts, coalesce(deliveries, 0) AS deliveries, coalesce(cancels, 0) AS cancels,
-    CASE WHEN acks > 0 THEN 'done' WHEN deliveries >= 3 OR cancels > 2 THEN 'failed'
-      WHEN ts + INTERVAL 20 DAY <= {NOW_SQL} THEN 'expired'
+st AS (SELECT log.bookmark, ts, id, coalesce(deliveries, 0) AS deliveries, coalesce(cancels, 0) AS cancels,
+    CASE WHEN acks > 0 THEN 'done'
       WHEN last_outcome = 'none' AND last_at + INTERVAL 6 HOUR > {NOW_SQL} THEN 'leased'
+      WHEN deliveries >= 3 OR cancels > 2 THEN 'failed'
+      WHEN ts + INTERVAL 20 DAY <= {NOW_SQL} THEN 'expired'
       ELSE 'pending' END AS status
   FROM log LEFT JOIN facts ON log.bookmark = facts.bookmark)"""
 
@@ -77,11 +78,11 @@ def queue_ack_subsume(spark, d):
         "bookmark", "delivery", "checkpoint_id")
 
 
-@query(QUEUE + """ SELECT log.bookmark, id, deliveries, cancels, deliveries + 1 AS next_delivery
-FROM log JOIN facts ON log.bookmark = facts.bookmark WHERE cancels > 0 AND acks = 0""")
+@query(QUEUE + """ SELECT bookmark, id, deliveries, cancels, deliveries + 1 AS next_delivery
+FROM st WHERE status = 'pending' AND deliveries > 0""")
 def queue_redelivery(spark, d):
     deliveries = ledger(spark, d)
-    return queue.redeliveries(messages(spark, d), deliveries, completed(deliveries)).select(
+    return queue.redeliveries(messages(spark, d), deliveries, completed(deliveries), now(), RULES).select(
         "bookmark", "id", "deliveries", "cancels", "next_delivery")
 
 
@@ -121,11 +122,11 @@ def queue_expiry(spark, d):
     return queue.unexpired(messages(spark, d), now(), RULES.ttl_s)
 
 
-@query(QUEUE + """ SELECT bookmark, deliveries, cancels FROM facts
-WHERE acks = 0 AND (deliveries >= 3 OR cancels > 2)""")
+@query(QUEUE + " SELECT bookmark, deliveries, cancels FROM st WHERE status = 'failed'")
 def queue_failed(spark, d):
     deliveries = ledger(spark, d)
-    return queue.failed(deliveries, completed(deliveries), RULES)
+    return queue.failed(messages(spark, d), deliveries, completed(deliveries), now(), RULES).select(
+        "bookmark", "deliveries", "cancels")
 
 
 @query(QUEUE + " SELECT bookmark, status, deliveries, cancels FROM st")

@@ -8,7 +8,7 @@ from tidelog.operators import changes, read, state
 from tidelog.operators.command import TopicRead
 from tidelog.operators.read import Split
 from tidelog.plans.registry import query
-from tidelog.plans.sqltext import CHANGED, HISTORY, LOG, WHOLE, state as sql_state
+from tidelog.plans.sqltext import CHANGED, EXPIRING, HISTORY, LOG, WHOLE, state as sql_state
 from tidelog.sources import topics
 
 KEY, FIELDS = ["id"], list(topics.FIELDS)
@@ -74,12 +74,9 @@ def replay_rate_schedule(spark, d):
     return read.rate_schedule(log, 20)
 
 
-@query(LOG + """ SELECT id, num, bid, ask, grp, bookmark FROM (
-  SELECT *, row_number() OVER (PARTITION BY id ORDER BY bookmark DESC) AS rn
-  FROM log WHERE topic <> 'click') WHERE rn = 1 AND command <> 'sow_delete'""")
+@query(HISTORY + " " + sql_state())
 def sow_latest(spark, d):
-    log = topics.event_log(spark, d).filter(F.col("topic") != "click")
-    return state.latest(log, KEY, ["id", *FIELDS])
+    return state.state_at(topics.event_log(spark, d), KEY, FIELDS).select(*RECORD)
 
 
 @query(HISTORY + f" SELECT * FROM ({sql_state()}) WHERE bid > 20 AND ask < 60")
@@ -168,7 +165,7 @@ def oof_events(spark, d):
     return changes.out_of_focus(topics.event_log(spark, d), KEY, FIELDS, "/bid > 20")
 
 
-@query(HISTORY + """, last AS (SELECT *, row_number() OVER (PARTITION BY id ORDER BY bookmark DESC) AS rn FROM m)
+@query(EXPIRING + """, last AS (SELECT *, row_number() OVER (PARTITION BY id ORDER BY bookmark DESC) AS rn FROM m)
 SELECT bookmark, id, 'oof' AS command, 'expired' AS reason FROM last
 WHERE rn = 1 AND command <> 'sow_delete' AND m_bid > 20
   AND ts + INTERVAL 1 SECOND * expiration_s <= TIMESTAMP '2024-02-01'""")

@@ -10,7 +10,6 @@ from tidelog.operators.aggregate import price_measures
 from tidelog.operators.write import outgoing
 from tidelog.plans.registry import query
 from tidelog.plans.sqltext import HISTORY, LOG, state as sql_state
-from tidelog.plans.windows import cents
 from tidelog.sources import synthetic, topics
 
 FIELDS = list(topics.FIELDS)
@@ -158,8 +157,8 @@ SELECT topic, printf('%-5s - bidAgg: %s, bidAvg: %s, askAgg: %s, askAvg: %s, rec
   CAST(a AS DECIMAL(18,2)) :: VARCHAR, CAST(round(CAST(a AS DOUBLE) / an, 2) AS DECIMAL(18,2)) :: VARCHAR, n) AS line
 FROM sums""")
 def report_line(spark, d):
-    totals = cents(topics.event_log(spark, d).groupBy("topic").agg(
-        *[c.alias(n) for n, c in price_measures().items()]))
+    totals = topics.event_log(spark, d).groupBy("topic").agg(
+        *[c.alias(n) for n, c in price_measures().items()])
 
     def two_digits(name: str):
         return F.round(name, 2).cast("decimal(18,2)").cast("string")
@@ -171,9 +170,11 @@ def report_line(spark, d):
     return totals.select("topic", line.alias("line"))
 
 
-@query()
+@query("SELECT event_id AS bookmark, user_id AS id, true AS stamped FROM events")
 def enrich_ts(spark, d):
-    return topics.event_log(spark, d).select("bookmark", "id", F.current_timestamp().alias("processed"))
+    """The time itself differs from run to run: that every message has one is compared."""
+    rows = topics.event_log(spark, d).select("bookmark", "id", F.current_timestamp().alias("processed"))
+    return rows.select("bookmark", "id", F.col("processed").isNotNull().alias("stamped"))
 
 
 def _draw_sql(stream: int, bound: int) -> str:

@@ -39,6 +39,14 @@ h AS (
   FROM m WINDOW k AS (PARTITION BY id ORDER BY bookmark))"""
 
 
+#: The same walk where a record that expired before a row starts anew with it.
+EXPIRING = HISTORY.replace(LOG, LOG + """, timed AS (SELECT *, coalesce(lag(command) OVER k <> 'sow_delete'
+  AND lag(ts) OVER k + INTERVAL 1 SECOND * lag(expiration_s) OVER k <= ts, false) AS lapsed
+  FROM log WINDOW k AS (PARTITION BY id ORDER BY bookmark))""").replace(
+    "FILTER (WHERE command <> 'delta_publish')", "FILTER (WHERE command <> 'delta_publish' OR lapsed)").replace(
+    "AS epoch FROM log)", "AS epoch FROM timed)")
+
+
 def state(condition: str = "true") -> str:
     """The live records after the rows that satisfy a condition."""
     return f"""SELECT id, m_num AS num, m_bid AS bid, m_ask AS ask, m_grp AS grp, bookmark

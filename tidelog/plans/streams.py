@@ -8,13 +8,13 @@ from tidelog.operators import aggregate, read, sequence
 from tidelog.plans.registry import query
 from tidelog.plans.sequences import COIN_SQL, coin, replayed
 from tidelog.plans.sqltext import CHANGED, HISTORY, LOG, state as sql_state
-from tidelog.plans.windows import CHANGELOG_SQL, PRICE_SQL, cents
+from tidelog.plans.windows import CHANGELOG_SQL, PRICE_SQL, compared, in_sevenths
 from tidelog.session import scratch_folder
 from tidelog.sources import topics
 from tidelog.streaming import jobs, sinks
 
 KEY, FIELDS = ["id"], list(topics.FIELDS)
-HOURLY_SQL = LOG + f""" SELECT topic, time_bucket(INTERVAL 1 HOUR, ts) AS window_start,
+HOURLY_SQL = in_sevenths(LOG) + f""" SELECT topic, time_bucket(INTERVAL 1 HOUR, ts) AS window_start,
   time_bucket(INTERVAL 1 HOUR, ts) + INTERVAL 1 HOUR AS window_end, {PRICE_SQL}
 FROM log GROUP BY ALL"""
 
@@ -32,8 +32,8 @@ def bounded_equals_stream(spark, d):
 
 @query(HOURLY_SQL)
 def stream_window_agg(spark, d):
-    return cents(jobs.window_totals(spark, topics.event_stream(spark, d), "topic", "1 hour",
-                                    scratch_folder(spark, "windows")))
+    stream = topics.event_stream(spark, d).withColumn("bid", F.col("bid") / 7)
+    return compared(jobs.window_totals(spark, stream, "topic", "1 hour", scratch_folder(spark, "windows")))
 
 
 @query(LOG + " SELECT topic, bookmark, ts, command, data FROM log")
@@ -68,12 +68,11 @@ def stream_view(spark, d):
     return jobs.continuous_view(spark, topics.event_stream(spark, d), scratch_folder(spark, "view"))
 
 
-@query(HOURLY_SQL.replace("FROM log GROUP", "FROM log WHERE command <> 'sow_delete' GROUP"))
+@query(HOURLY_SQL)
 def stream_chain(spark, d):
     folder = scratch_folder(spark, "chain")
-    first = topics.event_stream(spark, d).filter(F.col("command") != topics.SOW_DELETE).select(
-        "topic", "ts", "bid", "ask")
-    return cents(jobs.chain(first, "copied", folder, lambda second: jobs.window_totals(
+    first = topics.event_stream(spark, d).select("topic", "ts", (F.col("bid") / 7).alias("bid"), "ask")
+    return compared(jobs.chain(first, "copied", folder, lambda second: jobs.window_totals(
         spark, second, "topic", "1 hour", f"{folder}/windows")))
 
 
@@ -88,7 +87,7 @@ def stream_delta_subscribe(spark, d):
        .replace("CAST(cs AS DOUBLE) AS sum_bid", "CAST(cs AS BIGINT) AS cents")
        .replace("CAST(ps AS DOUBLE)", "CAST(ps AS BIGINT)"))
 def stream_changelog(spark, d):
-    amount = F.coalesce((aggregate.money("bid") * 100).cast("bigint"), F.lit(0).cast("bigint"))
+    amount = F.coalesce((aggregate.exact("bid", "decimal(18,2)") * 100).cast("bigint"), F.lit(0).cast("bigint"))
     rows = topics.event_stream(spark, d).select(
         "id", "bookmark", F.lit(1).cast("bigint").alias("n"), amount.alias("cents"))
     return jobs.changelog_stream(spark, rows, ["n", "cents"], scratch_folder(spark, "changelog"))

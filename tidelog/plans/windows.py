@@ -12,36 +12,40 @@ from tidelog.sources import topics
 
 KEY, FIELDS = ["id"], list(topics.FIELDS)
 
-PRICE_SQL = """CAST(sum(CAST(bid AS DECIMAL(18,2))) AS DOUBLE) AS bid_sum,
-  CAST(sum(CAST(ask AS DECIMAL(18,2))) AS DOUBLE) AS ask_sum,
-  CAST(sum(CAST(bid AS DECIMAL(18,2))) AS DOUBLE) / count(bid) AS bid_avg,
-  CAST(sum(CAST(ask AS DECIMAL(18,2))) AS DOUBLE) / count(ask) AS ask_avg,
-  count(bid) AS bid_n, count(ask) AS ask_n, count(*) AS records"""
+PRICE_SQL = """round(sum(bid), 5) AS bid_sum, round(sum(ask), 5) AS ask_sum, round(avg(bid), 5) AS bid_avg,
+  round(avg(ask), 5) AS ask_avg, count(bid) AS bid_n, count(ask) AS ask_n, count(*) AS records"""
 
 
-def cents(prices):
-    """Sums of doubles as the whole cents they stand for, and the averages of those."""
-    sums = prices.withColumns({c: F.round(c, 2) for c in ("bid_sum", "ask_sum")})
-    return sums.withColumns({f"{c}_avg": F.col(f"{c}_sum") / F.col(f"{c}_n") for c in ("bid", "ask")})
+def compared(df):
+    """Sums and averages of doubles to five digits on either side: what is compared does not depend on
+    the order of addition.  The operators do not round."""
+    return df.withColumns({c: F.round(c, 5) for c, kind in df.dtypes if kind == "double"})
 
 
-@query(LOG + f""" SELECT topic, time_bucket(INTERVAL 1 HOUR, ts) AS window_start,
+def in_sevenths(sql: str) -> str:
+    """The same log with bids of more than two digits."""
+    return sql.replace("THEN value END AS bid", "THEN value / 7 END AS bid")
+
+
+def sevenths(spark, d):
+    return topics.event_log(spark, d).withColumn("bid", F.col("bid") / 7)
+
+
+@query(in_sevenths(LOG) + f""" SELECT topic, time_bucket(INTERVAL 1 HOUR, ts) AS window_start,
   time_bucket(INTERVAL 1 HOUR, ts) + INTERVAL 1 HOUR AS window_end, {PRICE_SQL}
 FROM log GROUP BY ALL""")
 def window_agg(spark, d):
-    return cents(aggregate.price_windows(topics.event_log(spark, d), "topic", "ts", "1 hour"))
+    return compared(aggregate.price_windows(sevenths(spark, d), "topic", "ts", "1 hour"))
 
 
 @query("""SELECT l_returnflag || l_linestatus AS symbol, date_trunc('day', l_shipdate) AS window_start,
   date_trunc('day', l_shipdate) + INTERVAL 1 DAY AS window_end,
-  CAST(sum(CAST(l_extendedprice AS DECIMAL(18,2))) AS DOUBLE) AS bid_sum,
-  CAST(sum(CAST(l_quantity AS DECIMAL(18,2))) AS DOUBLE) AS ask_sum,
-  CAST(sum(CAST(l_extendedprice AS DECIMAL(18,2))) AS DOUBLE) / count(l_extendedprice) AS bid_avg,
-  CAST(sum(CAST(l_quantity AS DECIMAL(18,2))) AS DOUBLE) / count(l_quantity) AS ask_avg,
+  round(sum(l_extendedprice), 5) AS bid_sum, round(sum(l_quantity), 5) AS ask_sum,
+  round(avg(l_extendedprice), 5) AS bid_avg, round(avg(l_quantity), 5) AS ask_avg,
   count(l_extendedprice) AS bid_n, count(l_quantity) AS ask_n,
   count(*) AS records FROM lineitem GROUP BY ALL""")
 def window_agg_items(spark, d):
-    return cents(aggregate.price_windows(topics.item_log(spark, d), "symbol", "ts", "1 day"))
+    return compared(aggregate.price_windows(topics.item_log(spark, d), "symbol", "ts", "1 day"))
 
 
 FLAG_SQL = """count(*) FILTER (WHERE flag) AS flagged, count(*) AS records"""
@@ -76,9 +80,9 @@ def alerts(spark, d):
         "id", "window_start", "flagged", "share", line.alias("line"))
 
 
-@query(LOG + f" SELECT topic, {PRICE_SQL} FROM log GROUP BY topic")
+@query(in_sevenths(LOG) + f" SELECT topic, {PRICE_SQL} FROM log GROUP BY topic")
 def two_level_agg(spark, d):
-    return cents(aggregate.two_level(topics.event_log(spark, d), ["topic"], F.col("bookmark") % 16))
+    return compared(aggregate.two_level(sevenths(spark, d), ["topic"], F.col("bookmark") % 16))
 
 
 @query(LOG + " SELECT grp, count(bid) AS n FROM log GROUP BY grp")
@@ -87,9 +91,9 @@ def group_count(spark, d):
 
 
 @query("""SELECT l_returnflag || l_linestatus AS symbol,
-  CAST(sum(CAST(l_extendedprice AS DECIMAL(18,2))) AS DOUBLE) AS sum_bid,
-  CAST(sum(CAST(l_quantity AS DECIMAL(18,2))) AS DOUBLE) AS sum_ask FROM lineitem GROUP BY 1""")
+  round(sum(l_extendedprice), 2) AS sum_bid, round(sum(l_quantity), 2) AS sum_ask FROM lineitem GROUP BY 1""")
 def group_sum(spark, d):
+    # a few groups of many rows: two digits are what doubles of this size keep in any order
     sums = aggregate.group_sum(topics.item_log(spark, d), ["symbol"], ["bid", "ask"])
     return sums.withColumns({c: F.round(c, 2) for c in ("sum_bid", "sum_ask")})
 
@@ -100,9 +104,10 @@ def view_sql(source: str) -> str:
   FROM ({source}) GROUP BY grp"""
 
 
-@query(HISTORY + " " + view_sql(sql_state()))
+@query(in_sevenths(HISTORY) + f""" SELECT grp, round(sum(ask), 5) AS sum_ask, round(sum(bid), 5) AS sum_bid,
+  count(id) AS n FROM ({sql_state()}) GROUP BY grp""")
 def sow_view(spark, d):
-    return state.grouped_view(state.state_at(topics.event_log(spark, d), KEY, FIELDS))
+    return compared(state.grouped_view(state.state_at(sevenths(spark, d), KEY, FIELDS)))
 
 
 @query(HISTORY + f""", v0 AS ({view_sql(sql_state("ts < TIMESTAMP '2024-01-16'"))}),
@@ -143,4 +148,4 @@ def agg_changelog_minibatch(spark, d):
 
 def _totals():
     return {"n": F.lit(1).cast("bigint"),
-            "sum_bid": F.coalesce(aggregate.money("bid"), F.lit(0).cast("decimal(18,2)"))}
+            "sum_bid": F.coalesce(aggregate.exact("bid"), F.lit(0).cast(aggregate.AMOUNT))}

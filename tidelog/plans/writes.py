@@ -7,9 +7,10 @@ from pyspark.sql import functions as F
 from tidelog.functions import payload
 from tidelog.operators import aggregate, changes, state, write
 from tidelog.plans.registry import query
-from tidelog.plans.sqltext import HISTORY, LOG, state as sql_state
+from tidelog.plans.sqltext import EXPIRING, HISTORY, LOG, state as sql_state
 from tidelog.session import scratch_folder
 from tidelog.sources import topics
+from tidelog.streaming import sinks
 
 KEY, FIELDS = ["id"], list(topics.FIELDS)
 RECORD = ["id", *FIELDS, "bookmark"]
@@ -75,26 +76,26 @@ def sow_delete_key(spark, d):
                              deletions, KEY).select(*RECORD)
 
 
-@query(LOG + f""", doomed AS (SELECT id FROM (SELECT *,
-    row_number() OVER (PARTITION BY id ORDER BY bookmark DESC) AS rn FROM log
-    WHERE ts < {MID_SQL} AND topic <> 'click') WHERE rn = 1 AND command <> 'sow_delete' AND bid > 10),
-later AS (SELECT *, row_number() OVER (PARTITION BY id ORDER BY bookmark DESC) AS rn FROM log
-  WHERE topic <> 'click' AND (ts >= {MID_SQL} OR id NOT IN (SELECT id FROM doomed)))
-SELECT id, num, bid, ask, grp, bookmark FROM later WHERE rn = 1 AND command <> 'sow_delete'""")
+# The records that match at the middle are gone: their keys start over with the rows behind it.
+@query(HISTORY + f""", doomed AS (SELECT id FROM ({sql_state(f"ts < {MID_SQL}")}) WHERE bid > 10),
+left_over AS (SELECT * FROM log WHERE ts >= {MID_SQL} OR id NOT IN (SELECT id FROM doomed))"""
+       + HISTORY[len(LOG):].replace("FROM log", "FROM left_over").replace("epochs", "epochs2")
+       .replace("m AS (", "m2 AS (").replace("FROM m WINDOW", "FROM m2 WINDOW").replace("h AS (", "h2 AS (")
+       + " " + sql_state().replace("FROM m ", "FROM m2 "))
 def sow_delete_filter(spark, d):
-    log = topics.event_log(spark, d).filter(F.col("topic") != "click")
+    log = topics.event_log(spark, d)
     return state.delete_where(log, KEY, FIELDS, "/bid > 10", F.col("ts") < mid()).select(*RECORD)
 
 
-@query(LOG + """, keyed AS (SELECT *, CASE WHEN num % 10 = 0 THEN 'fixed' ELSE sow_key END AS key
-  FROM log WHERE topic <> 'click')
-SELECT key, id, bid, bookmark FROM (SELECT *, row_number() OVER (PARTITION BY key ORDER BY bookmark DESC) AS rn
-  FROM keyed) WHERE rn = 1 AND command <> 'sow_delete'""")
+@query(HISTORY.replace("user_id AS id,", "user_id AS id, CASE WHEN event_id % 10 = 0 THEN 'fixed' "
+                       "ELSE CAST(user_id AS VARCHAR) END AS key,", 1).replace("PARTITION BY id", "PARTITION BY key")
+       + """ SELECT key, id, m_bid AS bid, bookmark FROM (SELECT *,
+  row_number() OVER (PARTITION BY key ORDER BY bookmark DESC) AS rn FROM m) WHERE rn = 1 AND command <> 'sow_delete'""")
 def explicit_key(spark, d):
-    log = topics.event_log(spark, d).filter(F.col("topic") != "click")
+    log = topics.event_log(spark, d)
     own = F.when(F.col("num") % 10 == 0, "fixed")
     keyed = log.withColumn("key", F.coalesce(own, F.col("sow_key")))
-    return state.latest(keyed, ["key"], ["key", "id", "bid"])
+    return state.state_at(keyed, ["key"], ["id", "bid"])
 
 
 # Rows without a command of their own are published.
@@ -123,7 +124,7 @@ def topic_routing(spark, d):
     return topics.read_topics(spark, folder, routed.schema).select("topic", "bookmark", "bid", "ask")
 
 
-@query(HISTORY + """, last AS (SELECT *, row_number() OVER (PARTITION BY id ORDER BY bookmark DESC) AS rn FROM m)
+@query(EXPIRING + """, last AS (SELECT *, row_number() OVER (PARTITION BY id ORDER BY bookmark DESC) AS rn FROM m)
 SELECT id, m_num AS num, m_bid AS bid, m_ask AS ask, m_grp AS grp, bookmark, ts AS last_ts FROM last
 WHERE rn = 1 AND command <> 'sow_delete' AND (expiration_s IS NULL
   OR ts + INTERVAL 1 SECOND * expiration_s > TIMESTAMP '2024-02-01 00:00:00')""")
@@ -133,14 +134,23 @@ def sow_expiry(spark, d):
     return records.filter("NOT expired").drop("expired")
 
 
-# A first run sends what came before the middle; the second run gets everything again.
+# A first run sends what came before the middle; a second run, without the first one's checkpoint, gets
+# everything again and writes to the same table.
 @query("SELECT event_id AS bookmark, user_id % 4 AS writer, epoch_us(ts) AS micros FROM events")
 def exactly_once_resume(spark, d):
-    rows = topics.event_log(spark, d).select(
-        "bookmark", F.pmod("id", F.lit(4)).alias("writer"), F.unix_micros("ts").alias("micros"))
-    sent = rows.filter(F.col("micros") < F.unix_micros(mid()))
-    rest = write.resume_after(rows, write.high_water(sent, "writer", "micros"), "writer", "micros")
-    return sent.unionByName(rest).select("bookmark", "writer", "micros")
+    folder = scratch_folder(spark, "exactly-once")
+
+    def rows(log):
+        return log.select("bookmark", F.pmod("id", F.lit(4)).alias("writer"), F.unix_micros("ts").alias("micros"))
+
+    log = topics.event_stream(spark, d)
+    schema = rows(log).schema
+    for run, part in (("first", F.col("ts") < mid()), ("second", F.lit(True))):
+        sent = sinks.read_batches(spark, f"{folder}/rows", schema) if run == "second" else None
+        marks = None if sent is None else write.high_water(sent, "writer", "micros")
+        sinks.publish_stream(rows(log.filter(part)), f"{folder}/rows", f"{folder}/{run}", sinks.EXACTLY_ONCE,
+                             writer="writer", ts="micros", marks=marks)
+    return sinks.read_batches(spark, f"{folder}/rows", schema).select("bookmark", "writer", "micros")
 
 
 @query(LOG + " SELECT topic, count(*) AS records, CAST(sum(strlen(data)) AS BIGINT) AS bytes FROM log GROUP BY topic")

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
-from tidelog.operators.aggregate import price_windows
+from tidelog.operators.aggregate import AMOUNT, exact_text, price_windows
 from tidelog.operators.changes import deltas
 from tidelog.operators.state import fold, unfold
 from tidelog.sources.topics import FIELDS, SOW_DELETE
@@ -47,34 +47,35 @@ def window_totals(spark: SparkSession, stream: DataFrame, key: str, size: str, f
     return newest_per_key(updates, [key, "window_start", "window_end"]).drop("batch_id")
 
 
-def view_adjustments(history: DataFrame) -> DataFrame:
+def view_adjustments(history: DataFrame, amount: str = AMOUNT) -> DataFrame:
     """What each message takes from its key's old group and adds to the new one, from rows with the
     records after and before them."""
-    def amount(field: str, sign: str) -> str:
-        return f"{sign}coalesce(CAST({field} AS DECIMAL(18,2)), 0)"
+    def value(field: str, sign: str) -> str:
+        return f"CAST({sign}coalesce({exact_text(field, amount)}, 0) AS {amount})"
 
-    old = f"struct(prev_grp AS grp, {amount('prev_ask', '-')} AS ask, {amount('prev_bid', '-')} AS bid, -1 AS n)"
-    new = f"struct(grp, {amount('ask', '')} AS ask, {amount('bid', '')} AS bid, 1 AS n)"
+    old = f"struct(prev_grp AS grp, {value('prev_ask', '-')} AS ask, {value('prev_bid', '-')} AS bid, -1 AS n)"
+    new = f"struct(grp, {value('ask', '')} AS ask, {value('bid', '')} AS bid, 1 AS n)"
     return history.selectExpr(
         f"explode(array_compact(array(CASE WHEN had THEN {old} END, "
         f"CASE WHEN command <> '{SOW_DELETE}' THEN {new} END))) AS p").select("p.*")
 
 
-def continuous_view(spark: SparkSession, stream: DataFrame, folder: str) -> DataFrame:
+def continuous_view(spark: SparkSession, stream: DataFrame, folder: str, amount: str = AMOUNT) -> DataFrame:
     """Keep ``sum(ask), sum(bid), count`` by group over the keyed state.
 
     Each message retracts its key's old record from the old group and adds the new one, so the view
     is never recomputed.  Batches store their net change per group; the view is the sum of those.
+    Values that are taken back are added as ``amount``; one that does not fit is an error.
     """
 
     def net(history: DataFrame, batch_id: int) -> None:
-        totals = view_adjustments(history).groupBy("grp").agg(*map(F.expr, (
-            "CAST(sum(ask) AS DECIMAL(28,2)) AS ask", "CAST(sum(bid) AS DECIMAL(28,2)) AS bid",
+        totals = view_adjustments(history, amount).groupBy("grp").agg(*map(F.expr, (
+            f"CAST(sum(ask) AS {amount}) AS ask", f"CAST(sum(bid) AS {amount}) AS bid",
             "sum(n) AS n")))
         idempotent_append(f"{folder}/net")(totals, batch_id)
 
     carried.record_changes(stream, ["id"], list(FIELDS), folder, net)
-    schema = StructType.fromDDL("grp STRING, ask DECIMAL(28,2), bid DECIMAL(28,2), n BIGINT")
+    schema = StructType.fromDDL(f"grp STRING, ask {amount}, bid {amount}, n BIGINT")
     return (read_batches(spark, f"{folder}/net", schema).groupBy("grp")
             .agg(F.sum("ask").alias("sum_ask"), F.sum("bid").alias("sum_bid"), F.sum("n").alias("n"))
             .filter(F.col("n") > 0))

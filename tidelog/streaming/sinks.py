@@ -8,7 +8,7 @@ from contextlib import contextmanager
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
-from pyspark.sql.types import LongType, StructField, StructType
+from pyspark.sql.types import LongType, StringType, StructField, StructType
 
 from tidelog.operators.write import resume_after
 from tidelog.session import ROCKSDB_PROVIDER
@@ -48,12 +48,18 @@ def run_to_end(stream: DataFrame, *, checkpoint: str, path: str | None = None,
     return query
 
 
+def run_of(batch: DataFrame) -> str:
+    """The stream that a batch belongs to: the id that Spark keeps in its checkpoint.  A job restarted
+    from its checkpoint goes on under it; one without its checkpoint is another run."""
+    return batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId") or "none"
+
+
 def idempotent_append(path: str) -> Callable[[DataFrame, int], None]:
-    """Each batch owns the folder ``batch_id=<n>`` and replaces it, so a repeated batch leaves no
-    second copy."""
+    """Each batch owns the folder ``run_id=<run>/batch_id=<n>`` and replaces it: a repeated batch leaves
+    no second copy, and no run touches what another one wrote."""
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        batch.write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
+        batch.write.mode("overwrite").parquet(f"{path}/run_id={run_of(batch)}/batch_id={batch_id}")
 
     return write
 
@@ -88,11 +94,16 @@ def publish_stream(stream: DataFrame, path: str, checkpoint: str, guarantee: str
     """Run outgoing rows into a table under a delivery guarantee.
 
     Exactly once names the writer and its strictly increasing time; ``marks`` holds the last sent
-    time per writer when a job is restored without its checkpoint.
+    time per writer when a job is restored without its checkpoint.  They are kept beside the new
+    checkpoint, so that a restart of this run still skips what was sent before it.
     """
     if guarantee == EXACTLY_ONCE:
         if not (writer and ts):
             raise ValueError("exactly once needs a writer and a time column")
+        if marks is not None:
+            kept = f"{checkpoint.rstrip('/')}-marks"
+            marks.write.mode("ignore").parquet(kept)
+            marks = marks.sparkSession.read.schema(marks.schema).parquet(kept)
         each = resuming_append(path, writer, ts, marks)
     elif guarantee in (NONE, AT_LEAST_ONCE):
         each = plain_append(path)
@@ -102,9 +113,9 @@ def publish_stream(stream: DataFrame, path: str, checkpoint: str, guarantee: str
 
 
 def read_batches(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
-    """All rows of an idempotent sink, with the batch that wrote them."""
-    tagged = StructType([*schema.fields, StructField("batch_id", LongType())])
-    return spark.read.schema(tagged).parquet(path)
+    """All rows of an idempotent sink, of all its runs, with the batch that wrote them."""
+    tagged = StructType([*schema.fields, StructField("run_id", StringType()), StructField("batch_id", LongType())])
+    return spark.read.schema(tagged).parquet(path).drop("run_id")
 
 
 def newest_per_key(updates: DataFrame, keys: list[str], order: str = "batch_id") -> DataFrame:
