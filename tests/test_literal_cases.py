@@ -285,7 +285,7 @@ def test_queue_redelivery_after_abort(spark):
     log = make_log(spark, [("publish", 1, "1", 1), ("publish", 2, "2", 2)])
     ledger = spark.createDataFrame([(0, 1, 1, START, "cancel", 0), (1, 1, 2, START, "ack", 0)], LEDGER)
     done = F.lit(2)
-    again = queue.redeliveries(log, ledger, done)
+    again = queue.redeliveries(log, ledger, done, F.lit(START + timedelta(seconds=1)))
     assert rows(again, "id", "next_delivery") == [(1, 2)]
     assert queue.pending_at_most_once(log, ledger).collect() == []
     assert rows(queue.pending(log, queue.acknowledged(ledger, done)), "id") == [(1,)]

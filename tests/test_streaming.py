@@ -48,8 +48,8 @@ def test_latest_state(spark, topic):
 def test_view(spark, topic):
     got = jobs.continuous_view(spark, stream(spark, topic), scratch_folder(spark, "t"))
     want = state.grouped_view(state.state_at(topic[0], ["id"], FIELDS))
-    same(got.selectExpr("grp", "double(sum_ask) a", "double(sum_bid) b", "n"),
-         want.selectExpr("grp", "coalesce(double(sum_ask), 0) a", "coalesce(double(sum_bid), 0) b", "n"))
+    same(got.selectExpr("grp", "round(double(sum_ask), 6) a", "round(double(sum_bid), 6) b", "n"),
+         want.selectExpr("grp", "round(coalesce(sum_ask, 0), 6) a", "round(coalesce(sum_bid, 0), 6) b", "n"))
 
 
 def test_deltas(spark, topic):

@@ -12,9 +12,11 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tidelog.functions.payload import to_json_text
 from tidelog.functions.positions import is_range, upto
 from tidelog.operators import changes, read, state
 from tidelog.operators.read import Split
+from tidelog.sources.topics import SOW_DELETE
 
 # The read commands.
 SUBSCRIBE = "subscribe"
@@ -29,10 +31,13 @@ _ORDER = re.compile(r"/?([\w/]+)(?:\s+(ASC|DESC))?", re.IGNORECASE)
 
 @dataclass(frozen=True)
 class TopicRead:
-    """A read of one topic.  ``keys`` and ``fields`` name the key and payload columns of the log.
+    """A read.  ``keys`` and ``fields`` name the key and payload columns of the log.
 
-    ``bookmark`` is a start position for replays, and for reads of state the point (a time or a
-    bookmark) at which the state is taken.  ``top_n`` and ``skip_n`` apply per split.
+    ``bookmark`` is a start position for replays and deltas, and for reads of state the point (a time or
+    a bookmark) at which the state is taken.  Filters see messages in a replay and records elsewhere; a
+    split's topic and bookmark beat the read's, and its filter is added.  ``top_n``, ``skip_n`` and
+    ``order_by`` apply to replays and snapshots, per split.  Without a topic, records are kept per
+    topic and key, and the result says the topic.
     """
 
     keys: Sequence[str]
@@ -51,7 +56,7 @@ class TopicRead:
             raise ValueError(f"unknown read command {self.command!r}")
         if self.skip_n and not (self.top_n and self.command == SOW):
             raise ValueError("skip_n pages through a state query and needs top_n")
-        if self.order_by and self.command not in (SOW, SOW_AND_SUBSCRIBE):
+        if self.order_by and self.command not in (SOW, SOW_AND_SUBSCRIBE, SOW_AND_DELTA_SUBSCRIBE):
             raise ValueError("order_by orders a state query")
         if self.top_n and self.command == DELTA_SUBSCRIBE:
             raise ValueError("top_n limits replays and state queries")
@@ -65,18 +70,20 @@ class TopicRead:
         return self.top_n > 0 or self.command == SOW or all(is_range(b) for b in starts)
 
     def run(self, log: DataFrame) -> DataFrame:
-        rows = log.filter(F.col("topic") == self.topic) if self.topic else log
         if self.command == SUBSCRIBE:
-            return self._replay(log if self.splits else rows)
-        if self.command == SOW:
-            return self._state(rows)
-        point = upto(self.bookmark)
-        if self.command == DELTA_SUBSCRIBE:
-            return changes.delta_subscribe(rows, self.keys, self.fields, since=~point)
-        if self.command == SOW_AND_DELTA_SUBSCRIBE:
-            return changes.sow_and_delta_subscribe(rows, self.keys, self.fields, point)
-        return changes.sow_and_subscribe(rows, self.keys, self.fields, point,
-                                         content_filter=self.content_filter, top=self.top_n or None)
+            rows = log.filter(F.col("topic") == self.topic) if self.topic and not self.splits else log
+            return self._replay(rows)
+        # splits with the same topic and point share one pass over the log
+        groups: dict[tuple[str, str], dict[str, Split]] = {}
+        for name, split in self.splits.items():
+            at = (split.topic or self.topic or "", split.bookmark or self.bookmark)
+            groups.setdefault(at, {})[name] = Split(content_filter=split.content_filter)
+        parts = [self._records(log, topic, bookmark, splits)
+                 for (topic, bookmark), splits in (groups or {(self.topic or "", self.bookmark): {}}).items()]
+        out = parts[0]
+        for part in parts[1:]:
+            out = out.unionByName(part, allowMissingColumns=True)
+        return out
 
     def _replay(self, log: DataFrame) -> DataFrame:
         if self.splits:
@@ -86,21 +93,49 @@ class TopicRead:
         rows = read.subscribe(log, start=self.bookmark, content_filter=self.content_filter)
         return read.replay_top(rows, self.top_n) if self.top_n else rows
 
-    def _state(self, log: DataFrame) -> DataFrame:
-        records = state.state_at(log, self.keys, self.fields, upto=upto(self.bookmark),
-                                 content_filter=self.content_filter)
-        if self.splits:
-            by_filter = {i: Split(content_filter=s.content_filter) for i, s in self.splits.items()}
-            records = read.read_splits(records, by_filter)
-            if self.top_n:
-                numbered = read.top_per_split(records, self.top_n + self.skip_n, order=self._order())
-                return numbered.filter(F.col("rn") > self.skip_n).drop("rn")
-            return records
+    def _records(self, log: DataFrame, topic: str, bookmark: str, splits: Mapping[str, Split]) -> DataFrame:
+        """The snapshot, the changes behind it, or both, of one topic and point."""
+        rows = log.filter(F.col("topic") == topic) if topic else log
+        # keys of different topics are different keys
+        keys = list(self.keys) if topic or "topic" not in log.columns else ["topic", *self.keys]
+        columns = ["bookmark", "command", *keys, *self.fields]
+        tag = ["split_id"] if splits else []
+        beside = [*keys[:len(keys) - len(self.keys)], *tag]  # of a delta, which only holds the payload
+        seen = F.coalesce(upto(bookmark), F.lit(False))
+        deltas = self.command in (DELTA_SUBSCRIBE, SOW_AND_DELTA_SUBSCRIBE)
+        out = None
+        if self.command != DELTA_SUBSCRIBE:
+            records = self._split(state.state_at(rows, keys, self.fields, upto=seen), splits)
+            records = self._page(records, keys, tag)
+            if self.command == SOW:
+                return records
+            records = records.withColumn("command", F.lit(changes.SOW))
+            delta = to_json_text(*self.keys, *self.fields).alias("delta")
+            out = records.select("bookmark", "command", *self.keys, delta, *beside) if deltas \
+                else records.select(*columns, *tag)
+        changed = self._split(changes.history(rows, keys, self.fields), splits)
+        # a delta read without a position starts with the log, a snapshot without one is of all of it
+        if bookmark or self.command != DELTA_SUBSCRIBE:
+            changed = changed.filter(~seen)
+        later = changes.deltas(changed, self.keys, self.fields, beside) if deltas \
+            else changed.filter(F.col("command") != SOW_DELETE).select(*columns, *tag)
+        return later if out is None else out.unionByName(later)
+
+    def _split(self, records: DataFrame, splits: Mapping[str, Split]) -> DataFrame:
+        if splits:
+            return read.read_splits(records, splits, source_filter=self.content_filter)
+        return records.filter(read.predicate(self.content_filter))
+
+    def _page(self, records: DataFrame, keys: Sequence[str], tag: Sequence[str]) -> DataFrame:
+        order = self._order(keys)
+        if tag and self.top_n:
+            numbered = read.top_per_split(records, self.top_n + self.skip_n, order=order)
+            return numbered.filter(F.col("rn") > self.skip_n).drop("rn")
         if self.top_n:
-            return state.page(records, self._order(), self.top_n, self.skip_n)
-        return records.orderBy(*self._order()) if self.order_by else records
+            return state.page(records, order, self.top_n, self.skip_n)
+        return records.orderBy(*tag, *order) if self.order_by and self.command == SOW else records
 
-    def _order(self) -> list[Column]:
+    def _order(self, keys: Sequence[str]) -> list[Column]:
         """The order asked for, then the key, so that pages are stable."""
         wanted = []
         for part in filter(None, (p.strip() for p in self.order_by.split(","))):
@@ -110,4 +145,4 @@ class TopicRead:
             column = F.col(found.group(1).strip("/").replace("/", "."))
             down = (found.group(2) or "ASC").upper() == "DESC"
             wanted.append(column.desc() if down else column.asc())
-        return [*wanted, *[F.col(k) for k in self.keys]]
+        return [*wanted, *[F.col(k) for k in keys]]

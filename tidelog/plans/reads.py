@@ -174,18 +174,62 @@ def oof_expired(spark, d):
                                         F.lit("2024-02-01").cast("timestamp"))
 
 
-# The read command as one value: state at a point, filtered, ordered and paged per split.
-@query(HISTORY + f""", records AS ({sql_state(f"ts <= {CUT_SQL}")}),
-parts AS (SELECT 'low' AS split_id, * FROM records WHERE bid < 20
-  UNION ALL SELECT 'high', * FROM records WHERE bid >= 20)
-SELECT split_id, id, num, bid, ask, grp, bookmark FROM parts WHERE ask > 30
+# The read command as one value: each command with a filter, splits and, but for deltas, a limit per split.
+SPLITS = {"low": Split(content_filter="/bid < 20"), "high": Split(content_filter="/bid >= 20")}
+
+
+def per_split(records: str) -> str:
+    return f"""SELECT 'low' AS split_id, * FROM ({records}) WHERE bid < 20 AND ask > 30
+  UNION ALL SELECT 'high', * FROM ({records}) WHERE bid >= 20 AND ask > 30"""
+
+
+def command_read(spark, d, command: str, **more):
+    topic_read = TopicRead(KEY, FIELDS, command, topic="all", bookmark=CUT_TEXT, content_filter="/ask > 30",
+                           splits=SPLITS, **more)
+    return topic_read.run(topics.event_log(spark, d).withColumn("topic", F.lit("all")))
+
+
+@query(HISTORY + f""", records AS ({sql_state(f"ts <= {CUT_SQL}")}), parts AS ({per_split("SELECT * FROM records")})
+SELECT split_id, id, num, bid, ask, grp, bookmark FROM parts
 QUALIFY row_number() OVER (PARTITION BY split_id ORDER BY bid DESC, id) BETWEEN 4 AND 13""")
 def read_command(spark, d):
-    command = TopicRead(
-        KEY, FIELDS, "sow", bookmark=CUT_TEXT, content_filter="/ask > 30", order_by="/bid DESC",
-        top_n=10, skip_n=3,
-        splits={"low": Split(content_filter="/bid < 20"), "high": Split(content_filter="/bid >= 20")})
-    return command.run(topics.event_log(spark, d)).select("split_id", *RECORD)
+    return command_read(spark, d, "sow", order_by="/bid DESC", top_n=10, skip_n=3).select("split_id", *RECORD)
+
+
+@query(LOG + f""", parts AS ({per_split(f"SELECT * FROM log WHERE ts >= {CUT_SQL}")})
+SELECT split_id, bookmark, id FROM parts
+QUALIFY row_number() OVER (PARTITION BY split_id ORDER BY bookmark) <= 40""")
+def read_command_replay(spark, d):
+    return command_read(spark, d, "subscribe", top_n=40).select("split_id", "bookmark", "id")
+
+
+LATER_SQL = f"""later AS (SELECT bookmark, command, id, m_num AS num, m_bid AS bid, m_ask AS ask, m_grp AS grp,
+  {{delta}} AS delta FROM h WHERE NOT ts <= {CUT_SQL} AND command <> 'sow_delete')"""
+SNAPSHOT_SQL = f""", records AS ({sql_state(f"ts <= {CUT_SQL}")}),
+top AS (SELECT * FROM ({per_split("SELECT * FROM records")})
+  QUALIFY row_number() OVER (PARTITION BY split_id ORDER BY bid DESC, id) <= 10), """
+
+
+@query(HISTORY + SNAPSHOT_SQL + LATER_SQL.format(delta="''") + f""", moved AS ({per_split("SELECT * FROM later")})
+SELECT split_id, bookmark, 'sow' AS command, id, num, bid, ask, grp FROM top
+UNION ALL SELECT split_id, bookmark, command, id, num, bid, ask, grp FROM moved""")
+def read_command_sow_and_subscribe(spark, d):
+    out = command_read(spark, d, "sow_and_subscribe", order_by="/bid DESC", top_n=10)
+    return out.select("split_id", "bookmark", "command", *KEY, *FIELDS)
+
+
+@query(HISTORY + ", " + LATER_SQL.format(delta=CHANGED) + f""", moved AS ({per_split("SELECT * FROM later")})
+SELECT split_id, bookmark, command, id, delta FROM moved""")
+def read_command_delta_subscribe(spark, d):
+    return command_read(spark, d, "delta_subscribe").select("split_id", "bookmark", "command", "id", "delta")
+
+
+@query(HISTORY + SNAPSHOT_SQL + LATER_SQL.format(delta=CHANGED) + f""", moved AS ({per_split("SELECT * FROM later")})
+SELECT split_id, bookmark, 'sow' AS command, id, {WHOLE.replace("m_", "")} AS delta FROM top
+UNION ALL SELECT split_id, bookmark, command, id, delta FROM moved""")
+def read_command_sow_and_delta_subscribe(spark, d):
+    out = command_read(spark, d, "sow_and_delta_subscribe", order_by="/bid DESC", top_n=10)
+    return out.select("split_id", "bookmark", "command", "id", "delta")
 
 
 @query(LOG + " SELECT topic, bookmark, id FROM log WHERE topic IN ('purchase', 'view')")
