@@ -4,8 +4,9 @@ Benchmark items are cut into passages, whose TF-IDF rows a randomised SVD projec
 Windows of all documents are searched against the passages by cosine; what comes near is checked word by
 word: the longest common subsequence with the whole item, and whether its answer is there.
 
-Weights come from counts over all documents.  A window's cosine with any passage is at most the length
-of its part in benchmark words, so windows below the threshold by that bound alone need no projection.
+Weights come from counts over all documents.  A window's cosine with a passage adds up what its words
+give, and each word has a most that it gives to any of a group of passages: windows whose words cannot
+reach the threshold together need no projection.
 """
 
 from __future__ import annotations
@@ -31,6 +32,8 @@ WINDOW = 2 * STEP
 COUNTERS = 1 << 16
 #: Latent dimensions, and the extra ones of the random range finder.
 RANK, EXTRA = 192, 16
+#: Groups of passages that bound a window's cosine, and windows that are projected at a time.
+GROUPS, AT_ONCE = 32, 256
 #: Items whose index is searched in one pass over the documents; more items take more passes.
 BLOCK_ITEMS = 2000
 #: Least cosine of a candidate; shares of an item in the common subsequence that tell a leak, alone or
@@ -181,11 +184,16 @@ def randomized_svd(passages: DataFrame, rank: int = RANK) -> dict[int, np.ndarra
 
 @dataclass(frozen=True)
 class Index:
-    """Latent rows of the benchmark's words and passages, and what the word checks need of its items."""
+    """Latent rows of the benchmark's words and passages, and what the word checks need of its items.
+
+    ``latent`` rows carry their word's weight.  ``reach`` is the most that a word adds to the product with
+    any passage of each group.
+    """
 
     weights: np.ndarray
     terms: dict[int, int]
     latent: np.ndarray
+    reach: np.ndarray
     passages: np.ndarray
     item_of: np.ndarray
     items: list[tuple[int, list[int], list[int]]]
@@ -213,7 +221,14 @@ def build(benchmark: DataFrame, weights: np.ndarray, rank: int = RANK, id_col: s
     by_id = {item: i for i, (item, *_) in enumerate(items)}
     lengths = np.linalg.norm(projected, axis=1, keepdims=True) if len(projected) else np.ones((0, 1))
     projected = (projected / np.maximum(lengths, 1e-9)).astype(np.float32).reshape(len(found), -1)
-    return Index(weights, terms, latent, projected, np.array([by_id[r["item"]] for r in found], np.int64), items)
+    keys = np.array(list(terms), np.uint64)
+    latent = latent * weights[(keys % np.uint64(COUNTERS)).astype(np.int64)][:, None]
+    parts = np.array_split(np.arange(len(projected)), GROUPS)
+    reach = np.zeros((len(latent), GROUPS), np.float32)
+    for i in range(0, len(latent), 4096):
+        given = latent[i:i + 4096] @ projected.T
+        reach[i:i + 4096] = np.column_stack([given[:, p].max(axis=1, initial=0) for p in parts])
+    return Index(weights, terms, latent, reach, projected, np.array([by_id[r["item"]] for r in found], np.int64), items)
 
 
 def lcs_length(masks: dict[int, int], length: int, words: list[int]) -> int:
@@ -228,13 +243,26 @@ def lcs_length(masks: dict[int, int], length: int, words: list[int]) -> int:
 
 def _occurrence_before(codes: np.ndarray, doc: np.ndarray) -> np.ndarray:
     """Place of the last equal word of the same text, -1 without one."""
-    order = np.lexsort((codes, doc))
+    order = np.argsort(doc * np.int64(codes.max() + 1) + codes, kind="stable")
     before = np.full(len(codes), -1)
     same = (codes[order][1:] == codes[order][:-1]) & (doc[order][1:] == doc[order][:-1])
     before[order[1:][same]] = order[:-1][same]
     return before
 
 
+#: What rounding may take from a bound.
+SLACK = 1 - 1e-4
+
+
+def _summed(rows: np.ndarray, which: np.ndarray, group: np.ndarray, n: int) -> np.ndarray:
+    """Sums of table rows by group; groups come in order."""
+    out = np.zeros((n, rows.shape[1]), np.float32)
+    if len(which):
+        cut = np.flatnonzero(np.append(True, group[1:] != group[:-1]))
+        out[group[cut]] = np.add.reduceat(rows[which], cut, axis=0)
+    return out
+
+
 class Searcher:
     def __init__(self, index: Index):
         self.index = index
@@ -272,6 +300,7 @@ class Searcher:
         new_after = before < np.maximum(start - STEP, begins[:-1][doc])  # first in the window begun one block before
         n = first_block[-1]
         square, inside = squares[codes], known[codes] >= 0
+        gives = np.where(known >= 0, np.append(index.reach.max(axis=1), 0)[known], 0)[codes]
 
         def per_window(flags_here, flags_after, values):
             here = np.bincount(block[flags_here], values[flags_here], n)
@@ -281,26 +310,25 @@ class Searcher:
             return here + np.where(last, 0, np.append(after[1:], 0))
 
         whole = per_window(new_here, new_after, square)
-        part = per_window(new_here & inside, new_after & inside, square)
-        near = np.flatnonzero(part >= COSINE ** 2 * whole)
+        most = per_window(new_here & inside, new_after & inside, gives)
+        near = np.flatnonzero(most >= COSINE * np.sqrt(whole) * SLACK)
         block_doc = np.repeat(np.arange(len(texts)), blocks)
         out = []
-        for chunk in np.array_split(near, max(1, len(near) // 4096)):
-            if not len(chunk):
-                continue
+        for at in range(0, len(near), AT_ONCE):
+            chunk = near[at:at + AT_ONCE]
             lo = begins[:-1][block_doc[chunk]] + (chunk - first_block[:-1][block_doc[chunk]]) * STEP
             hi = np.minimum(lo + WINDOW, begins[1:][block_doc[chunk]])
+            least = COSINE * np.sqrt(whole[chunk])
+            # the words of each window, in a row, that the index knows and that are new in it
             row = np.repeat(np.arange(len(chunk)), hi - lo)
             word = np.arange(len(row)) - np.repeat(np.cumsum(hi - lo) - (hi - lo), hi - lo) + np.repeat(lo, hi - lo)
             use = inside[word] & (before[word] < lo[row])
             row, term = row[use], known[codes[word[use]]]
-            x = np.zeros((len(chunk), index.latent.shape[1]), np.float32)
-            scaled = index.latent[term] * np.sqrt(square[word[use]]).astype(np.float32)[:, None]
-            if len(row):
-                cut = np.flatnonzero(np.append(True, row[1:] != row[:-1]))
-                x[row[cut]] = np.add.reduceat(scaled, cut, axis=0)
-            cosine = (x @ index.passages.T) / np.sqrt(whole[chunk])[:, None]
-            for w, p in zip(*np.nonzero(cosine >= COSINE)):
+            may = (_summed(index.reach, term, row, len(chunk)) >= least[:, None] * SLACK).any(axis=1)
+            use = may[row]
+            x = _summed(index.latent, term[use], row[use], len(chunk))
+            product = x @ index.passages.T
+            for w, p in zip(*np.nonzero(product >= least[:, None])):
                 out.append((int(block_doc[chunk[w]]), int(lo[w]), int(hi[w]), int(index.item_of[p])))
         return keys, codes, begins, out
 
