@@ -100,10 +100,13 @@ def out_of_focus(log: DataFrame, keys: Sequence[str], fields: Sequence[str],
                  content_filter: str | Column, *, since: Column | None = None, **limits: int) -> DataFrame:
     """Rows that take a matching record out of a reader's sight, with the reason: ``deleted``, or
     ``match`` when the updated record no longer satisfies the filter.  A null predicate is no match."""
-    test = F.coalesce(predicate(content_filter), F.lit(False))
     rows = history(log, keys, fields, **limits)
-    if since is not None:
-        rows = rows.filter(since)
+    return left_sight(rows if since is None else rows.filter(since), keys, fields, content_filter)
+
+
+def left_sight(rows: DataFrame, keys: Sequence[str], fields: Sequence[str], content_filter: str | Column) -> DataFrame:
+    """Out-of-focus events of rows that have the records before and after them."""
+    test = F.coalesce(predicate(content_filter), F.lit(False))
     after = [F.col(f).alias(f"__new_{f}") for f in fields]
     rows = (rows.select("bookmark", "command", "had", *keys,
                         *after, *[F.col(f"prev_{f}").alias(f) for f in fields])

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from tidelog.operators import aggregate, read, sequence
 from tidelog.plans.registry import query
 from tidelog.plans.sequences import COIN_SQL, coin, replayed
-from tidelog.plans.sqltext import CHANGED, HISTORY, LOG, state as sql_state
+from tidelog.plans.sqltext import CHANGED, HISTORY, LOG, WHOLE, state as sql_state
 from tidelog.plans.windows import CHANGELOG_SQL, PRICE_SQL, compared, in_sevenths
 from tidelog.session import scratch_folder
 from tidelog.sources import topics
@@ -25,20 +25,20 @@ def bounded_equals_stream(spark, d):
     def found(log):
         return read.subscribe(log, content_filter="/bid > 10").select("topic", "bookmark", "bid")
 
-    stream = jobs.copy_stream(found(topics.event_stream(spark, d)), scratch_folder(spark, "bounded"))
+    stream = jobs.copy_stream(found(topics.event_parts(spark, d)), scratch_folder(spark, "bounded"))
     return (found(topics.event_log(spark, d)).withColumn("run", F.lit("batch"))
             .unionByName(stream.withColumn("run", F.lit("stream"))))
 
 
 @query(HOURLY_SQL)
 def stream_window_agg(spark, d):
-    stream = topics.event_stream(spark, d).withColumn("bid", F.col("bid") / 7)
+    stream = topics.event_parts(spark, d).withColumn("bid", F.col("bid") / 7)
     return compared(jobs.window_totals(spark, stream, "topic", "1 hour", scratch_folder(spark, "windows")))
 
 
 @query(LOG + " SELECT topic, bookmark, ts, command, data FROM log")
 def stream_passthrough(spark, d):
-    stream = topics.event_stream(spark, d).select("topic", "bookmark", "ts", "command", "data")
+    stream = topics.event_parts(spark, d).select("topic", "bookmark", "ts", "command", "data")
     return jobs.copy_stream(stream, scratch_folder(spark, "passthrough"))
 
 
@@ -57,7 +57,7 @@ def stream_resume(spark, d):
 
 @query(HISTORY + " " + sql_state())
 def stream_sow(spark, d):
-    return jobs.latest_state(spark, topics.event_stream(spark, d), KEY, FIELDS,
+    return jobs.latest_state(spark, topics.event_parts(spark, d), KEY, FIELDS,
                              scratch_folder(spark, "state"))
 
 
@@ -65,20 +65,48 @@ def stream_sow(spark, d):
   CAST(coalesce(sum(CAST(bid AS DECIMAL(18,2))), 0) AS DOUBLE) AS sum_bid, count(id) AS n
 FROM ({sql_state()}) GROUP BY grp""")
 def stream_view(spark, d):
-    return jobs.continuous_view(spark, topics.event_stream(spark, d), scratch_folder(spark, "view"))
+    return jobs.continuous_view(spark, topics.event_parts(spark, d), scratch_folder(spark, "view"))
 
 
 @query(HOURLY_SQL)
 def stream_chain(spark, d):
     folder = scratch_folder(spark, "chain")
-    first = topics.event_stream(spark, d).select("topic", "ts", (F.col("bid") / 7).alias("bid"), "ask")
+    first = topics.event_parts(spark, d).select("topic", "ts", (F.col("bid") / 7).alias("bid"), "ask")
     return compared(jobs.chain(first, "copied", folder, lambda second: jobs.window_totals(
         spark, second, "topic", "1 hour", f"{folder}/windows")))
 
 
 @query(HISTORY + f" SELECT bookmark, command, id, {CHANGED} AS delta FROM h WHERE command <> 'sow_delete'")
 def stream_delta_subscribe(spark, d):
-    return jobs.delta_stream(spark, topics.event_stream(spark, d), scratch_folder(spark, "delta"))
+    return jobs.delta_stream(spark, topics.event_parts(spark, d), scratch_folder(spark, "delta"))
+
+
+POINT = 500
+
+
+def from_point(changes: str, columns: str) -> str:
+    return HISTORY + f""" SELECT bookmark, 'sow' AS command, id, {columns} FROM ({sql_state(f"bookmark <= {POINT}")})
+UNION ALL SELECT bookmark, command, id, {changes} FROM h WHERE bookmark > {POINT} AND command <> 'sow_delete'"""
+
+
+@query(from_point("m_num, m_bid, m_ask, m_grp", "num, bid, ask, grp"))
+def stream_sow_and_subscribe(spark, d):
+    return jobs.snapshot_and_changes(spark, topics.event_parts(spark, d), FIELDS, POINT,
+                                     scratch_folder(spark, "sow-and-subscribe"))
+
+
+@query(from_point(f"{CHANGED} AS delta", f"{WHOLE.replace('m_', '')} AS delta"))
+def stream_sow_and_delta_subscribe(spark, d):
+    return jobs.snapshot_and_changes(spark, topics.event_parts(spark, d), FIELDS, POINT,
+                                     scratch_folder(spark, "sow-and-delta"), as_deltas=True)
+
+
+@query(HISTORY + """ SELECT bookmark, id, 'oof' AS command,
+  CASE command WHEN 'sow_delete' THEN 'deleted' ELSE 'match' END AS reason
+FROM h WHERE had AND p_bid > 20 AND (command = 'sow_delete' OR NOT coalesce(m_bid > 20, false))""")
+def stream_oof(spark, d):
+    return jobs.out_of_focus_stream(spark, topics.event_parts(spark, d), FIELDS, "/bid > 20",
+                                    scratch_folder(spark, "oof"))
 
 
 @query(LOG + """, src AS (SELECT id AS grp, bookmark AS pos, 1 AS n,
@@ -88,7 +116,7 @@ def stream_delta_subscribe(spark, d):
        .replace("CAST(ps AS DOUBLE)", "CAST(ps AS BIGINT)"))
 def stream_changelog(spark, d):
     amount = F.coalesce((aggregate.exact("bid", "decimal(18,2)") * 100).cast("bigint"), F.lit(0).cast("bigint"))
-    rows = topics.event_stream(spark, d).select(
+    rows = topics.event_parts(spark, d).select(
         "id", "bookmark", F.lit(1).cast("bigint").alias("n"), amount.alias("cents"))
     return jobs.changelog_stream(spark, rows, ["n", "cents"], scratch_folder(spark, "changelog"))
 
@@ -101,7 +129,7 @@ walk AS (SELECT bookmark, id, i, 'publish' AS command FROM numbered WHERE i = 1
   FROM walk w JOIN numbered n ON n.id = w.id AND n.i = w.i + 1)
 SELECT bookmark, id, command FROM walk""")
 def stream_command_chooser(spark, d):
-    rows = topics.event_stream(spark, d).select("id", "bookmark")
+    rows = topics.event_parts(spark, d).select("id", "bookmark")
     return jobs.command_stream(spark, rows, coin("bookmark"), scratch_folder(spark, "chooser"))
 
 
@@ -109,7 +137,7 @@ def stream_command_chooser(spark, d):
 def at_least_once(spark, d):
     """A writer that lost its checkpoint sends everything again; the reader drops the copies."""
     folder = scratch_folder(spark, "at-least-once")
-    stream = topics.event_stream(spark, d).select("topic", "bookmark", "id")
+    stream = topics.event_parts(spark, d).select("topic", "bookmark", "id")
     for run in ("first", "again"):
         sinks.run_to_end(stream, checkpoint=f"{folder}/{run}", each=sinks.plain_append(f"{folder}/rows"))
     stored = spark.read.schema(stream.schema).parquet(f"{folder}/rows")
@@ -120,6 +148,6 @@ def at_least_once(spark, d):
 
 @query("SELECT event_type AS topic, event_id AS bookmark, user_id AS id FROM events")
 def stream_dedup(spark, d):
-    log = replayed(topics.event_stream(spark, d).select("topic", "bookmark", "ts", "id"))
+    log = replayed(topics.event_parts(spark, d).select("topic", "bookmark", "ts", "id"))
     once = sequence.drop_replayed_stream(log, ["topic", "bookmark"], "ts", "1 hour")
     return jobs.copy_stream(once, scratch_folder(spark, "dedup")).drop("ts")

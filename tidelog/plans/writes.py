@@ -143,7 +143,7 @@ def exactly_once_resume(spark, d):
     def rows(log):
         return log.select("bookmark", F.pmod("id", F.lit(4)).alias("writer"), F.unix_micros("ts").alias("micros"))
 
-    log = topics.event_stream(spark, d)
+    log = topics.event_parts(spark, d)
     schema = rows(log).schema
     for run, part in (("first", F.col("ts") < mid()), ("second", F.lit(True))):
         sent = sinks.read_batches(spark, f"{folder}/rows", schema) if run == "second" else None

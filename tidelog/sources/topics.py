@@ -10,6 +10,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tidelog.session import scratch_folder
+
 # Message commands.
 PUBLISH = "publish"
 DELTA_PUBLISH = "delta_publish"
@@ -106,6 +108,21 @@ def event_stream(spark: SparkSession, folder: str, files_per_trigger: int | None
     return as_event_log(reader.parquet(folder))
 
 
+def event_parts(spark: SparkSession, folder: str, parts: int = 4) -> DataFrame:
+    """The same log as a stream of several micro-batches: written to the shared folder in ``parts``
+    ranges of positions, oldest first, and read one file at a time."""
+    path = scratch_folder(spark, "event-parts")
+    events = table(spark, folder, "events")
+    low, high = events.agg(F.min("event_id"), F.max("event_id")).first()
+    width = ((high or 0) - (low or 0)) // parts + 1
+    for part in range(parts):
+        first = (low or 0) + part * width
+        own = events.filter((F.col("event_id") >= first) & (F.col("event_id") < first + width))
+        own.write.mode("append").parquet(path)
+    reader = spark.readStream.schema(EVENT_SCHEMA).option("maxFilesPerTrigger", "1")
+    return as_event_log(reader.parquet(path))
+
+
 def order_log(spark: SparkSession, folder: str) -> DataFrame:
     """``orders`` as a topic of plain publishes, one message per order."""
     o = table(spark, folder, "orders")

@@ -8,10 +8,11 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
+from tidelog.functions.payload import to_json_text
 from tidelog.operators.aggregate import AMOUNT, exact_text, price_windows
-from tidelog.operators.changes import deltas
+from tidelog.operators.changes import deltas, left_sight
 from tidelog.operators.state import fold, unfold
-from tidelog.sources.topics import FIELDS, SOW_DELETE
+from tidelog.sources.topics import FIELDS, SOW, SOW_DELETE
 from tidelog.streaming import carried
 from tidelog.streaming.sinks import idempotent_append, newest_per_key, read_batches, run_to_end
 
@@ -93,6 +94,44 @@ def delta_stream(spark: SparkSession, stream: DataFrame, folder: str) -> DataFra
     return read_batches(spark, f"{folder}/deltas", schema).drop("batch_id")
 
 
+def snapshot_and_changes(spark: SparkSession, stream: DataFrame, fields: Sequence[str], point: int, folder: str, *,
+                         as_deltas: bool = False) -> DataFrame:
+    """The records after bookmark ``point`` of a stream (command ``sow``), then every later update as the
+    full record, or as field deltas."""
+    keys = ["id"]
+
+    def write(history: DataFrame, batch_id: int) -> None:
+        seen = history.filter(F.col("bookmark") <= point).select("bookmark", "command", *keys, *fields)
+        later = history.filter(F.col("bookmark") > point)
+        later = deltas(later, keys, fields) if as_deltas else later.filter(
+            F.col("command") != SOW_DELETE).select("bookmark", "command", *keys, *fields)
+        idempotent_append(f"{folder}/seen")(seen, batch_id)
+        idempotent_append(f"{folder}/later")(later, batch_id)
+
+    carried.record_changes(stream, keys, list(fields), folder, write)
+    full = StructType([stream.schema[c] for c in ("bookmark", "command", *keys, *fields)])
+    # the last row of a key up to the point holds its record
+    last = newest_per_key(read_batches(spark, f"{folder}/seen", full), keys, "bookmark").drop("batch_id")
+    snapshot = last.filter(F.col("command") != SOW_DELETE).withColumn("command", F.lit(SOW))
+    if as_deltas:
+        full = StructType.fromDDL("bookmark BIGINT, command STRING, id BIGINT, delta STRING")
+        snapshot = snapshot.select("bookmark", "command", *keys, to_json_text(*keys, *fields).alias("delta"))
+    return snapshot.unionByName(read_batches(spark, f"{folder}/later", full).drop("batch_id"))
+
+
+def out_of_focus_stream(spark: SparkSession, stream: DataFrame, fields: Sequence[str], content_filter: str,
+                        folder: str) -> DataFrame:
+    """Events of a stream that take a matching record out of a reader's sight."""
+    keys = ["id"]
+
+    def write(history: DataFrame, batch_id: int) -> None:
+        idempotent_append(f"{folder}/oof")(left_sight(history, keys, list(fields), content_filter), batch_id)
+
+    carried.record_changes(stream, keys, list(fields), folder, write)
+    schema = StructType.fromDDL("bookmark BIGINT, id BIGINT, command STRING, reason STRING")
+    return read_batches(spark, f"{folder}/oof", schema).drop("batch_id")
+
+
 def changelog_stream(spark: SparkSession, stream: DataFrame, measures: Sequence[str],
                      folder: str) -> DataFrame:
     """Changelog of running totals per ``id``, from a stream."""
