@@ -135,9 +135,11 @@ def test_gaps_rates_and_late_rows_without_keys(spark, limits):
     ends = {max(n for n in numbers if n % 2 == c) + 2 for c in (0, 1)}
     want = [g for g in gone if g not in ends]
     assert sorted(r.missing for r in sequence.missing_numbers(df, "num", 2).collect()) == want
-    blocks = sequence.missing_per_block(df, "num", 2, 10, **limits).collect()
-    assert sum(r.gaps for r in blocks) == len(want)
-    assert all(r.total == sum(1 for g in want if g // 10 <= r.block) for r in blocks)
+    arrived = sorted(numbers, key=lambda n: (n % 7, n))
+    order = spark.createDataFrame(list(enumerate(arrived)), "arrival BIGINT, num BIGINT")
+    blocks = sequence.outstanding_per_block(order, "arrival", "num", 10, **limits).collect()
+    assert {r.block: (r.highest, r.outstanding) for r in blocks} == {
+        k: (max(arrived[:10 * k]), max(arrived[:10 * k]) + 1 - 10 * k) for k in range(1, len(arrived) // 10 + 1)}
     log = make_log(spark, [("publish", i, "x", i) for i in range(23)])
     paced = read.rate_schedule(log, 5, **limits).collect()
     assert all(r.emit_second == r.bookmark // 5 for r in paced)

@@ -29,12 +29,14 @@ def missing_numbers(rows: DataFrame, number: str, splits: int) -> DataFrame:
             .join(F.broadcast(ends), "missing", "left_anti"))
 
 
-def missing_per_block(rows: DataFrame, number: str, splits: int, block: int, **limits: int) -> DataFrame:
-    """Missing numbers per block of ``block`` numbers, and the count so far."""
-    gaps = missing_numbers(rows, number, splits)
-    blocks = gaps.groupBy(whole_part(F.col("missing"), block).alias("block")).agg(
-        F.count("*").alias("gaps"))
-    return running(blocks, [], "block", sums={"total": F.col("gaps")}, **limits).drop("total__before")
+def outstanding_per_block(rows: DataFrame, order: str, number: str, block: int, first: int = 0,
+                          **limits: int) -> DataFrame:
+    """After every ``block`` arrivals: the highest number so far, and how many from ``first`` up to it
+    have not arrived yet.  Each number arrives once; an unfinished last block is not reported."""
+    seen = running(rows.select(order, number), [], order, sums={"__n": "1L"}, maxes={"__top": F.col(number)}, **limits)
+    return seen.filter(F.col("__n") % block == 0).select(
+        whole_part(F.col("__n"), block).alias("block"), F.col("__top").alias("highest"),
+        (F.col("__top") - first + 1 - F.col("__n")).alias("outstanding"))
 
 
 def every_nth(log: DataFrame, splits: Sequence[str], order: str, n: int, **limits: int) -> DataFrame:

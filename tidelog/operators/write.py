@@ -52,6 +52,12 @@ def reject_reason(rows: DataFrame, parsed: Column | None = None) -> DataFrame:
     return rows.withColumn("reject", checks)
 
 
+def split_rejects(rows: DataFrame, parsed: Column | None = None) -> tuple[DataFrame, DataFrame]:
+    """The rows that can be written, and the others with their reason, so that none is lost."""
+    judged = reject_reason(rows, parsed)
+    return judged.filter(F.col("reject").isNull()).drop("reject"), judged.filter(F.col("reject").isNotNull())
+
+
 def resume_after(rows: DataFrame, high_water: DataFrame, writer: str, ts: str) -> DataFrame:
     """Rows a restored writer still has to send: those newer than its last sent time.
 

@@ -8,7 +8,7 @@ from tidelog.operators import changes, read, state
 from tidelog.operators.command import TopicRead
 from tidelog.operators.read import Split
 from tidelog.plans.registry import query
-from tidelog.plans.sqltext import CHANGED, EXPIRING, HISTORY, LOG, WHOLE, state as sql_state
+from tidelog.plans.sqltext import CHANGED, EXPIRING, HISTORY, LOG, WHOLE, crc32, state as sql_state
 from tidelog.sources import topics
 
 KEY, FIELDS = ["id"], list(topics.FIELDS)
@@ -242,14 +242,9 @@ def split_mod(spark, d):
     return read.shard(topics.event_log(spark, d), F.col("num"), 4).select("num", "split")
 
 
-@query("SELECT user_id AS id, count(*) AS n, CAST(1 AS BIGINT) AS shards, true AS in_range "
-       "FROM events GROUP BY user_id")
+@query(f"SELECT event_id AS bookmark, user_id AS id, {crc32('CAST(user_id AS VARCHAR)')} % 4 AS split FROM events")
 def split_crc32(spark, d):
-    sharded = read.shard_by_hash(topics.event_log(spark, d), F.col("id"), 4)
-    return (sharded.groupBy("id").agg(
-        F.count("*").alias("n"), F.max("split").alias("hi"), F.min("split").alias("lo"))
-        .select("id", "n", (F.col("hi") - F.col("lo") + 1).alias("shards"),
-                F.col("lo").between(0, 3).alias("in_range")))
+    return read.shard_by_hash(topics.event_log(spark, d), F.col("id"), 4).select("bookmark", "id", "split")
 
 
 @query("SELECT 'even' AS split_id, event_id AS bookmark FROM events WHERE event_id % 2 = 0 "

@@ -57,18 +57,17 @@ def json_write(spark, d):
 
 
 @query(HISTORY + f""", messages AS (
-  SELECT 'group_begin' AS command, NULL AS id UNION ALL SELECT 'group_end', NULL
-  UNION ALL SELECT 'sow', id FROM ({sql_state("ts < TIMESTAMP '2024-01-16'")})
-  UNION ALL SELECT command, id FROM m WHERE ts >= TIMESTAMP '2024-01-16' AND command <> 'sow_delete')
+  SELECT 'group_begin' AS command, NULL AS id, NULL AS bookmark UNION ALL SELECT 'group_end', NULL, NULL
+  UNION ALL SELECT 'sow', id, bookmark FROM ({sql_state("ts < TIMESTAMP '2024-01-16'")})
+  UNION ALL SELECT command, id, bookmark FROM m WHERE ts >= TIMESTAMP '2024-01-16' AND command <> 'sow_delete')
 SELECT CASE command WHEN 'group_begin' THEN 'snapshot begins' WHEN 'group_end' THEN 'snapshot ends'
   WHEN 'sow' THEN 'snapshot: ' || id WHEN 'publish' THEN 'publish: ' || id
-  ELSE 'unexpected ' || command END AS label, count(*) AS n FROM messages GROUP BY 1
-UNION ALL SELECT 'pair ' || part, count(*) FROM messages, range(2) t(part)
-  WHERE command = 'publish' GROUP BY part""")
+  ELSE 'unexpected ' || command END AS label, coalesce(bookmark, -1) AS bookmark FROM messages
+UNION ALL SELECT 'pair ' || part, bookmark FROM messages, range(2) t(part) WHERE command = 'publish'""")
 def labelled_messages(spark, d):
     cut = F.col("ts") < F.lit("2024-01-16 00:00:00").cast("timestamp")
     log = topics.event_log(spark, d)
-    messages = changes.sow_and_subscribe(log, ["id"], FIELDS, cut).select("command", "id")
+    messages = changes.sow_and_subscribe(log, ["id"], FIELDS, cut).select("command", "id", "bookmark")
     ends = spark.createDataFrame([("group_begin",), ("group_end",)], "command STRING")
     messages = messages.unionByName(ends, allowMissingColumns=True)
     command = F.col("command")
@@ -80,8 +79,7 @@ def labelled_messages(spark, d):
     # a message may give any number of rows: a publish gives three, the rest one
     labels = F.when(command == "publish", F.array(label, F.lit("pair 0"), F.lit("pair 1"))).otherwise(
         F.array(label))
-    return messages.select(F.explode(labels).alias("label")).groupBy("label").agg(
-        F.count("*").alias("n"))
+    return messages.select(F.explode(labels).alias("label"), F.coalesce("bookmark", F.lit(-1)).alias("bookmark"))
 
 
 @query(LOG + """ SELECT bookmark, '{"id":' || id || ',"grp":"' || grp || '"}' AS data,

@@ -39,6 +39,22 @@ h AS (
   FROM m WINDOW k AS (PARTITION BY id ORDER BY bookmark))"""
 
 
+def crc32(text: str) -> str:
+    """CRC32 of an ASCII text, byte by byte: the polynomial's table is linear in the bits of its index."""
+    terms = []
+    for bit in range(8):
+        value = 1 << bit
+        for _ in range(8):
+            value = value >> 1 ^ (0xEDB88320 if value & 1 else 0)
+        terms.append(f"((xor(a, b) >> {bit}) & 1) * {value}")
+    entry = "0"
+    for term in terms:
+        entry = f"xor({entry}, {term})"
+    codes = f"list_transform(string_split({text}, ''), lambda c: CAST(ascii(c) AS BIGINT))"
+    return (f"xor(list_reduce(list_prepend(CAST(4294967295 AS BIGINT), {codes}), "
+            f"lambda a, b: xor(a >> 8, {entry})), 4294967295)")
+
+
 #: The same walk where a record that expired before a row starts anew with it.
 EXPIRING = HISTORY.replace(LOG, LOG + """, timed AS (SELECT *, coalesce(lag(command) OVER k <> 'sow_delete'
   AND lag(ts) OVER k + INTERVAL 1 SECOND * lag(expiration_s) OVER k <= ts, false) AS lapsed

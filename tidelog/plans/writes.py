@@ -103,15 +103,13 @@ def explicit_key(spark, d):
                        "UNION ALL SELECT 'signup', event_id, ts, 'publish', user_id, event_id, value, "
                        "CAST(json_extract(props, '$.k') AS DOUBLE), 'signup', false, '', '', 0, '' "
                        "FROM events WHERE event_type = 'signup')", 1)
-       + " SELECT command, count(*) AS n, max(id) AS top_id FROM "
-       "(SELECT command, id FROM log UNION ALL SELECT 'live', id FROM (" + sql_state() + ")) GROUP BY command")
+       + " SELECT command, id, bookmark FROM log UNION ALL SELECT 'live', id, bookmark FROM (" + sql_state() + ")")
 def per_row_command(spark, d):
     log = topics.event_log(spark, d)
     own = F.when(F.col("topic") != "signup", F.col("command"))
     sent = write.outgoing(log, F.col("data"), topic="any", overrides={"command": own})
-    live = state.state_at(sent, KEY, FIELDS).select(F.lit("live").alias("command"), "id")
-    return sent.select("command", "id").unionByName(live).groupBy("command").agg(
-        F.count("*").alias("n"), F.max("id").alias("top_id"))
+    live = state.state_at(sent, KEY, FIELDS).select(F.lit("live").alias("command"), "id", "bookmark")
+    return sent.select("command", "id", "bookmark").unionByName(live)
 
 
 @query(LOG + """ SELECT CASE WHEN bid > ask THEN 'falling' ELSE 'rising' END AS topic, bookmark, bid, ask
@@ -172,11 +170,11 @@ def mirror_chain(spark, d):
     return topics.read_topics(spark, f"{folder}-second", second.schema).select("bookmark", "data", "grp")
 
 
-# Broken rows: no topic, an unknown command, a bad correlation id, a payload cut short.
-@query(LOG + """ SELECT coalesce(CASE WHEN num % 11 = 0 THEN 'no topic' WHEN num % 13 = 0 THEN 'unknown command'
+# Broken rows: no topic, an unknown command, a bad correlation id, a payload cut short.  The good ones are
+# written to their topics, the others, with the reason, to a table beside them; both are read again.
+@query(LOG + """ SELECT num, coalesce(CASE WHEN num % 11 = 0 THEN 'no topic' WHEN num % 13 = 0 THEN 'unknown command'
   WHEN num % 17 = 0 THEN 'bad correlation id'
-  WHEN num % 19 = 0 AND command <> 'sow_delete' THEN 'bad payload' END, 'written') AS reject,
-  count(*) AS n, CAST(sum(num) AS BIGINT) AS total FROM log GROUP BY 1""")
+  WHEN num % 19 = 0 AND command <> 'sow_delete' THEN 'bad payload' END, 'written') AS reject FROM log""")
 def reject_rows(spark, d):
     n = F.col("num")
     rows = topics.event_log(spark, d).select(
@@ -184,6 +182,9 @@ def reject_rows(spark, d):
         F.when(n % 13 == 0, "no such").otherwise(F.col("command")).alias("command"),
         F.when(n % 17 == 0, "not/base 64!").otherwise(F.col("correlation_id")).alias("correlation_id"),
         F.when(n % 19 == 0, F.expr("left(data, 9)")).otherwise(F.col("data")).alias("data"))
-    judged = write.reject_reason(rows, payload.json_or_null("data", topics.PAYLOAD_SCHEMA))
-    return judged.groupBy(F.coalesce("reject", F.lit("written")).alias("reject")).agg(
-        F.count("*").alias("n"), F.sum("num").alias("total"))
+    folder = scratch_folder(spark, "rejects")
+    good, bad = write.split_rejects(rows, payload.json_or_null("data", topics.PAYLOAD_SCHEMA))
+    topics.append_topics(good, f"{folder}/topics")
+    bad.write.parquet(f"{folder}/rejects")
+    written = topics.read_topics(spark, f"{folder}/topics", good.schema).select("num", F.lit("written").alias("reject"))
+    return written.unionByName(spark.read.schema(bad.schema).parquet(f"{folder}/rejects").select("num", "reject"))

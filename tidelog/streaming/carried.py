@@ -6,7 +6,7 @@ table of one row per key, written by each batch into one of two alternating fold
 repeated batch reads what it read before and replaces only its own output.
 
 A batch costs its messages plus one pass over the state: give it many messages (the trigger and
-``maxBytesPerTrigger`` set how many).  For short triggers over many keys see ``stateful``.
+``maxBytesPerTrigger`` set how many).
 """
 
 from __future__ import annotations
