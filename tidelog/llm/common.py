@@ -14,7 +14,7 @@ from pyspark.sql import types as T
 from tidelog.session import scratch_folder
 
 #: Text bytes that a Python worker handles at a time.
-SLICE_BYTES = 16 << 20
+SLICE_BYTES = 6 << 20
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
