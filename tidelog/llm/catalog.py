@@ -35,7 +35,7 @@ def op2_feistel_shards(spark, folder):
     return feistel_shards.shards(table(spark, folder, "documents"))
 
 
-@query()
+@query(repetition.oracle())
 def op3_repetition(spark, folder):
     return repetition.repeated(table(spark, folder, "documents"), keep=["doc_id"])
 

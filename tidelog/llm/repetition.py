@@ -126,3 +126,40 @@ def repeated(docs: DataFrame, text_col: str = "text", keep: list[str] | None = N
     results = [long(c) for c in ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")]
     results += [boolean("base_failed"), boolean("kept"), double("ngram_share")]
     return appended(docs, [text_col], docs.columns if keep is None else keep, results, partial(_start))
+
+
+def oracle() -> str:
+    """The same results for DuckDB: n-grams are texts of words joined by a space, which no word holds."""
+    lengths = sorted({*NGRAM_SHARES, BASE_WINDOW})
+    tail = {n: f"lead(w, {n - 1}) OVER o" for n in lengths}
+    grams = ", ".join(f"CASE WHEN {tail[n]} IS NOT NULL THEN concat_ws(' ', w, "
+                      + ", ".join(f"lead(w, {k}) OVER o" for k in range(1, n)) + f") END AS g{n}" for n in lengths)
+    twice = ", ".join(f"g{n} IS NOT NULL AND count(*) OVER (PARTITION BY r, g{n}) > 1 AS t{n}" for n in lengths)
+    inside = ", ".join(f"bool_or(t{n}) OVER (PARTITION BY r ORDER BY p ROWS BETWEEN {n - 1} PRECEDING AND CURRENT ROW) AS i{n}"
+                       for n in lengths)
+    chars = ", ".join(f"coalesce(sum(c) FILTER (i{n}), 0) AS chars_{n}" for n in NGRAM_SHARES)
+    most = ", ".join(f"chars_{n}" for n in NGRAM_SHARES)
+    rules = " AND ".join([f"n_symbols <= CAST({SYMBOLS_PER_WORD} AS DOUBLE) * n_words",
+                          f"n_dup_lines <= CAST({LINE_SHARE} AS DOUBLE) * n_lines",
+                          f"dup_line_chars <= CAST({LINE_CHAR_SHARE} AS DOUBLE) * line_chars",
+                          *[f"chars_{n} <= CAST({s} AS DOUBLE) * word_chars" for n, s in NGRAM_SHARES.items()]])
+    return rf"""
+WITH texts AS (SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS text FROM documents),
+split AS (SELECT r, regexp_extract_all(text, '[^\x20\x09-\x0D]+') AS ws,
+  list_filter(string_split(text, chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS ls FROM texts),
+words AS (SELECT r, unnest(ws) AS w, unnest(range(len(ws))) AS p FROM split),
+grams AS (SELECT r, p, length(w) AS c, {grams} FROM words WINDOW o AS (PARTITION BY r ORDER BY p)),
+twice AS (SELECT r, p, c, {twice} FROM grams),
+inside AS (SELECT r, c, {inside} FROM twice),
+sums AS (SELECT r, count(*) AS n_words, sum(c) AS word_chars, count(*) FILTER (i{BASE_WINDOW}) AS n_repeat_words, {chars}
+  FROM inside GROUP BY r),
+measured AS (SELECT doc_id, coalesce(n_words, 0) AS n_words, CAST(coalesce(word_chars, 0) AS BIGINT) AS word_chars,
+  length(text) - length(regexp_replace(text, '[#*$%&|<>]', '', 'g')) AS n_symbols, len(ls) AS n_lines,
+  len(ls) - len(list_distinct(ls)) AS n_dup_lines, coalesce(list_sum(list_transform(ls, lambda x: strlen(x))), 0) AS line_chars,
+  coalesce(list_sum(list_transform(ls, lambda x: strlen(x))), 0)
+    - coalesce(list_sum(list_transform(list_distinct(ls), lambda x: strlen(x))), 0) AS dup_line_chars,
+  coalesce(n_repeat_words, 0) AS n_repeat_words, {", ".join(f"coalesce(chars_{n}, 0) AS chars_{n}" for n in NGRAM_SHARES)}
+  FROM texts JOIN split USING (r) LEFT JOIN sums USING (r)),
+judged AS (SELECT *, n_words < 20 OR 100 * n_repeat_words > 30 * n_words AS base_failed FROM measured)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, NOT base_failed AND {rules} AS kept,
+  CAST(greatest({most}) AS DOUBLE) / greatest(word_chars, 1) AS ngram_share FROM judged"""
