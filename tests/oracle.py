@@ -29,6 +29,8 @@ def database(folder: str):
 def normal(df: pd.DataFrame) -> pd.DataFrame:
     df = df[sorted(df.columns)].copy()
     for c in df.columns:
+        if pd.api.types.is_extension_array_dtype(df[c].dtype) and df[c].isna().any() and df[c].dtype.kind in "iub":
+            df[c] = df[c].astype("float64")  # as Spark hands over whole numbers with nulls
         if pd.api.types.is_datetime64_any_dtype(df[c]):
             df[c] = df[c].astype("datetime64[us]")
         elif pd.api.types.is_object_dtype(df[c]) or pd.api.types.is_string_dtype(df[c]):
