@@ -40,3 +40,13 @@ def test_stages_take_odd_rows(spark):
         kept = stage(spark, odd, DATA).count()
         assert kept == (2 if name == "simhash_near_dedup" else 3), name  # null and empty texts are copies
         assert stage(spark, odd.where("false"), DATA).count() == 0
+
+
+def test_run_applies_all_stages(spark):
+    small = "/root/testdata/sf0.001"
+    out = corpus_pipeline.run(spark, small)
+    assert out.columns == ["doc_id", "ids", "n_tokens", "decoded"]
+    docs = table(spark, small, "documents")
+    for _, stage in corpus_pipeline.STAGES:
+        docs = stage(spark, docs, small)
+    assert sorted(map(str, out.collect())) == sorted(map(str, docs.collect()))

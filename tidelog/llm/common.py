@@ -33,6 +33,12 @@ def checkpointed(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
+def forget(spark: SparkSession, folder: str) -> None:
+    """Delete a folder that this session wrote and no longer reads."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def slices(batch: pa.RecordBatch, text: int | None) -> Iterator[pa.RecordBatch]:
     """Parts of a batch with about SLICE_BYTES of text each; a longer text is a part of its own."""
     if text is None or not batch.num_rows:

@@ -23,7 +23,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidelog.llm.common import checkpointed, column, slices
+from tidelog.llm.common import checkpointed, column, forget, slices
 from tidelog.session import scratch_folder
 
 #: Payload bytes of an archive before compression.
@@ -277,4 +277,5 @@ def archived(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", ht
     arc, warc = scratch_folder(spark, "arc"), scratch_folder(spark, "warc")
     write_arc(pages.select(column(id_col).alias("page_id"), column(url_col).alias("url"), column(html_col).alias("html")), arc)
     convert(spark, arc, warc)
+    forget(spark, arc)
     return read_warc(spark, warc)
