@@ -155,6 +155,18 @@ def test_gaps_rates_and_late_rows_without_keys(spark, limits):
     assert {r.bookmark for r in late} == want_late
 
 
+@pytest.mark.parametrize("places", [
+    "CASE WHEN id = 0 THEN 0L ELSE 1000000000000 + id END",  # one early message
+    "(id div 500) * 1000000000 + id % 500"])  # bursts
+def test_bursts_and_outliers_are_cut_too(spark, places):
+    df = spark.range(3000).selectExpr("1 AS key", f"{places} AS pos").union(spark.sql("SELECT 1, -1L"))
+    tagged = split_hot_keys(df, ["key"], "pos", hot=100, width=50)
+    sizes = [r["count"] for r in tagged.groupBy("key", SEGMENT).count().collect()]
+    assert max(sizes) <= 101
+    out = sorted(running_row_number(df, ["key"], "pos", "rn", hot=100, width=50).collect(), key=lambda r: r.pos)
+    assert [r.rn for r in out] == list(range(1, 3002))
+
+
 @pytest.mark.parametrize("spacing", [1, 1_000_000_007])
 def test_segments_hold_their_share_at_any_spacing(spark, spacing):
     df = spark.range(3000).selectExpr("id % 3 AS key", f"id * {spacing}L AS pos").union(

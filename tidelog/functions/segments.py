@@ -27,6 +27,9 @@ HOT = 1 << 20
 #: Rows per segment of a hot key, on average.
 WIDTH = 1 << 16
 
+#: Room for the parts of a stretch that is cut again.
+PARTS = 1 << 20
+
 SEGMENT, _HOT, _LEAD = "__segment", "__hot", "__lead"
 
 
@@ -40,8 +43,10 @@ def split_hot_keys(df: DataFrame, keys: Sequence[str], order: str, *, hot: int =
     """Tag each row with its segment: 0 for a cold key, a stretch of the key's order range for a hot
     one, as long as holds ``width`` of its rows on average (positions may be dense or sparse).
 
-    Negative positions come before all messages and do not count towards the range.  Without keys
-    the whole frame is one sequence, cut into ``width`` positions each.
+    Negative positions come before all messages and do not count towards the range.  A stretch that
+    still holds over twice ``width`` rows (a burst, or everything but one far message) is cut again over
+    the range of its own rows.  Without keys the whole frame is one sequence, cut into ``width``
+    positions each.
     """
     if not keys:
         return df.selectExpr("*", f"true AS {_HOT}", f"`{order}` div {int(width)} AS {SEGMENT}")
@@ -53,10 +58,20 @@ def split_hot_keys(df: DataFrame, keys: Sequence[str], order: str, *, hot: int =
         f"greatest(1L, (__high - coalesce(__low, 0L) + 1) div greatest(1L, __rows div {int(width)})) AS __step")
     same = F.expr(" AND ".join(f"`{k}` <=> `__hot_{k}`" for k in keys))
     # bounded by the row count over HOT, see above
-    tagged = df.join(F.broadcast(hot_keys), same, "left")
-    return tagged.selectExpr(
+    tagged = df.join(F.broadcast(hot_keys), same, "left").selectExpr(
         *_quoted(df.columns), _HOT,
         f"CASE WHEN {_HOT} THEN (`{order}` - __low) div __step ELSE 0L END AS {SEGMENT}")
+    crowded = tagged.filter(f"{_HOT} AND `{order}` >= 0").groupBy(*keys, SEGMENT).agg(*map(F.expr, (
+        "count(1) AS __rows", f"min(`{order}`) AS __from", f"max(`{order}`) AS __upto"))).filter(
+        f"__rows > {2 * int(width)}").selectExpr(
+        *[f"`{k}` AS `__in_{k}`" for k in keys], f"{SEGMENT} AS __in", "__from",
+        f"greatest(1L, (__upto - __from + 1) div greatest(1L, __rows div {int(width)})) AS __part")
+    inside = F.expr(" AND ".join([*[f"`{k}` <=> `__in_{k}`" for k in keys], f"{SEGMENT} = __in"]))
+    # fewer than the rows of hot keys over twice the width
+    return tagged.join(F.broadcast(crowded), inside, "left").selectExpr(
+        *_quoted(df.columns), _HOT,
+        f"CASE WHEN {_HOT} THEN {SEGMENT} * {PARTS} + greatest(0L, least({PARTS - 1}L, "
+        f"coalesce((`{order}` - __from) div __part, 0L))) ELSE 0L END AS {SEGMENT}")
 
 
 def running(
