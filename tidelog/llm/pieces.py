@@ -20,6 +20,8 @@ from pyspark.sql import types as T
 from tidelog.llm.common import appended, long, string
 
 MARK = "▁"
+
+
 def default_model() -> str:
     import public_tokenizers
 
@@ -40,6 +42,7 @@ class ChunkTable:
                       for i, p in enumerate(pieces)]
         self.names = [str(i) for i in range(n)]
         self.splits = self.splits and self._plain()
+
     def _plain(self) -> bool:
         """Whether the model neither normalises nor drops spaces, and marks the start of a text."""
         probe = "ﬁ a  b ① x "
