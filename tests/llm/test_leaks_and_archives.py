@@ -63,6 +63,53 @@ def test_paraphrases_odd_rows_and_blocks(spark, monkeypatch):
     assert latent.leaked(frame.where("false"), latent.indexes(frame.where("false"), bench)).count() == 0
 
 
+@pytest.mark.parametrize("count", [300, 1000, 2000])
+def test_exact_copies_of_many_items(spark, count):
+    docs = [r["text"] for r in table(spark, DATA, "documents").where("text is not null").orderBy("doc_id").collect()]
+    rnd = random.Random(count)
+    items, pool = [], [w for w in (t.split() for t in docs) if len(w) >= 80]
+    while len(items) < count:
+        words = rnd.choice(pool)
+        n, at = rnd.randint(15, 59), rnd.randrange(len(words) - 60)
+        items.append((len(items), " ".join(words[at:at + n])))
+    items.append((count, "rather short item of seven words here"))  # among words of far more weight
+    copies = []
+    for k, text in [*rnd.sample(items[:-1], 200), items[-1]]:
+        words = rnd.choice(pool)
+        at = rnd.randrange(len(words))
+        own = [f"rare{k}x{j}" for j in range(200)] if k == count else words
+        copies.append((10_000_000 + k, " ".join([*own[:at % len(own)], *text.split(), *own[at % len(own):]])))
+    frame = spark.createDataFrame(copies, "doc_id long, text string")
+    weighed = table(spark, DATA, "documents").select("doc_id", "text").unionAll(frame)
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    indexes = latent.indexes(weighed, bench)
+    found = {(r["doc_id"], r["item_id"]) for r in latent.leaked(frame, indexes).collect()}
+    lost = [d for d, _ in copies if (d, d - 10_000_000) not in found]
+    assert not lost
+
+
+def test_latent_spaces_lose_no_passage(spark):
+    rnd = random.Random(8)
+    vocabulary = [f"w{i}" for i in range(900)]
+    bench = spark.createDataFrame([(i, " ".join(rnd.choices(vocabulary, k=rnd.randint(5, 90)))) for i in range(400)],
+                                  "item_id long, text string")
+    (index,) = latent.indexes(bench, bench)
+    assert len(index.parts) > 2
+    for part in index.parts:
+        assert len(part.passages) <= latent.RANK
+    # a text that is a passage has cosine 1 with it, in the space of its part
+    number = {k: i for i, k in enumerate(index.terms)}
+    for part in index.parts:
+        for p, i in zip(part.passages[:20], part.item_of[:20]):
+            keys = index.items[i][1]
+            best = 0
+            for a, b in latent.passages_of(len(keys)):
+                rows = [part.rows[number[k]] for k in set(keys[a:b]) if part.rows[number[k]] >= 0]
+                norm = sum(float(index.weights[k % latent.COUNTERS]) ** 2 for k in set(keys[a:b])) ** 0.5
+                best = max(best, float(part.latent[rows].sum(axis=0) @ p) / norm)
+            assert best > 0.99
+
+
 def test_common_subsequence():
     rnd = random.Random(6)
     for _ in range(200):

@@ -1,8 +1,11 @@
 """Benchmark decontamination by latent semantic retrieval.
 
-Benchmark items are cut into passages, whose TF-IDF rows a randomised SVD projects to a latent space.
-Windows of all documents are searched against the passages by cosine; what comes near is checked word by
-word: the longest common subsequence with the whole item, and whether its answer is there.
+Benchmark items are cut into passages, whose TF-IDF rows a randomised SVD projects to a latent space.  A
+space is made for every part of no more passages than it has dimensions, so that no passage loses in it
+however many items there are, and all parts are searched in one pass.  Windows of all documents are
+searched against the passages by cosine, and for each passage's rarest run of words, which an exact copy
+holds whatever stands around it; what comes near is checked word by word: the longest common subsequence
+with the whole item, and whether its answer is there.
 
 Weights come from counts over all documents.  A window's cosine with a passage adds up what its words
 give, and each word has a most that it gives to any of a group of passages: windows whose words cannot
@@ -30,12 +33,16 @@ STEP = 16
 WINDOW = 2 * STEP
 #: Hashed counters of words over all documents.
 COUNTERS = 1 << 16
-#: Latent dimensions, and the extra ones of the random range finder.
+#: Latent dimensions, so the most passages of a part, and the extra ones of the random range finder.
 RANK, EXTRA = 192, 16
-#: Groups of passages that bound a window's cosine, and windows that are projected at a time.
-GROUPS, AT_ONCE = 32, 256
-#: Items whose index is searched in one pass over the documents; more items take more passes.
-BLOCK_ITEMS = 2000
+#: Groups of a part's passages that bound a window's cosine, and windows that are projected at a time.
+GROUPS, AT_ONCE = 16, 256
+#: Items, and passages, whose index is searched in one pass over the documents; more take more passes.
+BLOCK_ITEMS, BLOCK_PASSAGES = 2000, 4096
+#: Words of a run that makes a candidate; shorter items are found by their cosine alone.
+RUN = 5
+_RUN_FACTORS = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0x85EBCA77C2B2AE63,
+                         0x27D4EB2F165667C5], np.uint64)
 #: Least cosine of a candidate; shares of an item in the common subsequence that tell a leak, alone or
 #: with this share of the weight of its answer.
 COSINE, LCS, LCS_WITH_ANSWER, ANSWER = 0.40, 0.80, 0.50, 0.60
@@ -116,100 +123,95 @@ def _random_row(term: int, width: int) -> np.ndarray:
     return np.random.default_rng(term & (2 ** 64 - 1)).standard_normal(width)
 
 
-def _sum_rows(width: int, batches: Iterator[pa.RecordBatch], own=None) -> Iterator[pa.RecordBatch]:
-    """Vectors added up by key; a task holds one vector per key of its own."""
-    sums: dict[int, np.ndarray] = {}
-    for batch in batches:
-        for key, v in (own(batch) if own else zip(batch.column(0).to_pylist(), batch.column(1).to_pylist())):
-            if key in sums:
-                sums[key] += v
-            else:
-                sums[key] = np.array(v, float)
-    yield pa.RecordBatch.from_arrays(
-        [pa.array(list(sums), pa.int64()), pa.array([v.tolist() for v in sums.values()], pa.list_(pa.float64()))],
-        names=["key", "v"])
-
-
-def _range_rows(width: int, batches):
-    rows: dict[int, np.ndarray] = {}
-
-    def own(batch):
-        for terms, values in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist()):
-            for t in terms:
-                if t not in rows:
-                    rows[t] = _random_row(t, width)
-            y = sum(w * rows[t] for t, w in zip(terms, values))
-            for t, w in zip(terms, values):
-                yield t, w * y
-
-    return _sum_rows(width, batches, own)
+def randomized_svd(matrix: np.ndarray, terms: list[int], rank: int = RANK) -> np.ndarray:
+    """Right singular vectors of a part's passages, as a latent row for every term.
 
+    The range finder's random rows are decided by the terms themselves.
+    """
+    z = matrix.T @ (matrix @ np.array([_random_row(t, rank + EXTRA) for t in terms]))
+    size, turn = np.linalg.eigh(z.T @ z)
+    keep = size > size[-1] * 1e-10
+    q = z @ (turn[:, keep] / np.sqrt(size[keep]))
+    b = matrix @ q
+    _, turn = np.linalg.eigh(b.T @ b)
+    return (q @ turn[:, ::-1][:, :rank]).astype(np.float32)
 
-def _gram_rows(basis: dict[int, np.ndarray], width: int, batches):
-    def own(batch):
-        for terms, values in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist()):
-            b = sum(w * basis[t] for t, w in zip(terms, values))
-            yield from enumerate(np.outer(b, b))
 
-    return _sum_rows(width, batches, own)
+def _latent_rows(rank: int, part: pa.Table) -> pa.Table:
+    """The latent rows of a part's terms."""
+    lists, values = part.column("terms").to_pylist(), part.column("values").to_pylist()
+    terms = sorted({t for own in lists for t in own})
+    at = {t: i for i, t in enumerate(terms)}
+    matrix = np.zeros((len(lists), len(terms)))
+    for i, (own, w) in enumerate(zip(lists, values)):
+        matrix[i, [at[t] for t in own]] = w
+    rows = randomized_svd(matrix, terms, rank)
+    return pa.table({"part": pa.array([part.column("part")[0].as_py()] * len(terms), pa.int32()),
+                     "term": pa.array(terms, pa.int64()), "v": pa.array(list(rows), pa.list_(pa.float32()))})
 
 
-def randomized_svd(passages: DataFrame, rank: int = RANK) -> dict[int, np.ndarray]:
-    """Right singular vectors of the passages' matrix, as a latent row for every term.
+@dataclass(frozen=True)
+class Part:
+    """Latent rows of the words, and of at most RANK passages, with the items of these.
 
-    Tasks multiply their passages with random rows that the term itself decides, and add up A'(A W) by
-    term; a second pass adds up the small matrix of the projected passages.  The driver sees one row per
-    term of a block of items, and matrices of the rank's size.
+    ``rows`` gives the latent row of a word's number in the index, -1 without one.  ``latent`` rows carry
+    their word's weight.
     """
-    width = rank + EXTRA
-    kind = "key long, v array<double>"
-    found = (passages.mapInArrow(partial(_range_rows, width), kind).repartition("key")
-             .mapInArrow(partial(_sum_rows, width), kind).collect())
-    if not found:
-        return {}
-    found.sort(key=lambda r: r["key"])
-    z = np.array([r["v"] for r in found])
-    size, turn = np.linalg.eigh(z.T @ z)
-    keep = size > size[-1] * 1e-10
-    q = z @ (turn[:, keep] / np.sqrt(size[keep]))
-    basis = {r["key"]: row for r, row in zip(found, q)}
-    gram = np.zeros((q.shape[1], q.shape[1]))
-    for r in (passages.mapInArrow(partial(_gram_rows, basis, q.shape[1]), kind).repartition("key")
-              .mapInArrow(partial(_sum_rows, q.shape[1]), kind).collect()):
-        gram[r["key"]] = r["v"]
-    _, turn = np.linalg.eigh(gram)
-    v = (q @ turn[:, ::-1][:, :rank]).astype(np.float32)
-    return {r["key"]: row for r, row in zip(found, v)}
+
+    rows: np.ndarray
+    latent: np.ndarray
+    passages: np.ndarray
+    item_of: np.ndarray
 
 
 @dataclass(frozen=True)
 class Index:
-    """Latent rows of the benchmark's words and passages, and what the word checks need of its items.
+    """Parts of the benchmark's passages, and what the word checks need of its items.
 
-    ``latent`` rows carry their word's weight.  ``reach`` is the most that a word adds to the product with
-    any passage of each group.
+    ``reach`` is the most that a word adds to the product with any passage of each group, GROUPS a part.
+    ``runs`` has the places in ``items`` of each run of words that makes a candidate, by its hash.
     """
 
     weights: np.ndarray
     terms: dict[int, int]
-    latent: np.ndarray
     reach: np.ndarray
-    passages: np.ndarray
-    item_of: np.ndarray
+    parts: list[Part]
+    runs: dict[int, list[int]]
+    run_starts: frozenset[int]
     items: list[tuple[int, list[int], list[int]]]
 
 
+def run_hashes(keys: np.ndarray) -> np.ndarray:
+    """A hash of the RUN words that begin at every word but the last ones."""
+    n = len(keys) - RUN + 1
+    out = np.zeros(max(0, n), np.uint64)
+    if n > 0:
+        for j, factor in enumerate(_RUN_FACTORS):
+            out += keys[j:j + n] * factor
+    return out
+
+
+def rarest_runs(keys: np.ndarray, weights: np.ndarray) -> dict[int, int]:
+    """Hash and first word of the heaviest run of every passage of an item."""
+    w = weights[(keys % np.uint64(COUNTERS)).astype(np.int64)].astype(float)
+    hashes = run_hashes(keys)
+    weight = np.convolve(w, np.ones(RUN), "valid") if len(hashes) else w[:0]
+    out = {}
+    for a, b in passages_of(len(keys)):
+        if b - a >= RUN:
+            best = a + int(weight[a:b - RUN + 1].argmax())
+            out[int(hashes[best])] = int(keys[best])
+    return out
+
+
 def build(benchmark: DataFrame, weights: np.ndarray, rank: int = RANK, id_col: str = "item_id",
-          text_col: str = "text", answer_col: str | None = None) -> Index:
-    """Index one block of items (at most BLOCK_ITEMS, so that it may be sent to every task)."""
+          text_col: str = "text", answer_col: str | None = None) -> list[Index]:
+    """Index one block of items (at most BLOCK_ITEMS), so that each index may be sent to every task.
+
+    The passages of a block of long items make several indexes; an item is in one of them.
+    """
     narrow = benchmark.select(column(id_col).cast("long").alias("item"), column(text_col).alias("text"))
     passages = narrow.mapInArrow(partial(_passage_rows, weights), "item long, terms array<long>, values array<double>")
-    rows = randomized_svd(passages, rank)
-    terms = {t & (2 ** 64 - 1): i for i, t in enumerate(rows)}
-    latent = np.array(list(rows.values()), np.float32).reshape(len(rows), -1)
-    where = {t: i for i, t in enumerate(rows)}
-    found = passages.collect()
-    projected = np.array([np.array(r["values"], np.float32) @ latent[[where[t] for t in r["terms"]]] for r in found])
     items = []
     answers = column(answer_col) if answer_col else F.lit(None).cast("string")
     for item, text, answer in benchmark.select(column(id_col).cast("long"), column(text_col), answers).collect():
@@ -219,16 +221,60 @@ def build(benchmark: DataFrame, weights: np.ndarray, rank: int = RANK, id_col: s
         tail = [word_key(words[c]) for c in codes] or keys[-max(1, len(keys) // ANSWER_PART):]
         items.append((item, keys, tail))
     by_id = {item: i for i, (item, *_) in enumerate(items)}
-    lengths = np.linalg.norm(projected, axis=1, keepdims=True) if len(projected) else np.ones((0, 1))
-    projected = (projected / np.maximum(lengths, 1e-9)).astype(np.float32).reshape(len(found), -1)
-    keys = np.array(list(terms), np.uint64)
-    latent = latent * weights[(keys % np.uint64(COUNTERS)).astype(np.int64)][:, None]
-    parts = np.array_split(np.arange(len(projected)), GROUPS)
-    reach = np.zeros((len(latent), GROUPS), np.float32)
-    for i in range(0, len(latent), 4096):
-        given = latent[i:i + 4096] @ projected.T
-        reach[i:i + 4096] = np.column_stack([given[:, p].max(axis=1, initial=0) for p in parts])
-    return Index(weights, terms, latent, reach, projected, np.array([by_id[r["item"]] for r in found], np.int64), items)
+    found = sorted(((by_id[r["item"]], r["terms"], r["values"]) for r in passages.collect()), key=lambda p: p[0])
+    groups, start = [], 0
+    for i in range(1, len(found) + 1):
+        if i == len(found) or found[i][0] != found[i - 1][0]:  # behind the last passage of an item
+            if groups and i - groups[-1][0] <= BLOCK_PASSAGES:
+                groups[-1] = (groups[-1][0], i)
+            else:
+                groups.append((start, i))
+            start = i
+    return [_index(benchmark.sparkSession, found[a:b], items, weights, rank) for a, b in groups]
+
+
+def _index(spark, found: list[tuple[int, list[int], list[float]]], items, weights: np.ndarray, rank: int) -> Index:
+    of = [i for i, *_ in found]
+    held = sorted(set(of))
+    renumbered = {i: k for k, i in enumerate(held)}
+    rows = pa.table({"part": pa.array([k // rank for k in range(len(found))], pa.int32()),
+                     "terms": pa.array([t for _, t, _ in found], pa.list_(pa.int64())),
+                     "values": pa.array([v for *_, v in found], pa.list_(pa.float64()))})
+    made = (spark.createDataFrame(rows).groupBy("part")
+            .applyInArrow(lambda part: _latent_rows(rank, part), "part int, term long, v array<float>").toArrow())
+    part_of = made.column("part").to_numpy()
+    keys = made.column("term").to_numpy().view(np.uint64)
+    distinct, number = np.unique(keys, return_inverse=True)
+    vectors = made.column("v").combine_chunks()
+    widths = np.diff(vectors.offsets.to_numpy())
+    begins, flat = vectors.offsets.to_numpy(), vectors.values.to_numpy()
+    weight = weights[(distinct % np.uint64(COUNTERS)).astype(np.int64)]
+    at = {int(k): i for i, k in enumerate(distinct)}
+    parts, reach = [], []
+    for k in range(-(-len(found) // rank)):
+        own = np.flatnonzero(part_of == k)
+        width = widths[own[0]]
+        latent = np.array([flat[begins[i]:begins[i] + width] for i in own], np.float32)
+        to = np.full(len(distinct), -1, np.int32)
+        to[number[own]] = np.arange(len(own))
+        mine = found[k * rank:(k + 1) * rank]
+        projected = np.array([np.array(v, np.float32) @ latent[to[[at[t & (2 ** 64 - 1)] for t in terms]]]
+                              for _, terms, v in mine])
+        projected /= np.maximum(np.linalg.norm(projected, axis=1, keepdims=True), 1e-9)
+        latent *= weight[number[own]][:, None]
+        given = latent @ projected.T
+        most = np.zeros((len(distinct), GROUPS), np.float32)
+        most[number[own]] = np.column_stack([given[:, p].max(axis=1, initial=0)
+                                             for p in np.array_split(np.arange(len(mine)), GROUPS)])
+        reach.append(most)
+        parts.append(Part(to, latent, projected.astype(np.float32), np.array([renumbered[i] for i, *_ in mine], np.int64)))
+    runs: dict[int, list[int]] = {}
+    starts = set()
+    for i in held:
+        for run, first in rarest_runs(np.array(items[i][1], np.uint64), weights).items():
+            runs.setdefault(run, []).append(renumbered[i])
+            starts.add(first)
+    return Index(weights, at, np.hstack(reach), parts, runs, frozenset(starts), [items[i] for i in held])
 
 
 def lcs_length(masks: dict[int, int], length: int, words: list[int]) -> int:
@@ -275,7 +321,7 @@ class Searcher:
         self.weight_of = lambda k: float(index.weights[k % COUNTERS])
 
     def candidates(self, texts: list[str]):
-        """(text, window start, window end, item) of every window near a passage, and the words' keys."""
+        """(text, start, end, item) of every window near a passage and every rare run, and the words' keys."""
         index = self.index
         codes, words, begins = tokenized(texts)
         key_list = [word_key(w) for w in words]
@@ -284,7 +330,7 @@ class Searcher:
         to = np.array([number.setdefault(k, len(number)) for k in key_list], np.int64)
         keys = np.array(list(number), np.uint64)
         codes = to[codes] if len(codes) else np.zeros(0, np.int64)
-        if not len(codes) or not len(index.passages):
+        if not len(codes) or not index.parts:
             return keys, codes, begins, []
         squares = index.weights[(keys % np.uint64(COUNTERS)).astype(np.int64)].astype(np.float64) ** 2
         known = np.array([index.terms.get(int(k), -1) for k in keys], np.int64)
@@ -300,7 +346,7 @@ class Searcher:
         new_after = before < np.maximum(start - STEP, begins[:-1][doc])  # first in the window begun one block before
         n = first_block[-1]
         square, inside = squares[codes], known[codes] >= 0
-        gives = np.where(known >= 0, np.append(index.reach.max(axis=1), 0)[known], 0)[codes]
+        gives = np.where(known >= 0, np.append(index.reach.max(axis=1, initial=0), 0)[known], 0)[codes]
 
         def per_window(flags_here, flags_after, values):
             here = np.bincount(block[flags_here], values[flags_here], n)
@@ -313,7 +359,7 @@ class Searcher:
         most = per_window(new_here & inside, new_after & inside, gives)
         near = np.flatnonzero(most >= COSINE * np.sqrt(whole) * SLACK)
         block_doc = np.repeat(np.arange(len(texts)), blocks)
-        out = []
+        out = self.runs(keys, codes, doc)
         for at in range(0, len(near), AT_ONCE):
             chunk = near[at:at + AT_ONCE]
             lo = begins[:-1][block_doc[chunk]] + (chunk - first_block[:-1][block_doc[chunk]]) * STEP
@@ -324,14 +370,29 @@ class Searcher:
             word = np.arange(len(row)) - np.repeat(np.cumsum(hi - lo) - (hi - lo), hi - lo) + np.repeat(lo, hi - lo)
             use = inside[word] & (before[word] < lo[row])
             row, term = row[use], known[codes[word[use]]]
-            may = (_summed(index.reach, term, row, len(chunk)) >= least[:, None] * SLACK).any(axis=1)
-            use = may[row]
-            x = _summed(index.latent, term[use], row[use], len(chunk))
-            product = x @ index.passages.T
-            for w, p in zip(*np.nonzero(product >= least[:, None])):
-                out.append((int(block_doc[chunk[w]]), int(lo[w]), int(hi[w]), int(index.item_of[p])))
+            may = _summed(index.reach, term, row, len(chunk)) >= least[:, None] * SLACK
+            may = may.reshape(len(chunk), -1, GROUPS).any(axis=2)
+            for k in np.flatnonzero(may.any(axis=0)):
+                part = index.parts[k]
+                local = part.rows[term]
+                use = may[row, k] & (local >= 0)
+                x = _summed(part.latent, local[use], row[use], len(chunk))
+                product = x @ part.passages.T
+                for w, p in zip(*np.nonzero(product >= least[:, None])):
+                    out.append((int(block_doc[chunk[w]]), int(lo[w]), int(hi[w]), int(part.item_of[p])))
         return keys, codes, begins, out
 
+    def runs(self, keys: np.ndarray, codes: np.ndarray, doc: np.ndarray) -> list[tuple[int, int, int, int]]:
+        """(text, start, end, item) of every rare run of an item."""
+        index = self.index
+        begins = np.array([int(k) in index.run_starts for k in keys], bool)[codes]
+        at = np.flatnonzero(begins[:max(0, len(codes) - RUN + 1)])
+        at = at[doc[at] == doc[at + RUN - 1]]
+        hashes = np.zeros(len(at), np.uint64)
+        for j, factor in enumerate(_RUN_FACTORS):
+            hashes += keys[codes[at + j]] * factor
+        return [(int(doc[w]), int(w), int(w) + RUN, i) for w, h in zip(at, hashes.tolist()) for i in index.runs.get(h, ())]
+
     def leaks(self, texts: list[str]) -> list[dict[int, tuple[float, float]]]:
         """Per text: items that it holds, with their shares of common subsequence and answer."""
         keys, codes, begins, found = self.candidates(texts)
@@ -380,7 +441,7 @@ def indexes(docs: DataFrame, benchmark: DataFrame, item_col: str = "item_id", te
     items = benchmark.where(column(text_col).isNotNull() & column(item_col).isNotNull())
     count = math.ceil(items.count() / BLOCK_ITEMS)
     blocks = [items.where(F.pmod(F.xxhash64(column(item_col)), F.lit(count)) == k) for k in range(count)]
-    return [build(b, weights, id_col=item_col, text_col=text_col, answer_col=answer_col) for b in blocks]
+    return [i for b in blocks for i in build(b, weights, id_col=item_col, text_col=text_col, answer_col=answer_col)]
 
 
 def leaked(docs: DataFrame, found: list[Index], id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
