@@ -4,6 +4,7 @@ import hashlib
 import random
 import re
 
+import numpy as np
 from pyspark.sql import functions as F
 
 from tidelog.llm import skip_chain
@@ -57,6 +58,28 @@ def test_a_repeated_token_takes_the_label_of_the_marked_one():
     assert skip_chain.masked(text, every) == "Call [PHONE] now. Later [PHONE] again, version 3. and 4.0 stay."
 
 
+def test_all_of_many_repeats_take_the_label_of_the_one_marked():
+    # factors under which a shape alone says other, and similar tokens share their label
+    n = len(skip_chain.LABELS)
+    node = np.zeros((skip_chain.FEATURES, n))
+    node[0, 0] = 3.0
+    model = skip_chain.Model(node, np.zeros((n, n)), 4.0 * (2 * np.eye(n) - 1))
+    marked, bare = "+10175557713", "10175557713"
+    for before, after in ((0, 50), (50, 0), (25, 25), (0, 1)):
+        text = " was sent and then ".join([*[bare] * before, marked, *[bare] * after])
+        _, every = next(skip_chain.all_spans([text], model))
+        assert [k for *_, k in every] == ["phone"] * (before + 1 + after)
+        assert "555" not in skip_chain.masked(text, every)
+    _, every = next(skip_chain.all_spans([" and then ".join([bare] * 51)], model))
+    assert every == []
+
+
+def test_beliefs_do_not_depend_on_the_slice():
+    model = skip_chain.train(TRAINING)
+    texts = [" and ".join(["(017) 555-7713"] * 50 + ["+1 (017) 555-7713"]), *TRAINING, "version 3. and 4.0 stay " * 40, "none"]
+    assert list(skip_chain.all_spans(texts, model)) == [next(skip_chain.all_spans([t], model)) for t in texts]
+
+
 def test_documents(spark):
     texts = [None, "", "no data", "mail a@b.co twice a@b.co", "é 4111 1111 1111 1111", "x " * 20000 + "1.2.3.4", *TRAINING]
     rows = [(i, t, 1) for i, t in enumerate(texts)] + [(3, texts[3], 2), (None, "9.9.9.9", 3)]

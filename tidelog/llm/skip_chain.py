@@ -2,8 +2,10 @@
 
 Base spans come from patterns and stay as they are.  The nodes of the field are the words with a digit
 or an @; those in base spans are fixed to their kind.  Neighbouring nodes are linked, and so are distant
-nodes with the same digits or the same core, so that an unmarked repetition takes the label of the
-marked one.  Loopy message passing runs over all texts of an Arrow slice at once, in numpy.  The factors
+nodes with the same digits or the same core: each repeat with the one before it, and with the first
+marked one of each kind, so that an unmarked repetition takes the label of the marked one however many
+repetitions stand between them.  Loopy message passing runs over all texts of an Arrow slice at once, in
+numpy, and goes on in each text until its own messages settle.  The factors
 are trained piecewise: node, chain and skip factors each from the base labels of a bounded sample.
 """
 
@@ -25,8 +27,10 @@ LABELS = ("other", *KINDS)
 #: Bounds of the sample that trains the factors: documents (those of the smallest hash; of them, the ones
 #: with a digit or an @ are learned from), and bytes of a text.
 MAX_DOCS, MAX_TEXT = 8000, 1 << 16
-#: Rounds of message passing, share of the old message kept, and belief from which a span is added.
-ROUNDS, DAMPING, LEAST_BELIEF = 10, 0.3, 0.9
+#: Share of the old message kept, and belief from which a span is added.
+DAMPING, LEAST_BELIEF = 0.3, 0.9
+#: Change below which a text's messages have settled, and rounds after which those that swing are left.
+SETTLED, ROUNDS = 1e-3, 1000
 #: Digits or characters that make two tokens similar enough for a skip link.
 LEAST_KEY = 4
 
@@ -129,16 +133,21 @@ class Model:
 
 
 class Graph:
-    """Nodes, features and links of many texts."""
+    """Nodes, features and links of many texts.
+
+    ``skip`` links successive repeats, from which the skip factor is learned; ``marked`` links free repeats
+    to marked ones that ``skip`` does not reach directly.
+    """
 
     def __init__(self, texts: list[str]):
         self.base = [base_spans(t) for t in texts]
         self.spans: list[tuple[int, int]] = []
         self.doc: list[int] = []
         self.fixed: list[int] = []
-        chain, skip, on = [], [], []
+        chain, skip, marked, on = [], [], [], []
         for d, text in enumerate(texts):
             found, last, shapes = tokens(text), {}, []
+            repeats: dict[str, list[int]] = {}
             first = len(self.spans)
             kinds = [[s for s in self.base[d] if s[2] == k] for k in KINDS]
             ahead = [0] * len(KINDS)
@@ -162,10 +171,19 @@ class Graph:
                     if key in last and last[key] != first + i - 1:
                         skip.append((last[key], first + i))
                     last[key] = first + i
+                    repeats.setdefault(key, []).append(first + i)
                 self.spans.append((start, stop))
                 self.doc.append(d)
+            for own in repeats.values():
+                heads: dict[int, int] = {}  # place of the first marked repeat of each kind
+                for at, i in enumerate(own):
+                    if self.fixed[i] > 0:
+                        heads.setdefault(self.fixed[i], at)
+                marked += [(min(own[h], i), max(own[h], i)) for h in heads.values() for at, i in enumerate(own)
+                           if self.fixed[i] < 0 and (abs(at - h) > 1 or abs(own[h] - i) == 1)]
         self.chain = np.array(chain, np.int64).reshape(-1, 2)
         self.skip = np.array(skip, np.int64).reshape(-1, 2)
+        self.marked = np.array(marked, np.int64).reshape(-1, 2)
         self.rows = np.repeat(np.arange(len(on)), [sum(len(s) for s in o if s) for o in on])
         self.features = np.array([f + OWN * k for o in on for k, s in enumerate(o) if s for f in s], np.int64)
 
@@ -186,23 +204,32 @@ def beliefs(graph: Graph, model: Model) -> np.ndarray:
     unary = graph.scores(model.node)
     fixed = np.array(graph.fixed, np.int64)
     held = fixed >= 0
-    unary[held] = -30.0
+    unary[held] = -1e6  # more than all links of a node that many repeats are linked to
     unary[held, fixed[held]] = 0.0
-    links = np.concatenate([graph.chain, graph.skip])
+    links = np.concatenate([graph.chain, graph.skip, graph.marked])
     if n and len(links):
         factor = np.concatenate([np.broadcast_to(model.chain, (len(graph.chain), *model.chain.shape)),
-                                 np.broadcast_to(model.skip, (len(graph.skip), *model.skip.shape))])
+                                 np.broadcast_to(model.skip, (len(graph.skip) + len(graph.marked), *model.skip.shape))])
         # message e goes along link e, message e + m against it
         source, target = np.concatenate([links[:, 0], links[:, 1]]), np.concatenate([links[:, 1], links[:, 0]])
         factor = np.concatenate([factor, factor.transpose(0, 2, 1)])
         back = np.concatenate([np.arange(len(links)) + len(links), np.arange(len(links))])
         sent = np.zeros((len(source), len(LABELS)))
+        # each text stops by itself, so that its beliefs do not depend on the others of its slice
+        doc = np.array(graph.doc, np.int64)[source]
+        going = np.arange(len(source))
         for _ in range(ROUNDS):
             total = unary.copy()
-            np.add.at(total, target, sent)
-            new = _logsum((total[source] - sent[back])[:, :, None] + factor, 1)
+            np.add.at(total, target[going], sent[going])
+            new = _logsum((total[source[going]] - sent[back[going]])[:, :, None] + factor[going], 1)
             new -= _logsum(new, 1)[:, None]
-            sent = DAMPING * sent + (1 - DAMPING) * new
+            new = DAMPING * sent[going] + (1 - DAMPING) * new
+            change = np.zeros(graph.doc[-1] + 1)
+            np.maximum.at(change, doc[going], np.abs(new - sent[going]).max(axis=1))
+            sent[going] = new
+            going = going[change[doc[going]] >= SETTLED]
+            if not len(going):
+                break
         np.add.at(unary, target, sent)
     return np.exp(unary - _logsum(unary, 1)[:, None]) if n else unary
 
