@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidelog.llm import additive, bk_simhash, feistel_shards, latent, pieces, repetition, skip_chain, toxicity, url_filter, warc
+from tidelog.llm import (additive, bk_simhash, feistel_shards, latent, periodic, pieces, repetition, resampling, skip_chain,
+                         toxicity, url_filter, warc)
 from tidelog.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -88,3 +89,14 @@ def op9_arc_to_warc(spark, folder):
 @query()
 def op10_url_filter(spark, folder):
     return url_filter.judged(table(spark, folder, "pages"))
+
+
+@query(resampling.oracle())
+def op12_importance_resampling(spark, folder):
+    docs = table(spark, folder, "documents")
+    return resampling.resampled(docs, table(spark, folder, "benchmark"), keep=["doc_id"]).drop("n_words")
+
+
+@query()
+def op13_periodic_runs(spark, folder):
+    return periodic.digests(table(spark, folder, "documents"))
