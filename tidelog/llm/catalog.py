@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidelog.llm import (additive, bk_simhash, feistel_shards, latent, periodic, pieces, repetition, resampling, skip_chain,
-                         toxicity, url_filter, warc)
+from tidelog.llm import (additive, bk_simhash, doubling, feistel_shards, latent, periodic, pieces, repetition, resampling,
+                         skip_chain, toxicity, url_filter, warc)
 from tidelog.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -91,6 +91,12 @@ def op10_url_filter(spark, folder):
     return url_filter.judged(table(spark, folder, "pages"))
 
 
+@query(doubling.oracle())
+def op11_substring_dedup(spark, folder):
+    kept = doubling.without_repeats(table(spark, folder, "documents"), keep=["doc_id"])
+    return kept.select("doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
+
+
 @query(resampling.oracle())
 def op12_importance_resampling(spark, folder):
     docs = table(spark, folder, "documents")
