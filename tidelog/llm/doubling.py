@@ -248,7 +248,7 @@ def without_repeats(docs: DataFrame, text_col: str = "text", id_col: str = "doc_
     spark = docs.sparkSession
     rest = [c for c in keep if c != id_col]
     places = {c: f"in{i}" for i, c in enumerate(rest)}
-    rows = docs.select(column(id_col).alias("id"), F.xxhash64(column(text_col)).alias("tid"), column(text_col).alias("text"),
+    rows = docs.select(column(id_col).alias("id"), F.xxhash64(column(id_col), column(text_col)).alias("tid"), column(text_col).alias("text"),
                        *[column(c).alias(p) for c, p in places.items()])
     known = rows.where(F.col("id").isNotNull())
     folder = scratch_folder(spark, "doubling")
