@@ -11,8 +11,8 @@ from helpers import START
 from tidelog.operators import aggregate, changes, sequence, state
 from tidelog.plans.sequences import coin
 from tidelog.session import scratch_folder
-from tidelog.sources import synthetic, topics
-from tidelog.streaming import carried, jobs, sinks
+from tidelog.sources import indexed, synthetic, topics
+from tidelog.streaming import jobs, keyed, sinks
 
 FIELDS = list(topics.FIELDS)
 
@@ -53,30 +53,165 @@ def test_view(spark, topic):
 
 
 def test_deltas(spark, topic):
-    same(jobs.delta_stream(spark, stream(spark, topic), scratch_folder(spark, "t")),
+    same(jobs.delta_stream(stream(spark, topic), FIELDS, scratch_folder(spark, "t")),
          changes.delta_subscribe(topic[0], ["id"], FIELDS))
 
 
-def test_hot_keys_agree_with_the_batch(spark, topic):
-    columns = ["id", "bookmark", "command", "had", *[f"prev_{f}" for f in FIELDS], *FIELDS]
-    want = changes.history(topic[0], ["id"], FIELDS).filter("command <> 'sow_delete'").select(columns)
-    folder = scratch_folder(spark, "t")
-    carried.record_changes(stream(spark, topic), ["id"], FIELDS, folder,
-                           sinks.idempotent_append(f"{folder}/rows"), hot=3, width=50)
-    cut = sinks.read_batches(spark, f"{folder}/rows", want.schema)
-    same(cut.filter("command <> 'sow_delete'").select(columns), want)
+HISTORY = ["id", "bookmark", "command", "had", *[f"prev_{f}" for f in FIELDS], *FIELDS]
+
+
+@pytest.mark.parametrize("expires", [False, True])
+def test_record_changes_agree_with_the_batch(spark, topic, expires):
+    want = changes.history(topic[0], ["id"], FIELDS, expires=expires).select(HISTORY)
+    got = jobs.stored(keyed.record_changes(stream(spark, topic), ["id"], FIELDS, expires=expires),
+                      scratch_folder(spark, "t"))
+    if expires:  # the stream also tells of records that no later message finds gone
+        at_end = state.with_expiry(topic[0], ["id"], FIELDS).filter("expired")
+        assert want.filter("command = 'expired'").count() > 0
+        want = want.unionByName(at_end.selectExpr(
+            "id", "bookmark", "'expired' AS command", "true AS had", *[f"{f} AS prev_{f}" for f in FIELDS],
+            *[f"CASE WHEN false THEN {f} END AS {f}" for f in FIELDS]))
+    same(got.select(HISTORY), want)
+
+
+def test_state_is_read_back_after_a_restart(spark, topic):
+    log, _ = topic
+    folder = scratch_folder(spark, "restart-state")
+    for part in (F.col("bookmark") < 300, F.col("bookmark").between(300, 699), F.col("bookmark") >= 700):
+        log.filter(part).coalesce(1).write.mode("append").parquet(f"{folder}/topic")
+        rows = topics.stream_topics(spark, f"{folder}/topic", log.schema)
+        got = jobs.stored(keyed.record_changes(rows, ["id"], FIELDS), folder)
+    same(got.select(HISTORY), changes.history(log, ["id"], FIELDS).select(HISTORY))
+
+
+def written(spark, rows, folder):
+    """Log rows (command, id, num, second, expiration) as one file behind the others."""
+    full = [(i, START + timedelta(seconds=t), c, k, n, e) for i, c, k, n, t, e in rows]
+    made = spark.createDataFrame(full, TIMED)
+    made.coalesce(1).write.mode("append").parquet(folder)
+
+
+TIMED = "bookmark BIGINT, ts TIMESTAMP, command STRING, id BIGINT, num BIGINT, expiration_s INT"
+
+
+def test_an_expired_record_leaves_without_a_message_of_its_key(spark):
+    folder = scratch_folder(spark, "timers")
+    batches = [[(0, "publish", 1, 5, 0, 10), (1, "publish", 2, 6, 1, None), (2, "publish", 3, 7, 2, 0)],
+               [(3, "publish", 4, 8, 9, 100)],
+               [(4, "delta_publish", 2, None, 10, 5)],  # the clock reaches the end of key 1
+               [(5, "delta_publish", 1, None, 12, None), (6, "publish", 4, 9, 13, 1)],
+               [(7, "delta_publish", 4, None, 16, None), (8, "sow_delete", 2, None, 16, None)]]
+    for rows in batches:
+        written(spark, rows, f"{folder}/topic")
+        source = topics.stream_topics(spark, f"{folder}/topic", TIMED, files_per_trigger=1)
+        got = jobs.stored(keyed.record_changes(source, ["id"], ["num"], expires=True), folder)
+    found = {tuple(r) for r in got.select("bookmark", "id", "command", "num", "prev_num", "had").collect()}
+    assert found == {
+        (0, 1, "publish", 5, None, False), (1, 2, "publish", 6, None, False), (2, 3, "publish", 7, None, False),
+        (2, 3, "expired", None, 7, True), (3, 4, "publish", 8, None, False), (4, 2, "delta_publish", 6, 6, True),
+        (0, 1, "expired", None, 5, True), (5, 1, "delta_publish", None, None, False), (6, 4, "publish", 9, 8, True),
+        (6, 4, "expired", None, 9, True), (7, 4, "delta_publish", None, None, False),
+        (4, 2, "expired", None, 6, True), (8, 2, "sow_delete", None, None, False)}
+    log = spark.read.parquet(f"{folder}/topic")
+    same(jobs.out_of_focus_stream(topics.stream_topics(spark, f"{folder}/topic", TIMED, 1), ["num"], "/num > 5",
+                                  scratch_folder(spark, "oof"), expires=True),
+         changes.out_of_focus(log, ["id"], ["num"], "/num > 5", expires=True))
+
+
+@pytest.mark.parametrize("now, live", [(9, {1, 2, 3}), (10, {2, 3}), (12, {2})])
+def test_one_rule_of_expiry(spark, now, live):
+    rows = [(0, "publish", 1, 5, 0, 10), (1, "publish", 2, 6, 1, None), (2, "publish", 3, 7, 2, 10), (3, "publish", 2, 6, now, -1)]
+    folder = scratch_folder(spark, "rule")
+    written(spark, rows, folder)
+    log = spark.read.parquet(folder)
+    moment = F.lit(START + timedelta(seconds=now))
+    assert {r["id"] for r in state.state_at(log, ["id"], ["num"], expires=True).collect()} == live
+    assert {r["id"] for r in state.with_expiry(log, ["id"], ["num"], moment).filter("NOT expired").collect()} == live
+    grid = state.history_grid(log, ["id"], ["num"], start=moment, step_s=1, points=1, expires=True)
+    assert {r["id"] for r in grid.collect()} == live
+    left = changes.out_of_focus(log, ["id"], ["num"], "/num > 0", expires=True).collect()
+    assert {(r["id"], r["reason"]) for r in left} == {(k, "expired") for k in {1, 2, 3} - live}
+    assert {r["id"] for r in state.state_at(log, ["id"], ["num"]).collect()} == {1, 2, 3}
+
+
+# A topic with a position index.
+
+
+@pytest.fixture(scope="module")
+def blocks(spark):
+    folder = scratch_folder(spark, "blocks")
+    log = topics.event_log(spark, "/root/testdata/sf0.001").select("topic", "bookmark", "ts", "command", "id", *FIELDS)
+    for low in (0, 400, 800):
+        indexed.append(log.filter(F.col("bookmark").between(low, low + 399)), folder, 100)
+    return log, folder
+
+
+@pytest.mark.parametrize("start", ["", "0", "437", "999", "20240110T000000Z", "[20240105T000000:20240110T000000)", "(200:300]"])
+def test_reads_open_only_blocks_that_can_match(spark, blocks, start):
+    from tidelog.functions.positions import after
+
+    log, folder = blocks
+    got, want = indexed.read(spark, folder, log.schema, start), log.filter(after(start))
+    same(got, want)
+    opened = {f.split("block=")[1].split("/")[0] for f in got.select(F.input_file_name().alias("f")).distinct().toPandas()["f"]}
+    can = {r[0] for r in want.select(F.expr("string(bookmark div 100)")).distinct().collect()}
+    assert opened <= can | ({"4"} if start == "437" else set())
+    streamed = jobs.copy_stream(indexed.stream(spark, folder, log.schema, start), scratch_folder(spark, "t"))
+    same(streamed, want)
+
+
+def test_up_to_a_point(spark, blocks):
+    log, folder = blocks
+    same(indexed.read(spark, folder, log.schema, end="449"), log.filter("bookmark <= 449"))
+    same(indexed.read(spark, folder, log.schema, "100", end="20240110T000000Z"),
+         log.filter("bookmark > 100 AND ts <= TIMESTAMP '2024-01-10'"))
+
+
+def test_a_stream_behind_a_point_reads_nothing_before_it(spark, blocks):
+    log, folder = blocks
+    source = indexed.stream(spark, folder, log.schema, "499")
+    query = sinks.run_to_end(source, checkpoint=scratch_folder(spark, "c"), path=scratch_folder(spark, "rows"))
+    assert sum(p.numInputRows for p in query.recentProgress) == log.filter("bookmark >= 500").count()
+
+
+def test_a_live_tail_gives_new_messages_only(spark, blocks):
+    log, _ = blocks
+    folder, out = scratch_folder(spark, "tail"), scratch_folder(spark, "tail-out")
+    indexed.append(log.filter("bookmark < 350"), folder, 100)
+    start = indexed.newest(spark, folder)
+    assert start == "349"
+    indexed.append(log.filter("bookmark BETWEEN 350 AND 700"), folder, 100)
+    same(jobs.copy_stream(indexed.stream(spark, folder, log.schema, start), out), log.filter("bookmark BETWEEN 350 AND 700"))
+    indexed.append(log.filter("bookmark > 700"), folder, 100)
+    same(jobs.copy_stream(indexed.stream(spark, folder, log.schema, start), out), log.filter("bookmark > 349"))
+
+
+@pytest.mark.parametrize("as_deltas, top", [(False, None), (True, None), (False, 3)])
+def test_snapshot_hand_over(spark, blocks, as_deltas, top):
+    log, folder = blocks[0].withColumn("topic", F.lit("all")), scratch_folder(spark, "in-order")
+    for low in range(0, 1000, 200):
+        indexed.append(log.filter(F.col("bookmark").between(low, low + 199)), folder, 200)
+    seen = F.col("bookmark") <= 450
+    snapshot = state.state_at(indexed.read(spark, folder, log.schema, end="450"), ["id"], FIELDS)
+    got = jobs.snapshot_and_changes(snapshot, indexed.stream(spark, folder, log.schema, "450", maxFilesPerTrigger="1"), FIELDS,
+                                    scratch_folder(spark, "t"), as_deltas=as_deltas, top=top)
+    if as_deltas:
+        want = changes.sow_and_delta_subscribe(log, ["id"], FIELDS, seen)
+    else:
+        want = changes.sow_and_subscribe(log, ["id"], FIELDS, seen, top=top)
+    same(got, want)
 
 
 def test_changelog(spark, topic):
     one, cents = F.lit(1).cast("bigint"), F.coalesce((aggregate.exact("bid", "decimal(18,2)") * 100).cast("bigint"), F.lit(0).cast("bigint"))
-    got = jobs.changelog_stream(spark, stream(spark, topic).withColumns({"n": one, "cents": cents}),
+    got = jobs.changelog_stream(stream(spark, topic).withColumns({"n": one, "cents": cents}),
                                 ["n", "cents"], scratch_folder(spark, "t"))
     same(got, changes.aggregate_changelog(topic[0], ["id"], "bookmark", {"n": one, "cents": cents}))
 
 
 def test_command_memory(spark, topic):
     rows = topic[0].select("id", "bookmark")
-    got = jobs.command_stream(spark, stream(spark, topic).select("id", "bookmark"), coin("bookmark"),
+    got = jobs.command_stream(stream(spark, topic).select("id", "bookmark"), coin("bookmark"),
                               scratch_folder(spark, "t"))
     same(got, sequence.choose_commands(rows, ["id"], "bookmark", coin("bookmark")))
 

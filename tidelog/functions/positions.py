@@ -35,12 +35,28 @@ def after(position: str | None) -> Column:
     found = _RANGE.fullmatch(position)
     if found:
         opens, low, high, closes = found.groups()
-        a, from_column = _bound(low)
-        b, to_column = _bound(high)
+        a, low_name = _bound(low)
+        b, high_name = _bound(high)
+        from_column, to_column = F.col(low_name), F.col(high_name)
         return ((from_column >= a if opens == "[" else from_column > a)
                 & (to_column <= b if closes == "]" else to_column < b))
-    bound, column = _bound(position)
-    return column >= bound if _TIME.fullmatch(position) else column > bound
+    bound, name = _bound(position)
+    return F.col(name) >= bound if _TIME.fullmatch(position) else F.col(name) > bound
+
+
+def may_hold(position: str | None) -> Column:
+    """Which parts of a log can hold rows that ``after(position)`` returns, by the parts' ``least_`` and
+    ``greatest_`` bookmark and ts."""
+    if not position or position == EPOCH:
+        return F.lit(True)
+    found = _RANGE.fullmatch(position)
+    low, high = (found.group(2), found.group(3)) if found else (position, None)
+    a, name = _bound(low)
+    holds = F.col(f"greatest_{name}") >= a
+    if high:
+        b, name = _bound(high)
+        holds &= F.col(f"least_{name}") <= b
+    return holds
 
 
 def upto(position: str) -> Column:
@@ -48,13 +64,14 @@ def upto(position: str) -> Column:
     position is the whole log."""
     if not position:
         return F.lit(True)
-    bound, column = _bound(position)
-    return column <= bound
+    bound, name = _bound(position)
+    return F.col(name) <= bound
 
 
-def _bound(text: str) -> tuple[Column, Column]:
+def _bound(text: str) -> tuple[Column, str]:
+    """A position as a literal, and the name of the column it bounds."""
     if _TIME.fullmatch(text):
-        return time_literal(text), F.col("ts")
+        return time_literal(text), "ts"
     if text.isdigit():
-        return F.lit(int(text)), F.col("bookmark")
+        return F.lit(int(text)), "bookmark"
     raise ValueError(f"not a position: {text!r}")

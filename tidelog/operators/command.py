@@ -16,7 +16,7 @@ from tidelog.functions.payload import to_json_text
 from tidelog.functions.positions import is_range, upto
 from tidelog.operators import changes, read, state
 from tidelog.operators.read import Split
-from tidelog.sources.topics import SOW_DELETE
+from tidelog.sources.topics import EXPIRED, SOW_DELETE
 
 # The read commands.
 SUBSCRIBE = "subscribe"
@@ -37,7 +37,8 @@ class TopicRead:
     a bookmark) at which the state is taken.  Filters see messages in a replay and records elsewhere; a
     split's topic and bookmark beat the read's, and its filter is added.  ``top_n``, ``skip_n`` and
     ``order_by`` apply to replays and snapshots, per split.  Without a topic, records are kept per
-    topic and key, and the result says the topic.
+    topic and key, and the result says the topic.  With ``expires`` records leave ``expiration_s`` after their
+    last write, in snapshots by the newest row they show; otherwise ``expiration_s`` is not read.
     """
 
     keys: Sequence[str]
@@ -50,6 +51,7 @@ class TopicRead:
     top_n: int = 0
     skip_n: int = 0
     order_by: str = ""
+    expires: bool = False
 
     def __post_init__(self) -> None:
         if self.command not in COMMANDS:
@@ -105,7 +107,7 @@ class TopicRead:
         deltas = self.command in (DELTA_SUBSCRIBE, SOW_AND_DELTA_SUBSCRIBE)
         out = None
         if self.command != DELTA_SUBSCRIBE:
-            records = self._split(state.state_at(rows, keys, self.fields, upto=seen), splits)
+            records = self._split(state.state_at(rows, keys, self.fields, upto=seen, expires=self.expires), splits)
             records = self._page(records, keys, tag)
             if self.command == SOW:
                 return records
@@ -113,12 +115,12 @@ class TopicRead:
             delta = to_json_text(*self.keys, *self.fields).alias("delta")
             out = records.select("bookmark", "command", *self.keys, delta, *beside) if deltas \
                 else records.select(*columns, *tag)
-        changed = self._split(changes.history(rows, keys, self.fields), splits)
+        changed = self._split(changes.history(rows, keys, self.fields, expires=self.expires), splits)
         # a delta read without a position starts with the log, a snapshot without one is of all of it
         if bookmark or self.command != DELTA_SUBSCRIBE:
             changed = changed.filter(~seen)
         later = changes.deltas(changed, self.keys, self.fields, beside) if deltas \
-            else changed.filter(F.col("command") != SOW_DELETE).select(*columns, *tag)
+            else changed.filter(~F.col("command").isin(SOW_DELETE, EXPIRED)).select(*columns, *tag)
         return later if out is None else out.unionByName(later)
 
     def _split(self, records: DataFrame, splits: Mapping[str, Split]) -> DataFrame:

@@ -56,14 +56,18 @@ def unfold(folded: DataFrame, keys: Sequence[str], fields: Sequence[str],
 
 def state_at(log: DataFrame, keys: Sequence[str], fields: Sequence[str], *,
              upto: Column | None = None, content_filter: str | Column | None = None,
-             present: Mapping[str, str] | None = None) -> DataFrame:
+             present: Mapping[str, str] | None = None, expires: bool = False, now: Column | None = None) -> DataFrame:
     """The record of every live key after the rows that satisfy ``upto``.
 
     ``content_filter`` looks at the records, not at the history, so it comes after the aggregate;
-    Spark pushes only its key parts below.
+    Spark pushes only its key parts below.  With ``expires`` the rule of ``with_expiry`` holds and
+    expired records are left out; otherwise ``expiration_s`` is not read.
     """
     rows = log if upto is None else log.filter(upto)
-    records = unfold(rows.groupBy(*keys).agg(*fold(fields, present)), keys, fields)
+    if expires:
+        records = with_expiry(rows, keys, fields, now, present=present).filter("NOT expired").drop("expired", "last_ts")
+    else:
+        records = unfold(rows.groupBy(*keys).agg(*fold(fields, present)), keys, fields)
     return records.filter(predicate(content_filter))
 
 
@@ -85,40 +89,57 @@ def page(records: DataFrame, order: Sequence[Column | str], n: int, skip: int =
     return (ordered.offset(skip) if skip else ordered).limit(n)
 
 
-def expiries(log: DataFrame, keys: Sequence[str]) -> DataFrame:
+#: SQL text: rows that start a record anew where records expire.
+RESET_OR_LAPSED = f"({RESET} OR __lapsed)"
+
+
+def expiries(log: DataFrame, keys: Sequence[str], **limits: int) -> DataFrame:
     """Rows with ``__lapsed``, whether their key's record had expired when they came."""
-    before = previous(log, keys, "bookmark", {"__ts": "ts", "__exp": "expiration_s", "__cmd": "command"})
+    before = previous(log, keys, "bookmark", {"__ts": "ts", "__exp": "expiration_s", "__cmd": "command"}, **limits)
     ends = F.col("__ts") + F.make_dt_interval(secs=F.col("__exp"))
     lapsed = (F.col("__exp") >= 0) & (ends <= F.col("ts")) & (F.col("__cmd") != SOW_DELETE)
     return before.withColumn("__lapsed", F.coalesce(lapsed, F.lit(False))).drop("__ts", "__exp", "__cmd")
 
 
-def with_expiry(log: DataFrame, keys: Sequence[str], fields: Sequence[str], now: Column, *,
-                upto: Column | None = None) -> DataFrame:
-    """Live records with ``expired``, whether they have left the state at ``now``.
+def newest_time(rows: DataFrame) -> Column:
+    """The newest time of a log to the millisecond, as a scalar subquery: the clock of its expiries."""
+    return rows.agg(F.date_trunc("millisecond", F.max("ts"))).scalar()
+
+
+def with_expiry(log: DataFrame, keys: Sequence[str], fields: Sequence[str], now: Column | None = None, *,
+                upto: Column | None = None, present: Mapping[str, str] | None = None) -> DataFrame:
+    """Live records with ``expired``, whether they have left the state at ``now`` (the newest time of the
+    rows read, if not given), and ``last_ts``, the time of their last write.
 
     A record leaves ``expiration_s`` seconds after its last write; without an expiration it stays.  One
     that left before the next write of its key is gone: a partial update then starts a new record.
     """
-    rows = expiries(log if upto is None else log.filter(upto), keys)
-    folded = rows.groupBy(*keys).agg(*fold(fields, reset=f"({RESET} OR __lapsed)"), *map(F.expr, (
-        "max(ts) AS last_ts",
+    seen = log if upto is None else log.filter(upto)
+    rows = expiries(seen, keys)
+    folded = rows.groupBy(*keys).agg(*fold(fields, present, RESET_OR_LAPSED), *map(F.expr, (
+        "max_by(ts, bookmark) AS last_ts",
         "max_by(coalesce(expiration_s, -1), bookmark) AS __exp")))
     ends = F.col("last_ts") + F.make_dt_interval(secs=F.col("__exp"))
-    expired = (F.col("__exp") >= 0) & (ends <= now)
+    expired = (F.col("__exp") >= 0) & (ends <= (newest_time(seen) if now is None else now))
     return unfold(folded.withColumn("expired", expired), keys, fields, keep=["last_ts", "expired"])
 
 
 def states_at_points(log: DataFrame, keys: Sequence[str], fields: Sequence[str], first_seen: Column,
-                     points: int) -> DataFrame:
+                     points: int, *, expires: bool = False) -> DataFrame:
     """The state at each of ``points`` numbered moments, tagged ``point``, from one pass over the log.
 
     ``first_seen`` is the number of the first moment that sees a row; rows from ``points`` on (or
     null) come after all of them.  Rows are folded per key and number before anything else, so a key
-    has at most ``points`` rows in the window that carries records forward.
+    has at most ``points`` rows in the window that carries records forward.  With ``expires`` a record
+    that expired before the next write of its key is gone with that write, and ``__ends`` says when
+    the record of a point leaves (null: never); the caller leaves out what has left by then.
     """
-    folded = (log.withColumn("__cell", first_seen.cast("int")).filter(F.col("__cell") < points)
-              .groupBy(*keys, "__cell").agg(*fold(fields)))
+    rows = log.withColumn("__cell", first_seen.cast("int"))
+    ends = "CASE WHEN expiration_s >= 0 THEN ts + make_dt_interval(0, 0, 0, expiration_s) END"
+    life = [F.expr(f"max_by({ends}, bookmark) AS __ends")] if expires else []
+    reset = RESET_OR_LAPSED if expires else RESET
+    folded = ((expiries(rows, keys) if expires else rows).filter(F.col("__cell") < points)
+              .groupBy(*keys, "__cell").agg(*fold(fields, reset=reset), *life))
     so_far = Window.partitionBy(*keys).orderBy("__cell").rowsBetween(Window.unboundedPreceding, 0)
     onward = Window.partitionBy(*keys).orderBy("__cell")
     at_cell = folded.select(
@@ -126,19 +147,27 @@ def states_at_points(log: DataFrame, keys: Sequence[str], fields: Sequence[str],
         *[F.max(c).over(so_far).alias(c) for c in ("__last", "__deleted", "__reset")],
         *[F.max_by(f, f"__at_{f}").over(so_far).alias(f) for f in fields],
         *[F.max(f"__at_{f}").over(so_far).alias(f"__at_{f}") for f in fields],
+        *(["__ends"] if expires else []),  # of the last write, so not carried
         F.lead("__cell", 1, points).over(onward).alias("__next"))
     spread = at_cell.withColumn("point", F.explode(F.sequence("__cell", F.col("__next") - 1)))
-    return unfold(spread, keys, fields, keep=["point"])
+    return unfold(spread, keys, fields, keep=["point", *(["__ends"] if expires else [])])
 
 
 def history_grid(log: DataFrame, keys: Sequence[str], fields: Sequence[str], *,
-                 start: Column, step_s: int, points: int) -> DataFrame:
-    """The state at each of ``points`` moments ``start + i * step_s``, tagged ``grid_ts``."""
-    offset = (F.unix_micros("ts") - F.unix_micros(start)) / F.lit(step_s * 1_000_000)
-    records = states_at_points(log, keys, fields, F.greatest(F.ceil(offset), F.lit(0)), points)
+                 start: Column, step_s: int, points: int, expires: bool = False) -> DataFrame:
+    """The state at each of ``points`` moments ``start + i * step_s``, tagged ``grid_ts``.  With ``expires``
+    records leave as ``with_expiry`` says, by the moment's time."""
     step = F.lit(step_s * 1_000_000).cast("bigint")
+    # the first moment at or behind a row, in whole numbers
+    first_seen = -F.call_function("div", F.unix_micros(start) - F.unix_micros("ts"), step)
+    first_seen = F.when(F.col("ts") <= start, F.lit(0)).otherwise(
+        first_seen + F.when((F.unix_micros("ts") - F.unix_micros(start)) % step != 0, 1).otherwise(0))
+    records = states_at_points(log, keys, fields, first_seen, points, expires=expires)
     grid_ts = F.timestamp_micros(F.unix_micros(start) + F.col("point") * step)
-    return records.withColumn("grid_ts", grid_ts).drop("point")
+    records = records.withColumn("grid_ts", grid_ts).drop("point")
+    if expires:
+        records = records.filter("__ends IS NULL OR __ends > grid_ts").drop("__ends")
+    return records
 
 
 def grouped_view(records: DataFrame, group: str = "grp", key: str = "id") -> DataFrame:

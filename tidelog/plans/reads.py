@@ -8,7 +8,8 @@ from tidelog.operators import changes, read, state
 from tidelog.operators.command import TopicRead
 from tidelog.operators.read import Split
 from tidelog.plans.registry import query
-from tidelog.plans.sqltext import CHANGED, EXPIRING, HISTORY, LOG, WHOLE, crc32, state as sql_state
+from tidelog.plans.sqltext import (CHANGED, EXPIRING, HISTORY, LOG, OOF_EXPIRING, WHOLE, crc32,
+                                   state as sql_state)
 from tidelog.sources import topics
 
 KEY, FIELDS = ["id"], list(topics.FIELDS)
@@ -165,6 +166,39 @@ def oof_events(spark, d):
     return changes.out_of_focus(topics.event_log(spark, d), KEY, FIELDS, "/bid > 20")
 
 
+@query(OOF_EXPIRING)
+def oof_with_expiry(spark, d):
+    return changes.out_of_focus(topics.event_log(spark, d), KEY, FIELDS, "/bid > 20", expires=True)
+
+
+@query(EXPIRING + f" SELECT bookmark, command, id, {CHANGED.replace('NOT had', 'NOT had OR lapsed')} AS delta FROM h "
+       f"WHERE command <> 'sow_delete' AND NOT ts < {CUT_SQL}")
+def delta_subscribe_expiry(spark, d):
+    return changes.delta_subscribe(topics.event_log(spark, d), KEY, FIELDS, since=~cut(), expires=True)
+
+
+@query(EXPIRING + """, grid AS (
+  SELECT TIMESTAMP '2024-01-10 00:00:00' + INTERVAL 36 HOUR * i AS grid_ts FROM range(8) t(i)),
+at_point AS (SELECT m.*, grid_ts, row_number() OVER (PARTITION BY id, grid_ts ORDER BY bookmark DESC) AS rn
+  FROM m JOIN grid ON m.ts <= grid_ts)
+SELECT id, m_num AS num, m_bid AS bid, m_ask AS ask, m_grp AS grp, bookmark, grid_ts FROM at_point
+WHERE rn = 1 AND command <> 'sow_delete' AND (expiration_s IS NULL OR ts + INTERVAL 1 SECOND * expiration_s > grid_ts)""")
+def sow_history_expiry(spark, d):
+    return state.history_grid(topics.event_log(spark, d), KEY, FIELDS, points=8, step_s=36 * 3600,
+                              start=F.lit("2024-01-10 00:00:00").cast("timestamp"), expires=True)
+
+
+@query(EXPIRING + """ SELECT grp, sum(ask) AS sum_ask, sum(bid) AS sum_bid, count(id) AS n
+FROM (SELECT id, m_bid AS bid, m_ask AS ask, m_grp AS grp, row_number() OVER (PARTITION BY id ORDER BY bookmark DESC) AS rn,
+  command, ts, expiration_s FROM m) WHERE rn = 1 AND command <> 'sow_delete' AND (expiration_s IS NULL
+  OR ts + INTERVAL 1 SECOND * expiration_s > (SELECT date_trunc('milliseconds', max(ts)) FROM log)) GROUP BY grp"""
+       .replace("sum(ask)", "round(sum(ask), 5)").replace("sum(bid)", "round(sum(bid), 5)"))
+def sow_view_expiry(spark, d):
+    records = state.state_at(topics.event_log(spark, d), KEY, FIELDS, expires=True)
+    view = state.grouped_view(records)
+    return view.withColumns({c: F.round(c, 5) for c in ("sum_ask", "sum_bid")})
+
+
 @query(EXPIRING + """, last AS (SELECT *, row_number() OVER (PARTITION BY id ORDER BY bookmark DESC) AS rn FROM m)
 SELECT bookmark, id, 'oof' AS command, 'expired' AS reason FROM last
 WHERE rn = 1 AND command <> 'sow_delete' AND m_bid > 20

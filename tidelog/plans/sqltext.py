@@ -62,6 +62,15 @@ EXPIRING = HISTORY.replace(LOG, LOG + """, timed AS (SELECT *, coalesce(lag(comm
     "FILTER (WHERE command <> 'delta_publish')", "FILTER (WHERE command <> 'delta_publish' OR lapsed)").replace(
     "AS epoch FROM log)", "AS epoch FROM timed)")
 
+#: Records over 20 that leave sight: by a message, and by their time, to the newest one of the log.
+OOF_EXPIRING = EXPIRING + """, placed AS (SELECT *, lag(bookmark) OVER k AS p_bookmark,
+  row_number() OVER (PARTITION BY id ORDER BY bookmark DESC) AS rn FROM h WINDOW k AS (PARTITION BY id ORDER BY bookmark))
+SELECT bookmark, id, 'oof' AS command, CASE command WHEN 'sow_delete' THEN 'deleted' ELSE 'match' END AS reason
+FROM placed WHERE had AND NOT lapsed AND p_bid > 20 AND (command = 'sow_delete' OR NOT coalesce(m_bid > 20, false))
+UNION ALL SELECT p_bookmark, id, 'oof', 'expired' FROM placed WHERE lapsed AND p_bid > 20
+UNION ALL SELECT bookmark, id, 'oof', 'expired' FROM placed WHERE rn = 1 AND command <> 'sow_delete' AND m_bid > 20
+  AND ts + INTERVAL 1 SECOND * expiration_s <= (SELECT date_trunc('milliseconds', max(ts)) FROM log)"""
+
 
 def state(condition: str = "true") -> str:
     """The live records after the rows that satisfy a condition."""

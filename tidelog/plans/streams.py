@@ -4,13 +4,13 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tidelog.operators import aggregate, read, sequence
+from tidelog.operators import aggregate, read, sequence, state
 from tidelog.plans.registry import query
 from tidelog.plans.sequences import COIN_SQL, coin, replayed
-from tidelog.plans.sqltext import CHANGED, HISTORY, LOG, WHOLE, state as sql_state
+from tidelog.plans.sqltext import CHANGED, HISTORY, LOG, OOF_EXPIRING, WHOLE, state as sql_state
 from tidelog.plans.windows import CHANGELOG_SQL, PRICE_SQL, compared, in_sevenths
 from tidelog.session import scratch_folder
-from tidelog.sources import topics
+from tidelog.sources import indexed, topics
 from tidelog.streaming import jobs, sinks
 
 KEY, FIELDS = ["id"], list(topics.FIELDS)
@@ -78,12 +78,25 @@ def stream_chain(spark, d):
 
 @query(HISTORY + f" SELECT bookmark, command, id, {CHANGED} AS delta FROM h WHERE command <> 'sow_delete'")
 def stream_delta_subscribe(spark, d):
-    return jobs.delta_stream(spark, topics.event_parts(spark, d), scratch_folder(spark, "delta"))
+    return jobs.delta_stream(topics.event_parts(spark, d), FIELDS, scratch_folder(spark, "delta"))
 
 
 POINT = 500
 
 
+def behind_point(spark, d):
+    """The records up to the point, and the messages behind it as a stream of an indexed topic, which opens
+    no block of messages that ends before the point."""
+    folder = scratch_folder(spark, "indexed")
+    log = topics.event_log(spark, d).select(F.lit("all").alias("topic"), "bookmark", "ts", "command", *KEY, *FIELDS)
+    last = log.agg(F.max("bookmark")).first()[0] or 0
+    width = last // 5 + 1
+    for part in range(5):
+        indexed.append(log.filter(F.col("bookmark").between(part * width, (part + 1) * width - 1)), folder, width)
+    records = state.state_at(indexed.read(spark, folder, log.schema, end=str(POINT)), KEY, FIELDS)
+    return records, indexed.stream(spark, folder, log.schema, str(POINT), maxFilesPerTrigger="1")
+
+
 def from_point(changes: str, columns: str) -> str:
     return HISTORY + f""" SELECT bookmark, 'sow' AS command, id, {columns} FROM ({sql_state(f"bookmark <= {POINT}")})
 UNION ALL SELECT bookmark, command, id, {changes} FROM h WHERE bookmark > {POINT} AND command <> 'sow_delete'"""
@@ -91,22 +104,34 @@ UNION ALL SELECT bookmark, command, id, {changes} FROM h WHERE bookmark > {POINT
 
 @query(from_point("m_num, m_bid, m_ask, m_grp", "num, bid, ask, grp"))
 def stream_sow_and_subscribe(spark, d):
-    return jobs.snapshot_and_changes(spark, topics.event_parts(spark, d), FIELDS, POINT,
-                                     scratch_folder(spark, "sow-and-subscribe"))
+    return jobs.snapshot_and_changes(*behind_point(spark, d), FIELDS, scratch_folder(spark, "sow-and-subscribe"))
+
+
+@query(HISTORY + f""" SELECT bookmark, 'sow' AS command, id, num, bid, ask, grp
+FROM ({sql_state(f"bookmark <= {POINT}")} ORDER BY id LIMIT 20)
+UNION ALL SELECT bookmark, command, id, m_num, m_bid, m_ask, m_grp FROM h
+WHERE bookmark > {POINT} AND command <> 'sow_delete'""")
+def stream_sow_and_subscribe_topn(spark, d):
+    return jobs.snapshot_and_changes(*behind_point(spark, d), FIELDS, scratch_folder(spark, "sow-top"), top=20)
 
 
 @query(from_point(f"{CHANGED} AS delta", f"{WHOLE.replace('m_', '')} AS delta"))
 def stream_sow_and_delta_subscribe(spark, d):
-    return jobs.snapshot_and_changes(spark, topics.event_parts(spark, d), FIELDS, POINT,
-                                     scratch_folder(spark, "sow-and-delta"), as_deltas=True)
+    return jobs.snapshot_and_changes(*behind_point(spark, d), FIELDS, scratch_folder(spark, "sow-and-delta"),
+                                     as_deltas=True)
 
 
 @query(HISTORY + """ SELECT bookmark, id, 'oof' AS command,
   CASE command WHEN 'sow_delete' THEN 'deleted' ELSE 'match' END AS reason
 FROM h WHERE had AND p_bid > 20 AND (command = 'sow_delete' OR NOT coalesce(m_bid > 20, false))""")
 def stream_oof(spark, d):
-    return jobs.out_of_focus_stream(spark, topics.event_parts(spark, d), FIELDS, "/bid > 20",
-                                    scratch_folder(spark, "oof"))
+    return jobs.out_of_focus_stream(topics.event_parts(spark, d), FIELDS, "/bid > 20", scratch_folder(spark, "oof"))
+
+
+@query(OOF_EXPIRING)
+def stream_oof_expiry(spark, d):
+    return jobs.out_of_focus_stream(topics.event_parts(spark, d), FIELDS, "/bid > 20",
+                                    scratch_folder(spark, "oof-expiry"), expires=True)
 
 
 @query(LOG + """, src AS (SELECT id AS grp, bookmark AS pos, 1 AS n,
@@ -118,7 +143,7 @@ def stream_changelog(spark, d):
     amount = F.coalesce((aggregate.exact("bid", "decimal(18,2)") * 100).cast("bigint"), F.lit(0).cast("bigint"))
     rows = topics.event_parts(spark, d).select(
         "id", "bookmark", F.lit(1).cast("bigint").alias("n"), amount.alias("cents"))
-    return jobs.changelog_stream(spark, rows, ["n", "cents"], scratch_folder(spark, "changelog"))
+    return jobs.changelog_stream(rows, ["n", "cents"], scratch_folder(spark, "changelog"))
 
 
 @query(f"""WITH RECURSIVE numbered AS (SELECT event_id AS bookmark, user_id AS id, {COIN_SQL} AS wants,
@@ -130,7 +155,7 @@ walk AS (SELECT bookmark, id, i, 'publish' AS command FROM numbered WHERE i = 1
 SELECT bookmark, id, command FROM walk""")
 def stream_command_chooser(spark, d):
     rows = topics.event_parts(spark, d).select("id", "bookmark")
-    return jobs.command_stream(spark, rows, coin("bookmark"), scratch_folder(spark, "chooser"))
+    return jobs.command_stream(rows, coin("bookmark"), scratch_folder(spark, "chooser"))
 
 
 @query("SELECT event_id AS bookmark, user_id AS id, CAST(2 AS BIGINT) AS copies FROM events")

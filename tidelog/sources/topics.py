@@ -21,6 +21,9 @@ OOF = "oof"
 GROUP_BEGIN = "group_begin"
 GROUP_END = "group_end"
 
+#: Command of the row that an expired record leaves behind.
+EXPIRED = "expired"
+
 #: Payload fields of the event log, in payload order.
 FIELDS = ("num", "bid", "ask", "grp")
 

@@ -6,14 +6,14 @@ from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType, StructField, StructType
+from pyspark.sql.types import StructType
 
 from tidelog.functions.payload import to_json_text
 from tidelog.operators.aggregate import AMOUNT, exact_text, price_windows
 from tidelog.operators.changes import deltas, left_sight
 from tidelog.operators.state import fold, unfold
 from tidelog.sources.topics import FIELDS, SOW, SOW_DELETE
-from tidelog.streaming import carried
+from tidelog.streaming import keyed
 from tidelog.streaming.sinks import idempotent_append, newest_per_key, read_batches, run_to_end
 
 
@@ -69,84 +69,71 @@ def continuous_view(spark: SparkSession, stream: DataFrame, folder: str, amount:
     Values that are taken back are added as ``amount``; one that does not fit is an error.
     """
 
-    def net(history: DataFrame, batch_id: int) -> None:
-        totals = view_adjustments(history, amount).groupBy("grp").agg(*map(F.expr, (
+    def net(adjustments: DataFrame, batch_id: int) -> None:
+        totals = adjustments.groupBy("grp").agg(*map(F.expr, (
             f"CAST(sum(ask) AS {amount}) AS ask", f"CAST(sum(bid) AS {amount}) AS bid",
             "sum(n) AS n")))
         idempotent_append(f"{folder}/net")(totals, batch_id)
 
-    carried.record_changes(stream, ["id"], list(FIELDS), folder, net)
+    history = keyed.record_changes(stream, ["id"], list(FIELDS))
+    run_to_end(view_adjustments(history, amount), checkpoint=f"{folder}/checkpoint", each=net)
     schema = StructType.fromDDL(f"grp STRING, ask {amount}, bid {amount}, n BIGINT")
     return (read_batches(spark, f"{folder}/net", schema).groupBy("grp")
             .agg(F.sum("ask").alias("sum_ask"), F.sum("bid").alias("sum_bid"), F.sum("n").alias("n"))
             .filter(F.col("n") > 0))
 
 
-def delta_stream(spark: SparkSession, stream: DataFrame, folder: str) -> DataFrame:
-    """Field deltas of a stream as JSON: the key and the changed fields."""
-    keys = ["id"]
+def stored(stream: DataFrame, folder: str) -> DataFrame:
+    """Run a stream to its end into an idempotent sink and read that back."""
+    run_to_end(stream, checkpoint=f"{folder}/checkpoint", each=idempotent_append(f"{folder}/rows"))
+    return read_batches(stream.sparkSession, f"{folder}/rows", stream.schema).drop("batch_id")
 
-    def write(history: DataFrame, batch_id: int) -> None:
-        idempotent_append(f"{folder}/deltas")(deltas(history, keys, list(FIELDS)), batch_id)
 
-    carried.record_changes(stream, keys, list(FIELDS), folder, write)
-    schema = StructType.fromDDL("bookmark BIGINT, command STRING, id BIGINT, delta STRING")
-    return read_batches(spark, f"{folder}/deltas", schema).drop("batch_id")
+def delta_stream(stream: DataFrame, fields: Sequence[str], folder: str) -> DataFrame:
+    """Field deltas of a stream as JSON: the key and the changed fields."""
+    keys = ["id"]
+    return stored(deltas(keyed.record_changes(stream, keys, fields), keys, fields), folder)
 
 
-def snapshot_and_changes(spark: SparkSession, stream: DataFrame, fields: Sequence[str], point: int, folder: str, *,
-                         as_deltas: bool = False) -> DataFrame:
-    """The records after bookmark ``point`` of a stream (command ``sow``), then every later update as the
-    full record, or as field deltas."""
-    keys = ["id"]
+def snapshot_and_changes(snapshot: DataFrame, stream: DataFrame, fields: Sequence[str], folder: str, *,
+                         as_deltas: bool = False, top: int | None = None) -> DataFrame:
+    """The records of a snapshot (command ``sow``), then every update of a stream that starts behind it, as
+    the full record or as field deltas.
 
-    def write(history: DataFrame, batch_id: int) -> None:
-        seen = history.filter(F.col("bookmark") <= point).select("bookmark", "command", *keys, *fields)
-        later = history.filter(F.col("bookmark") > point)
-        later = deltas(later, keys, fields) if as_deltas else later.filter(
-            F.col("command") != SOW_DELETE).select("bookmark", "command", *keys, *fields)
-        idempotent_append(f"{folder}/seen")(seen, batch_id)
-        idempotent_append(f"{folder}/later")(later, batch_id)
-
-    carried.record_changes(stream, keys, list(fields), folder, write)
-    full = StructType([stream.schema[c] for c in ("bookmark", "command", *keys, *fields)])
-    # the last row of a key up to the point holds its record
-    last = newest_per_key(read_batches(spark, f"{folder}/seen", full), keys, "bookmark").drop("batch_id")
-    snapshot = last.filter(F.col("command") != SOW_DELETE).withColumn("command", F.lit(SOW))
+    The snapshot becomes the initial state of the stream's operator, so no earlier message is read again;
+    it is written first, so that what is handed on and what the state starts from are one and the same.
+    ``top`` limits what is handed on of it, in key order, and not what the updates are compared with.
+    """
+    keys, spark = ["id"], stream.sparkSession
+    snapshot.select("bookmark", *keys, *fields).write.mode("ignore").parquet(f"{folder}/snapshot")
+    records = spark.read.schema(StructType([stream.schema[c] for c in ("bookmark", *keys, *fields)])).parquet(f"{folder}/snapshot")
+    history = keyed.record_changes(stream, keys, fields, initial=records)
+    later = deltas(history, keys, fields) if as_deltas else history.filter(
+        F.col("command") != SOW_DELETE).select("bookmark", "command", *keys, *fields)
+    shown = records if top is None else records.orderBy(*keys).limit(top)
+    shown = shown.withColumn("command", F.lit(SOW))
     if as_deltas:
-        full = StructType.fromDDL("bookmark BIGINT, command STRING, id BIGINT, delta STRING")
-        snapshot = snapshot.select("bookmark", "command", *keys, to_json_text(*keys, *fields).alias("delta"))
-    return snapshot.unionByName(read_batches(spark, f"{folder}/later", full).drop("batch_id"))
+        shown = shown.select("bookmark", "command", *keys, to_json_text(*keys, *fields).alias("delta"))
+    return shown.unionByName(stored(later, folder))
 
 
-def out_of_focus_stream(spark: SparkSession, stream: DataFrame, fields: Sequence[str], content_filter: str,
-                        folder: str) -> DataFrame:
-    """Events of a stream that take a matching record out of a reader's sight."""
+def out_of_focus_stream(stream: DataFrame, fields: Sequence[str], content_filter: str, folder: str, *,
+                        expires: bool = False) -> DataFrame:
+    """Events of a stream that take a matching record out of a reader's sight; with ``expires`` also when
+    its time is over."""
     keys = ["id"]
-
-    def write(history: DataFrame, batch_id: int) -> None:
-        idempotent_append(f"{folder}/oof")(left_sight(history, keys, list(fields), content_filter), batch_id)
-
-    carried.record_changes(stream, keys, list(fields), folder, write)
-    schema = StructType.fromDDL("bookmark BIGINT, id BIGINT, command STRING, reason STRING")
-    return read_batches(spark, f"{folder}/oof", schema).drop("batch_id")
+    history = keyed.record_changes(stream, keys, fields, expires=expires)
+    return stored(left_sight(history, keys, fields, content_filter), folder)
 
 
-def changelog_stream(spark: SparkSession, stream: DataFrame, measures: Sequence[str],
-                     folder: str) -> DataFrame:
+def changelog_stream(stream: DataFrame, measures: Sequence[str], folder: str) -> DataFrame:
     """Changelog of running totals per ``id``, from a stream."""
-    carried.changelog(stream, ["id"], measures, folder, idempotent_append(f"{folder}/log"))
-    schema = StructType([stream.schema["id"], stream.schema["bookmark"], StructField("op", StringType()),
-                         *[stream.schema[m] for m in measures]])
-    return read_batches(spark, f"{folder}/log", schema).drop("batch_id")
+    return stored(keyed.changelog(stream, ["id"], measures), folder)
 
 
-def command_stream(spark: SparkSession, stream: DataFrame, wants_delete: Column,
-                   folder: str) -> DataFrame:
+def command_stream(stream: DataFrame, wants_delete: Column, folder: str) -> DataFrame:
     """Rows with the commands of a writer that remembers its keys, from a stream."""
-    carried.choose_commands(stream, ["id"], wants_delete, folder, idempotent_append(f"{folder}/rows"))
-    schema = StructType([*stream.schema.fields, StructField("command", StringType())])
-    return read_batches(spark, f"{folder}/rows", schema).drop("batch_id")
+    return stored(keyed.choose_commands(stream, ["id"], wants_delete), folder)
 
 
 def chain(first: DataFrame, topic: str, folder: str,
