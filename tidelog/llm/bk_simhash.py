@@ -15,11 +15,12 @@ from itertools import combinations
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidelog.llm.common import appended, checkpointed, column, long
 from tidelog.llm.components import components
+from tidelog.llm.wordtable import fresh
 
 SHINGLE = 3
 RADIUS = 2
@@ -155,7 +156,7 @@ def _start():
 
 
 def clustered(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """doc_id, text_hash, fp and component_id of every row.
+    """doc_id, text_hash, fp, component_id and root (a fingerprint of the component) of every row.
 
     Rows whose fingerprints differ in at most RADIUS bits are linked; the component is the smallest id
     that links reach.  Texts without a word, and null texts, have fingerprint 0, which links like any
@@ -169,9 +170,10 @@ def clustered(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -
     roots = checkpointed(components(links(least)))
     linked = least.join(roots.select(F.col("node").alias("fp"), "root"), "fp")
     smallest = linked.groupBy("root").agg(F.min("least").alias("smallest"))
-    moved = linked.join(checkpointed(smallest), "root").select("fp", "smallest")
-    known = checkpointed(least.join(moved, "fp", "left").select("fp", F.coalesce("smallest", "least").alias("component_id")))
-    return prints.join(known, "fp").select("doc_id", "text_hash", "fp", "component_id")
+    moved = linked.join(checkpointed(smallest), "root").select("fp", "root", "smallest")
+    known = checkpointed(least.join(moved, "fp", "left").select(
+        "fp", F.coalesce("smallest", "least").alias("component_id"), F.coalesce("root", "fp").alias("root")))
+    return prints.join(known, "fp").select("doc_id", "text_hash", "fp", "component_id", "root")
 
 
 def hexadecimal(fp):
@@ -185,13 +187,10 @@ def deduplicated(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     Rows with a null id stay only if their component has no other.
     """
     marked = clustered(docs, id_col, text_col)
-    # per component, so by fingerprint of its first row: (component, id) alone could repeat for null ids
     own = marked.where(F.col("doc_id").eqNullSafe(F.col("component_id")))
-    key = F.coalesce(F.col("component_id").cast("string"), F.hex("fp"))
-    chosen = own.groupBy(key.alias("k")).agg(F.min(F.struct("doc_id", "text_hash")).alias("s"))
-    chosen = checkpointed(chosen.select(F.col("s.doc_id").alias("__id"), F.col("s.text_hash").alias("__hash")).distinct())
-    hashed = docs.withColumn("__text_hash", F.xxhash64(F.coalesce(column(text_col), F.lit(""))))
-    stay = hashed.join(chosen, column(id_col).eqNullSafe(F.col("__id")) & (F.col("__text_hash") == F.col("__hash")),
-                       "left_semi")
-    first = Window.partitionBy(column(id_col), "__text_hash").orderBy(F.lit(0))
-    return stay.withColumn("__n", F.row_number().over(first)).where("__n = 1").select(*[column(c) for c in docs.columns])
+    id_name, wanted, hashed = fresh(docs, "__id", "__wanted", "__text_hash")
+    chosen = own.groupBy("root").agg(F.min(F.struct("doc_id", "text_hash")).alias("s"))
+    chosen = checkpointed(chosen.select(F.col("s.doc_id").alias(id_name), F.col("s.text_hash").alias(wanted)).distinct())
+    rows = docs.withColumn(hashed, F.xxhash64(F.coalesce(column(text_col), F.lit(""))))
+    same = column(id_col).eqNullSafe(F.col(id_name)) & (F.col(hashed) == F.col(wanted))
+    return rows.join(chosen, same, "left_semi").dropDuplicates([id_col, hashed]).select(*[column(c) for c in docs.columns])
