@@ -206,22 +206,23 @@ def rarest_runs(keys: np.ndarray, weights: np.ndarray) -> dict[int, int]:
 
 def build(benchmark: DataFrame, weights: np.ndarray, rank: int = RANK, id_col: str = "item_id",
           text_col: str = "text", answer_col: str | None = None) -> list[Index]:
-    """Index one block of items (at most BLOCK_ITEMS), so that each index may be sent to every task.
+    """Index one block of items (about BLOCK_ITEMS), so that each index may be sent to every task.
 
-    The passages of a block of long items make several indexes; an item is in one of them.
+    The passages of a block of long items make several indexes; an item is in one of them.  Items are
+    known by their place in the block, so ids may be null or repeat.
     """
-    narrow = benchmark.select(column(id_col).cast("long").alias("item"), column(text_col).alias("text"))
-    passages = narrow.mapInArrow(partial(_passage_rows, weights), "item long, terms array<long>, values array<double>")
     items = []
     answers = column(answer_col) if answer_col else F.lit(None).cast("string")
-    for item, text, answer in benchmark.select(column(id_col).cast("long"), column(text_col), answers).collect():
+    rows = benchmark.select(column(id_col).cast("long"), column(text_col), answers).collect()
+    numbered = benchmark.sparkSession.createDataFrame([(i, r[1]) for i, r in enumerate(rows)], "item long, text string")
+    passages = numbered.mapInArrow(partial(_passage_rows, weights), "item long, terms array<long>, values array<double>")
+    for item, text, answer in rows:
         codes, words, _ = tokenized([text or ""])
         keys = [word_key(words[c]) for c in codes]
         codes, words, _ = tokenized([answer or ""])
         tail = [word_key(words[c]) for c in codes] or keys[-max(1, len(keys) // ANSWER_PART):]
         items.append((item, keys, tail))
-    by_id = {item: i for i, (item, *_) in enumerate(items)}
-    found = sorted(((by_id[r["item"]], r["terms"], r["values"]) for r in passages.collect()), key=lambda p: p[0])
+    found = sorted(((r["item"], r["terms"], r["values"]) for r in passages.collect()), key=lambda p: p[0])
     groups, start = [], 0
     for i in range(1, len(found) + 1):
         if i == len(found) or found[i][0] != found[i - 1][0]:  # behind the last passage of an item
@@ -419,7 +420,8 @@ def _leak_rows(index: Index, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.R
     for batch in batches:
         for part in slices(batch, 1):
             found = search.leaks([t or "" for t in part.column(1).to_pylist()])
-            rows = [(d, i, *s) for d, own in zip(part.column(0).to_pylist(), found) for i, s in sorted(own.items())]
+            rows = [(d, i, *s) for d, own in zip(part.column(0).to_pylist(), found)
+                    for i, s in sorted(own.items(), key=lambda x: (x[0] is None, x[0] or 0))]
             ids, items, shares, answers = zip(*rows) if rows else ([], [], [], [])
             yield pa.RecordBatch.from_arrays(
                 [pa.array(ids, part.column(0).type), pa.array(items, pa.int64()), pa.array(shares, pa.float64()),
@@ -436,11 +438,16 @@ def _clean_rows(index: Index, at: int, batches: Iterator[pa.RecordBatch]) -> Ite
 
 def indexes(docs: DataFrame, benchmark: DataFrame, item_col: str = "item_id", text_col: str = "text",
             answer_col: str | None = None) -> list[Index]:
-    """The index of every block of items; items without a word, and null texts, match nothing."""
+    """The index of every block of items; items without a word, and null texts, match nothing.
+
+    Items may have no id, or share one: each is searched for.  Equal items are one.  An empty table gives no
+    index.
+    """
     weights = word_weights(docs, text_col)
-    items = benchmark.where(column(text_col).isNotNull() & column(item_col).isNotNull())
+    wanted = [column(item_col), column(text_col), *([column(answer_col)] if answer_col else [])]
+    items = benchmark.where(column(text_col).isNotNull()).select(*wanted).distinct()
     count = math.ceil(items.count() / BLOCK_ITEMS)
-    blocks = [items.where(F.pmod(F.xxhash64(column(item_col)), F.lit(count)) == k) for k in range(count)]
+    blocks = [items.where(F.pmod(F.xxhash64(*wanted), F.lit(count)) == k) for k in range(count)]
     return [i for b in blocks for i in build(b, weights, id_col=item_col, text_col=text_col, answer_col=answer_col)]
 
 
@@ -448,7 +455,9 @@ def leaked(docs: DataFrame, found: list[Index], id_col: str = "doc_id", text_col
     """doc_id, item_id, lcs_share and answer_share of every benchmark item in every whole text.
 
     Documents without a leak have no row; null and empty texts have none.  A repeated row gives its rows
-    again.  Without items the result is empty.  Other columns are not read.
+    again.  Without items the result is empty.  Items that share an id give one row a document, that of the
+    larger shares; those without one give a row with a null item_id.  Texts of any length are searched whole.
+    Other columns are not read.
     """
     narrow = docs.select(column(id_col).alias("doc_id"), column(text_col).alias("text"))
     schema = T.StructType([narrow.schema["doc_id"], T.StructField("item_id", T.LongType()),
@@ -461,7 +470,11 @@ def leaked(docs: DataFrame, found: list[Index], id_col: str = "doc_id", text_col
 
 
 def clean(docs: DataFrame, found: list[Index], text_col: str = "text") -> DataFrame:
-    """The rows, with all their columns, whose text holds no item of the benchmark."""
+    """The rows, with all their columns, whose text holds no item of the benchmark, whatever the item's id.
+
+    Null and empty texts hold none and stay; equal rows stay or go together; texts of any length are
+    searched whole; without items all rows stay.
+    """
     for index in found:
         docs = docs.mapInArrow(partial(_clean_rows, index, docs.columns.index(text_col)), docs.schema)
     return docs
