@@ -274,6 +274,85 @@ def test_repeated_batch_leaves_no_copies_and_marks_are_kept(spark, topic):
     assert sinks.read_batches(spark, out, rows.schema).agg(F.min("bookmark")).first()[0] == 500
 
 
+def test_a_reader_of_a_repeated_batch_sees_old_or_new_rows(spark, topic, monkeypatch):
+    """Reads between every step of a repeated write: never none, never both."""
+    log, _ = topic
+    folder = scratch_folder(spark, "commits")
+    write = sinks.idempotent_append(folder)
+    assert sinks.read_batches(spark, folder, log.schema).count() == 0
+    write(log.filter("bookmark < 100"), 3)
+    seen = []
+
+    def put(*args):
+        seen.append(sinks.read_batches(spark, folder, log.schema).count())
+        return real(*args)
+
+    real = sinks.commits.put
+    monkeypatch.setattr(sinks.commits, "put", put)
+    write(log.filter("bookmark < 50"), 3)
+    during = sinks.read_batches(spark, folder, log.schema)  # planned before the files that it reads are replaced
+    write(log.filter("bookmark < 60"), 3)
+    assert seen == [100, 50] and during.count() == 50
+    assert sinks.read_batches(spark, folder, log.schema).count() == 60
+    sinks.drop_replaced(spark, folder)
+    got = sinks.read_batches(spark, folder, log.schema)
+    assert got.count() == 60 and {r["batch_id"] for r in got.select("batch_id").distinct().collect()} == {3}
+
+
+def test_a_failed_attempt_is_not_read(spark, topic):
+    log, _ = topic
+    folder = scratch_folder(spark, "half")
+    write = sinks.idempotent_append(folder)
+    write(log.filter("bookmark < 10"), 0)
+    log.write.parquet(f"{folder}/run_id=none/batch_id=1/attempt=dead")
+    assert sinks.read_batches(spark, folder, log.schema).count() == 10
+
+
+def totals_table(path, buckets=8):
+    from pyspark.sql.types import StructType
+
+    from tidelog.streaming.table import KeyedTable
+
+    return KeyedTable(path, ["id"], StructType.fromDDL("id BIGINT, n BIGINT"), [F.sum("n").alias("n")], buckets)
+
+
+def test_a_batch_rewrites_only_the_buckets_it_touches(spark):
+    from tidelog.streaming import commits
+
+    path = scratch_folder(spark, "table")
+    table = totals_table(path)
+    rows = spark.range(200).selectExpr("id", "id AS n")
+    table.upsert(rows, 0)
+    before = table._version(spark)["folders"]
+    table.upsert(spark.createDataFrame([(7, 1), (7, 2), (None, 5)], "id BIGINT, n BIGINT"), 1)
+    after = table._version(spark)["folders"]
+    assert len(before) == 8 and 1 <= sum(before[b] != after[b] for b in before) <= 2
+    want = {**{i: i for i in range(200)}, 7: 10, None: 5}
+    assert {r["id"]: r["n"] for r in table.read(spark).collect()} == want
+    table.upsert(rows, 1)  # a repeated batch
+    assert {r["id"]: r["n"] for r in table.read(spark).collect()} == want
+    open_read = table.read(spark)
+    table.upsert(spark.createDataFrame([(i, -i) for i in range(100)], "id BIGINT, n BIGINT"), 2, keep="n <> 0")
+    assert {r["id"] for r in open_read.collect()} == set(want)  # its version's files are still there
+    assert {r["id"] for r in table.read(spark).collect()} == {7, None, *range(100, 200)}
+    for batch in range(3, 9):
+        table.upsert(spark.createDataFrame([(5, 1)], "id BIGINT, n BIGINT"), batch)
+    assert len(commits.names(spark, f"{path}/versions")) == 3
+    assert table.read(spark).filter("id = 5").first()["n"] == 6
+    assert table.read(spark).count() == 103
+    assert totals_table(scratch_folder(spark, "none")).read(spark).count() == 0
+
+
+def test_a_writer_without_its_turn_is_refused(spark):
+    from tidelog.streaming import commits
+
+    folder = scratch_folder(spark, "turns")
+    commits.put(spark, folder, "1", {"a": 1})
+    with pytest.raises(RuntimeError, match="another writer"):
+        commits.put(spark, folder, "1", {"a": 2})
+    assert commits.entries(spark, folder) == [{"a": 1}]
+
+
 def test_publish_guarantees(spark, topic):
     rows = stream(spark, topic).select(F.lit("w").alias("writer"), "bookmark")
     for guarantee, extra in (("at_least_once", {}), ("exactly_once", dict(writer="writer", ts="bookmark"))):

@@ -22,6 +22,9 @@ from tidelog.sources.topics import PUBLISH, SOW_DELETE
 RESET = f"command IN ('{PUBLISH}', '{SOW_DELETE}')"
 NO_RESET = "-4611686018427387904L"
 
+#: SQL text: folded records that are not deleted.
+LIVE = "__deleted IS NULL OR __deleted < __last"
+
 
 def carried(field: str, present: Mapping[str, str] | None = None) -> str:
     """SQL text: whether a row carries a field.  By default a null field counts as left out; give
@@ -50,7 +53,7 @@ def current(field: str) -> str:
 def unfold(folded: DataFrame, keys: Sequence[str], fields: Sequence[str],
            keep: Sequence[str] = ()) -> DataFrame:
     """Records from folded aggregates: drop deleted keys, blank the values older than the reset."""
-    return folded.filter("__deleted IS NULL OR __deleted < __last").selectExpr(
+    return folded.filter(LIVE).selectExpr(
         *keys, *[f"{current(f)} AS `{f}`" for f in fields], "__last AS bookmark", *keep)
 
 

@@ -6,15 +6,16 @@ from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import StructField, StructType
 
 from tidelog.functions.payload import to_json_text
 from tidelog.operators.aggregate import AMOUNT, exact_text, price_windows
 from tidelog.operators.changes import deltas, left_sight
-from tidelog.operators.state import fold, unfold
+from tidelog.operators.state import LIVE, fold, unfold
 from tidelog.sources.topics import FIELDS, SOW, SOW_DELETE
 from tidelog.streaming import keyed
 from tidelog.streaming.sinks import idempotent_append, newest_per_key, read_batches, run_to_end
+from tidelog.streaming.table import KeyedTable
 
 
 def copy_stream(stream: DataFrame, folder: str) -> DataFrame:
@@ -25,16 +26,29 @@ def copy_stream(stream: DataFrame, folder: str) -> DataFrame:
 
 def latest_state(spark: SparkSession, stream: DataFrame, keys: Sequence[str],
                  fields: Sequence[str], folder: str) -> DataFrame:
-    """Keep the latest record per key from a stream.
+    """Keep the latest record per key of a stream in a table.
 
-    The batch operator's aggregates run as a streaming aggregate: each batch emits only the keys it
-    touched, and the reader takes each key's last update.  All of it stays in the JVM.
+    A batch is folded by the batch operator's aggregates and merged into the buckets of its keys, so the
+    table and what a read costs grow with the keys and not with the messages.  Batches come in the order
+    of the log: a deleted key is forgotten.  All of it stays in the JVM.
     """
-    folded = stream.groupBy(*keys).agg(*fold(fields))
-    run_to_end(folded, checkpoint=f"{folder}/checkpoint", mode="update",
-               each=idempotent_append(f"{folder}/updates"))
-    updates = read_batches(spark, f"{folder}/updates", folded.schema)
-    return unfold(newest_per_key(updates, list(keys)), keys, fields)
+    table = state_table(stream, keys, fields, f"{folder}/table")
+
+    def upsert(batch: DataFrame, batch_id: int) -> None:
+        table.upsert(batch.groupBy(*keys).agg(*fold(fields)), batch_id, keep=LIVE)
+
+    run_to_end(stream.select("bookmark", "command", *keys, *fields), checkpoint=f"{folder}/checkpoint", each=upsert)
+    return unfold(table.read(spark), keys, fields)
+
+
+def state_table(rows: DataFrame, keys: Sequence[str], fields: Sequence[str], path: str, buckets: int = 16) -> KeyedTable:
+    """The table of folded records of a log with the columns of ``rows``."""
+    long = StructType.fromDDL("__last BIGINT, __deleted BIGINT, __reset BIGINT")
+    at = [StructField(f"__at_{f}", long["__last"].dataType) for f in fields]
+    schema = StructType([*[rows.schema[c] for c in keys], *long.fields, *[rows.schema[f] for f in fields], *at])
+    merge = [*[F.max(c).alias(c) for c in long.names], *[F.max_by(f, f"__at_{f}").alias(f) for f in fields],
+             *[F.max(f"__at_{f}").alias(f"__at_{f}") for f in fields]]
+    return KeyedTable(path, keys, schema, merge, buckets)
 
 
 def window_totals(spark: SparkSession, stream: DataFrame, key: str, size: str, folder: str,
@@ -62,25 +76,19 @@ def view_adjustments(history: DataFrame, amount: str = AMOUNT) -> DataFrame:
 
 
 def continuous_view(spark: SparkSession, stream: DataFrame, folder: str, amount: str = AMOUNT) -> DataFrame:
-    """Keep ``sum(ask), sum(bid), count`` by group over the keyed state.
+    """Keep ``sum(ask), sum(bid), count`` by group over the keyed state, in a table of one row per group.
 
     Each message retracts its key's old record from the old group and adds the new one, so the view
-    is never recomputed.  Batches store their net change per group; the view is the sum of those.
+    is never recomputed; a batch's net change is added to the groups it touches.
     Values that are taken back are added as ``amount``; one that does not fit is an error.
     """
-
-    def net(adjustments: DataFrame, batch_id: int) -> None:
-        totals = adjustments.groupBy("grp").agg(*map(F.expr, (
-            f"CAST(sum(ask) AS {amount}) AS ask", f"CAST(sum(bid) AS {amount}) AS bid",
-            "sum(n) AS n")))
-        idempotent_append(f"{folder}/net")(totals, batch_id)
-
+    schema = StructType.fromDDL(f"grp STRING, sum_ask {amount}, sum_bid {amount}, n BIGINT")
+    total = [F.expr(f"CAST(sum({c}) AS {amount}) AS {c}") for c in ("sum_ask", "sum_bid")]
+    table = KeyedTable(f"{folder}/view", ["grp"], schema, [*total, F.sum("n").alias("n")], buckets=1)
     history = keyed.record_changes(stream, ["id"], list(FIELDS))
-    run_to_end(view_adjustments(history, amount), checkpoint=f"{folder}/checkpoint", each=net)
-    schema = StructType.fromDDL(f"grp STRING, ask {amount}, bid {amount}, n BIGINT")
-    return (read_batches(spark, f"{folder}/net", schema).groupBy("grp")
-            .agg(F.sum("ask").alias("sum_ask"), F.sum("bid").alias("sum_bid"), F.sum("n").alias("n"))
-            .filter(F.col("n") > 0))
+    changes = view_adjustments(history, amount).withColumnsRenamed({"ask": "sum_ask", "bid": "sum_bid"})
+    run_to_end(changes, checkpoint=f"{folder}/checkpoint", each=lambda batch, i: table.upsert(batch, i, keep="n > 0"))
+    return table.read(spark)
 
 
 def stored(stream: DataFrame, folder: str) -> DataFrame:

@@ -2,16 +2,19 @@
 
 from __future__ import annotations
 
+import time
+import uuid
 from collections.abc import Callable, Iterator
 from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
-from pyspark.sql.types import LongType, StringType, StructField, StructType
+from pyspark.sql.types import LongType, StructField, StructType
 
 from tidelog.operators.write import resume_after
 from tidelog.session import ROCKSDB_PROVIDER
+from tidelog.streaming import commits
 
 
 @contextmanager
@@ -55,15 +58,41 @@ def run_of(batch: DataFrame) -> str:
 
 
 def idempotent_append(path: str) -> Callable[[DataFrame, int], None]:
-    """Each batch owns the folder ``run_id=<run>/batch_id=<n>`` and replaces it: a repeated batch leaves
-    no second copy, and no run touches what another one wrote."""
+    """Each attempt at a batch writes a folder of its own and is then entered in a log of commits by one rename.
+
+    ``read_batches`` takes the newest attempt of each batch: a repeated batch leaves no second copy, a reader
+    that runs meanwhile sees the old rows or the new ones, and no run touches what another one wrote.
+    Replaced attempts stay until ``drop_replaced``, for readers that still use them.
+    """
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        batch.write.mode("overwrite").parquet(f"{path}/run_id={run_of(batch)}/batch_id={batch_id}")
+        run, attempt = run_of(batch), uuid.uuid4().hex
+        folder = f"run_id={run}/batch_id={batch_id}/attempt={attempt}"
+        batch.write.parquet(f"{path}/{folder}")
+        number = time.time_ns()
+        commits.put(batch.sparkSession, f"{path}/_commits", f"{number:020d}-{attempt}",
+                    {"run": run, "batch": batch_id, "folder": folder})
 
     return write
 
 
+def _committed(spark: SparkSession, path: str) -> tuple[list[str], list[str]]:
+    """Folders of the newest attempts, and of those that they replaced."""
+    newest: dict[tuple[str, int], str] = {}
+    replaced = []
+    for entry in commits.entries(spark, f"{path}/_commits"):
+        old = newest.get((entry["run"], entry["batch"]))
+        replaced += [old] if old else []
+        newest[entry["run"], entry["batch"]] = entry["folder"]
+    return list(newest.values()), replaced
+
+
+def drop_replaced(spark: SparkSession, path: str) -> None:
+    """Delete the attempts that later ones replaced, once no reader uses them."""
+    for folder in _committed(spark, path)[1]:
+        commits.delete(spark, f"{path}/{folder}")
+
+
 def plain_append(path: str) -> Callable[[DataFrame, int], None]:
     """At least once: a repeated batch is written again; readers drop the copies."""
 
@@ -113,9 +142,12 @@ def publish_stream(stream: DataFrame, path: str, checkpoint: str, guarantee: str
 
 
 def read_batches(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
-    """All rows of an idempotent sink, of all its runs, with the batch that wrote them."""
-    tagged = StructType([*schema.fields, StructField("run_id", StringType()), StructField("batch_id", LongType())])
-    return spark.read.schema(tagged).parquet(path).drop("run_id")
+    """All committed rows of an idempotent sink, of all its runs, with the batch that wrote them."""
+    tagged = StructType([*schema.fields, StructField("batch_id", LongType())])
+    folders, _ = _committed(spark, path)
+    if not folders:
+        return spark.createDataFrame([], tagged)
+    return spark.read.schema(tagged).option("basePath", path).parquet(*[f"{path}/{f}" for f in folders]).select(*tagged.names)
 
 
 def newest_per_key(updates: DataFrame, keys: list[str], order: str = "batch_id") -> DataFrame:
