@@ -383,3 +383,123 @@ def test_counters_are_taken_in_passing(spark, topic):
     aggregate.observe_io(topic[0].withColumn("data", F.lit("four")), seen).write.format("noop").mode(
         "overwrite").save()
     assert seen.get == {"records": topic[0].count(), "bytes": 4 * topic[0].count()}
+
+
+# Jobs that keep running.
+
+
+def test_two_queries_run_at_once_and_end_together(spark, topic):
+    from tidelog.streaming.running import Job
+
+    folder = scratch_folder(spark, "pair")
+    rows = stream(spark, topic).select("topic", "bookmark")
+    with Job(spark) as job:
+        slow = job.start(rows, f"{folder}/a", path=f"{folder}/rows-a")
+        fast = job.start(rows, f"{folder}/b", path=f"{folder}/rows-b")
+        job.drain(slow)
+        job.drain(fast)
+        assert slow.isActive and fast.isActive
+        # both go on with what comes later
+        topic[0].limit(5).withColumn("bookmark", F.col("bookmark") + 10_000).coalesce(1).write.mode("append").parquet(f"{folder}/more")
+    assert not slow.isActive and not fast.isActive
+    assert spark.read.parquet(f"{folder}/rows-a").count() == spark.read.parquet(f"{folder}/rows-b").count() == topic[0].count()
+
+
+def test_failure_of_one_query_ends_the_job(spark, topic):
+    from tidelog.streaming.running import Job
+
+    def fails(batch, batch_id):
+        raise RuntimeError("no more")
+
+    folder = scratch_folder(spark, "failing")
+    rows = stream(spark, topic).select("bookmark")
+    with pytest.raises(Exception, match="no more"), Job(spark) as job:
+        good = job.start(rows, f"{folder}/a", path=f"{folder}/rows")
+        job.start(rows, f"{folder}/b", each=fails)
+        job.wait(lambda: False)
+    assert not good.isActive
+
+
+def test_a_processing_time_trigger_takes_what_comes_later(spark, topic):
+    from tidelog.streaming.running import Job
+
+    folder, log = scratch_folder(spark, "later"), topic[0].select("topic", "bookmark")
+    log.filter("bookmark < 100").coalesce(1).write.parquet(f"{folder}/topic")
+    with Job(spark) as job:
+        query = job.start(topics.stream_topics(spark, f"{folder}/topic", log.schema), f"{folder}/c", path=f"{folder}/rows",
+                          every="200 milliseconds")
+        job.drain(query)
+        assert spark.read.parquet(f"{folder}/rows").count() == 100
+        log.filter("bookmark >= 100").coalesce(1).write.mode("append").parquet(f"{folder}/topic")
+        job.drain(query)
+        assert spark.read.parquet(f"{folder}/rows").count() == log.count()
+
+
+def test_counters_of_a_running_job_and_its_failure(spark, topic):
+    from tidelog.streaming.running import Counters, Job
+
+    folder = scratch_folder(spark, "counted")
+    counters = Counters(f"{folder}/log")
+    rows = stream(spark, topic).withColumn("data", F.lit("four"))
+
+    def fails(batch, batch_id):
+        raise RuntimeError("refused")
+
+    with counters, Job(spark) as job:
+        query = job.start(counters.watched(rows, "all"), f"{folder}/c", path=f"{folder}/rows", every=None)
+        job.wait(lambda: not query.isActive)
+        counters.settled(query)
+        bad = job.start(rows, f"{folder}/d", each=fails, every=None)
+        with pytest.raises(Exception, match="refused"):
+            job.wait(lambda: False)
+        counters.settled(bad)
+    found = counters.table(spark).collect()
+    good = [r for r in found if r["error"] is None]
+    assert sorted(r["batch"] for r in good) == [0, 1, 2] and {r["name"] for r in good} == {"all"}
+    assert sum(r["records"] for r in good) == topic[0].count() and sum(r["bytes"] for r in good) == 4 * topic[0].count()
+    assert ["refused" in r["error"] for r in found if r["error"]] == [True]
+
+
+def test_answers_of_a_queue(spark):
+    from tidelog.streaming import queues
+
+    folder = scratch_folder(spark, "queue")
+    sent = [[(1, 1, 0), (2, 1, 5), (3, 1, 6)], [(4, 1, 40), (2, 2, 41)], [(5, 1, 100)], [(6, 1, 200)]]
+    told = [[(1, 1, 10, "ack"), (3, 1, 11, "cancel")], [(2, 1, 45, "ack"), (4, 1, 50, "ack")], [(9, 9, 101, "ack")], [(9, 9, 201, "ack")]]
+    schemas = ("bookmark BIGINT, delivery BIGINT, delivered_at TIMESTAMP",
+               "bookmark BIGINT, delivery BIGINT, answered_at TIMESTAMP, outcome STRING")
+    streams = []
+    for name, batches, schema in zip(("sent", "told"), (sent, told), schemas):
+        for rows in batches:
+            made = [(b, n, START + timedelta(seconds=t), *rest) for b, n, t, *rest in rows]
+            spark.createDataFrame(made, schema).coalesce(1).write.mode("append").parquet(f"{folder}/{name}")
+        streams.append(spark.readStream.schema(schema).option("maxFilesPerTrigger", "1").parquet(f"{folder}/{name}"))
+    got = jobs.stored(queues.again(queues.answered(*streams, 30)), f"{folder}/out")
+    # the answer to (2, 1) came 40 s later and counts for nothing; (5, 1) has lapsed, (6, 1) is still out
+    assert sorted(tuple(r) for r in got.collect()) == [(2, 1, "lapsed", 2), (2, 2, "lapsed", 3), (3, 1, "cancelled", 2), (5, 1, "lapsed", 2)]
+
+
+# User code.
+
+
+def test_user_code_gets_a_window_batch_by_batch(spark):
+    from pyspark.sql.types import StructType
+
+    from tidelog.functions import custom
+
+    seen_batches = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "100")
+    try:
+        rows = spark.range(1000).selectExpr("id % 2 AS k", "timestamp_seconds(id div 500 * 60) AS ts", "id")
+
+        def work(key, batches):
+            sizes = [b.num_rows for b in batches]
+            yield key[0], key[1], len(sizes), sum(sizes)
+
+        got = custom.per_window(rows, ["k"], "ts", "1 minute", work,
+                                StructType.fromDDL("k BIGINT, start TIMESTAMP, batches BIGINT, n BIGINT")).collect()
+        assert len(got) == 4 and {r["n"] for r in got} == {250} and {r["batches"] for r in got} == {3}
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", seen_batches)
+    empty = custom.per_window(rows.limit(0), ["k"], "ts", "1 minute", work, StructType.fromDDL("k BIGINT"))
+    assert empty.count() == 0

@@ -6,8 +6,11 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator, Sequence
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_schema
+from pyspark.sql.types import StructType
 
 
 def map_messages(log: DataFrame, fn: Callable[[pd.DataFrame], pd.DataFrame], schema: str) -> DataFrame:
@@ -34,3 +37,39 @@ def merge_aggregate(rows: DataFrame, keys: Sequence[str], partial: Callable[[pd.
     by_slot = spread.groupBy(*keys, "__slot").applyInPandas(
         lambda frame: merge(frame.drop(columns="__slot")), schema)
     return by_slot.groupBy(*keys).applyInPandas(merge, schema)
+
+
+def per_window(rows: DataFrame, keys: Sequence[str], ts: str, size: str,
+               fn: Callable[[tuple, Iterator[pa.RecordBatch]], Iterator[tuple]], schema: StructType) -> DataFrame:
+    """User code on whole windows: ``fn`` gets the keys, the window's start and end, and its rows as an
+    iterator of Arrow batches, and gives any number of rows of ``schema``.
+
+    The batches pass by one after the other, so a window that holds a third of all rows is never in memory
+    as a whole; it is still one task's work.  What merges is better aggregated (``merge_aggregate``).
+    """
+    arrow = to_arrow_schema(schema)
+
+    def run(key: tuple[pa.Scalar, ...], batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        made = [dict(zip(arrow.names, row)) for row in fn(tuple(k.as_py() for k in key), batches)]
+        yield pa.RecordBatch.from_pylist(made, arrow)
+
+    window = F.window(ts, size)
+    timed = rows.withColumn("__w", window).withColumns({"__start": F.col("__w.start"), "__end": F.col("__w.end")}).drop("__w")
+    return timed.groupBy(*keys, "__start", "__end").applyInArrow(run, schema)
+
+
+def message_rows(log: DataFrame, handler: type, schema: str, inputs: Sequence[str]) -> DataFrame:
+    """Each message with every row that ``handler().eval(*inputs)`` yields for it: a table function in a lateral
+    join.  A message for which it yields none has no row."""
+    function = F.udtf(handler, returnType=schema, useArrow=True)
+    return log.lateralJoin(function(*[F.col(c).outer() for c in inputs]))
+
+
+def rows_per_key(log: DataFrame, handler: type, schema: str, keys: Sequence[str], order: str) -> DataFrame:
+    """The rows that a handler with fields of its own yields for a key's messages, one by one in ``order``.
+
+    Each key gets a new handler: ``eval(row)`` per message, ``terminate()`` behind the last.  Spark sorts
+    the messages of a key (on disk where needed) and none is held; a hot key is one task's work.
+    """
+    function = F.udtf(handler, returnType=schema, useArrow=True)
+    return function(log.asTable().partitionBy(*keys).orderBy(order))

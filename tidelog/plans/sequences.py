@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from tidelog.functions import custom
 from tidelog.functions.segments import running_row_number, whole_part
 from tidelog.operators import sequence
 from tidelog.plans.registry import query
@@ -47,6 +48,25 @@ def every_nth(spark, d):
     return sequence.every_nth(log, ["topic"], "bookmark", 25)
 
 
+class EveryNth:
+    """User code with a field of its own: hands on every 25th message of its key."""
+
+    def __init__(self):
+        self.seen = 0
+
+    def eval(self, row):
+        self.seen += 1
+        if self.seen % 25 == 0:
+            yield row["topic"], row["bookmark"], self.seen
+
+
+@query(LOG + """ SELECT topic, bookmark, rn FROM (
+  SELECT *, row_number() OVER (PARTITION BY topic ORDER BY bookmark) AS rn FROM log) WHERE rn % 25 = 0""")
+def key_user_code(spark, d):
+    log = topics.event_log(spark, d).select("topic", "bookmark")
+    return custom.rows_per_key(log, EveryNth, "topic STRING, bookmark BIGINT, rn BIGINT", ["topic"], "bookmark")
+
+
 # Every third message is delivered twice, every fifteenth four times.
 @query("SELECT event_type AS topic, event_id AS bookmark, user_id AS id FROM events")
 def dedup_replay(spark, d):

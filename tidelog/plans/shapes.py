@@ -82,6 +82,25 @@ def labelled_messages(spark, d):
     return messages.select(F.explode(labels).alias("label"), F.coalesce("bookmark", F.lit(-1)).alias("bookmark"))
 
 
+class Labels:
+    """A deserializer of one's own: a purchase gives two rows, an error none, any other message one."""
+
+    def eval(self, topic, key):
+        if topic == "purchase":
+            yield f"bought by {key}", 0
+            yield f"billed to {key}", 1
+        elif topic != "error":
+            yield f"{topic} of {key}", 0
+
+
+@query(LOG + """ SELECT bookmark, 'bought by ' || id AS label, 0 :: BIGINT AS part FROM log WHERE topic = 'purchase'
+UNION ALL SELECT bookmark, 'billed to ' || id, 1 FROM log WHERE topic = 'purchase'
+UNION ALL SELECT bookmark, topic || ' of ' || id, 0 FROM log WHERE topic NOT IN ('purchase', 'error')""")
+def message_table_function(spark, d):
+    log = topics.event_log(spark, d).select("bookmark", "topic", "id")
+    return custom.message_rows(log, Labels, "label STRING, part BIGINT", ["topic", "id"]).select("bookmark", "label", "part")
+
+
 @query(LOG + """ SELECT bookmark, '{"id":' || id || ',"grp":"' || grp || '"}' AS data,
   CASE WHEN flag THEN 'purchases' ELSE 'other' END AS topic,
   CASE WHEN topic = 'error' THEN 'sow_delete' ELSE 'publish' END AS command,

@@ -5,13 +5,15 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tidelog.operators import aggregate, read, sequence, state
+from tidelog.plans.queues import QUEUE, RULES, ledger
 from tidelog.plans.registry import query
 from tidelog.plans.sequences import COIN_SQL, coin, replayed
 from tidelog.plans.sqltext import CHANGED, HISTORY, LOG, OOF_EXPIRING, WHOLE, state as sql_state
 from tidelog.plans.windows import CHANGELOG_SQL, PRICE_SQL, compared, in_sevenths
 from tidelog.session import scratch_folder
 from tidelog.sources import indexed, topics
-from tidelog.streaming import jobs, sinks
+from tidelog.streaming import jobs, running, sinks
+from tidelog.streaming import queues as stream_queues
 
 KEY, FIELDS = ["id"], list(topics.FIELDS)
 HOURLY_SQL = in_sevenths(LOG) + f""" SELECT topic, time_bucket(INTERVAL 1 HOUR, ts) AS window_start,
@@ -72,8 +74,57 @@ def stream_view(spark, d):
 def stream_chain(spark, d):
     folder = scratch_folder(spark, "chain")
     first = topics.event_parts(spark, d).select("topic", "ts", (F.col("bid") / 7).alias("bid"), "ask")
-    return compared(jobs.chain(first, "copied", folder, lambda second: jobs.window_totals(
-        spark, second, "topic", "1 hour", f"{folder}/windows")))
+    updates = jobs.chain(first, "copied", folder, lambda second: aggregate.price_windows(
+        second, "topic", "ts", "1 hour", ascending=True))
+    return compared(jobs.newest_windows(updates, "topic"))
+
+
+@query(LOG + " SELECT topic, count(*) AS records, CAST(sum(strlen(data)) AS BIGINT) AS bytes FROM log GROUP BY topic")
+def stream_io_metrics(spark, d):
+    """What a listener counted, batch by batch, while a stream of each topic was copied."""
+    folder = scratch_folder(spark, "counters")
+    counters = running.Counters(f"{folder}/counters")
+    log = topics.event_parts(spark, d)
+    names = [r[0] for r in topics.event_log(spark, d).select("topic").distinct().collect()]  # a handful of topics
+    with counters, running.Job(spark) as job:
+        for name in names:
+            own = counters.watched(log.filter(F.col("topic") == name), name).select("topic", "bookmark", "data")
+            job.start(own, f"{folder}/{name}-checkpoint", path=f"{folder}/{name}", every=None)
+        job.wait(lambda: not any(q.isActive for q in job.queries))
+        for started in job.queries:
+            counters.settled(started)
+    return counters.table(spark).groupBy(F.col("name").alias("topic")).agg(
+        F.sum("records").alias("records"), F.sum("bytes").alias("bytes"))
+
+
+def two_streams(spark, d):
+    """Deliveries and the answers to them (up to 50 minutes later), each as four files by time."""
+    sent = ledger(spark, d)
+    answer = F.col("delivered_at") + F.make_dt_interval(mins=(F.col("bookmark") % 50).cast("int"))
+    answers = sent.filter("outcome <> 'none'").select("bookmark", "delivery", answer.alias("answered_at"), "outcome")
+    low, high = (F.lit(t).cast("timestamp").cast("long") for t in ("2024-01-01", "2024-02-01"))
+    out = []
+    for name, rows, at in (("sent", sent.select("bookmark", "delivery", "delivered_at"), "delivered_at"),
+                           ("answers", answers, "answered_at")):
+        folder = scratch_folder(spark, name)
+        part = F.width_bucket(F.col(at).cast("long"), low, high, F.lit(4))
+        for i in range(6):
+            rows.filter(part == i).coalesce(1).write.mode("append").parquet(folder)
+        out.append(spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", "1").parquet(folder))
+    return out
+
+
+CLOCK = """clock AS (SELECT date_trunc('milliseconds', least((SELECT max(delivered_at) FROM ledger),
+  (SELECT max(delivered_at + INTERVAL 1 MINUTE * (bookmark % 50)) FROM ledger WHERE outcome <> 'none'))) AS at)"""
+
+
+@query(QUEUE + f""", {CLOCK} SELECT bookmark, delivery, 'cancelled' AS reason, delivery + 1 AS next_delivery
+FROM ledger WHERE outcome = 'cancel'
+UNION ALL SELECT bookmark, delivery, 'lapsed', delivery + 1 FROM ledger, clock
+WHERE outcome = 'none' AND delivered_at + INTERVAL 6 HOUR < clock.at""")
+def stream_queue_redelivery(spark, d):
+    judged = stream_queues.answered(*two_streams(spark, d), RULES.lease_s)
+    return jobs.stored(stream_queues.again(judged), scratch_folder(spark, "queue"))
 
 
 @query(HISTORY + f" SELECT bookmark, command, id, {CHANGED} AS delta FROM h WHERE command <> 'sow_delete'")

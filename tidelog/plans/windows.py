@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, LongType, StringType, StructField, StructType, TimestampType
 
-from tidelog.functions import payload
+from tidelog.functions import custom, payload
 from tidelog.operators import aggregate, changes, state
 from tidelog.plans.registry import query
 from tidelog.plans.sqltext import HISTORY, LOG, state as sql_state
@@ -80,6 +81,24 @@ def alerts(spark, d):
         "id", "window_start", "flagged", "share", line.alias("line"))
 
 
+def flagged_too_often(key, batches):
+    """User code on a window: counts its flagged rows and tells of more than two."""
+    player, start, _ = key
+    flagged = sum(batch.column("flag").true_count for batch in batches)
+    if flagged > 2:
+        yield player, start, flagged, flagged / 3.0, f"(ALERT) Player {player} collected {flagged} diamonds"
+
+
+@query(LOG + f""", w AS (SELECT id, date_trunc('day', ts) AS window_start, {FLAG_SQL} FROM log GROUP BY ALL)
+SELECT id, window_start, flagged, flagged / 3.0 :: DOUBLE AS share,
+  '(ALERT) Player ' || id || ' collected ' || flagged || ' diamonds' AS line FROM w WHERE flagged > 2""")
+def window_user_code(spark, d):
+    schema = StructType([StructField("id", LongType()), StructField("window_start", TimestampType()),
+                         StructField("flagged", LongType()), StructField("share", DoubleType()), StructField("line", StringType())])
+    rows = topics.event_log(spark, d).select("id", "ts", "flag")
+    return custom.per_window(rows, ["id"], "ts", "1 day", flagged_too_often, schema)
+
+
 @query(in_sevenths(LOG) + f" SELECT topic, {PRICE_SQL} FROM log GROUP BY topic")
 def two_level_agg(spark, d):
     return compared(aggregate.two_level(sevenths(spark, d), ["topic"], F.col("bookmark") % 16))

@@ -60,6 +60,11 @@ def entries(spark: SparkSession, folder: str) -> list[dict[str, Any]]:
     return [json.loads(r["value"]) for r in sorted(texts, key=lambda r: r["name"])]
 
 
+def make_folder(spark: SparkSession, path: str) -> None:
+    system, at = _system(spark, path)
+    system.mkdirs(at)
+
+
 def delete(spark: SparkSession, path: str) -> None:
     system, at = _system(spark, path)
     system.delete(at, True)

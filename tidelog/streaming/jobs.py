@@ -13,7 +13,8 @@ from tidelog.operators.aggregate import AMOUNT, exact_text, price_windows
 from tidelog.operators.changes import deltas, left_sight
 from tidelog.operators.state import LIVE, fold, unfold
 from tidelog.sources.topics import FIELDS, SOW, SOW_DELETE
-from tidelog.streaming import keyed
+from tidelog.streaming import commits, keyed
+from tidelog.streaming.running import Job
 from tidelog.streaming.sinks import idempotent_append, newest_per_key, read_batches, run_to_end
 from tidelog.streaming.table import KeyedTable
 
@@ -51,6 +52,11 @@ def state_table(rows: DataFrame, keys: Sequence[str], fields: Sequence[str], pat
     return KeyedTable(path, keys, schema, merge, buckets)
 
 
+def newest_windows(updates: DataFrame, key: str) -> DataFrame:
+    """The last update of every window of a key."""
+    return newest_per_key(updates, [key, "window_start", "window_end"]).drop("batch_id")
+
+
 def window_totals(spark: SparkSession, stream: DataFrame, key: str, size: str, folder: str,
                   mode: str = "update") -> DataFrame:
     """Keyed windows of a stream with growing times.  ``update`` also hands on windows still open
@@ -59,7 +65,7 @@ def window_totals(spark: SparkSession, stream: DataFrame, key: str, size: str, f
     run_to_end(windows, checkpoint=f"{folder}/checkpoint", mode=mode,
                each=idempotent_append(f"{folder}/updates"))
     updates = read_batches(spark, f"{folder}/updates", windows.schema)
-    return newest_per_key(updates, [key, "window_start", "window_end"]).drop("batch_id")
+    return newest_windows(updates, key)
 
 
 def view_adjustments(history: DataFrame, amount: str = AMOUNT) -> DataFrame:
@@ -144,10 +150,16 @@ def command_stream(stream: DataFrame, wants_delete: Column, folder: str) -> Data
     return stored(keyed.choose_commands(stream, ["id"], wants_delete), folder)
 
 
-def chain(first: DataFrame, topic: str, folder: str,
-          second: Callable[[DataFrame], DataFrame]) -> DataFrame:
-    """Two queries in one job: ``first`` is published to a topic folder, and ``second`` builds its
-    result from the stream of that topic."""
-    copy = f"{folder}/{topic}"
-    run_to_end(first, checkpoint=f"{folder}/{topic}-checkpoint", path=copy)
-    return second(first.sparkSession.readStream.schema(first.schema).parquet(copy))
+def chain(first: DataFrame, topic: str, folder: str, build: Callable[[DataFrame], DataFrame],
+          mode: str = "update") -> DataFrame:
+    """Two queries in one job, at the same time: ``first`` is published to a topic folder, and what ``build``
+    makes of the stream of that topic is written batch by batch.  Ends when both have done all there is."""
+    spark, copy = first.sparkSession, f"{folder}/{topic}"
+    commits.make_folder(spark, copy)
+    with Job(spark) as job:
+        second = build(spark.readStream.schema(first.schema).parquet(copy))
+        follower = job.start(second, f"{folder}/second-checkpoint", each=idempotent_append(f"{folder}/updates"), mode=mode)
+        leader = job.start(first, f"{folder}/{topic}-checkpoint", path=copy, every=None)
+        job.wait(lambda: not leader.isActive)
+        job.drain(follower)
+    return read_batches(spark, f"{folder}/updates", second.schema)
