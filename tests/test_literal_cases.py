@@ -1,5 +1,6 @@
 """Literal cases: given messages, expected reads."""
 
+import json
 from datetime import datetime, timedelta
 
 import pytest
@@ -278,6 +279,16 @@ def test_replace_field_keeps_the_rest(spark):
         ('{"id":1}', '{"id":1}')]
 
 
+def test_replace_field_behind_a_deeply_nested_value(spark):
+    deep = '{"a":' + '[' * 9 + '{"f":1}' + ']' * 9 + ',"f":{"b":2},"g":1.50,"t":"x\\"y"}'
+    other = '{"a":' + '[' * 9 + '{"f":1}' + ']' * 9 + ',"g":1}'
+    df = spark.createDataFrame([(deep,), (other,), ("not json",), (None,), ('{"a":[{"f":1}],"f":null}',)], "data STRING")
+    out = [r[0] for r in df.select(payload.replace_json_field("data", "f", 'new "$1"')).collect()]
+    parsed = json.loads(out[0])
+    assert parsed == {**json.loads(deep), "f": 'new "$1"'} and list(parsed) == ["a", "f", "g", "t"]
+    assert out[1:] == [other, "not json", None, '{"a":[{"f":1}],"f":"new \\"$1\\""}']
+
+
 LEDGER = "bookmark BIGINT, delivery INT, checkpoint_id BIGINT, delivered_at TIMESTAMP, outcome STRING, consumer BIGINT"
 
 

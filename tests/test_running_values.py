@@ -176,3 +176,22 @@ def test_segments_hold_their_share_at_any_spacing(spark, spacing):
     assert max(sizes) <= 100 and len(sizes) <= 3 * 21 + 1
     out = running_row_number(df, ["key"], "pos", "rn", hot=100, width=50).collect()
     assert all(r.rn == (r.pos // spacing // 3 + 1 + (r.key == 0) if r.pos >= 0 else 1) for r in out)
+
+
+@pytest.mark.parametrize("order", ["id", "id * 1000000007", "id + CASE WHEN id > 900 THEN 1000000000000 ELSE 0 END", "id - 500"])
+def test_one_sequence_is_cut_by_its_rows_not_by_its_positions(spark, order):
+    rows = spark.range(1000).selectExpr(f"{order} AS at", "id")
+    from tidelog.functions.segments import SEGMENT, running, split_hot_keys
+
+    sizes = [r["count"] for r in split_hot_keys(rows, [], "at", width=50).groupBy(SEGMENT).count().collect()]
+    assert len(sizes) <= 45 and max(sizes) <= 101
+    out = running(rows, [], "at", sums={"n": "1L"}, maxes={"top": "id"}, width=50).collect()
+    assert sorted((r["id"], r["n"], r["top"]) for r in out) == [(i, i + 1, i) for i in range(1000)]
+
+
+def test_one_sequence_of_no_rows_and_of_one(spark):
+    from tidelog.functions.segments import running
+
+    rows = spark.range(1).selectExpr("id AS at")
+    assert [tuple(r) for r in running(rows, [], "at", sums={"n": "1L"}).select("at", "n").collect()] == [(0, 1)]
+    assert running(rows.filter("false"), [], "at", sums={"n": "1L"}).collect() == []

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 import re
 from collections.abc import Mapping
 
@@ -73,15 +74,16 @@ def broker_time_text(ts: Column | str) -> Column:
     return F.date_format(ts, "yyyyMMdd'T'HHmmss.SSSSSS'Z'")
 
 
-#: Levels of objects and arrays that a replaced payload may hold.
+#: Levels of objects and arrays up to which a payload is replaced in place.
 NESTING = 4
 
 
 def replace_json_field(data: Column | str, field: str, value: str) -> Column:
-    """Replace the value of one field of a JSON object, leaving the rest byte for byte.
+    """Replace the value of one field of a JSON object by a text.
 
     Only a field of the object itself is replaced, whatever its value; fields of that name further in
-    (down to NESTING levels) stay.
+    stay.  The rest stays byte for byte, unless a value before the field is nested deeper than NESTING
+    levels: then the object is parsed and written anew, with the same content.
     """
     literal = value.replace("\\", "\\\\\\\\").replace('"', '\\\\"').replace("$", "\\$")
     text = r'"(?:[^"\\]|\\.)*+"'
@@ -91,7 +93,14 @@ def replace_json_field(data: Column | str, field: str, value: str) -> Column:
     block = rf'\{{{inner}\}}|\[{inner}\]'
     one = rf'{text}\s*+:\s*+(?:{text}|{block}|[^,{{}}\[\]\s]++)\s*+,\s*+'
     pattern = rf'(?s)^(\s*+\{{\s*+(?:{one})*?"{re.escape(field)}"\s*+:\s*+)(?:{text}|{block}|[^,{{}}\[\]\s]++)'
-    return F.regexp_replace(data, pattern, f'$1"{literal}"')
+    column = F.col(data) if isinstance(data, str) else data
+    replaced = F.regexp_replace(column, pattern, f'$1"{literal}"')
+    parsed = F.from_json(column, "map<string,variant>")
+    new = F.parse_json(F.lit(json.dumps(value)))
+    anew = F.to_json(F.transform_values(parsed, lambda k, v: F.when(k == F.lit(field), new).otherwise(v)))
+    deep = ((replaced == column) & F.contains(column, F.lit(f'"{field}"'))
+            & F.coalesce(F.map_contains_key(parsed, field), F.lit(False)) & ~column.rlike(pattern))
+    return F.when(deep, anew).otherwise(replaced)
 
 
 def first_part(data: Column | str, separator: str = ",") -> Column:

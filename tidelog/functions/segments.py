@@ -45,11 +45,10 @@ def split_hot_keys(df: DataFrame, keys: Sequence[str], order: str, *, hot: int =
 
     Negative positions come before all messages and do not count towards the range.  A stretch that
     still holds over twice ``width`` rows (a burst, or everything but one far message) is cut again over
-    the range of its own rows.  Without keys the whole frame is one sequence, cut into ``width``
-    positions each.
+    the range of its own rows.  Without keys the whole frame is one sequence, cut in the same way.
     """
     if not keys:
-        return df.selectExpr("*", f"true AS {_HOT}", f"`{order}` div {int(width)} AS {SEGMENT}")
+        return _split_whole(df, order, width)
     facts = df.groupBy(*keys).agg(*map(F.expr, (
         "count(1) AS __rows", f"min(CASE WHEN `{order}` >= 0 THEN `{order}` END) AS __low",
         f"max(`{order}`) AS __high")))
@@ -74,6 +73,21 @@ def split_hot_keys(df: DataFrame, keys: Sequence[str], order: str, *, hot: int =
         f"coalesce((`{order}` - __from) div __part, 0L))) ELSE 0L END AS {SEGMENT}")
 
 
+def _split_whole(df: DataFrame, order: str, width: int) -> DataFrame:
+    """The segments of one sequence of all rows; the few numbers that decide them are scalar subqueries."""
+    low = df.agg(F.min(order)).scalar()
+    step = df.agg(F.expr(f"greatest(1L, (max(`{order}`) - min(`{order}`) + 1) div greatest(1L, count(1) div {int(width)}))")).scalar()
+    tagged = df.withColumn(SEGMENT, F.call_function("div", F.col(order) - low, step))
+    crowded = tagged.groupBy(SEGMENT).agg(*map(F.expr, (
+        "count(1) AS __rows", f"min(`{order}`) AS __from", f"max(`{order}`) AS __upto"))).filter(
+        f"__rows > {2 * int(width)}").selectExpr(
+        f"{SEGMENT} AS __in", "__from", f"greatest(1L, (__upto - __from + 1) div greatest(1L, __rows div {int(width)})) AS __part")
+    # fewer than all rows over twice the width
+    return tagged.join(F.broadcast(crowded), F.col(SEGMENT) == F.col("__in"), "left").selectExpr(
+        *_quoted(df.columns), f"true AS {_HOT}",
+        f"{SEGMENT} * {PARTS} + greatest(0L, least({PARTS - 1}L, coalesce((`{order}` - __from) div __part, 0L))) AS {SEGMENT}")
+
+
 def running(
     df: DataFrame,
     keys: Sequence[str],

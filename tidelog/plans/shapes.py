@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from datetime import UTC, datetime, timedelta
+
 from pyspark.sql import functions as F
 
 from tidelog.functions import custom, payload
@@ -148,11 +150,10 @@ def first_part(spark, d):
     return topics.event_log(spark, d).select("bookmark", payload.first_part("data").alias("head"))
 
 
-@query(LOG + """ SELECT bookmark, grp || CAST(trunc(bid + ask) AS BIGINT) AS correlation_id, 'd' AS data
-FROM log WHERE bid IS NOT NULL AND ask IS NOT NULL""")
+@query(LOG + """ SELECT bookmark, grp || CAST(trunc(bid + ask) AS BIGINT) AS correlation_id, 'd' AS data FROM log""")
 def correlation_id(spark, d):
-    quoted = topics.event_log(spark, d).filter("bid IS NOT NULL AND ask IS NOT NULL")
-    return quoted.select(
+    """A message without one of its prices has no correlation id of its own: null."""
+    return topics.event_log(spark, d).select(
         "bookmark", F.lit("d").alias("data"),
         F.concat("grp", (F.col("bid") + F.col("ask")).cast("int")).alias("correlation_id"))
 
@@ -189,9 +190,13 @@ def report_line(spark, d):
 
 @query("SELECT event_id AS bookmark, user_id AS id, true AS stamped FROM events")
 def enrich_ts(spark, d):
-    """The time itself differs from run to run: that every message has one is compared."""
+    """The time itself differs from run to run: compared is that each message has the one time of its run,
+    which lies between the start of the query and an hour later."""
+    start = datetime.now(UTC)
     rows = topics.event_log(spark, d).select("bookmark", "id", F.current_timestamp().alias("processed"))
-    return rows.select("bookmark", "id", F.col("processed").isNotNull().alias("stamped"))
+    times = rows.agg(F.count_distinct("processed")).scalar()
+    in_run = F.col("processed").between(F.lit(start), F.lit(start + timedelta(hours=1)))
+    return rows.select("bookmark", "id", F.coalesce(in_run & (times <= 1), F.lit(False)).alias("stamped"))
 
 
 def _draw_sql(stream: int, bound: int) -> str:
@@ -220,6 +225,11 @@ def gen_orders(spark, d):
                        F.col("buyer.num").alias("buyer_num"))
 
 
+@query(f"SELECT event_id AS num, repeat('a', {synthetic.SOAK_FILLER}) AS data FROM events")
+def gen_counter_lines(spark, d):
+    return synthetic.counter_lines(topics.table(spark, d, "events"), "event_id")
+
+
 @query(f"""SELECT event_id AS counter, {_draw_sql(1, 9)} + 1 AS grp, 'Message ' || event_id AS data
 FROM events""")
 def gen_grouped_counter(spark, d):

@@ -57,6 +57,19 @@ def stream_resume(spark, d):
     return spark.read.schema(log.schema).parquet(f"{folder}/rows").select("topic", "bookmark", "id")
 
 
+@query(LOG + " SELECT topic, bookmark, id FROM log WHERE ts >= TIMESTAMP '2024-01-16'")
+def stream_live_tail(spark, d):
+    """New messages only: those that are appended after the reader has asked where the topic ends."""
+    folder = scratch_folder(spark, "live-tail")
+    log = topics.event_log(spark, d).select("topic", "bookmark", "ts", "id")
+    half = F.col("ts") < F.lit("2024-01-16").cast("timestamp")
+    indexed.append(log.filter(half), f"{folder}/topic")
+    end = indexed.newest(spark, f"{folder}/topic")
+    indexed.append(log.filter(~half), f"{folder}/topic")
+    stream = indexed.stream(spark, f"{folder}/topic", log.schema, end)
+    return jobs.copy_stream(stream, f"{folder}/out").select("topic", "bookmark", "id")
+
+
 @query(HISTORY + " " + sql_state())
 def stream_sow(spark, d):
     return jobs.latest_state(spark, topics.event_parts(spark, d), KEY, FIELDS,
