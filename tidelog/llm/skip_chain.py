@@ -13,6 +13,7 @@ from __future__ import annotations
 
 import hashlib
 import re
+from array import array
 from dataclasses import dataclass
 from functools import partial
 
@@ -29,8 +30,11 @@ LABELS = ("other", *KINDS)
 MAX_DOCS, MAX_TEXT = 8000, 1 << 16
 #: Share of the old message kept, and belief from which a span is added.
 DAMPING, LEAST_BELIEF = 0.3, 0.9
-#: Change below which a text's messages have settled, and rounds after which those that swing are left.
-SETTLED, ROUNDS = 1e-3, 1000
+#: Change below which a text's messages have settled; rounds after which the steps of those that swing are
+#: halved, and after which no step that is left is above SETTLED.
+SETTLED, CALM, ROUNDS = 1e-3, 100, 4000
+#: Messages that are computed at a time, and tokens of texts that are taken together.
+AT_ONCE, TOKENS = 1 << 15, 1 << 16
 #: Digits or characters that make two tokens similar enough for a skip link.
 LEAST_KEY = 4
 
@@ -121,7 +125,8 @@ def shape(token: str) -> list[int]:
             40 + min(len(token) // 4, 10), 51 + ("=" in token or '"' in token)]
 
 
-OWN = 53
+#: Features of a token's own shape that are on, and all there are.
+SHAPE, OWN = 10, 53
 FEATURES = 3 * OWN  # own shape, and those of the neighbours that stand directly before and behind
 
 
@@ -141,14 +146,13 @@ class Graph:
 
     def __init__(self, texts: list[str]):
         self.base = [base_spans(t) for t in texts]
-        self.spans: list[tuple[int, int]] = []
-        self.doc: list[int] = []
-        self.fixed: list[int] = []
-        chain, skip, marked, on = [], [], [], []
+        # flat arrays of machine numbers: a long text may be all numbers
+        begins, ends, doc, fixed_as, near_before, shapes = array("q"), array("q"), array("i"), array("b"), array("b"), bytearray()
+        skip, marked = array("q"), array("q")
         for d, text in enumerate(texts):
-            found, last, shapes = tokens(text), {}, []
-            repeats: dict[str, list[int]] = {}
-            first = len(self.spans)
+            found, last = tokens(text), {}
+            repeats: dict[str, array] = {}
+            first = len(begins)
             kinds = [[s for s in self.base[d] if s[2] == k] for k in KINDS]
             ahead = [0] * len(KINDS)
             for i, (start, stop) in enumerate(found):
@@ -159,37 +163,60 @@ class Graph:
                         ahead[k] += 1
                     if fixed < 0 and ahead[k] < len(own) and own[ahead[k]][0] < stop:
                         fixed = k + 1
-                self.fixed.append(fixed)
-                shapes.append(shape(word))
-                near = i > 0 and start - found[i - 1][1] == 1
-                on.append((shapes[-1], shapes[-2] if near else None))
-                if near and len(on) > 1:
-                    on[-2] = (*on[-2][:2], shapes[-1])
-                if i:
-                    chain.append((first + i - 1, first + i))
+                fixed_as.append(fixed)
+                shapes += bytes(shape(word))
+                near_before.append(i > 0 and start - found[i - 1][1] == 1)
                 if key := key_of(word):
                     if key in last and last[key] != first + i - 1:
-                        skip.append((last[key], first + i))
+                        skip.extend((last[key], first + i))
                     last[key] = first + i
-                    repeats.setdefault(key, []).append(first + i)
-                self.spans.append((start, stop))
-                self.doc.append(d)
+                    repeats.setdefault(key, array("q")).append(first + i)
+                begins.append(start)
+                ends.append(stop)
+                doc.append(d)
             for own in repeats.values():
+                if len(own) == 1:
+                    continue
                 heads: dict[int, int] = {}  # place of the first marked repeat of each kind
                 for at, i in enumerate(own):
-                    if self.fixed[i] > 0:
-                        heads.setdefault(self.fixed[i], at)
-                marked += [(min(own[h], i), max(own[h], i)) for h in heads.values() for at, i in enumerate(own)
-                           if self.fixed[i] < 0 and (abs(at - h) > 1 or abs(own[h] - i) == 1)]
-        self.chain = np.array(chain, np.int64).reshape(-1, 2)
+                    if fixed_as[i] > 0:
+                        heads.setdefault(fixed_as[i], at)
+                for h in heads.values():
+                    for at, i in enumerate(own):
+                        if fixed_as[i] < 0 and (abs(at - h) > 1 or abs(own[h] - i) == 1):
+                            marked.extend((min(own[h], i), max(own[h], i)))
+        self.begins, self.ends = np.array(begins, np.int64), np.array(ends, np.int64)
+        self.doc, self.fixed = np.array(doc, np.int32), np.array(fixed_as, np.int8)
+        self.shapes = np.frombuffer(bytes(shapes), np.uint8).reshape(-1, SHAPE)
+        self.near = np.flatnonzero(np.array(near_before, bool))  # nodes that stand directly behind another
+        second = np.flatnonzero(self.doc[1:] == self.doc[:-1]) + 1
+        self.chain = np.column_stack([second - 1, second])
         self.skip = np.array(skip, np.int64).reshape(-1, 2)
         self.marked = np.array(marked, np.int64).reshape(-1, 2)
-        self.rows = np.repeat(np.arange(len(on)), [sum(len(s) for s in o if s) for o in on])
-        self.features = np.array([f + OWN * k for o in on for k, s in enumerate(o) if s for f in s], np.int64)
+
+    def __len__(self) -> int:
+        return len(self.begins)
+
+    def _features(self):
+        """Nodes, and the nodes whose shapes are their features from a place of the weights on: their own, and those
+        of the neighbours directly before and behind."""
+        yield np.arange(len(self)), np.arange(len(self)), 0
+        yield self.near, self.near - 1, OWN
+        yield self.near - 1, self.near, 2 * OWN
 
     def scores(self, weights: np.ndarray) -> np.ndarray:
-        out = np.zeros((len(self.spans), len(LABELS)))
-        np.add.at(out, self.rows, weights[self.features])
+        out = np.zeros((len(self), len(LABELS)))
+        for nodes, shown, place in self._features():
+            for k in range(SHAPE):
+                out[nodes] += weights[place + self.shapes[shown, k].astype(np.int64)]
+        return out
+
+    def sums(self, values: np.ndarray) -> np.ndarray:
+        """For every feature the sum of the values of the nodes that have it."""
+        out = np.zeros((FEATURES, values.shape[1]))
+        for nodes, shown, place in self._features():
+            for k in range(SHAPE):
+                np.add.at(out, place + self.shapes[shown, k].astype(np.int64), values[nodes])
         return out
 
 
@@ -200,54 +227,62 @@ def _logsum(x: np.ndarray, axis: int) -> np.ndarray:
 
 def beliefs(graph: Graph, model: Model) -> np.ndarray:
     """Approximate label probabilities of every node by loopy sum-product message passing."""
-    n = len(graph.spans)
+    n = len(graph)
     unary = graph.scores(model.node)
-    fixed = np.array(graph.fixed, np.int64)
-    held = fixed >= 0
+    held = graph.fixed >= 0
     unary[held] = -1e6  # more than all links of a node that many repeats are linked to
-    unary[held, fixed[held]] = 0.0
-    links = np.concatenate([graph.chain, graph.skip, graph.marked])
+    unary[held, graph.fixed[held].astype(np.int64)] = 0.0
+    links = np.concatenate([graph.chain, graph.skip, graph.marked]).astype(np.int32)
     if n and len(links):
-        factor = np.concatenate([np.broadcast_to(model.chain, (len(graph.chain), *model.chain.shape)),
-                                 np.broadcast_to(model.skip, (len(graph.skip) + len(graph.marked), *model.skip.shape))])
+        m = len(links)
         # message e goes along link e, message e + m against it
         source, target = np.concatenate([links[:, 0], links[:, 1]]), np.concatenate([links[:, 1], links[:, 0]])
-        factor = np.concatenate([factor, factor.transpose(0, 2, 1)])
-        back = np.concatenate([np.arange(len(links)) + len(links), np.arange(len(links))])
-        sent = np.zeros((len(source), len(LABELS)))
+        of_skip = np.tile(np.arange(m) >= len(graph.chain), 2)
+        factors = np.exp(np.stack([model.chain, model.chain.T, model.skip, model.skip.T]))
+        which = (2 * of_skip + (np.arange(2 * m) >= m)).astype(np.int8)
+        sent = np.zeros((2 * m, len(LABELS)))
         # each text stops by itself, so that its beliefs do not depend on the others of its slice
-        doc = np.array(graph.doc, np.int64)[source]
-        going = np.arange(len(source))
-        for _ in range(ROUNDS):
+        doc = graph.doc[source]
+        going = np.arange(2 * m, dtype=np.int32)
+        damping = np.full(int(graph.doc[-1]) + 1, DAMPING)
+        for turn in range(ROUNDS):
             total = unary.copy()
-            np.add.at(total, target[going], sent[going])
-            new = _logsum((total[source[going]] - sent[back[going]])[:, :, None] + factor[going], 1)
-            new -= _logsum(new, 1)[:, None]
-            new = DAMPING * sent[going] + (1 - DAMPING) * new
-            change = np.zeros(graph.doc[-1] + 1)
-            np.maximum.at(change, doc[going], np.abs(new - sent[going]).max(axis=1))
+            for label in range(len(LABELS)):
+                total[:, label] += np.bincount(target[going], sent[going, label], n)
+            change = np.zeros(len(damping))
+            new = np.empty((len(going), len(LABELS)))
+            for i in range(0, len(going), AT_ONCE):
+                own = going[i:i + AT_ONCE]
+                into = total[source[own]] - sent[np.where(own < m, own + m, own - m)]
+                into = np.exp(into - into.max(axis=1, keepdims=True))
+                out = np.log(np.maximum(np.matmul(into[:, None, :], factors[which[own]])[:, 0, :], 1e-300))
+                out -= _logsum(out, 1)[:, None]
+                keep = damping[doc[own]][:, None]
+                new[i:i + AT_ONCE] = keep * sent[own] + (1 - keep) * out
+                np.maximum.at(change, doc[own], np.abs(new[i:i + AT_ONCE] - sent[own]).max(axis=1))
             sent[going] = new
             going = going[change[doc[going]] >= SETTLED]
             if not len(going):
                 break
-        np.add.at(unary, target, sent)
+            if turn % CALM == CALM - 1:  # what still swings moves by ever smaller steps, until it settles
+                damping[np.unique(doc[going])] = 1 - (1 - damping[np.unique(doc[going])]) / 2
+        for label in range(len(LABELS)):
+            unary[:, label] += np.bincount(target, sent[:, label], n)
     return np.exp(unary - _logsum(unary, 1)[:, None]) if n else unary
 
 
 def train(texts: list[str]) -> Model:
     """Piecewise training: a logistic node factor, and log ratios of label pairs on either kind of link."""
     graph = Graph(texts)
-    y = np.maximum(np.array(graph.fixed, np.int64), 0)
+    y = np.maximum(graph.fixed.astype(np.int64), 0)
     weights = np.zeros((FEATURES, len(LABELS)))
     if len(y):
         goal = np.eye(len(LABELS))[y]
-        rate = 1.0 / np.maximum(np.bincount(graph.features, minlength=FEATURES), 5)[:, None]
+        rate = 1.0 / np.maximum(graph.sums(np.ones((len(y), 1))), 5)
         for _ in range(300):
             s = graph.scores(weights)
             error = goal - np.exp(s - _logsum(s, 1)[:, None])
-            step = np.zeros_like(weights)
-            np.add.at(step, graph.features, error[graph.rows])
-            weights += rate * (step - 0.5 * weights)
+            weights += rate * (graph.sums(error) - 0.5 * weights)
 
     def ratios(links, prior):
         pairs = prior.astype(float)
@@ -264,8 +299,9 @@ def added_spans(texts: list[str], graph: Graph, model: Model) -> list[list[tuple
     """Spans of free nodes that the field believes to be personal data; direct neighbours of a kind join."""
     out: list[list[tuple[int, int, str]]] = [[] for _ in texts]
     p = beliefs(graph, model)
-    for i in np.flatnonzero((np.array(graph.fixed, np.int64) < 0) & (p[:, 1:].max(axis=1, initial=0) >= LEAST_BELIEF)):
-        d, (start, stop), kind = graph.doc[i], graph.spans[i], LABELS[1 + int(p[i, 1:].argmax())]
+    for i in np.flatnonzero((graph.fixed < 0) & (p[:, 1:].max(axis=1, initial=0) >= LEAST_BELIEF)):
+        d, kind = int(graph.doc[i]), LABELS[1 + int(p[i, 1:].argmax())]
+        start, stop = int(graph.begins[i]), int(graph.ends[i])
         word = texts[d][start:stop]
         trimmed = word.rstrip("\"']}>.,;:!?*#$%&|=" + ")" * ("(" not in word))
         stop, start = start + len(trimmed), start + len(trimmed) - len(trimmed.lstrip("\"'[{<.,;:!?*#$%&|="))
@@ -278,9 +314,16 @@ def added_spans(texts: list[str], graph: Graph, model: Model) -> list[list[tuple
 
 
 def all_spans(texts: list[str], model: Model):
-    graph = Graph(texts)
-    for base, added in zip(graph.base, added_spans(texts, graph, model)):
-        yield base, sorted(base + added, key=lambda s: (s[0], KINDS.index(s[2]), s[1]))
+    # as many texts at a time as have some TOKENS tokens, by their digits; the rest follows by itself
+    part, held = [], 0
+    for i, text in enumerate(texts):
+        part.append(text)
+        held += sum(map(text.count, "0123456789@")) // 3
+        if held >= TOKENS or i == len(texts) - 1:
+            graph = Graph(part)
+            for base, added in zip(graph.base, added_spans(part, graph, model)):
+                yield base, sorted(base + added, key=lambda s: (s[0], KINDS.index(s[2]), s[1]))
+            part, held = [], 0
 
 
 def joined(spans) -> str:
