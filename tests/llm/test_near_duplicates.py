@@ -3,11 +3,12 @@
 import random
 import re
 
+import numpy as np
 import pytest
 import xxhash
 from pyspark.sql import functions as F
 
-from tidelog.llm import bk_simhash
+from tidelog.llm import bk_simhash, near_copies
 from tidelog.llm.components import components
 
 
@@ -102,3 +103,105 @@ def test_documents(spark):
     assert sorted(str(r["doc_id"]) for r in kept.collect()) == sorted(map(str, wanted))
     assert bk_simhash.clustered(docs.where("false")).count() == 0
     assert bk_simhash.deduplicated(docs.where("false")).count() == 0
+
+
+def test_deduplicated_tells_ids_from_fingerprints(spark):
+    rows = [(0, "the first text of three words"), (None, ""), (5, "another text with other words")]
+    kept = bk_simhash.deduplicated(spark.createDataFrame(rows, "doc_id long, text string"))
+    assert {r["doc_id"] for r in kept.collect()} == {0, None, 5}
+
+
+def test_deduplicated_keeps_one_row_of_a_component_without_ids(spark):
+    text = " ".join(f"w{i}" for i in range(4000))
+    rows = [(None, text), (None, text + " x"), (None, text + " x")]
+    found = bk_simhash.clustered(spark.createDataFrame(rows, "doc_id long, text string"))
+    assert found.select("root").distinct().count() == 1 and found.select("fp").distinct().count() >= 1
+    assert bk_simhash.deduplicated(spark.createDataFrame(rows, "doc_id long, text string")).count() == 1
+
+
+@pytest.mark.parametrize("dedup", [bk_simhash.deduplicated, near_copies.without_near_copies])
+def test_columns_named_like_inner_ones_keep_their_values(spark, dedup):
+    rows = [(1, "some words that stay here", 77, "keep", "a", "b", "c")]
+    schema = "doc_id long, text string, __n int, __text_hash string, __node string, __id string, root string"
+    kept = dedup(spark.createDataFrame(rows, schema))
+    assert kept.columns == ["doc_id", "text", "__n", "__text_hash", "__node", "__id", "root"]
+    assert [tuple(r) for r in kept.collect()] == rows
+
+
+# near copies by similarity
+
+
+def shingles(text):
+    lower = "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in text or "")
+    words = re.findall(r"[^\x20\x09-\x0D]+", lower)
+    return {tuple(words[i:i + 5]) for i in range(len(words) - 4)} or {tuple(words)}
+
+
+def similarity(a, b):
+    return len(a & b) / len(a | b)
+
+
+def one_of_each_group(texts):
+    """The smallest ids of the groups of texts (by id) that links of similarity 0.8 connect."""
+    sets = {i: shingles(t) for i, t in texts.items()}
+    holders = {}
+    for i, own in sets.items():
+        for s in own:
+            holders.setdefault(s, []).append(i)
+    pairs = {(min(i, j), max(i, j)) for own in holders.values() for i in own for j in own[:50] if i != j}
+    root = brute_components([p for p in pairs if similarity(sets[p[0]], sets[p[1]]) >= 0.8], list(texts))
+    return set(root.values())
+
+
+def planted(seed, originals=40, per=6):
+    """Texts with copies in which some words are changed, dropped or added."""
+    rnd = random.Random(seed)
+    out = {}
+    for _ in range(originals):
+        words = [f"w{rnd.randrange(3000)}" for _ in range(rnd.choice([3, 8, 30, 120, 400]))]
+        for _ in range(rnd.randint(1, per)):
+            copy = list(words)
+            for _ in range(rnd.choice([0, 0, 1, 1, 2, 5, 12])):
+                at = rnd.randrange(len(copy))
+                copy[at:at + 1] = rnd.choice([["new"], [], [copy[at].upper(), "more"]])
+                copy = copy or ["left"]
+            out[len(out)] = " ".join(copy)
+    return out
+
+
+@pytest.mark.parametrize("seed, tree_rows", [(1, 1 << 15), (2, 1 << 15), (3, 4)])
+def test_planted_near_copies(spark, monkeypatch, seed, tree_rows):
+    monkeypatch.setattr(near_copies, "PIVOTS", 2)
+    texts = planted(seed)
+    docs = spark.createDataFrame(list(texts.items()), "doc_id long, text string").repartition(5)
+    kept = {r["doc_id"] for r in near_copies.without_near_copies(docs, tree_rows=tree_rows).collect()}
+    want = one_of_each_group(texts)
+    gone = set(texts) - want
+    assert want <= kept  # nothing that has no near copy goes
+    assert len(gone & kept) <= 0.1 * len(gone) and len(gone) > 30
+    if tree_rows > 4:
+        assert kept == want
+
+
+def test_groups_of_near_copies_on_odd_rows(spark):
+    long_text = " ".join(f"w{i}" for i in range(400))
+    rows = [(3, long_text), (None, long_text + " x"), (2, long_text.upper() + " y"), (9, None), (8, ""), (8, ""), (7, " \n"),
+            (None, "only without an id"), (None, "ONLY without an id"), (5, "one two"), (4, "two one"), (4, "two one"), (4, "and four")]
+    docs = spark.createDataFrame([(i, t, n) for n, (i, t) in enumerate(rows)], "doc_id long, text string, n int")
+    kept = near_copies.without_near_copies(docs).collect()
+    assert sorted(str(r["doc_id"]) for r in kept) == sorted(map(str, [2, 7, None, 5, 4, 4]))
+    assert {r["text"] for r in kept if r["doc_id"] == 4} == {"two one", "and four"}
+    assert near_copies.without_near_copies(docs.where("false")).collect() == []
+
+
+def test_trees_hold_many_values_and_follow_only_edges_in_reach():
+    rng = np.random.default_rng(7)
+    base = rng.integers(0, 1 << 63, 40, dtype=np.uint64)
+    values = np.unique(np.concatenate([base ^ np.uint64(1 << int(b)) for b in rng.integers(0, 60, 50)]))
+    tree = near_copies.Tree(values)
+    query, node, distance = (np.concatenate(c) for c in zip(*tree.within(4, np.arange(len(values)))))
+    apart = np.bitwise_count(values[:, None] ^ values[None, :])
+    earlier = np.arange(len(values))[None, :] < np.arange(len(values))[:, None]
+    assert set(zip(query.tolist(), node.tolist())) == set(zip(*(x.tolist() for x in np.nonzero((apart <= 4) & earlier))))
+    assert (apart[query, node] == distance).all()
+    assert len(values) > 1000 and tree.compared < 0.5 * len(values) ** 2
