@@ -6,6 +6,7 @@ of the path, hashed to a fixed number of weights.  Rules come first; the model j
 
 from __future__ import annotations
 
+from dataclasses import dataclass
 from functools import partial
 
 import numpy as np
@@ -19,6 +20,8 @@ RULES = (("net", "/", "block"), ("example.net", "/en/", "allow"), ("example.com"
          ("org", "/fr/", "allow"))
 LENGTHS = (3, 4, 5)
 DIMENSIONS = 1 << 16
+#: Parts of the labelled rows, each scored by a model of the others to set the threshold.
+FOLDS = 5
 #: At most so many labelled rows train the model: those of the smallest checksum.
 MAX_LABELLED = 20_000
 
@@ -109,9 +112,53 @@ def _margins(weights: np.ndarray, bias: float, hosts: list[str], paths: list[str
     return np.bincount(rows, weights[grams], len(hosts)) / np.sqrt(np.maximum(n, 1)) + bias
 
 
-def fit(labelled: DataFrame, max_rows: int = MAX_LABELLED, steps: int = 800, rate: float = 4.0,
-        penalty: float = 1e-4) -> tuple[np.ndarray, float]:
-    """Weights and bias by gradient steps on a bounded number of labelled rows (url, label).
+@dataclass(frozen=True)
+class Model:
+    """Weights of the n-grams, bias, and the score from which a URL is blocked."""
+
+    weights: np.ndarray
+    bias: float
+    threshold: float
+
+    def scores(self, hosts: list[str], paths: list[str]) -> np.ndarray:
+        return 1 / (1 + np.exp(-_margins(self.weights, self.bias, hosts, paths)))
+
+
+def train(hosts: list[str], paths: list[str], y: np.ndarray, steps: int = 800, rate: float = 4.0,
+          penalty: float = 1e-4) -> tuple[np.ndarray, float]:
+    """Weights and bias by gradient steps; either label counts as much as the other."""
+    weights, bias = np.zeros(DIMENSIONS), -1.0
+    if len(set(y.tolist())) < 2:
+        return weights, bias
+    at, grams = hashed_grams(hosts, paths)
+    share = 1 / np.sqrt(np.maximum(np.bincount(at, minlength=len(y)), 1))
+    balance = np.where(y == 1, 0.5 / y.mean(), 0.5 / (1 - y.mean()))
+    for _ in range(steps):
+        margin = np.bincount(at, weights[grams], len(y)) * share + bias
+        error = (1 / (1 + np.exp(-margin)) - y) * balance / len(y)
+        weights -= rate * (np.bincount(grams, (error * share)[at], DIMENSIONS) + penalty * weights)
+        bias -= rate * error.sum()
+    return weights, bias
+
+
+def fold_threshold(hosts: list[str], paths: list[str], y: np.ndarray) -> float:
+    """The middle between two scores that best parts the labels (mean of the shares told rightly) where each row is scored by
+    a model of the other folds; of equally good ones the lowest, 0.5 without rows of both labels."""
+    fold, scores = np.arange(len(y)) % FOLDS, np.zeros(len(y))
+    for k in range(FOLDS):
+        others, own = np.flatnonzero(fold != k), np.flatnonzero(fold == k)
+        model = Model(*train([hosts[i] for i in others], [paths[i] for i in others], y[others]), 0.5)
+        scores[own] = model.scores([hosts[i] for i in own], [paths[i] for i in own])
+    if len(set(y.tolist())) < 2:
+        return 0.5
+    seen = np.unique(scores)
+    between = np.append(seen[0], (seen[1:] + seen[:-1]) / 2)
+    rightly = [((scores[y == 1] >= t).mean() + (scores[y == 0] < t).mean(), -t) for t in between]
+    return -max(rightly)[1]
+
+
+def fit(labelled: DataFrame, max_rows: int = MAX_LABELLED) -> Model:
+    """Train on a bounded number of labelled rows (url, label), the threshold by folds of them.
 
     Rows with a null url or label are left out; without rows of both labels everything is allowed.
     """
@@ -121,29 +168,18 @@ def fit(labelled: DataFrame, max_rows: int = MAX_LABELLED, steps: int = 800, rat
                     F.xxhash64(url).alias("order"))
             .orderBy("order", "host", "path").limit(max_rows).collect())
     y = np.array([r["label"] for r in rows], float)
-    weights, bias = np.zeros(DIMENSIONS), -1.0
-    if len(set(y)) < 2:
-        return weights, bias
-    at, grams = hashed_grams([r["host"] for r in rows], [r["path"] for r in rows])
-    share = 1 / np.sqrt(np.maximum(np.bincount(at, minlength=len(rows)), 1))
-    balance = np.where(y == 1, 0.5 / y.mean(), 0.5 / (1 - y.mean()))
-    for _ in range(steps):
-        margin = np.bincount(at, weights[grams], len(rows)) * share + bias
-        error = (1 / (1 + np.exp(-margin)) - y) * balance / len(rows)
-        weights -= rate * (np.bincount(grams, (error * share)[at], DIMENSIONS) + penalty * weights)
-        bias -= rate * error.sum()
-    return weights, bias
+    hosts, paths = [r["host"] for r in rows], [r["path"] for r in rows]
+    return Model(*train(hosts, paths, y), fold_threshold(hosts, paths, y))
 
 
-def _start(model: tuple[np.ndarray, float]):
+def _start(model: Model):
     def work(hosts, paths):
-        hosts, paths = [h or "" for h in hosts], [p or "" for p in paths]
-        return [(1 / (1 + np.exp(-_margins(*model, hosts, paths)))).tolist()]
+        return [model.scores([h or "" for h in hosts], [p or "" for p in paths]).tolist()]
 
     return work
 
 
-def judged(pages: DataFrame, labelled: DataFrame | None = None, rules=RULES, threshold: float = 0.56,
+def judged(pages: DataFrame, labelled: DataFrame | None = None, rules=RULES, threshold: float | None = None,
            id_col: str = "page_id", url_col: str = "url") -> DataFrame:
     """Host, path, rule, verdict and score of every url.
 
@@ -157,6 +193,7 @@ def judged(pages: DataFrame, labelled: DataFrame | None = None, rules=RULES, thr
                       partial(_start, model))
     rule, verdict = rule_of(F.col("host"), F.col("path"), rules)
     # an empty host says nothing: it isn't blocked
-    by_model = F.when((F.col("score") >= threshold) & (F.col("host") != ""), "block").otherwise("allow")
+    least = model.threshold if threshold is None else threshold
+    by_model = F.when((F.col("score") >= least) & (F.col("host") != ""), "block").otherwise("allow")
     return scored.select("page_id", "host", "path", rule.alias("rule"), F.coalesce(verdict, by_model).alias("verdict"),
                          "score")
