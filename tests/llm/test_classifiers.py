@@ -94,3 +94,17 @@ def test_hashed_grams_do_not_cross_rows():
     alone = [url_filter.hashed_grams([h], [p]) for h, p in zip(["ab.example", "", "ü"], ["/en/1", "", "/"])]
     for i, (_, grams) in enumerate(alone):
         assert sorted(grams) == sorted(together[1][together[0] == i])
+
+
+def test_url_threshold_comes_from_folds_of_the_labelled_rows():
+    rows = [(f"{w}{i}.example", "/x", label) for i in range(30) for w, label in (("casino", 1), ("garden", 0))]
+    hosts, paths, y = [r[0] for r in rows], [r[1] for r in rows], np.array([r[2] for r in rows], float)
+    threshold = url_filter.fold_threshold(hosts, paths, y)
+    model = url_filter.Model(*url_filter.train(hosts, paths, y), threshold)
+    scores = model.scores(["casino-new.example", "garden-new.example"], ["/x", "/x"])
+    assert scores[0] >= threshold > scores[1]
+    # each score by brute force: the sum over the row's n-grams
+    for host, path, score in zip(hosts[:4], paths[:4], model.scores(hosts[:4], paths[:4])):
+        _, grams = url_filter.hashed_grams([host], [path])
+        assert abs(np.log(score / (1 - score)) - model.weights[grams].sum() / len(grams) ** 0.5 - model.bias) < 1e-9
+    assert url_filter.fold_threshold(hosts[:1], paths[:1], y[:1]) == 0.5
