@@ -460,6 +460,19 @@ def test_counters_of_a_running_job_and_its_failure(spark, topic):
     assert ["refused" in r["error"] for r in found if r["error"]] == [True]
 
 
+def test_counters_of_a_session_that_is_not_the_active_one(spark, topic):
+    from tidelog.streaming.running import Counters, Job
+
+    other, folder = spark.newSession(), scratch_folder(spark, "other-session")
+    counters = Counters(f"{folder}/log")
+    with counters, Job(other) as job:
+        rows = stream(other, topic).withColumn("data", F.lit("four"))
+        query = job.start(counters.watched(rows, "all"), f"{folder}/c", path=f"{folder}/rows", every=None)
+        job.wait(lambda: not query.isActive)
+        counters.settled(query, 20)
+    assert [tuple(r) for r in counters.table(other).groupBy("name").agg(F.sum("records")).collect()] == [("all", topic[0].count())]
+
+
 def test_answers_of_a_queue(spark):
     from tidelog.streaming import queues
 

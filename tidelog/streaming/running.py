@@ -76,22 +76,26 @@ class Counters(StreamingQueryListener):
     """Records, payload bytes and state of every batch of the queries watched, in a log of small files.
 
     ``watched`` puts the counters on a stream; they are taken while its rows pass by.  ``table`` reads them
-    back, also while the queries run.
+    back, also while the queries run.  Queries report to their own session alone, and the thread's active one
+    may be another: the listener joins the session of every stream watched, until the block ends.
     """
 
     def __init__(self, path: str):
-        self.path, self.ended, self.spark = path, {}, None
+        self.path, self.ended, self.spark, self.sessions = path, {}, None, []
 
     def watched(self, stream: DataFrame, name: str, data: str = "data") -> DataFrame:
         self.spark = stream.sparkSession
+        if not any(self.spark is s for s in self.sessions):
+            self.spark.streams.addListener(self)
+            self.sessions.append(self.spark)
         return observe_io(stream, name, data)
 
     def __enter__(self) -> Counters:
-        SparkSession.active().streams.addListener(self)
         return self
 
     def __exit__(self, *_) -> None:
-        SparkSession.active().streams.removeListener(self)
+        while self.sessions:
+            self.sessions.pop().streams.removeListener(self)
 
     def onQueryStarted(self, event) -> None:
         self.ended[str(event.runId)] = threading.Event()
