@@ -205,3 +205,23 @@ def test_trees_hold_many_values_and_follow_only_edges_in_reach():
     assert set(zip(query.tolist(), node.tolist())) == set(zip(*(x.tolist() for x in np.nonzero((apart <= 4) & earlier))))
     assert (apart[query, node] == distance).all()
     assert len(values) > 1000 and tree.compared < 0.5 * len(values) ** 2
+
+
+@pytest.mark.parametrize("sample, cell_rows", [(1 << 13, 1 << 12), (40, 1)])
+def test_what_the_trees_do_not_link_is_found_exactly(spark, monkeypatch, sample, cell_rows):
+    """With a radius of 0 the trees link next to nothing; one line that all texts have is frequent."""
+    monkeypatch.setattr(near_copies, "SAMPLE_ROWS", sample)
+    monkeypatch.setattr(near_copies, "CELL_ROWS", cell_rows)
+    rnd, line = random.Random(12), " ".join(f"common{i}" for i in range(12))
+    texts = []
+    for _ in range(40):
+        words = [f"v{rnd.randrange(900)}" for _ in range(rnd.choice([3, 9, 40, 120]))]
+        texts.append(" ".join(words))
+        for _ in range(3):
+            near = list(words)
+            near[rnd.randrange(len(near))] = f"z{rnd.randrange(900)}"
+            texts.append(" ".join(near) + rnd.choice(["", " more", " " + line]))
+        texts.append(line + " " + " ".join(words))
+    rows = dict(enumerate(texts))
+    kept = near_copies.without_near_copies(spark.createDataFrame(list(rows.items()), "doc_id long, text string"), radius=0)
+    assert {r["doc_id"] for r in kept.collect()} == one_of_each_group(rows)

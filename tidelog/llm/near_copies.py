@@ -5,6 +5,10 @@ shards are texts that share two of their six smallest shingle hashes, as texts o
 for one pair in 600.  Each shard grows a BK-tree of its fingerprints and follows the edges within a wide
 radius; what comes near is linked, nearest first, and every link is confirmed by the exact similarity of
 the whole texts.  Equal texts are one node from the start.
+
+That leaves out pairs: those of no common shard, beyond the radius or not the nearest.  So pairs of texts
+that are not in one group yet are searched exactly: in one order of all shingles, similar sets share one
+of their first ones, and counts of shingles by bucket refute most other pairs before texts are compared.
 """
 
 from __future__ import annotations
@@ -31,8 +35,9 @@ RADIUS = 17
 TREE_ROWS, PIVOTS = 1 << 15, 256
 #: Pairs that a tree compares at a time at most; bytes of texts that are compared at a time.
 PAIRS, TEXT_BYTES = 1 << 18, 3 << 20
-#: Neighbours in other groups of a text whose nearest one was not similar.
-BRIDGES = 8
+#: Rows whose shingles are counted for the order of all, and how many frequent ones come last: a choice of
+#: order only.  Texts that meet in a cell, and counts in a text's sketch.
+SAMPLE_ROWS, LAST, CELL_ROWS, BUCKETS = 1 << 13, 1 << 18, 1 << 12, 128
 _FACTOR = np.uint64(0x5851F42D4C957F2D)
 NODE = T.StructType([T.StructField(c, T.LongType(), False) for c in ("h1", "h2")])
 
@@ -98,27 +103,6 @@ def nearest_links(prints: np.ndarray, before: np.ndarray, radius: int) -> np.nda
     return np.column_stack([order[linked], order[best[linked] % n]])
 
 
-def bridging_links(prints: np.ndarray, marks: np.ndarray, radius: int) -> np.ndarray:
-    """Pairs of places: each odd-marked text with its BRIDGES nearest ones of another group (mark but for its
-    last bit), those that are not odd-marked or come before it."""
-    group, asks = marks >> 1, (marks & 1).astype(bool)
-    if not asks.any() or (group == group[0]).all():
-        return np.zeros((0, 2), np.int64)
-    order = np.append(np.flatnonzero(~asks), np.flatnonzero(asks))
-    group, tree, n, out = group[order], Tree(prints[order]), len(order), []
-    for block in _blocks(n - int(asks.sum()), n):
-        levels = list(tree.within(radius, block))
-        query, node, distance = (np.concatenate(c) for c in zip(*levels))
-        other = group[query] != group[node]
-        query, node, distance = query[other], node[other], distance[other]
-        by = np.lexsort((node, distance, query))
-        query, node = query[by], node[by]
-        begin = np.flatnonzero(np.append(True, query[1:] != query[:-1])[:len(query)])
-        place = np.arange(len(query)) - np.repeat(begin, np.diff(np.append(begin, len(query))))
-        out.append(np.column_stack([order[query[place < BRIDGES]], order[node[place < BRIDGES]]]))
-    return np.concatenate(out)
-
-
 def shingles(words: Words, size: int) -> tuple[np.ndarray, np.ndarray]:
     """Text and hash of every distinct shingle, by text and hash.
 
@@ -160,8 +144,95 @@ def _prints(size: int, smallest: int, part: pa.RecordBatch) -> pa.RecordBatch:
     lists = pa.ListArray.from_arrays(pa.array(np.searchsorted(text[kept], np.arange(part.num_rows + 1)), pa.int32()),
                                      pa.array(value[kept].view(np.int64)))
     prints = simhashes(text, value, part.num_rows) if part.num_rows else np.zeros(0, np.uint64)
-    return pa.RecordBatch.from_arrays([part.column(1), part.column(2), pa.array(prints.view(np.int64)), lists],
-                                      names=["id", "node", "fp", "smallest"])
+    sketches = [row.tobytes() for row in _sketches(text, value, part.num_rows)]
+    return pa.RecordBatch.from_arrays([part.column(1), part.column(2), pa.array(prints.view(np.int64)), lists,
+                                       pa.array(np.diff(begins), pa.int32()), pa.array(sketches, pa.binary())],
+                                      names=["id", "node", "fp", "smallest", "size", "sketch"])
+
+
+def _sketches(text: np.ndarray, value: np.ndarray, texts: int) -> np.ndarray:
+    """Shingles per text and bucket, 255 at most: two sets differ by as much as their sketches or more."""
+    slot = text.astype(np.int64) * BUCKETS + (value >> np.uint64(20)).astype(np.int64) % BUCKETS
+    return np.minimum(np.bincount(slot, minlength=texts * BUCKETS), 255).astype(np.uint8).reshape(texts, BUCKETS)
+
+
+def _prefixes(size: int, least: float, last: np.ndarray, cells: np.ndarray, part: pa.RecordBatch) -> pa.RecordBatch:
+    """Per text its number of shingles and, as (shingle, place, cells), the first ones in the order of all, of
+    which similar texts share one: the hashes in ``last`` (ascending) come behind all others."""
+    text, value = shingles(words_of(part.column(0), lower=True), size)
+    signed = value.view(np.int64)
+    at = np.minimum(np.searchsorted(last, signed), max(0, len(last) - 1))
+    frequent = last[at] == signed if len(last) else np.zeros(len(signed), bool)
+    order = np.lexsort((signed, frequent, text))
+    sizes = np.bincount(text, minlength=part.num_rows)
+    begins = np.append(0, np.cumsum(sizes))
+    place = np.arange(len(text)) - begins[text]
+    kept = place < (sizes - np.ceil(least * sizes - 1e-9).astype(np.int64) + 1)[text]
+    chosen = order[kept]
+    of = np.where(frequent[chosen], cells[at[chosen]], 1) if len(last) else np.ones(len(chosen), np.int64)
+    first = pa.StructArray.from_arrays([pa.array(signed[chosen]), pa.array(place[kept], pa.int32()), pa.array(of, pa.int32())],
+                                       names=["shingle", "place", "cells"])
+    lists = pa.ListArray.from_arrays(pa.array(np.searchsorted(text[kept], np.arange(part.num_rows + 1)), pa.int32()), first)
+    return pa.RecordBatch.from_arrays([part.column(1), pa.array(sizes, pa.int32()), lists], names=["node", "size", "first"])
+
+
+def _counted(size: int, part: pa.RecordBatch) -> pa.RecordBatch:
+    value = shingles(words_of(part.column(0), lower=True), size)[1]
+    value, n = np.unique(value, return_counts=True)
+    return pa.RecordBatch.from_arrays([pa.array(value.view(np.int64)), pa.array(n, pa.int64())], names=["shingle", "n"])
+
+
+def _meetings(least: float, batches):
+    """Pairs of texts of different groups that share a shingle among their first ones, from rows sorted by
+    shingle and cell, but for those that cannot be similar if it is the first they share."""
+    rest = None
+    for batch in batches:
+        rows = np.stack([c.to_numpy().astype(np.int64) for c in batch.columns])
+        rows = rows if rest is None else np.concatenate([rest, rows], axis=1)
+        new = np.flatnonzero((np.diff(rows[0]) != 0) | (np.diff(rows[1]) != 0)) + 1
+        cut = new[-1] if len(new) else 0
+        yield from _met(least, rows[:, :cut])
+        rest = rows[:, cut:]
+    if rest is not None:
+        yield from _met(least, rest)
+
+
+def _met(least: float, rows: np.ndarray):
+    if not rows.shape[1]:
+        return
+    new = np.append(True, (np.diff(rows[0]) != 0) | (np.diff(rows[1]) != 0))
+    begins = np.flatnonzero(new)
+    mixed_roots = np.minimum.reduceat(rows[4], begins) != np.maximum.reduceat(rows[4], begins)
+    group = np.cumsum(new) - 1
+    kept = mixed_roots[group]
+    group, (_, cell, block, node, root, size, place) = group[kept], rows[:, kept]
+    one, distance, made, held = np.arange(len(group)), 0, [], 0
+    while len(one):
+        distance += 1
+        one = one[one + distance < len(group)]
+        one = one[group[one] == group[one + distance]]
+        two = one + distance
+        within = np.minimum(size[one] - place[one], size[two] - place[two])
+        # cells of two blocks pair these alone; each block has one cell of its own (negative)
+        near = ((root[one] != root[two]) & ((cell[one] < 0) | (block[one] != block[two]))
+                & (within >= least / (1 + least) * (size[one] + size[two]) - 1e-6))
+        a, b = node[one[near]], node[two[near]]
+        made.append(np.stack([np.maximum(a, b), np.minimum(a, b)]))
+        held += len(a)
+        if held >= PAIRS or not len(one):
+            pairs, made, held = np.unique(np.concatenate(made, axis=1), axis=1), [], 0
+            yield pa.RecordBatch.from_arrays([pa.array(pairs[0]), pa.array(pairs[1])], names=["x", "y"])
+
+
+def _possible(least: float, batches):
+    """Pairs whose sketches do not show that they are not similar."""
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        one, two = (np.frombuffer(b"".join(batch.column(c).to_pylist()), np.uint8).reshape(-1, BUCKETS).astype(np.int16)
+                    for c in ("sketch_a", "sketch_b"))
+        most = (1 - least) / (1 + least) * (batch.column("size_a").to_numpy() + batch.column("size_b").to_numpy()) + 1e-6
+        yield batch.filter(pa.array(np.abs(one - two).sum(axis=1) <= most)).select(["a", "b"])
 
 
 def _links(find, radius: int, batches):
@@ -218,32 +289,65 @@ def grouped(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", *,
     Texts are linked if their sets of ``shingle``-word shingles (A-Z lower-cased) have a Jaccard similarity of
     ``similarity`` or more; groups are what links reach.  A text of fewer words is one shingle; texts without a
     word, and null texts, are equal to each other.  A null id is the least only of a text that has no other.
-    Very long texts are compared whole.  A pair of similarity 0.8 is missed if fewer than two of its SMALLEST
-    hashes are shared (1 in 600), if its fingerprints differ in over ``radius`` bits, or if BRIDGES texts that
-    are not similar lie nearer, and there is no way round over other texts.  A shard of more than
-    ``tree_rows`` texts is cut into parts by hash, which some PIVOTS of its texts all have in common: its
-    parts are linked over these.
+    Very long texts are compared whole.  No link between different texts is lost: what the trees do not find
+    (fewer than two shared smallest hashes, over ``radius`` bits, not the nearest) is searched exactly.  A shard
+    of more than ``tree_rows`` texts is cut into parts by hash, which some PIVOTS of its texts all have in common.
     """
     rows = docs.select(column(text_col).alias("text"), column(id_col).alias("id"), node_of(column(text_col)).alias("node"))
     kind = rows.schema["id"].dataType
     schema = T.StructType([T.StructField("id", kind), T.StructField("node", NODE), T.StructField("fp", T.LongType()),
-                           T.StructField("smallest", T.ArrayType(T.LongType()))])
+                           T.StructField("smallest", T.ArrayType(T.LongType())), T.StructField("size", T.IntegerType()),
+                           T.StructField("sketch", T.BinaryType())])
     prints = in_slices(rows, 0, schema, partial(_prints, shingle, SMALLEST))
-    texts = checkpointed(prints.groupBy("node").agg(F.min("id").alias("least"), F.first("fp").alias("fp"),
-                                                    F.first("smallest").alias("smallest")))
-    near = _near(texts, nearest_links, radius, tree_rows)
-    first = _confirmed(rows, texts, near, shingle, similarity)
-    # what is nearest by its bits need not be what is similar: where it was not, further ones are tried
-    failed = _ends(near.join(first, ["a", "b"], "left_anti")).withColumn("failed", F.lit(True))
-    known = (texts.join(_ends(near), "node").join(failed, "node", "left").join(components(first), "node", "left")
-             .withColumn("root", F.coalesce("root", "node")))
-    more = _near(checkpointed(known), bridging_links, radius, tree_rows).join(near, ["a", "b"], "left_anti")
-    second = _confirmed(rows, texts, checkpointed(more), shingle, similarity)
-    roots = components(first.unionByName(second))
+    texts = checkpointed(prints.groupBy("node").agg(
+        F.min("id").alias("least"), F.count(F.lit(1)).alias("copies"),
+        *[F.first(c).alias(c) for c in ("fp", "smallest", "size", "sketch")]))
+    first = _confirmed(rows, texts, _near(texts, radius, tree_rows), shingle, similarity)
+    rest = _rest(rows, texts, components(first), shingle, similarity)
+    roots = components(first.unionByName(_confirmed(rows, texts, rest, shingle, similarity)))
     return texts.join(roots, "node", "left").select("node", "least", F.coalesce("root", "node").alias("root"))
 
 
-def _near(texts: DataFrame, find, radius: int, tree_rows: int) -> DataFrame:
+def _frequent(rows: DataFrame, n: int, shingle: int) -> tuple[np.ndarray, np.ndarray]:
+    """Shingles that are frequent in a sample of the ``n`` rows, ascending, and into how many blocks their texts
+    are dealt.  They only settle in which order shingles are searched and where."""
+    every = max(1, n // SAMPLE_ROWS)
+    sample = rows.where(F.pmod(F.xxhash64("id", "node"), F.lit(every)) == 0).limit(4 * SAMPLE_ROWS).select("text")
+    counts = (in_slices(sample, 0, "shingle BIGINT, n BIGINT", partial(_counted, shingle)).groupBy("shingle")
+              .agg(F.sum("n").alias("n")).where("n > 2").orderBy(F.desc("n"), "shingle").limit(LAST))
+    found = np.array(sorted((r["shingle"], r["n"]) for r in counts.collect()), np.int64).reshape(-1, 2)
+    return found[:, 0], np.minimum(1 + found[:, 1] * every // CELL_ROWS, 1 << 7)
+
+
+def _rest(rows: DataFrame, texts: DataFrame, roots: DataFrame, shingle: int, similarity: float) -> DataFrame:
+    """All pairs of texts of different groups that may be similar."""
+    n = texts.agg(F.sum("copies")).first()[0] or 0
+    last, cells = _frequent(rows, n, shingle)
+    schema = T.StructType([T.StructField("node", NODE), T.StructField("size", T.IntegerType()), T.StructField(
+        "first", T.ArrayType(T.StructType([T.StructField("shingle", T.LongType()), T.StructField("place", T.IntegerType()),
+                                           T.StructField("cells", T.IntegerType())])))])
+    firsts = in_slices(rows.select("text", "node"), 0, schema, partial(_prefixes, shingle, similarity, last, cells))
+    known = firsts.join(broadcast_if_small(roots), "node", "left")
+    dealt = known.select(F.col("node.h1").alias("h1"), F.when(F.col("root").isNull(), F.col("node.h1")).otherwise(
+        F.col("root.h1")).alias("group"), "size", F.explode("first").alias("f"))
+    dealt = dealt.withColumn("block", F.pmod(F.xxhash64("h1"), F.col("f.cells")).cast("int"))
+    # block i meets block j in the cell of both, and itself in a cell of its own
+    of = F.transform(F.sequence(F.lit(0), F.col("f.cells") - 1), lambda j: F.when(j == F.col("block"), -1 - j).otherwise(
+        F.least(j, "block") * F.col("f.cells") + F.greatest(j, "block")))
+    dealt = dealt.select(F.col("f.shingle").alias("shingle"), F.explode(F.when(F.col("f.cells") == 1, F.array(F.lit(-1)))
+                         .otherwise(of)).alias("cell"), "block", "h1", "group", "size", F.col("f.place").alias("place"))
+    met = (dealt.repartition("shingle", "cell").sortWithinPartitions("shingle", "cell")
+           .mapInArrow(partial(_meetings, similarity), "x BIGINT, y BIGINT").distinct())
+    facts = texts.select(F.col("node.h1").alias("h1"), "node", "size", "sketch")
+    for end, at in (("x", "a"), ("y", "b")):
+        own = facts.select(F.col("h1").alias(end), F.col("node").alias(at), F.col("size").alias(f"size_{at}"),
+                           F.col("sketch").alias(f"sketch_{at}"))
+        met = met.join(own, end)
+    pairs = T.StructType([T.StructField("a", NODE), T.StructField("b", NODE)])
+    return checkpointed(met.mapInArrow(partial(_possible, similarity), pairs))
+
+
+def _near(texts: DataFrame, radius: int, tree_rows: int) -> DataFrame:
     """Links of texts that share two of their smallest hashes and have near fingerprints."""
     at = F.transform(F.slice("smallest", 2, SMALLEST), lambda b: F.struct(
         F.xxhash64(F.col("smallest")[0], b).alias("shard"), F.lit(0).cast("long").alias("before")))
@@ -252,9 +356,8 @@ def _near(texts: DataFrame, find, radius: int, tree_rows: int) -> DataFrame:
             F.xxhash64(a, b).alias("shard"), F.col("smallest")[0].alias("before")))))
     alone = F.array(F.struct(F.xxhash64(F.col("smallest")[0]).alias("shard"), F.lit(0).cast("long").alias("before")))
     pairs = F.when(F.size("smallest") == 1, alone).otherwise(F.concat(at, later))
-    mark = F.col("p.before") if find is nearest_links else (
-        F.shiftleft(F.xxhash64("root"), 1) + F.when(F.col("failed"), 1).otherwise(0))
-    dealt = texts.withColumn("p", F.explode(pairs)).select("node", "fp", F.col("p.shard").alias("shard"), mark.alias("mark"))
+    dealt = texts.withColumn("p", F.explode(pairs)).select("node", "fp", F.col("p.shard").alias("shard"),
+                                                              F.col("p.before").alias("mark"))
     # fewer than a tree_rows-th of all rows
     crowded = checkpointed(dealt.groupBy("shard").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > tree_rows))
     spread = dealt.join(F.broadcast(crowded), "shard", "left")
@@ -263,7 +366,7 @@ def _near(texts: DataFrame, find, radius: int, tree_rows: int) -> DataFrame:
     parts = F.when(pivot, F.sequence(F.lit(0), of - 1)).otherwise(F.array(F.pmod(F.xxhash64("node.h1"), of).cast("int")))
     spread = spread.select("shard", F.explode(parts).alias("part"), "node", "fp", "mark")
     links = (spread.repartition("shard", "part").sortWithinPartitions("shard", "part", "node")
-             .mapInArrow(partial(_links, find, radius), T.StructType([T.StructField("a", NODE), T.StructField("b", NODE)])))
+             .mapInArrow(partial(_links, nearest_links, radius), T.StructType([T.StructField("a", NODE), T.StructField("b", NODE)])))
     return checkpointed(links.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct())
 
 
