@@ -516,3 +516,39 @@ def test_user_code_gets_a_window_batch_by_batch(spark):
         spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", seen_batches)
     empty = custom.per_window(rows.limit(0), ["k"], "ts", "1 minute", work, StructType.fromDDL("k BIGINT"))
     assert empty.count() == 0
+
+
+def test_user_code_takes_many_keys_in_one_exchange(spark):
+    """Nulls and NaN are keys, keys go on over batches, rows may be left unread; a key has no group of its own in the plan."""
+    from pyspark.sql.types import StructType
+
+    from tidelog.functions import custom
+
+    class Numbered:
+        def __init__(self):
+            self.n = 0
+
+        def eval(self, row):
+            self.n += 1
+            yield row["k"], row["id"], self.n
+
+    seen_batches = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "7")
+    try:
+        rows = spark.range(300).selectExpr(
+            "id", "CASE id % 5 WHEN 0 THEN NULL WHEN 1 THEN double('NaN') WHEN 2 THEN -0.0D WHEN 3 THEN 0.0D ELSE 1.0D END AS k",
+            "timestamp_seconds(id div 50 * 60) AS ts")
+        numbered = custom.rows_per_key(rows, Numbered, "k DOUBLE, id BIGINT, n BIGINT", ["k"], "id")
+        counts = sorted(r["n"] for r in numbered.groupBy("k").agg(F.max("n").alias("n")).collect())
+        assert counts == [60, 60, 60, 120] and numbered.count() == 300
+
+        def first(key, batches):
+            yield key[1], next(batches).num_rows > 0
+
+        windows = custom.per_window(rows, ["k"], "ts", "1 minute", first, StructType.fromDDL("start TIMESTAMP, any BOOLEAN"))
+        assert windows.count() == 6 * 4
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", seen_batches)
+    for made in (numbered, windows):
+        plan = made._jdf.queryExecution().executedPlan().toString()
+        assert "MapInArrow" in plan and "FlatMapGroups" not in plan and "UDTF" not in plan

@@ -4,7 +4,7 @@ Spark tasks; prefer ``explode``, built-in aggregates and ``operators`` where the
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator, Sequence
-from itertools import groupby
+from itertools import chain, groupby
 
 import numpy as np
 import pandas as pd
@@ -109,15 +109,16 @@ def per_window(rows: DataFrame, keys: Sequence[str], ts: str, size: str,
     The batches pass by one after the other, so a window that holds a third of all rows is never in memory
     as a whole; it is still one task's work.  What merges is better aggregated (``merge_aggregate``).
     """
-    arrow = to_arrow_schema(schema)
+    names = [*keys, "__start", "__end"]
 
-    def run(key: tuple[pa.Scalar, ...], batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        made = [dict(zip(arrow.names, row)) for row in fn(tuple(k.as_py() for k in key), batches)]
-        yield pa.RecordBatch.from_pylist(made, arrow)
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
+        first = next(batches)
+        key = tuple(first.column(k)[0].as_py() for k in names)
+        yield from fn(key, chain([first], batches))
 
     window = F.window(ts, size)
     timed = rows.withColumn("__w", window).withColumns({"__start": F.col("__w.start"), "__end": F.col("__w.end")}).drop("__w")
-    return timed.groupBy(*keys, "__start", "__end").applyInArrow(run, schema)
+    return _by_key(timed, names, [], schema, run)
 
 
 def message_rows(log: DataFrame, handler: type, schema: str, inputs: Sequence[str]) -> DataFrame:
