@@ -104,3 +104,18 @@ def test_repetition_equals_brute_force(spark):
 def test_clashing_columns_are_replaced(spark):
     out = repetition.repeated(documents(spark))
     assert out.columns.count("kept") == 1 and dict(out.dtypes)["kept"] == "boolean"
+
+
+def test_outputs_of_pieces_are_arrow_arrays():
+    """No Python number per piece: ids of many texts come as one Arrow array."""
+    import pyarrow as pa
+
+    from tidelog.llm import pieces
+
+    texts = [None, "", " ", "a  b", "words and ▁ marks", "tab\tand line\n"] * 3
+    ids, n, decoded = pieces._start(pieces.default_model(), ("ids", "n_tokens", "decoded"))(texts)
+    assert all(isinstance(v, pa.Array) for v in (ids, n, decoded))
+    model = pieces.ChunkTable(pieces.default_model()).model
+    want = [model.encode(t or "") for t in texts]
+    assert ids.to_pylist() == want and n.to_pylist() == list(map(len, want))
+    assert decoded.to_pylist() == [model.decode(w) for w in want]

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -54,12 +55,21 @@ def slices(batch: pa.RecordBatch, text: int | None) -> Iterator[pa.RecordBatch]:
         start = stop
 
 
+def give_back() -> None:
+    """Hand memory that is free back to the system: Spark keeps workers for later tasks and stages, beside
+    those that run then."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc's own
+    if trim:
+        trim(0)
+
+
 def appended(df: DataFrame, inputs: list[str], keep: list[str], outputs: list[T.StructField],
              start: Callable[[], Callable], filtered: bool = False) -> DataFrame:
     """The ``keep`` columns of ``df`` followed by ``outputs``, computed from ``inputs`` in Arrow batches.
 
-    ``start`` runs once per task and returns a function from lists (one per input) to lists (one per
-    output).  The first input is the text by whose size batches are cut.  With ``filtered`` the first
+    ``start`` runs once per task and returns a function from lists (one per input) to lists or Arrow arrays
+    (one per output).  The first input is the text by whose size batches are cut.  With ``filtered`` the first
     list returned says which rows stay.  An output takes the place of a kept column of its name.
     """
     names = {f.name for f in outputs}
@@ -71,17 +81,19 @@ def appended(df: DataFrame, inputs: list[str], keep: list[str], outputs: list[T.
     kept = [cols.index(c) for c in keep]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        work, types = start(), None
+        work, types = start(), [_arrow(f.dataType) for f in outputs]
         for batch in batches:
             for part in slices(batch, at[0] if at else None):
                 made = list(work(*[part.column(i).to_pylist() for i in at]))
                 if filtered:
                     mask = pa.array(made.pop(0), pa.bool_())
                     part = part.filter(mask)
-                types = types or [_arrow(f.dataType) for f in outputs]
-                yield pa.RecordBatch.from_arrays(
-                    [part.column(i) for i in kept] + [pa.array(v, t) for v, t in zip(made, types)],
-                    names=[*keep, *[f.name for f in outputs]])
+                made = [v if isinstance(v, pa.Array) else pa.array(v, t) for v, t in zip(made, types)]
+                yield pa.RecordBatch.from_arrays([*[part.column(i) for i in kept], *made],
+                                                 names=[*keep, *[f.name for f in outputs]])
+                del part, made
+        del work
+        give_back()
 
     return narrow.mapInArrow(run, schema)
 

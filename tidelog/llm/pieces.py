@@ -75,39 +75,51 @@ class ChunkTable:
         found = self.model.encode([c[1:] for c in chunks], num_threads=1)
         return [ids if c != " " else alone for c, ids in zip(chunks, found)]
 
-    def joined(self, texts: list[str]) -> tuple[list[str], list[int], list[bytes]]:
-        """Per text: ids joined by commas, their number, and the bytes they decode to."""
+    def joined(self, texts: list[str], want: tuple[str, ...]) -> dict[str, pa.Array]:
+        """What is wanted of ``ids``, ``names`` (ids joined by commas), ``n_tokens`` and ``surface`` (the bytes that
+        the ids decode to), per text."""
         if not self.splits:  # pieces may cross markers: whole texts, and the model's own decoder
             found = self.model.encode(texts, num_threads=1)
-            return ([",".join(map(str, ids)) for ids in found], list(map(len, found)),
-                    [self.model.decode(ids).encode() for ids in found])
+            made = {"ids": lambda: pa.array(found, IDS), "n_tokens": lambda: pa.array(list(map(len, found)), pa.int64()),
+                    "names": lambda: pa.array([",".join(map(str, ids)) for ids in found], pa.large_string()),
+                    "surface": lambda: pa.array([self.model.decode(ids).encode() for ids in found], pa.large_binary())}
+            return {c: made[c]() for c in want}
         words, begins = self.chunks(texts)
         coded = words.dictionary_encode()
         at = coded.indices
         found = self.segmented(coded.dictionary.to_pylist())
         rows = pa.array(begins, pa.int64())
-        ids = pa.array([",".join(map(self.names.__getitem__, x)) for x in found], pa.large_string())
-        ids = pc.binary_join(pa.LargeListArray.from_arrays(rows, ids.take(at)), pa.scalar(",", pa.large_string())).to_pylist()
-        counts = np.append(0, np.cumsum(np.array(list(map(len, found)), np.int64)[at.to_numpy()]))
-        surface = pa.array([b"".join(map(self.bytes.__getitem__, x)) for x in found], pa.large_binary())
-        surface = pc.binary_join(pa.LargeListArray.from_arrays(rows, surface.take(at)), pa.scalar(b"", pa.large_binary())).to_pylist()
-        # the first marker stands for no character: decoding drops its space
-        return ids, np.diff(counts[begins]).tolist(), [s[1:] for s in surface]
+        out = {}
+        if "ids" in want or "n_tokens" in want:
+            counts = np.append(0, np.cumsum(np.array(list(map(len, found)), np.int64)[at.to_numpy()]))[begins]
+            out["n_tokens"] = pa.array(np.diff(counts))
+        if "ids" in want:
+            out["ids"] = pa.ListArray.from_arrays(pa.array(counts, pa.int32()), pa.array(found, IDS).take(at).flatten())
+        if "names" in want:
+            ids = pa.array([",".join(map(self.names.__getitem__, x)) for x in found], pa.large_string())
+            out["names"] = pc.binary_join(pa.LargeListArray.from_arrays(rows, ids.take(at)), pa.scalar(",", pa.large_string()))
+        if "surface" in want:
+            surface = pa.array([b"".join(map(self.bytes.__getitem__, x)) for x in found], pa.large_binary())
+            surface = pc.binary_join(pa.LargeListArray.from_arrays(rows, surface.take(at)), pa.scalar(b"", pa.large_binary()))
+            # the first marker stands for no character: decoding drops its space
+            out["surface"] = pa.array([s[1:] for s in surface.to_pylist()], pa.large_binary())
+        return out
+
+
+IDS = pa.list_(pa.int32())
+#: What an output is made of, where it is not given as it is.
+SOURCES = {"ids_sha256": "names", "decoded": "surface", "decoded_sha256": "surface"}
 
 
 def _start(model: str, want: tuple[str, ...]):
     table = ChunkTable(model)
 
     def work(texts: list[str | None]):
-        out: dict[str, list] = {c: [] for c in want}
-        for ids, n, surface in zip(*table.joined([t or "" for t in texts])):
-            for c in want:
-                out[c].append(n if c == "n_tokens" else
-                              hashlib.sha256(ids.encode()).hexdigest() if c == "ids_sha256" else
-                              hashlib.sha256(surface).hexdigest() if c == "decoded_sha256" else
-                              surface.decode() if c == "decoded" else
-                              [int(i) for i in ids.split(",")] if ids else [])
-        return [out[c] for c in want]
+        made = table.joined([t or "" for t in texts], tuple(SOURCES.get(c, c) for c in want))
+        for c in want:
+            values = made[SOURCES.get(c, c)]
+            yield (values.cast(pa.large_string()).cast(pa.string()) if c == "decoded" else
+                   [hashlib.sha256(v.as_buffer() or b"").hexdigest() for v in values] if c in SOURCES else values)
 
     return work
 

@@ -10,7 +10,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 
-from tidelog.llm.common import slices
+from tidelog.llm.common import give_back, slices
 
 _SPACE = np.zeros(256, bool)
 _SPACE[[0x20, 9, 10, 11, 12, 13]] = True
@@ -83,6 +83,7 @@ def in_slices(df: DataFrame, text_at: int, schema, work: Callable[[pa.RecordBatc
         for batch in batches:
             for part in slices(batch, text_at):
                 yield work(part)
+        give_back()
 
     return df.mapInArrow(run, schema)
 
