@@ -225,3 +225,43 @@ def test_what_the_trees_do_not_link_is_found_exactly(spark, monkeypatch, sample,
     rows = dict(enumerate(texts))
     kept = near_copies.without_near_copies(spark.createDataFrame(list(rows.items()), "doc_id long, text string"), radius=0)
     assert {r["doc_id"] for r in kept.collect()} == one_of_each_group(rows)
+
+
+def compared_pairs(spark, monkeypatch, texts):
+    """The ids kept, and how many pairs of texts were compared whole."""
+    counts, confirmed = [], near_copies._confirmed
+
+    def counted(rows, texts, links, *rest):
+        counts.append(links.count())
+        return confirmed(rows, texts, links, *rest)
+
+    monkeypatch.setattr(near_copies, "_confirmed", counted)
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    kept = {r["doc_id"] for r in near_copies.without_near_copies(docs, radius=0).collect()}
+    monkeypatch.setattr(near_copies, "_confirmed", confirmed)
+    return kept, sum(counts)
+
+
+def test_a_large_group_of_near_copies_is_not_compared_pair_by_pair(spark, monkeypatch):
+    rnd = random.Random(21)
+    words = [f"g{i}" for i in range(150)]
+    texts = []
+    for _ in range(160):
+        near = list(words)
+        for _ in range(rnd.randint(1, 3)):
+            near[rnd.randrange(150)] = f"z{rnd.randrange(10 ** 6)}"
+        texts.append(" ".join(near))
+    kept, compared = compared_pairs(spark, monkeypatch, texts)
+    assert kept == one_of_each_group(dict(enumerate(texts))) and len(kept) < 10
+    assert compared < 10 * len(texts)  # there are 79 pairs a text
+
+
+def test_passages_that_a_sample_does_not_show_are_no_meeting_place(spark, monkeypatch):
+    """Each passage is in 16 of 800 texts, most in less than three rows of the sample."""
+    monkeypatch.setattr(near_copies, "SAMPLE_ROWS", 40)
+    rnd, found, cells = random.Random(22), [], near_copies._cells
+    passages = [" ".join(f"p{k}x{i}" for i in range(40)) for k in range(50)]
+    texts = [" ".join(f"u{rnd.randrange(10 ** 9)}" for _ in range(60)) + " " + passages[i % 50] for i in range(800)]
+    monkeypatch.setattr(near_copies, "_cells", lambda *args: found.append(cells(*args)) or found[0])
+    kept, compared = compared_pairs(spark, monkeypatch, texts)
+    assert len(kept) == 800 and compared == 0 and found[0].count() == 0

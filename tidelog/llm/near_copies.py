@@ -7,8 +7,11 @@ radius; what comes near is linked, nearest first, and every link is confirmed by
 the whole texts.  Equal texts are one node from the start.
 
 That leaves out pairs: those of no common shard, beyond the radius or not the nearest.  So pairs of texts
-that are not in one group yet are searched exactly: in one order of all shingles, similar sets share one
-of their first ones, and counts of shingles by bucket refute most other pairs before texts are compared.
+that are not in one group yet are searched exactly: in one order of all shingles, rare ones first, similar
+sets share one of their first ones, and counts of shingles by bucket refute most other pairs before texts
+are compared.  First each text meets the one text of another group that looks nearest, and groups are joined
+by what that links: only pairs that are of two groups even then are compared one and all, so a large group
+of near copies is not taken pair by pair.
 """
 
 from __future__ import annotations
@@ -23,7 +26,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidelog.functions.bounds import broadcast_if_small
-from tidelog.llm.common import checkpointed, column
+from tidelog.llm.common import checkpointed, column, give_back, slices
 from tidelog.llm.components import components
 from tidelog.llm.wordtable import Words, fresh, in_slices, mixed, words_of
 
@@ -35,9 +38,13 @@ RADIUS = 17
 TREE_ROWS, PIVOTS = 1 << 15, 256
 #: Pairs that a tree compares at a time at most; bytes of texts that are compared at a time.
 PAIRS, TEXT_BYTES = 1 << 18, 3 << 20
-#: Rows whose shingles are counted for the order of all, and how many frequent ones come last: a choice of
-#: order only.  Texts that meet in a cell, and counts in a text's sketch.
+#: Rows of the sample that shows which shingles more than CELL_ROWS texts have, how many of them are dealt to
+#: several cells, texts that meet in a cell, and counts in a text's sketch.
 SAMPLE_ROWS, LAST, CELL_ROWS, BUCKETS = 1 << 13, 1 << 18, 1 << 12, 128
+#: Counts of all shingles, by hash, that settle the order of all; counts that a row carries.
+SLOTS, BLOCK = 1 << 22, 1 << 16
+#: Rounds in which only the nearest ones are compared.
+ROUNDS = 2
 _FACTOR = np.uint64(0x5851F42D4C957F2D)
 NODE = T.StructType([T.StructField(c, T.LongType(), False) for c in ("h1", "h2")])
 
@@ -156,21 +163,23 @@ def _sketches(text: np.ndarray, value: np.ndarray, texts: int) -> np.ndarray:
     return np.minimum(np.bincount(slot, minlength=texts * BUCKETS), 255).astype(np.uint8).reshape(texts, BUCKETS)
 
 
-def _prefixes(size: int, least: float, last: np.ndarray, cells: np.ndarray, part: pa.RecordBatch) -> pa.RecordBatch:
+def _prefixes(size: int, least: float, levels: np.ndarray, crowded: np.ndarray, cells: np.ndarray,
+              part: pa.RecordBatch) -> pa.RecordBatch:
     """Per text its number of shingles and, as (shingle, place, cells), the first ones in the order of all, of
-    which similar texts share one: the hashes in ``last`` (ascending) come behind all others."""
+    which similar texts share one: by the level of their slot, then by hash.  The hashes in ``crowded``
+    (ascending) are dealt to ``cells``."""
     text, value = shingles(words_of(part.column(0), lower=True), size)
     signed = value.view(np.int64)
-    at = np.minimum(np.searchsorted(last, signed), max(0, len(last) - 1))
-    frequent = last[at] == signed if len(last) else np.zeros(len(signed), bool)
-    order = np.lexsort((signed, frequent, text))
+    order = np.lexsort((signed, levels[_slots(value)], text))
     sizes = np.bincount(text, minlength=part.num_rows)
     begins = np.append(0, np.cumsum(sizes))
     place = np.arange(len(text)) - begins[text]
     kept = place < (sizes - np.ceil(least * sizes - 1e-9).astype(np.int64) + 1)[text]
-    chosen = order[kept]
-    of = np.where(frequent[chosen], cells[at[chosen]], 1) if len(last) else np.ones(len(chosen), np.int64)
-    first = pa.StructArray.from_arrays([pa.array(signed[chosen]), pa.array(place[kept], pa.int32()), pa.array(of, pa.int32())],
+    chosen, of = signed[order[kept]], np.ones(int(kept.sum()), np.int64)
+    if len(crowded):
+        at = np.minimum(np.searchsorted(crowded, chosen), len(crowded) - 1)
+        of = np.where(crowded[at] == chosen, cells[at], 1)
+    first = pa.StructArray.from_arrays([pa.array(chosen), pa.array(place[kept], pa.int32()), pa.array(of, pa.int32())],
                                        names=["shingle", "place", "cells"])
     lists = pa.ListArray.from_arrays(pa.array(np.searchsorted(text[kept], np.arange(part.num_rows + 1)), pa.int32()), first)
     return pa.RecordBatch.from_arrays([part.column(1), pa.array(sizes, pa.int32()), lists], names=["node", "size", "first"])
@@ -182,57 +191,121 @@ def _counted(size: int, part: pa.RecordBatch) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(value.view(np.int64)), pa.array(n, pa.int64())], names=["shingle", "n"])
 
 
-def _meetings(least: float, batches):
-    """Pairs of texts of different groups that share a shingle among their first ones, from rows sorted by
-    shingle and cell, but for those that cannot be similar if it is the first they share."""
+def _slots(value: np.ndarray) -> np.ndarray:
+    return (value >> np.uint64(27)).astype(np.int64) % SLOTS
+
+
+def _tallies(size: int, batches):
+    """How many shingles of a task's texts fall into each slot, a row per block of slots."""
+    counts = np.zeros(SLOTS, np.uint32)
+    for batch in batches:
+        for part in slices(batch, 0):
+            np.add.at(counts, _slots(shingles(words_of(part.column(0), lower=True), size)[1]), 1)
+    for block in range(0, SLOTS, BLOCK):
+        own = counts[block:block + BLOCK]
+        if own.any():
+            own = own.astype(np.min_scalar_type(own.max()))
+            packed = pa.compress(own.tobytes(), codec="zstd", asbytes=True)
+            yield pa.RecordBatch.from_arrays([pa.array([block // BLOCK], pa.int32()), pa.array([own.itemsize], pa.int32()),
+                                              pa.array([packed], pa.binary())], names=["block", "width", "packed"])
+    give_back()
+
+
+def _levels(batches):
+    """Sums of all tasks for the blocks of one, as a byte per slot: eight levels from a number to twice as much."""
+    sums: dict[int, np.ndarray] = {}
+    for batch in batches:
+        for block, width, packed in zip(*(c.to_pylist() for c in batch.columns)):
+            own = np.frombuffer(pa.decompress(packed, BLOCK * width, codec="zstd", asbytes=True), f"u{width}")
+            sums.setdefault(block, np.zeros(BLOCK, np.int64))
+            sums[block] += own
+    for block, own in sums.items():
+        level = np.minimum(np.round(8 * np.log2(1 + own)), 255).astype(np.uint8).tobytes()
+        yield pa.RecordBatch.from_arrays([pa.array([block], pa.int32()), pa.array([level], pa.binary())], names=["block", "level"])
+
+
+def _by_cell(work, batches):
+    """``work`` on whole cells in which different groups meet, from rows sorted by shingle and cell (the first two
+    columns; the third is the group): on the columns, sketches last, and the numbers of the cells."""
     rest = None
     for batch in batches:
-        rows = np.stack([c.to_numpy().astype(np.int64) for c in batch.columns])
-        rows = rows if rest is None else np.concatenate([rest, rows], axis=1)
+        rows = [_as_array(c) for c in batch.columns]
+        rows = rows if rest is None else [np.concatenate(two) for two in zip(rest, rows)]
         new = np.flatnonzero((np.diff(rows[0]) != 0) | (np.diff(rows[1]) != 0)) + 1
         cut = new[-1] if len(new) else 0
-        yield from _met(least, rows[:, :cut])
-        rest = rows[:, cut:]
+        yield from _whole(work, [c[:cut] for c in rows])
+        rest = [c[cut:] for c in rows]
     if rest is not None:
-        yield from _met(least, rest)
+        yield from _whole(work, rest)
 
 
-def _met(least: float, rows: np.ndarray):
-    if not rows.shape[1]:
+def _as_array(column: pa.Array) -> np.ndarray:
+    if not pa.types.is_binary(column.type):
+        return column.to_numpy()
+    return np.frombuffer(b"".join(column.to_pylist()), np.uint8).reshape(-1, BUCKETS)
+
+
+def _whole(work, rows: list[np.ndarray]):
+    if not len(rows[0]):
         return
     new = np.append(True, (np.diff(rows[0]) != 0) | (np.diff(rows[1]) != 0))
     begins = np.flatnonzero(new)
-    mixed_roots = np.minimum.reduceat(rows[4], begins) != np.maximum.reduceat(rows[4], begins)
-    group = np.cumsum(new) - 1
-    kept = mixed_roots[group]
-    group, (_, cell, block, node, root, size, place) = group[kept], rows[:, kept]
-    one, distance, made, held = np.arange(len(group)), 0, [], 0
+    mixed_groups = np.minimum.reduceat(rows[2], begins) != np.maximum.reduceat(rows[2], begins)
+    number = np.cumsum(new) - 1
+    kept = mixed_groups[number]
+    if kept.any():
+        yield from work([c[kept] for c in rows], number[kept])
+
+
+def _kept(rows: list[np.ndarray], number: np.ndarray):
+    names = ["shingle", "cell", "group", "block", "h1", "size", "place"]
+    yield pa.RecordBatch.from_arrays([pa.array(r) for r in rows], names=names).select([n for n in names if n != "group"])
+
+
+def _met(least: float, nearest: bool, rows: list[np.ndarray], number: np.ndarray):
+    """Pairs of texts of different groups that share a shingle among their first ones, but for those that cannot
+    be similar if it is the first they share, or by their sketches.  The rows of a cell are in the order of sizes.
+    With ``nearest`` a text is paired with that one alone whose sketch is nearest."""
+    _, cell, group, block, h1, h2, size, place, sketch = rows
+    size, n = size.astype(np.int64), len(number)
+    one, distance, made, held, best = np.arange(n), 0, [], 0, np.full(n, n << 13)
     while len(one):
         distance += 1
-        one = one[one + distance < len(group)]
-        one = one[group[one] == group[one + distance]]
+        one = one[one + distance < n]
+        # those that come behind one too large are larger still
+        one = one[(number[one] == number[one + distance]) & (size[one] >= least * size[one + distance] - 1e-6)]
         two = one + distance
         within = np.minimum(size[one] - place[one], size[two] - place[two])
         # cells of two blocks pair these alone; each block has one cell of its own (negative)
-        near = ((root[one] != root[two]) & ((cell[one] < 0) | (block[one] != block[two]))
+        near = ((group[one] != group[two]) & ((cell[one] < 0) | (block[one] != block[two]))
                 & (within >= least / (1 + least) * (size[one] + size[two]) - 1e-6))
-        a, b = node[one[near]], node[two[near]]
-        made.append(np.stack([np.maximum(a, b), np.minimum(a, b)]))
+        a, b = one[near], two[near]
+        apart = np.abs(sketch[a].astype(np.int16) - sketch[b]).sum(axis=1, dtype=np.int64)
+        possible = apart <= (1 - least) / (1 + least) * (size[a] + size[b]) + 1e-6
+        a, b, apart = a[possible], b[possible], apart[possible]
+        if nearest:
+            share = (apart << 12) // (size[a] + size[b])
+            best[a] = np.minimum(best[a], share * n + b)
+            best[b] = np.minimum(best[b], share * n + a)
+            continue
+        made.append(np.stack([a, b]))
         held += len(a)
-        if held >= PAIRS or not len(one):
-            pairs, made, held = np.unique(np.concatenate(made, axis=1), axis=1), [], 0
-            yield pa.RecordBatch.from_arrays([pa.array(pairs[0]), pa.array(pairs[1])], names=["x", "y"])
+        if held >= PAIRS:
+            yield _pairs(np.concatenate(made, axis=1), h1, h2)
+            made, held = [], 0
+    if nearest:
+        linked = np.flatnonzero(best < n << 13)
+        made, held = [np.stack([linked, best[linked] % n])], len(linked)
+    if held:
+        yield _pairs(np.concatenate(made, axis=1), h1, h2)
 
 
-def _possible(least: float, batches):
-    """Pairs whose sketches do not show that they are not similar."""
-    for batch in batches:
-        if not batch.num_rows:
-            continue
-        one, two = (np.frombuffer(b"".join(batch.column(c).to_pylist()), np.uint8).reshape(-1, BUCKETS).astype(np.int16)
-                    for c in ("sketch_a", "sketch_b"))
-        most = (1 - least) / (1 + least) * (batch.column("size_a").to_numpy() + batch.column("size_b").to_numpy()) + 1e-6
-        yield batch.filter(pa.array(np.abs(one - two).sum(axis=1) <= most)).select(["a", "b"])
+def _pairs(at: np.ndarray, h1: np.ndarray, h2: np.ndarray) -> pa.RecordBatch:
+    """The distinct pairs of nodes at pairs of places."""
+    ends = np.stack([h1[at], h2[at]])
+    ends = np.where((ends[0, 0] > ends[0, 1]) | ((ends[0, 0] == ends[0, 1]) & (ends[1, 0] > ends[1, 1])), ends, ends[:, ::-1])
+    found = np.unique(ends.reshape(4, -1), axis=1)
+    return pa.RecordBatch.from_arrays([pa.array(c) for c in found], names=["a1", "b1", "a2", "b2"])
 
 
 def _links(find, radius: int, batches):
@@ -302,49 +375,69 @@ def grouped(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", *,
     texts = checkpointed(prints.groupBy("node").agg(
         F.min("id").alias("least"), F.count(F.lit(1)).alias("copies"),
         *[F.first(c).alias(c) for c in ("fp", "smallest", "size", "sketch")]))
-    first = _confirmed(rows, texts, _near(texts, radius, tree_rows), shingle, similarity)
-    rest = _rest(rows, texts, components(first), shingle, similarity)
-    roots = components(first.unionByName(_confirmed(rows, texts, rest, shingle, similarity)))
+    roots = components(_confirmed(rows, texts, _near(texts, radius, tree_rows), shingle, similarity))
+    cells = _cells(rows, texts, roots, shingle, similarity)
+    for nearest in [True] * ROUNDS + [False]:
+        found = _confirmed(rows, texts, _meetings(cells, texts, roots, similarity, nearest), shingle, similarity)
+        if found.isEmpty():
+            continue
+        roots = components(found.unionByName(roots.select(F.col("node").alias("a"), F.col("root").alias("b"))))
     return texts.join(roots, "node", "left").select("node", "least", F.coalesce("root", "node").alias("root"))
 
 
-def _frequent(rows: DataFrame, n: int, shingle: int) -> tuple[np.ndarray, np.ndarray]:
-    """Shingles that are frequent in a sample of the ``n`` rows, ascending, and into how many blocks their texts
-    are dealt.  They only settle in which order shingles are searched and where."""
+def _order(rows: DataFrame, shingle: int) -> np.ndarray:
+    """The level of every slot, by all shingles of all rows: only the order in which shingles are searched."""
+    tallies = rows.select("text").mapInArrow(partial(_tallies, shingle), "block INT, width INT, packed BINARY")
+    summed = tallies.repartition("block").mapInArrow(_levels, "block INT, level BINARY").collect()  # a byte per slot in all
+    levels = np.zeros(SLOTS, np.uint8)
+    for r in summed:
+        levels[r["block"] * BLOCK:(r["block"] + 1) * BLOCK] = np.frombuffer(r["level"], np.uint8)
+    return levels
+
+
+def _crowded(rows: DataFrame, n: int, shingle: int) -> tuple[np.ndarray, np.ndarray]:
+    """Shingles that by a sample of the ``n`` rows more than CELL_ROWS have, ascending, and into how many blocks
+    their texts are dealt.  They only settle where shingles are searched."""
     every = max(1, n // SAMPLE_ROWS)
     sample = rows.where(F.pmod(F.xxhash64("id", "node"), F.lit(every)) == 0).limit(4 * SAMPLE_ROWS).select("text")
     counts = (in_slices(sample, 0, "shingle BIGINT, n BIGINT", partial(_counted, shingle)).groupBy("shingle")
-              .agg(F.sum("n").alias("n")).where("n > 2").orderBy(F.desc("n"), "shingle").limit(LAST))
+              .agg(F.sum("n").alias("n")).where(f"n > 2 AND n * {every} >= {CELL_ROWS}")
+              .orderBy(F.desc("n"), "shingle").limit(LAST))
     found = np.array(sorted((r["shingle"], r["n"]) for r in counts.collect()), np.int64).reshape(-1, 2)
     return found[:, 0], np.minimum(1 + found[:, 1] * every // CELL_ROWS, 1 << 7)
 
 
-def _rest(rows: DataFrame, texts: DataFrame, roots: DataFrame, shingle: int, similarity: float) -> DataFrame:
-    """All pairs of texts of different groups that may be similar."""
+def _cells(rows: DataFrame, texts: DataFrame, roots: DataFrame, shingle: int, similarity: float) -> DataFrame:
+    """The first shingles of all texts, dealt to cells; only cells in which different groups meet."""
     n = texts.agg(F.sum("copies")).first()[0] or 0
-    last, cells = _frequent(rows, n, shingle)
+    crowded, cells = _crowded(rows, n, shingle)
     schema = T.StructType([T.StructField("node", NODE), T.StructField("size", T.IntegerType()), T.StructField(
         "first", T.ArrayType(T.StructType([T.StructField("shingle", T.LongType()), T.StructField("place", T.IntegerType()),
                                            T.StructField("cells", T.IntegerType())])))])
-    firsts = in_slices(rows.select("text", "node"), 0, schema, partial(_prefixes, shingle, similarity, last, cells))
-    known = firsts.join(broadcast_if_small(roots), "node", "left")
-    dealt = known.select(F.col("node.h1").alias("h1"), F.when(F.col("root").isNull(), F.col("node.h1")).otherwise(
-        F.col("root.h1")).alias("group"), "size", F.explode("first").alias("f"))
+    firsts = in_slices(rows.select("text", "node"), 0, schema,
+                       partial(_prefixes, shingle, similarity, _order(rows, shingle), crowded, cells))
+    own = roots.select("node", F.col("root.h1").alias("group"))
+    dealt = firsts.join(broadcast_if_small(own), "node", "left").select(
+        F.col("node.h1").alias("h1"), F.coalesce("group", "node.h1").alias("group"), "size", F.explode("first").alias("f"))
     dealt = dealt.withColumn("block", F.pmod(F.xxhash64("h1"), F.col("f.cells")).cast("int"))
     # block i meets block j in the cell of both, and itself in a cell of its own
     of = F.transform(F.sequence(F.lit(0), F.col("f.cells") - 1), lambda j: F.when(j == F.col("block"), -1 - j).otherwise(
         F.least(j, "block") * F.col("f.cells") + F.greatest(j, "block")))
     dealt = dealt.select(F.col("f.shingle").alias("shingle"), F.explode(F.when(F.col("f.cells") == 1, F.array(F.lit(-1)))
-                         .otherwise(of)).alias("cell"), "block", "h1", "group", "size", F.col("f.place").alias("place"))
-    met = (dealt.repartition("shingle", "cell").sortWithinPartitions("shingle", "cell")
-           .mapInArrow(partial(_meetings, similarity), "x BIGINT, y BIGINT").distinct())
-    facts = texts.select(F.col("node.h1").alias("h1"), "node", "size", "sketch")
-    for end, at in (("x", "a"), ("y", "b")):
-        own = facts.select(F.col("h1").alias(end), F.col("node").alias(at), F.col("size").alias(f"size_{at}"),
-                           F.col("sketch").alias(f"sketch_{at}"))
-        met = met.join(own, end)
-    pairs = T.StructType([T.StructField("a", NODE), T.StructField("b", NODE)])
-    return checkpointed(met.mapInArrow(partial(_possible, similarity), pairs))
+                         .otherwise(of)).alias("cell"), "group", "block", "h1", "size", F.col("f.place").alias("place"))
+    return checkpointed(dealt.repartition("shingle", "cell").sortWithinPartitions("shingle", "cell").mapInArrow(
+        partial(_by_cell, _kept), "shingle BIGINT, cell INT, block INT, h1 BIGINT, size INT, place INT"))
+
+
+def _meetings(cells: DataFrame, texts: DataFrame, roots: DataFrame, similarity: float, nearest: bool) -> DataFrame:
+    """Pairs of texts of different groups that may be similar: all of them, or each text's ``nearest`` in a cell."""
+    own = roots.select("node", F.col("root.h1").alias("group"))
+    facts = texts.select(F.col("node.h1").alias("h1"), "node", "sketch").join(broadcast_if_small(own), "node", "left")
+    known = cells.join(facts, "h1").select("shingle", "cell", F.coalesce("group", "h1").alias("group"), "block", "h1",
+                                           F.col("node.h2").alias("h2"), "size", "place", "sketch")
+    met = (known.repartition("shingle", "cell").sortWithinPartitions("shingle", "cell", "size", "h1")
+           .mapInArrow(partial(_by_cell, partial(_met, similarity, nearest)), "a1 BIGINT, b1 BIGINT, a2 BIGINT, b2 BIGINT").distinct())
+    return checkpointed(met.select(*[F.struct(F.col(f"{e}1").alias("h1"), F.col(f"{e}2").alias("h2")).alias(e) for e in "ab"]))
 
 
 def _near(texts: DataFrame, radius: int, tree_rows: int) -> DataFrame:
