@@ -226,7 +226,7 @@ def _levels(batches):
 
 def _by_cell(work, batches):
     """``work`` on whole cells in which different groups meet, from rows sorted by shingle and cell (the first two
-    columns; the third is the group): on the columns, sketches last, and the numbers of the cells."""
+    columns; the third is the group): on the columns and the numbers of the cells."""
     rest = None
     for batch in batches:
         rows = [_as_array(c) for c in batch.columns]
@@ -257,18 +257,12 @@ def _whole(work, rows: list[np.ndarray]):
         yield from work([c[kept] for c in rows], number[kept])
 
 
-def _kept(rows: list[np.ndarray], number: np.ndarray):
-    names = ["shingle", "cell", "group", "block", "h1", "size", "place"]
-    yield pa.RecordBatch.from_arrays([pa.array(r) for r in rows], names=names).select([n for n in names if n != "group"])
-
-
-def _met(least: float, nearest: bool, rows: list[np.ndarray], number: np.ndarray):
-    """Pairs of texts of different groups that share a shingle among their first ones, but for those that cannot
-    be similar if it is the first they share, or by their sketches.  The rows of a cell are in the order of sizes.
-    With ``nearest`` a text is paired with that one alone whose sketch is nearest."""
-    _, cell, group, block, h1, h2, size, place, sketch = rows
-    size, n = size.astype(np.int64), len(number)
-    one, distance, made, held, best = np.arange(n), 0, [], 0, np.full(n, n << 13)
+def _near_ones(least: float, rows: list[np.ndarray], number: np.ndarray):
+    """Places of two texts of different groups that share a shingle among their first ones, but for those that
+    cannot be similar if it is the first they share, or by their sketches where the rows have them; and how far
+    their sketches are apart.  The rows of a cell are in the order of sizes."""
+    _, cell, group, block, _, size, place, *more = rows
+    size, n, one, distance = size.astype(np.int64), len(number), np.arange(len(number)), 0
     while len(one):
         distance += 1
         one = one[one + distance < n]
@@ -280,9 +274,33 @@ def _met(least: float, nearest: bool, rows: list[np.ndarray], number: np.ndarray
         near = ((group[one] != group[two]) & ((cell[one] < 0) | (block[one] != block[two]))
                 & (within >= least / (1 + least) * (size[one] + size[two]) - 1e-6))
         a, b = one[near], two[near]
-        apart = np.abs(sketch[a].astype(np.int16) - sketch[b]).sum(axis=1, dtype=np.int64)
-        possible = apart <= (1 - least) / (1 + least) * (size[a] + size[b]) + 1e-6
-        a, b, apart = a[possible], b[possible], apart[possible]
+        apart = np.zeros(len(a), np.int64)
+        if more:
+            apart = np.abs(more[1][a].astype(np.int16) - more[1][b]).sum(axis=1, dtype=np.int64)
+            possible = apart <= (1 - least) / (1 + least) * (size[a] + size[b]) + 1e-6
+            a, b, apart = a[possible], b[possible], apart[possible]
+        if len(a):
+            yield a, b, apart
+
+
+def _partnered(least: float, rows: list[np.ndarray], number: np.ndarray):
+    """The rows, but for their group, that may have a similar text in their cell."""
+    found = np.zeros(len(number), bool)
+    for a, b, _ in _near_ones(least, rows, number):
+        found[a] = found[b] = True
+    columns = [pa.array(c[found]) for c in rows[:8]]
+    if len(rows) > 8:
+        columns.append(pa.array([r.tobytes() for r in rows[8][found]], pa.binary()))
+    names = ["shingle", "cell", "group", "block", "h1", "size", "place", "h2", "sketch"][:len(columns)]
+    yield pa.RecordBatch.from_arrays(columns, names=names).select([n for n in names if n != "group"])
+
+
+def _met(least: float, nearest: bool, rows: list[np.ndarray], number: np.ndarray):
+    """Pairs of texts that may be similar.  With ``nearest`` a text is paired with that one alone whose sketch is
+    nearest."""
+    size, n, made, held = rows[5].astype(np.int64), len(number), [], 0
+    best = np.full(n, n << 13)
+    for a, b, apart in _near_ones(least, rows, number):
         if nearest:
             share = (apart << 12) // (size[a] + size[b])
             best[a] = np.minimum(best[a], share * n + b)
@@ -291,13 +309,13 @@ def _met(least: float, nearest: bool, rows: list[np.ndarray], number: np.ndarray
         made.append(np.stack([a, b]))
         held += len(a)
         if held >= PAIRS:
-            yield _pairs(np.concatenate(made, axis=1), h1, h2)
+            yield _pairs(np.concatenate(made, axis=1), rows[4], rows[7])
             made, held = [], 0
     if nearest:
         linked = np.flatnonzero(best < n << 13)
         made, held = [np.stack([linked, best[linked] % n])], len(linked)
     if held:
-        yield _pairs(np.concatenate(made, axis=1), h1, h2)
+        yield _pairs(np.concatenate(made, axis=1), rows[4], rows[7])
 
 
 def _pairs(at: np.ndarray, h1: np.ndarray, h2: np.ndarray) -> pa.RecordBatch:
@@ -378,7 +396,7 @@ def grouped(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", *,
     roots = components(_confirmed(rows, texts, _near(texts, radius, tree_rows), shingle, similarity))
     cells = _cells(rows, texts, roots, shingle, similarity)
     for nearest in [True] * ROUNDS + [False]:
-        found = _confirmed(rows, texts, _meetings(cells, texts, roots, similarity, nearest), shingle, similarity)
+        found = _confirmed(rows, texts, _meetings(cells, roots, similarity, nearest), shingle, similarity)
         if found.isEmpty():
             continue
         roots = components(found.unionByName(roots.select(F.col("node").alias("a"), F.col("root").alias("b"))))
@@ -408,7 +426,8 @@ def _crowded(rows: DataFrame, n: int, shingle: int) -> tuple[np.ndarray, np.ndar
 
 
 def _cells(rows: DataFrame, texts: DataFrame, roots: DataFrame, shingle: int, similarity: float) -> DataFrame:
-    """The first shingles of all texts, dealt to cells; only cells in which different groups meet."""
+    """The first shingles of all texts, dealt to cells; only those with which a text of another group may be
+    similar, so that what later rounds deal again is small."""
     n = texts.agg(F.sum("copies")).first()[0] or 0
     crowded, cells = _crowded(rows, n, shingle)
     schema = T.StructType([T.StructField("node", NODE), T.StructField("size", T.IntegerType()), T.StructField(
@@ -425,19 +444,27 @@ def _cells(rows: DataFrame, texts: DataFrame, roots: DataFrame, shingle: int, si
         F.least(j, "block") * F.col("f.cells") + F.greatest(j, "block")))
     dealt = dealt.select(F.col("f.shingle").alias("shingle"), F.explode(F.when(F.col("f.cells") == 1, F.array(F.lit(-1)))
                          .otherwise(of)).alias("cell"), "group", "block", "h1", "size", F.col("f.place").alias("place"))
-    return checkpointed(dealt.repartition("shingle", "cell").sortWithinPartitions("shingle", "cell").mapInArrow(
-        partial(_by_cell, _kept), "shingle BIGINT, cell INT, block INT, h1 BIGINT, size INT, place INT"))
+    narrow = "shingle BIGINT, cell INT, block INT, h1 BIGINT, size INT, place INT"
+    facts = texts.select(F.col("node.h1").alias("h1"), F.col("node.h2").alias("h2"), "sketch")
+    rest = _by_cells(dealt, partial(_partnered, similarity), narrow).join(facts, "h1")
+    return checkpointed(_by_cells(_grouped(rest, roots), partial(_partnered, similarity), narrow + ", h2 BIGINT, sketch BINARY"))
 
 
-def _meetings(cells: DataFrame, texts: DataFrame, roots: DataFrame, similarity: float, nearest: bool) -> DataFrame:
+def _grouped(cells: DataFrame, roots: DataFrame) -> DataFrame:
+    own = broadcast_if_small(roots.select(F.col("node.h1").alias("h1"), F.col("node.h2").alias("h2"), F.col("root.h1").alias("group")))
+    return cells.join(own, ["h1", "h2"], "left").select("shingle", "cell", F.coalesce("group", "h1").alias("group"), "block",
+                                                        "h1", "size", "place", "h2", "sketch")
+
+
+def _by_cells(rows: DataFrame, work, schema: str) -> DataFrame:
+    return (rows.repartition("shingle", "cell").sortWithinPartitions("shingle", "cell", "size", "h1")
+            .mapInArrow(partial(_by_cell, work), schema))
+
+
+def _meetings(cells: DataFrame, roots: DataFrame, similarity: float, nearest: bool) -> DataFrame:
     """Pairs of texts of different groups that may be similar: all of them, or each text's ``nearest`` in a cell."""
-    own = roots.select("node", F.col("root.h1").alias("group"))
-    facts = texts.select(F.col("node.h1").alias("h1"), "node", "sketch").join(broadcast_if_small(own), "node", "left")
-    known = cells.join(facts, "h1").select("shingle", "cell", F.coalesce("group", "h1").alias("group"), "block", "h1",
-                                           F.col("node.h2").alias("h2"), "size", "place", "sketch")
-    met = (known.repartition("shingle", "cell").sortWithinPartitions("shingle", "cell", "size", "h1")
-           .mapInArrow(partial(_by_cell, partial(_met, similarity, nearest)), "a1 BIGINT, b1 BIGINT, a2 BIGINT, b2 BIGINT").distinct())
-    return checkpointed(met.select(*[F.struct(F.col(f"{e}1").alias("h1"), F.col(f"{e}2").alias("h2")).alias(e) for e in "ab"]))
+    met = _by_cells(_grouped(cells, roots), partial(_met, similarity, nearest), "a1 BIGINT, b1 BIGINT, a2 BIGINT, b2 BIGINT")
+    return checkpointed(met.distinct().select(*[F.struct(F.col(f"{e}1").alias("h1"), F.col(f"{e}2").alias("h2")).alias(e) for e in "ab"]))
 
 
 def _near(texts: DataFrame, radius: int, tree_rows: int) -> DataFrame:
