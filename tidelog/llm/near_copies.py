@@ -237,6 +237,8 @@ def _by_cell(work, batches):
         rest = [c[cut:] for c in rows]
     if rest is not None:
         yield from _whole(work, rest)
+    del rest
+    give_back()
 
 
 def _as_array(column: pa.Array) -> np.ndarray:
@@ -352,6 +354,8 @@ def _links(find, radius: int, batches):
             nodes.append(batch.column(2).slice(a, b - a))
             values.append(np.stack([fp[a:b], mark[a:b]]))
     yield from made()
+    nodes, values = [], []
+    give_back()
 
 
 def _similar(size: int, least: float, batches):
@@ -365,6 +369,7 @@ def _similar(size: int, least: float, batches):
         twice = (both[1:] == both[:-1]).all(axis=1)
         common = np.bincount(both[1:][twice][:, 0].astype(np.int64), minlength=n)
         yield batch.filter(pa.array(common >= least * (sizes[0] + sizes[1] - common))).select(["a", "b"])
+    give_back()
 
 
 def node_of(text):
